@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.operators.skew import key_condition, salted_join
+from gleanwork.operators.skew import key_condition, rename_keys, salted_join
 
 
 def merge(
@@ -29,8 +29,8 @@ def merge(
     if spread_by:
         renamed = [c + suffixes[0] if c in shared else c for c in spread_by]
         return salted_join(lhs, rhs, [on], renamed, "inner", null_keys)
-    joined = lhs.join(rhs, key_condition(lhs, rhs, [on], null_keys), "inner")
-    return joined.select(*[lhs[c] for c in lhs.columns], *[rhs[c] for c in rhs.columns if c != on])
+    keyed, names = rename_keys(rhs, [on], "__right_")
+    return lhs.join(keyed, key_condition([on], names, null_keys), "inner").drop(*names)
 
 
 def _key_set(df: DataFrame, key: str, as_name: str) -> DataFrame:
@@ -41,12 +41,12 @@ def _key_set(df: DataFrame, key: str, as_name: str) -> DataFrame:
 def members(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     """Rows whose key occurs in the other frame; a missing key is an ordinary member."""
     keys = _key_set(other, other_key or key, "__member")
-    return df.join(keys, df[key].eqNullSafe(keys["__member"]), "left_semi")
+    return df.join(keys, key_condition([key], ["__member"], "match"), "left_semi")
 
 
 def non_members(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     keys = _key_set(other, other_key or key, "__member")
-    return df.join(keys, df[key].eqNullSafe(keys["__member"]), "left_anti")
+    return df.join(keys, key_condition([key], ["__member"], "match"), "left_anti")
 
 
 def missing_ids(ids: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -71,8 +71,8 @@ def lookup_last(
         .groupBy(F.col(dim_key).alias("__name"))
         .agg(F.max_by(F.struct(*values), F.col(ord_col)).alias("__found"))
     )
-    return df.join(last, df[key] == last["__name"], "left").select(
-        *[df[c] for c in df.columns], *[F.col(f"__found.{v}").alias(v) for v in values]
+    return df.join(last, key_condition([key], ["__name"], "drop"), "left").select(
+        *df.columns, *[F.col(f"__found.{v}").alias(v) for v in values]
     )
 
 
@@ -86,13 +86,12 @@ def update_from(
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Apply column expressions to the base rows whose key is in `edits`; the rest is unchanged."""
-    keys = edits.select(key).distinct().withColumn("__edit", F.lit(True))
+    edited = _key_set(edits, key, key).withColumn("__edit", F.lit(True))
     if spread_by:
-        marked = salted_join(base, keys, [key], spread_by, "left")
+        marked = salted_join(base, edited, [key], spread_by, "left")
     else:
-        marked = base.join(keys, base[key].eqNullSafe(keys[key]), "left").select(
-            *[base[c] for c in base.columns], keys["__edit"]
-        )
+        keyed, names = rename_keys(edited, [key], "__right_")
+        marked = base.join(keyed, key_condition([key], names, "match"), "left")
     hit = F.coalesce(F.col("__edit"), F.lit(False))
     return marked.select(
         *[F.when(hit, updates[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
@@ -110,11 +109,12 @@ def attach_results(
     requests: DataFrame, results: DataFrame, key: str, defaults: Mapping[str, str]
 ) -> DataFrame:
     """Every request keeps a row; payload columns it lacks take their default text."""
-    joined = requests.join(results, requests[key] == results[key], "left")
+    keyed, names = rename_keys(results, [key], "__right_")
+    joined = requests.join(keyed, key_condition([key], names, "drop"), "left")
     payload = [c for c in results.columns if c != key]
     return joined.select(
-        *[requests[c] for c in requests.columns],
-        *[F.coalesce(results[c], F.lit(defaults[c])).alias(c) if c in defaults else results[c]
+        *requests.columns,
+        *[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
           for c in payload],
     )
 

@@ -100,7 +100,7 @@ def early_stop(pages: DataFrame, seed: str, page: str, n_items: str, failed: str
         .agg(F.min(page).alias("__stop"))
     )
     return (
-        pages.join(stops, pages[seed].eqNullSafe(stops["__seed"]), "left")
+        pages.join(stops, F.col(seed).eqNullSafe(F.col("__seed")), "left")
         .filter(F.col("__stop").isNull() | (F.col(page) < F.col("__stop")))
         .drop("__seed", "__stop")
     )

@@ -12,14 +12,21 @@ _IS_HOT = "__is_hot"
 _SALT = "__salt"
 
 
-def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_keys: str) -> Column:
-    """Equality on every key; with null_keys='match' two missing keys are equal."""
+def key_condition(left: Sequence[str], right: Sequence[str], null_keys: str) -> Column:
+    """Equality of two lists of column names; with null_keys='match' two missing keys are equal."""
     if null_keys not in ("match", "drop"):
         raise ValueError("null_keys must be 'match' or 'drop'")
     pairs = [
-        left[k].eqNullSafe(right[k]) if null_keys == "match" else left[k] == right[k] for k in keys
+        F.col(a).eqNullSafe(F.col(b)) if null_keys == "match" else F.col(a) == F.col(b)
+        for a, b in zip(left, right, strict=True)
     ]
-    return reduce(lambda a, b: a & b, pairs)
+    return reduce(lambda x, y: x & y, pairs)
+
+
+def rename_keys(df: DataFrame, keys: Sequence[str], prefix: str) -> tuple[DataFrame, list[str]]:
+    """The frame with its keys under fresh names, so a self join is never ambiguous."""
+    names = [prefix + k for k in keys]
+    return df.withColumnsRenamed(dict(zip(keys, names, strict=True))), names
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
@@ -35,9 +42,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
 
 def _flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     # At most 1/share rows by construction, so the broadcast is bounded.
-    marks = F.broadcast(hot.withColumn(_IS_HOT, F.lit(True)))
-    joined = df.join(marks, key_condition(df, marks, keys, "match"), "left")
-    return joined.select(*[df[c] for c in df.columns], F.coalesce(marks[_IS_HOT], F.lit(False)).alias(_IS_HOT))
+    marks, names = rename_keys(hot, list(hot.columns), "__hot_")
+    marks = F.broadcast(marks.withColumn("__mark", F.lit(True)))
+    joined = df.join(marks, key_condition(keys, names, "match"), "left")
+    return joined.select(*df.columns, F.coalesce(F.col("__mark"), F.lit(False)).alias(_IS_HOT))
 
 
 def salted_join(
@@ -65,10 +73,8 @@ def salted_join(
         _SALT, F.when(F.col(_IS_HOT), salt).otherwise(F.lit(0))
     ).drop(_IS_HOT)
     copies = F.when(F.col(_IS_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right_s = _flag_hot(right, hot, keys).withColumn(_SALT, F.explode(copies)).drop(_IS_HOT)
-    condition = key_condition(left_s, right_s, keys, null_keys) & (left_s[_SALT] == right_s[_SALT])
+    renamed, names = rename_keys(right, keys, "__right_")
+    right_s = _flag_hot(renamed, hot, names).withColumn("__copy", F.explode(copies)).drop(_IS_HOT)
+    condition = key_condition(keys, names, null_keys) & (F.col(_SALT) == F.col("__copy"))
     joined = left_s.join(right_s, condition, how)
-    kept = [left_s[c] for c in left.columns]
-    if how in ("inner", "left"):
-        kept += [right_s[c] for c in right.columns if c not in keys]
-    return joined.select(*kept)
+    return joined.drop(_SALT, "__copy", *names)

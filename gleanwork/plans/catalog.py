@@ -25,11 +25,12 @@ def remove_tags(base: DataFrame, keywords: Sequence[str], tool_ids: DataFrame |
     return joins.update_from(base, tool_ids, "tool_id", {"use_aggregated": cleaned})
 
 
-def add_tag_to(base: DataFrame, cohort: DataFrame, tag: str) -> DataFrame:
+def add_tag_to(
+    base: DataFrame, cohort: DataFrame, tag: str, spread_by: Sequence[str] | None = None
+) -> DataFrame:
     """Write a tag back to every base row of the cohort's tools, by tool_id."""
-    return joins.update_from(
-        base, cohort, "tool_id", {"use_aggregated": tags.add_tag(F.col("use_aggregated"), tag)}
-    )
+    edit = {"use_aggregated": tags.add_tag(F.col("use_aggregated"), tag)}
+    return joins.update_from(base, cohort, "tool_id", edit, spread_by)
 
 
 def unique_uses(base: DataFrame, order: str) -> DataFrame:
