@@ -6,6 +6,8 @@ that was sent, so required fields are checked by type.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def strict_json(c: Column) -> Column:
     return F.when(in_object.isNotNull(), F.try_variant_get(in_array, "$[0]", "variant"))
 
 
+def _with_json(content: Column, build: Callable[[Column], Column]) -> Column:
+    """Apply `build` to the parsed content, parsed once however often `build` reads it."""
+    return F.get(F.transform(F.array(strict_json(content)), build), F.lit(0))
+
+
 def _field(v: Column, name: str) -> tuple[Column, Column]:
     """(field, its type name); an absent field has a null type."""
     field = F.try_variant_get(v, f"$.{name}", "variant")
@@ -73,35 +80,40 @@ def _all_or_null(**fields: Column) -> Column:
 
 def parse_article_class(content: Column) -> Column:
     """Validated classification, or null."""
-    v = strict_json(content)
-    category = _text(v, "category")
-    return _all_or_null(
-        category=F.when(category.isin(*lx.CATEGORIES), category),
-        company_relevance=_lenient_bool(v, "company_relevance"),
-        reasoning=_text(v, "reasoning"),
-    )
+
+    def fields(v: Column) -> Column:
+        category = _text(v, "category")
+        return _all_or_null(
+            category=F.when(category.isin(*lx.CATEGORIES), category),
+            company_relevance=_lenient_bool(v, "company_relevance"),
+            reasoning=_text(v, "reasoning"),
+        )
+
+    return _with_json(content, fields)
 
 
 def parse_use_check(content: Column) -> Column:
     """`relevant` is required, `reason` may be missing; null when invalid."""
-    v = strict_json(content)
-    relevant = _lenient_bool(v, "relevant")
-    reason, kind = _field(v, "reason")
-    reason_ok = kind.isNull() | kind.isin("STRING", "VOID")
-    return F.when(
-        relevant.isNotNull() & reason_ok,
-        F.struct(relevant.alias("relevant"), reason.try_cast("string").alias("reason")),
-    )
+
+    def fields(v: Column) -> Column:
+        relevant = _lenient_bool(v, "relevant")
+        reason, kind = _field(v, "reason")
+        reason_ok = kind.isNull() | kind.isin("STRING", "VOID")
+        return F.when(
+            relevant.isNotNull() & reason_ok,
+            F.struct(relevant.alias("relevant"), reason.try_cast("string").alias("reason")),
+        )
+
+    return _with_json(content, fields)
 
 
 def parse_affiliation(content: Column) -> Column:
-    v = strict_json(content)
-    return _all_or_null(
+    return _with_json(content, lambda v: _all_or_null(
         companies=_text_list(v, "companies"),
         universities=_text_list(v, "universities"),
         primary_affiliation=_text(v, "primary_affiliation"),
         reasoning=_text(v, "reasoning"),
-    )
+    ))
 
 
 def recover_affiliation(content: Column) -> Column:
@@ -126,40 +138,44 @@ def article_class_or_rules(content: Column, title: Column, name: Column, **words
 
 def parse_evidence(content: Column) -> Column:
     """`supports` by truthiness, `evidence` as text; null when either key is absent."""
-    v = strict_json(content)
-    supports, kind = _field(v, "supports")
-    evidence, evidence_kind = _field(v, "evidence")
-    text = supports.try_cast("string")
-    truth = (
-        F.when(kind == "VOID", False)
-        .when(kind == "BOOLEAN", supports.try_cast("boolean"))
-        .when(_is_number(kind), supports.try_cast("double") != 0)
-        .otherwise(~text.isin("", "[]", "{}"))
-    )
-    shown = F.when(evidence_kind == "VOID", "None").otherwise(evidence.try_cast("string"))
-    return F.when(
-        kind.isNotNull() & evidence_kind.isNotNull(),
-        F.struct(truth.alias("supports"), shown.alias("evidence")),
-    )
+
+    def fields(v: Column) -> Column:
+        supports, kind = _field(v, "supports")
+        evidence, evidence_kind = _field(v, "evidence")
+        truth = (
+            F.when(kind == "VOID", False)
+            .when(kind == "BOOLEAN", supports.try_cast("boolean"))
+            .when(_is_number(kind), supports.try_cast("double") != 0)
+            .otherwise(~supports.try_cast("string").isin("", "[]", "{}"))
+        )
+        shown = F.when(evidence_kind == "VOID", "None").otherwise(evidence.try_cast("string"))
+        return F.when(
+            kind.isNotNull() & evidence_kind.isNotNull(),
+            F.struct(truth.alias("supports"), shown.alias("evidence")),
+        )
+
+    return _with_json(content, fields)
 
 
 def definition_text(status: Column, body: Column) -> Column:
     """First definition of the first meaning, with the fixed texts for each way to miss it."""
-    v = strict_json(body)
-    entry, entry_kind = F.try_variant_get(v, "$[0]", "variant"), None
-    entry_kind = F.schema_of_variant(entry)
-    meanings = F.schema_of_variant(F.try_variant_get(entry, "$.meanings", "variant"))
-    first = F.try_variant_get(entry, "$.meanings[0].definitions[0].definition", "string")
-    return (
-        F.when(status != 200, F.concat(F.lit("Error: "), status.cast("string"), F.lit(" - "), body))
-        .when(
+
+    def first_definition(v: Column) -> Column:
+        entry = F.try_variant_get(v, "$[0]", "variant")
+        kind = F.schema_of_variant(entry)
+        meanings = F.schema_of_variant(F.try_variant_get(entry, "$.meanings", "variant"))
+        found = F.try_variant_get(entry, "$.meanings[0].definitions[0].definition", "string")
+        unreadable = (
             entry.isNull()
-            | ~F.startswith(entry_kind, F.lit("OBJECT"))
-            | (meanings.isNotNull() & ~F.startswith(meanings, F.lit("ARRAY"))),
-            "Error parsing definition.",
+            | ~F.startswith(kind, F.lit("OBJECT"))
+            | (meanings.isNotNull() & ~F.startswith(meanings, F.lit("ARRAY")))
         )
-        .otherwise(F.coalesce(first, F.lit("No definition found.")))
-    )
+        return F.when(unreadable, "Error parsing definition.").otherwise(
+            F.coalesce(found, F.lit("No definition found."))
+        )
+
+    failed = F.concat(F.lit("Error: "), status.cast("string"), F.lit(" - "), body)
+    return F.when(status != 200, failed).otherwise(_with_json(body, first_definition))
 
 
 def split_valid(df: DataFrame, parsed: str) -> tuple[DataFrame, DataFrame]:

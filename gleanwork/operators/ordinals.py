@@ -34,17 +34,18 @@ def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: i
     cuts = [i / n for i in range(1, n)]
     keyed = df.withColumn("__at", ordinal)
     bounds = keyed.agg(F.percentile_approx("__at", cuts, 20 * n).alias("b")).scalar()
-    placed = keyed.withColumn("__bucket", _locate(F.col("__at"), bounds, n))
+    placed = keyed.withColumn("__bounds", bounds).withColumn(
+        "__bucket", _locate(F.col("__at"), F.col("__bounds"), n)
+    ).drop("__bounds")
     sizes = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"))
-    # One (bucket, size) pair per bucket: bounded by `buckets`, not by the rows.
+    # At most `buckets` rows from here on, whatever the table holds.
     pairs = sizes.agg(F.collect_list(F.struct("__bucket", "n")).alias("p")).scalar()
     before = F.aggregate(
-        F.filter(pairs, lambda p: p["__bucket"] < F.col("__bucket")),
+        F.filter("__pairs", lambda p: p["__bucket"] < F.col("__bucket")),
         F.lit(0).cast("long"),
         lambda acc, p: acc + p["n"],
     )
-    offsets = sizes.select("__bucket", before.alias("__offset"))
-    # Same bound: at most `buckets` rows.
+    offsets = sizes.withColumn("__pairs", pairs).select("__bucket", before.alias("__offset"))
     small = F.broadcast(offsets)
     w = Window.partitionBy("__bucket").orderBy("__at")
     numbered = placed.withColumn("__local", F.row_number().over(w) - 1)

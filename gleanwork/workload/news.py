@@ -12,7 +12,8 @@ from gleanwork.operators import aggregates, dedup, enrich, extract, joins, keywo
 from gleanwork.plans import news
 from gleanwork.workload import views as v
 from gleanwork.workload.registry import (
-    query, sql_any, sql_occurrences, sql_presence, sql_rate, sql_strip, table,
+    query, sql_any, sql_occurrences, sql_presence, sql_rate, sql_strip, spread_table,
+    table,
 )
 
 _WORDS = {"funding_words": v.FUNDING_WORDS, "feature_words": v.FEATURE_WORDS}
@@ -338,7 +339,8 @@ def _cards_page(card, title, link, image, source, snippet):
 
 def _result_pages(spark, sf_dir):
     """One result page per document, one card per line."""
-    docs = table(spark, sf_dir, "documents").withColumn("lines", F.split("text", "\n"))
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text")
+    docs = docs.withColumn("lines", F.split("text", "\n"))
     zipped = F.arrays_zip(F.col("lines").alias("t"), F.slice("lines", 2, F.size("lines")).alias("s"))
 
     def page(card):

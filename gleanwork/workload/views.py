@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.workload.registry import table
+from gleanwork.workload.registry import spread_table, table
 
 # Surrogate words that occur in the invented text.
 FUNDING_WORDS = ("heit", "ment", "tion the")
@@ -23,7 +23,8 @@ _NAME_SQL = "CASE " + " ".join(f"WHEN lang = '{k}' THEN '{v}'" for k, v in NAME_
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One article per line of every document; the next line is its snippet."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.split("text", "\n").alias("lines"))
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text")
+    docs = docs.select("doc_id", "lang", "source", F.split("text", "\n").alias("lines"))
     pairs = F.arrays_zip(F.col("lines").alias("title"), F.slice("lines", 2, F.size("lines")).alias("snippet"))
     rows = docs.select("doc_id", "lang", "source", F.posexplode(pairs).alias("line_no", "p"))
     title = F.col("p.title")
