@@ -38,20 +38,22 @@ def looks_like_url(c: Column) -> Column:
     return F.contains(c, F.lit(".")) & F.contains(c, F.lit("/"))
 
 
-def _without_dots(path: Column) -> Column:
-    """Resolve `.` and `..`, drop empty inner segments, keep a trailing slash."""
-    segments = F.split(path, "/")
-    empty = F.array().cast("array<string>")
+def _without_dots(path: Column, keep_empty: bool) -> Column:
+    """Resolve `.` and `..` in a rooted path; empty inner segments may be dropped."""
+    segments = F.split(F.substring(path, F.lit(2), F.length(path)), "/")
+    last = F.element_at(segments, -1)
+    if not keep_empty:
+        inner = F.filter(F.slice(segments, F.lit(1), F.size(segments) - 1), lambda s: s != "")
+        segments = F.concat(inner, F.array(last))
     stack = F.aggregate(
-        F.filter(segments, lambda s: s != ""),
-        empty,
+        segments,
+        F.array().cast("array<string>"),
         lambda acc, s: F.when(s == ".", acc)
         .when(s == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
         .otherwise(F.concat(acc, F.array(s))),
     )
-    open_end = F.element_at(segments, -1).isin("", ".", "..")
-    tail = F.when(open_end & (F.size(stack) > 0), F.lit("/")).otherwise("")
-    return F.concat(F.lit("/"), F.array_join(stack, "/"), tail)
+    closed = F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
+    return F.concat(F.lit("/"), F.array_join(closed, "/"))
 
 
 def absolute_url(base: Column, href: Column) -> Column:
@@ -64,10 +66,9 @@ def absolute_url(base: Column, href: Column) -> Column:
     no_query = F.regexp_extract(base, r"^([^?#]*)", 1)
     href_path = F.regexp_extract(href, r"^([^?#]*)", 1)
     href_rest = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
-    rooted = F.concat(host, _without_dots(href_path), href_rest)
-    relative = F.concat(
-        host, _without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), href_path)), href_rest
-    )
+    rooted = F.concat(host, _without_dots(href_path, keep_empty=True), href_rest)
+    below = F.concat(F.when(folder == "", "/").otherwise(folder), href_path)
+    relative = F.concat(host, _without_dots(below, keep_empty=False), href_rest)
     return (
         F.when(href == "", base)
         .when(F.rlike(href, F.lit(r"^[a-zA-Z][a-zA-Z0-9+.-]*:")), href)

@@ -2,39 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.functions.predicates import WORD_END, WORD_START
+
 # Anything but letters, numbers and underscore separates words.
 SPLIT = r"[^\p{L}\p{N}_]+"
 
 
+def _words(c: Column) -> Column:
+    return F.filter(F.split(F.lower(c), SPLIT), lambda w: w != "")
+
+
 def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term") -> DataFrame:
-    """(key, term) for every term that occurs as a whole word or phrase.
+    """(key, term) for every term that occurs as a whole word or phrase, ignoring case.
 
-    Each text is cut into its distinct words, which join the terms on their first word; only
-    texts holding that word are then checked for the whole phrase. The check compares
-    space-joined words, so it needs no pattern per term. Terms are plain text, not patterns.
+    The same answer as `predicates.any_word` with escaped keywords, for any number of terms: the
+    distinct words of each text join the terms on their first word. Terms that are one plain word
+    are settled by that; for the others the texts holding all their words are tested. Terms
+    without a single word character are not matched.
     """
-    words_of = lambda c: F.filter(F.split(F.lower(c), SPLIT), lambda w: w != "")
-    wanted = terms.select(F.col(term), words_of(F.col(term)).alias("__t")).filter(F.size("__t") > 0)
-    wanted = wanted.select(
-        F.col(term).alias("term"),
-        F.get("__t", F.lit(0)).alias("__first"),
-        F.concat(F.lit(" "), F.array_join("__t", " "), F.lit(" ")).alias("__phrase"),
-    ).distinct()
-    words = df.select(F.col(key), words_of(F.col(text)).alias("__words"))
-    candidates = (
-        words.select(key, F.explode(F.array_distinct("__words")).alias("__first"))
-        .join(wanted, "__first")
-        .select(key, "term", "__phrase")
-    )
-    spaced = words.select(key, F.concat(F.lit(" "), F.array_join("__words", " "), F.lit(" ")).alias("__text"))
-    single = F.instr(F.trim("__phrase"), " ") == 0
-    phrases = (
-        candidates.filter(~single)
-        .join(spaced, key)
-        .filter(F.contains("__text", "__phrase"))
-        .select(key, "term")
-    )
-    return candidates.filter(single).select(key, "term").unionByName(phrases)
+    wanted = terms.select(F.col(term).alias("term"), _words(F.col(term)).alias("__t")).distinct()
+    wanted = wanted.filter(F.size("__t") > 0).withColumn("__first", F.get("__t", F.lit(0)))
+    words = df.select(key, F.array_distinct(_words(F.col(text))).alias("__words"))
+    candidates = words.select(key, "__words", F.explode("__words").alias("__first")).join(wanted, "__first")
+    plain = F.lower("term") == F.col("__first")
+    single = candidates.filter(plain).select(key, "term")
+    possible = candidates.filter(~plain & (F.size(F.array_except("__t", "__words")) == 0)).select(key, "term")
+    quoted = F.concat(F.lit(r"\Q"), F.replace("term", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    pattern = F.concat(F.lit("(?iu)" + WORD_START), quoted, F.lit(WORD_END))
+    phrases = possible.join(df.select(key, text), key).filter(F.rlike(F.col(text), pattern)).select(key, "term")
+    return single.unionByName(phrases)

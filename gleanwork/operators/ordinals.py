@@ -37,7 +37,7 @@ def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: i
     placed = keyed.withColumn("__bounds", bounds).withColumn(
         "__bucket", _locate(F.col("__at"), F.col("__bounds"), n)
     ).drop("__bounds")
-    sizes = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"))
+    sizes = placed.groupBy("__bucket").agg(F.count("*").alias("n"))
     # At most `buckets` rows from here on, whatever the table holds.
     pairs = sizes.agg(F.collect_list(F.struct("__bucket", "n")).alias("p")).scalar()
     before = F.aggregate(
@@ -58,19 +58,17 @@ def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: i
 
 def batch_ids(df: DataFrame, ord_col: str, size: int) -> DataFrame:
     """Consecutive batches of `size` rows."""
-    return with_position(df, ord_col).withColumn(
-        "batch_id", F.floor(F.col("position") / size).cast("long")
-    )
+    return with_position(df, ord_col).withColumn("batch_id", F.expr(f"position div {int(size)}"))
 
 
 def shards(df: DataFrame, ord_col: str, n: int) -> DataFrame:
     """Contiguous shards of equal floor size; the last one takes the remainder."""
-    per_shard = F.floor(df.agg(F.count(F.lit(1)).alias("n")).scalar() / n)
-    last = F.lit(n - 1).cast("long")
-    shard = F.when(per_shard == 0, last).otherwise(
-        F.least(F.floor(F.col("position") / F.greatest(per_shard, F.lit(1))), last)
-    )
-    return with_position(df, ord_col).withColumn("shard_id", shard.cast("long"))
+    total = df.agg(F.count("*").alias("n")).scalar()
+    placed = with_position(df, ord_col).withColumn("__total", total)
+    return placed.withColumn("__size", F.expr(f"__total div {int(n)}")).withColumn(
+        "shard_id",
+        F.expr(f"CASE WHEN __size = 0 THEN {n - 1}L ELSE least(position div __size, {n - 1}L) END"),
+    ).drop("__total", "__size")
 
 
 def row_slice(df: DataFrame, ord_col: str, start: int, stop: int) -> DataFrame:

@@ -31,10 +31,10 @@ def rename_keys(df: DataFrame, keys: Sequence[str], prefix: str) -> tuple[DataFr
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """Keys owning more than `share` of the rows: never more than 1/share of them."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = df.agg(F.count("*").alias("n")).scalar()
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.count("*").alias("__n"))
         .filter(F.col("__n") > total * F.lit(share))
         .select(*keys)
     )

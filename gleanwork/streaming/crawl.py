@@ -78,7 +78,7 @@ def status_counts(stream: DataFrame, status: str, sink: str, checkpoint: str) ->
     def save(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").parquet(sink)
 
-    counts = stream.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
+    counts = stream.groupBy(status).agg(F.count("*").alias("n"))
     return (
         counts.writeStream.outputMode("complete").foreachBatch(save)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
