@@ -112,6 +112,23 @@ def news_run(articles: DataFrame, order: str, infer: enrich.Infer | None = None,
     return classify(features(unique), infer, **words)
 
 
+def run_counts(articles: DataFrame, order: str, **words) -> DataFrame:
+    """How many rows each stage leaves: collected, unique titles, naming the tool, relevant."""
+    title, name = F.col("title"), F.col("tool_name")
+    unique = dedup.dedup_exact_title(articles, "title", order)
+    named = predicates.mentions(title, name)
+    relevant = rules.classify_title(title, name, **words)["company_relevance"]
+    collected = articles.agg(F.count("*").alias("n")).scalar()
+    return unique.agg(
+        F.count("*").alias("unique_titles"), F.count_if(named).alias("naming_tool"),
+        F.count_if(named & relevant).alias("relevant"),
+    ).select(
+        F.coalesce(collected, F.lit(0)).alias("collected"), "unique_titles", "naming_tool", "relevant",
+        (F.col("unique_titles") - F.col("naming_tool")).alias("filtered_before"),
+        (F.col("naming_tool") - F.col("relevant")).alias("filtered_after"),
+    )
+
+
 def output_rows(df: DataFrame) -> DataFrame:
     """The fixed output columns, sentinels in place."""
     named = df.withColumnRenamed("category", "ollama_category")

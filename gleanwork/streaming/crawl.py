@@ -55,7 +55,9 @@ def crawl_batches(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The ledger as it was before this batch, so that a replay sees the same frontier.
-        done = read_ledger(spark, ledger).filter(F.col("run_id").cast("bigint") < batch_id)
+        # Runs outside this stream have names instead of numbers and always count.
+        earlier = F.coalesce(F.col("run_id").try_cast("bigint"), F.lit(-1)) < batch_id
+        done = read_ledger(spark, ledger).filter(earlier)
         todo = frontier(keep_first(batch, [key], [order]), done, key, retry_failed)
         path = f"{out}/batch_id={batch_id}"
         fetch(todo).write.mode("overwrite").parquet(path)

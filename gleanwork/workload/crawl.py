@@ -359,6 +359,24 @@ def run_times(spark, sf_dir):
     )
 
 
+@query("""SELECT 'u' || user_id || '/' || json_extract_string(props, '$.k') AS page_url, min(event_id) AS event_id,
+  arg_min(event_type, event_id) AS product_name FROM events GROUP BY 1""")
+def generations_from_files(spark, sf_dir):
+    """Result files of several runs, read by name pattern, stacked, first row per URL kept."""
+    root = shared_path(spark, "backups")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "concat('u', user_id, '/', get_json_object(props, '$.k')) AS page_url", "event_type AS product_name"
+    )
+    for kind in ("view", "click"):
+        part = events.filter(F.col("product_name") == kind)
+        writers.write_csv(part, f"{root}/backup_{kind}", ["event_id", "page_url", "product_name"])
+    backups = readers.read_generations(
+        spark, f"{root}/backup_*", "event_id BIGINT, page_url STRING, product_name STRING"
+    ).drop("file_path")
+    rest = events.filter(~F.col("product_name").isin("view", "click"))
+    return dedup.keep_first(dedup.union_all(backups, rest), ["page_url"], ["event_id"])
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 

@@ -167,6 +167,13 @@ def news_by_category(spark, sf_dir):
     return aggregates.category_distribution(rows, "category", "company_relevance")
 
 
+@query(_NEWS_SQL + """, c AS (SELECT (SELECT count(*) FROM articles) AS collected, (SELECT count(*) FROM firsts) AS unique_titles,
+  (SELECT count(*) FROM judged) AS naming_tool, (SELECT count(*) FROM news) AS relevant)
+SELECT *, unique_titles - naming_tool AS filtered_before, naming_tool - relevant AS filtered_after FROM c""")
+def news_run_counts(spark, sf_dir):
+    return news.run_counts(v.articles(spark, sf_dir), "ord", **_WORDS)
+
+
 @query(f"""WITH {v.ARTICLES_SQL} SELECT company, count(*) AS n FROM articles GROUP BY company""")
 def company_frequency(spark, sf_dir):
     return aggregates.frequency(v.articles(spark, sf_dir), "company")
