@@ -18,6 +18,7 @@ from pyspark.sql.utils import AnalysisException
 from gleanwork import lexicons as lx
 from gleanwork.functions import predicates, responses, tags, text
 from gleanwork.operators.joins import non_members
+from gleanwork.operators.skew import equi_join
 
 Infer = Callable[[list[str]], Sequence[str | None]]
 ANSWER = "response STRING, error STRING"
@@ -63,16 +64,23 @@ def enrich(
     return asked.select(*df.columns, "__a.response", "__a.error")
 
 
-def enrich_distinct(df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50) -> DataFrame:
-    """Ask once per distinct prompt and join the answers back by digest."""
+def enrich_distinct(
+    df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50, spread_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Ask once per distinct prompt and join the answers back by digest.
+
+    `spread_by` names a row ordinal where one prompt may belong to a large share of the rows.
+    """
     keyed = df.withColumn("__prompt", prompt).withColumn("__digest", F.sha2("__prompt", 256))
     once = keyed.filter(F.col("__prompt").isNotNull()).groupBy("__digest").agg(F.max("__prompt").alias("__prompt"))
     answered = once.select("__digest", ask(F.col("__prompt"), infer, batch_size).alias("__a"))
-    return keyed.join(answered, "__digest", "left").select(*df.columns, "__a.response", "__a.error")
+    joined = equi_join(keyed, answered, ["__digest"], "left", "drop", spread_by)
+    return joined.select(*df.columns, "__a.response", "__a.error")
 
 
 def enrich_with_store(
-    df: DataFrame, prompt: Column, infer: Infer, store: str, batch_size: int = 50
+    df: DataFrame, prompt: Column, infer: Infer, store: str, batch_size: int = 50,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """As `enrich_distinct`, with answers kept in a Parquet table at `store`.
 
@@ -96,7 +104,8 @@ def enrich_with_store(
         .agg(F.max("response").alias("response"), F.max("error").alias("error"))
         .withColumn("error", F.when(F.col("response").isNull(), F.col("error")))
     )
-    return keyed.join(kept, "digest", "left").select(*df.columns, "response", "error")
+    joined = equi_join(keyed, kept, ["digest"], "left", "drop", spread_by)
+    return joined.select(*df.columns, "response", "error")
 
 
 def keep_answered(df: DataFrame, column: str = "response") -> DataFrame:
@@ -140,27 +149,24 @@ def two_pass_verdict(
 ) -> DataFrame:
     """Positive first verdicts stand; negative ones are settled by the evidence table.
 
-    `first` is struct<relevant, reason>; `evidence` has (key, supports, evidence). Only negative
-    rows are joined. Rows without evidence keep their negative verdict unverified.
+    `first` is struct<relevant, reason>; `evidence` has one row (key, supports, evidence) per
+    key. Positive rows never match it, and negative rows without evidence stay unverified. The
+    first verdict is computed once, so it may come from a model.
     """
     judged = df.withColumn("__v", first)
-    positive = F.coalesce(F.col("__v.relevant"), F.lit(False))
-    plain = judged.filter(positive).select(
-        *df.columns, F.lit(True).alias("relevant"), F.col("__v.reason").alias("reason"),
-        F.lit(False).alias("verified"),
-    )
-    doubted = judged.filter(~positive).join(evidence.select(key, "supports", "evidence"), key, "left")
-    found = F.col("supports").isNotNull()
-    reason = F.coalesce(F.col("__v.reason"), F.lit(""))
-    settled = doubted.select(
+    doubted = ~F.coalesce(F.col("__v.relevant"), F.lit(False))
+    known = evidence.select(F.col(key).alias("__key"), "supports", "evidence")
+    joined = judged.join(known, (F.col(key) == F.col("__key")) & doubted, "left")
+    checked = F.col("supports").isNotNull()
+    reason = F.col("__v.reason")
+    return joined.select(
         *df.columns,
-        F.coalesce(F.col("supports"), F.lit(False)).alias("relevant"),
+        (~doubted | F.coalesce(F.col("supports"), F.lit(False))).alias("relevant"),
         F.when(F.col("supports"), F.col("evidence"))
-        .when(found, F.concat(reason, F.lit(suffix)))
-        .otherwise(F.col("__v.reason")).alias("reason"),
-        found.alias("verified"),
+        .when(checked, F.concat(F.coalesce(reason, F.lit("")), F.lit(suffix)))
+        .otherwise(reason).alias("reason"),
+        checked.alias("verified"),
     )
-    return plain.unionByName(settled)
 
 
 @dataclass(frozen=True)

@@ -7,11 +7,10 @@ is a spec and not a parser of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,17 +70,11 @@ class RecordSpec:
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "children")
+    __slots__ = ("tag", "attrs", "parent", "children", "at", "end")
 
-    def __init__(self, tag, attrs, parent):
+    def __init__(self, tag, attrs, parent, at):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
-
-    def below(self) -> Iterator[_Node]:
-        stack = [c for c in reversed(self.children) if isinstance(c, _Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, _Node))
+        self.at = self.end = at
 
     def pieces(self) -> list[str]:
         out, stack = [], [self]
@@ -94,20 +87,38 @@ class _Node:
         return out
 
 
-class _Builder(HTMLParser):
-    """Lenient tree: an end tag closes the nearest open element of that name, or nothing."""
+class _Page(HTMLParser):
+    """Lenient tree: an end tag closes the nearest open element of that name, or nothing.
 
-    def __init__(self):
+    `nodes` is in document order; the descendants of a node are nodes[node.at + 1 : node.end].
+    """
+
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.root = self.here = _Node("", {}, None)
+        self.root = self.here = _Node("", {}, None, -1)
+        self.nodes: list[_Node] = []
+        self.feed(html)
+        self.close()
+        self._close_up_to(None)
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
+    def _close_up_to(self, node: _Node | None) -> None:
+        while self.here is not node:
+            self.here.end = len(self.nodes)
+            self.here = self.here.parent
 
     def handle_starttag(self, tag, attrs):
         first = {}
         for k, v in attrs:
             first[k] = v or ""
-        node = _Node(tag, first, self.here)
+        node = _Node(tag, first, self.here, len(self.nodes))
         self.here.children.append(node)
-        if tag not in VOID:
+        self.nodes.append(node)
+        if tag in VOID:
+            node.end = len(self.nodes)
+        else:
             self.here = node
 
     def handle_startendtag(self, tag, attrs):
@@ -119,49 +130,52 @@ class _Builder(HTMLParser):
         while node.parent is not None and node.tag != tag:
             node = node.parent
         if node.parent is not None:
-            self.here = node.parent
+            self._close_up_to(node.parent)
 
     def handle_data(self, data):
         self.here.children.append(data)
 
+    def all_in(self, scope: _Node, el: El) -> list[_Node]:
+        return [n for n in self.nodes[scope.at + 1:scope.end] if _matches(n, el)]
 
-def _tree(html: str) -> _Node:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
+    def first_in(self, scope: _Node, el: El) -> _Node | None:
+        for i in range(scope.at + 1, scope.end):
+            if _matches(self.nodes[i], el):
+                return self.nodes[i]
+        return None
 
 
 def _matches(node: _Node, el: El) -> bool:
     a = node.attrs
-    if el.tag and node.tag != el.tag or not node.tag:
-        return False
-    if el.classes and not set(el.classes) <= set(a.get("class", "").split()):
-        return False
-    if any(a.get(k) != v for k, v in el.equals):
-        return False
-    if any(v not in a.get(k, "") for k, v in el.contains):
-        return False
-    if any(not a.get(k, "").startswith(v) for k, v in el.starts):
+    if el.tag and node.tag != el.tag:
         return False
+    if el.classes:
+        own = a.get("class")
+        if not own or not set(el.classes).issubset(own.split()):
+            return False
+    for k, v in el.equals:
+        if a.get(k) != v:
+            return False
+    for k, v in el.contains:
+        if v not in a.get(k, ""):
+            return False
+    for k, v in el.starts:
+        if not a.get(k, "").startswith(v):
+            return False
     if el.single_text and not (len(node.children) == 1 and isinstance(node.children[0], str)):
         return False
     if el.text and el.text.lower() not in " ".join("".join(node.pieces()).split()).lower():
         return False
-    if el.under and not (node.parent is not None and _matches(node.parent, el.under)):
+    if el.under and not (node.parent.tag and _matches(node.parent, el.under)):
         return False
     if el.inside:
         up = node.parent
-        while up is not None and not _matches(up, el.inside):
+        while up.tag and not _matches(up, el.inside):
             up = up.parent
-        return up is not None
+        return bool(up.tag)
     return True
 
 
-def _find(scope: _Node, el: El) -> _Node | None:
-    return next((n for n in scope.below() if _matches(n, el)), None)
-
-
 def _value(node: _Node, kind: str) -> str | None:
     if kind == "text":
         return "".join(node.pieces()).strip()
@@ -172,17 +186,17 @@ def _value(node: _Node, kind: str) -> str | None:
     return node.attrs.get(kind)
 
 
-def _take(scope: _Node, spec: Take) -> str | None:
+def _take(page: _Page, scope: _Node, spec: Take) -> str | None:
     got = None
     for el in spec.at or (None,):
-        node = scope if el is None else _find(scope, el)
+        node = scope if el is None else page.first_in(scope, el)
         if node is None:
             continue
         if spec.many is not None:
-            found = [_value(n, spec.value) for n in node.below() if _matches(n, spec.then)]
+            found = [_value(n, spec.value) for n in page.all_in(node, spec.then)]
             return spec.many.join(found) or spec.default
         if spec.then is not None:
-            node = _find(node, spec.then) or (node if _matches(node, spec.then) else None)
+            node = page.first_in(node, spec.then) or (node if _matches(node, spec.then) else None)
         got = _value(node, spec.value) if node is not None else None
         if spec.rule == "existing" or (spec.rule == "non_empty" and got):
             break
@@ -197,15 +211,15 @@ def page_records(html: str | None, spec: RecordSpec) -> list[dict[str, str | Non
     """All records of one page."""
     if html is None:
         return []
-    root = _tree(html)
-    scopes = [root] if not spec.containers else []
+    page = _Page(html)
+    scopes = [page.root] if not spec.containers else []
     for el in spec.containers:
-        scopes = [n for n in root.below() if _matches(n, el)]
+        scopes = page.all_in(page.root, el)
         if scopes:
             break
-    shared = {f.name: _take(root, f) for f in spec.fields if f.page_level} if scopes else {}
+    shared = {f.name: _take(page, page.root, f) for f in spec.fields if f.page_level} if scopes else {}
     return [
-        {f.name: shared[f.name] if f.page_level else _take(s, f) for f in spec.fields}
+        {f.name: shared[f.name] if f.page_level else _take(page, s, f) for f in spec.fields}
         for s in scopes
     ]
 
@@ -213,9 +227,11 @@ def page_records(html: str | None, spec: RecordSpec) -> list[dict[str, str | Non
 def records_column(html: Column, spec: RecordSpec) -> Column:
     """array<struct> of the records of each page."""
 
-    @F.pandas_udf(spec.ddl)
-    def parse(batch: pd.Series) -> pd.Series:
-        return pd.Series([page_records(h, spec) for h in batch], dtype="object")
+    kind = pa.list_(pa.struct([(f.name, pa.string()) for f in spec.fields]))
+
+    @F.arrow_udf(spec.ddl)
+    def parse(batch: pa.Array) -> pa.Array:
+        return pa.array([page_records(h, spec) for h in batch.to_pylist()], type=kind)
 
     return parse(html)
 

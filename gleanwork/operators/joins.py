@@ -1,4 +1,8 @@
-"""Joins, lookups and key-set operators."""
+"""Joins, lookups and key-set operators.
+
+`spread_by` names a row ordinal of the (large) left side; with it the rows of hot keys are
+spread over many tasks, see `operators.skew`. Without it skew is left to adaptive execution.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.operators.skew import key_condition, rename_keys, salted_join
+from gleanwork.operators.skew import equi_join
+
+Spread = Sequence[str] | None
 
 
 def merge(
@@ -16,21 +22,18 @@ def merge(
     on: str,
     null_keys: str = "match",
     suffixes: tuple[str, str] = ("_x", "_y"),
-    spread_by: Sequence[str] | None = None,
+    spread_by: Spread = None,
+    right_spread_by: Spread = None,
 ) -> DataFrame:
-    """Inner equi join; columns present on both sides get suffixes, missing keys match.
-
-    With `spread_by` (a row ordinal of the left side) hot left keys are salted; without it the
-    skew is left to adaptive execution.
-    """
+    """Inner equi join; columns present on both sides get suffixes, missing keys match."""
     shared = [c for c in left.columns if c in right.columns and c != on]
-    lhs = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
-    rhs = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
-    if spread_by:
-        renamed = [c + suffixes[0] if c in shared else c for c in spread_by]
-        return salted_join(lhs, rhs, [on], renamed, "inner", null_keys)
-    keyed, names = rename_keys(rhs, [on], "__right_")
-    return lhs.join(keyed, key_condition([on], names, null_keys), "inner").drop(*names)
+    renames = [{c: c + suffix for c in shared} for suffix in suffixes]
+    lhs, rhs = left.withColumnsRenamed(renames[0]), right.withColumnsRenamed(renames[1])
+    spreads = [
+        by and [renamed.get(c, c) for c in by]
+        for by, renamed in zip((spread_by, right_spread_by), renames, strict=True)
+    ]
+    return equi_join(lhs, rhs, [on], "inner", null_keys, *spreads)
 
 
 def _key_set(df: DataFrame, key: str, as_name: str) -> DataFrame:
@@ -38,15 +41,19 @@ def _key_set(df: DataFrame, key: str, as_name: str) -> DataFrame:
     return df.select(F.col(key).alias(as_name)).distinct()
 
 
-def members(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
+def members(
+    df: DataFrame, other: DataFrame, key: str, other_key: str | None = None, spread_by: Spread = None
+) -> DataFrame:
     """Rows whose key occurs in the other frame; a missing key is an ordinary member."""
-    keys = _key_set(other, other_key or key, "__member")
-    return df.join(keys, key_condition([key], ["__member"], "match"), "left_semi")
+    keys = _key_set(other, other_key or key, key)
+    return equi_join(df, keys, [key], "left_semi", "match", spread_by)
 
 
-def non_members(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
-    keys = _key_set(other, other_key or key, "__member")
-    return df.join(keys, key_condition([key], ["__member"], "match"), "left_anti")
+def non_members(
+    df: DataFrame, other: DataFrame, key: str, other_key: str | None = None, spread_by: Spread = None
+) -> DataFrame:
+    keys = _key_set(other, other_key or key, key)
+    return equi_join(df, keys, [key], "left_anti", "match", spread_by)
 
 
 def missing_ids(ids: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -54,26 +61,27 @@ def missing_ids(ids: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return non_members(ids, known, key)
 
 
-def add_missing_ids(cohort: DataFrame, base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def add_missing_ids(
+    cohort: DataFrame, base: DataFrame, ids: DataFrame, key: str, spread_by: Spread = None
+) -> DataFrame:
     """The cohort plus every base row of a listed id the cohort lacks."""
-    wanted = missing_ids(ids.select(key), cohort, key)
-    return cohort.unionByName(members(base, wanted, key), allowMissingColumns=True)
+    wanted = missing_ids(ids.select(key).distinct(), cohort, key)
+    return cohort.unionByName(members(base, wanted, key, spread_by=spread_by), allowMissingColumns=True)
 
 
 def lookup_last(
     df: DataFrame, dim: DataFrame, key: str, values: Sequence[str], ord_col: str,
-    dim_key: str | None = None,
+    dim_key: str | None = None, spread_by: Spread = None,
 ) -> DataFrame:
     """Attach dimension values by name; of repeated names the last row wins, a miss gives nulls."""
     dim_key = dim_key or key
     last = (
         dim.filter(F.col(dim_key).isNotNull())
-        .groupBy(F.col(dim_key).alias("__name"))
+        .groupBy(F.col(dim_key).alias(key))
         .agg(F.max_by(F.struct(*values), F.col(ord_col)).alias("__found"))
     )
-    return df.join(last, key_condition([key], ["__name"], "drop"), "left").select(
-        *df.columns, *[F.col(f"__found.{v}").alias(v) for v in values]
-    )
+    joined = equi_join(df, last, [key], "left", "drop", spread_by)
+    return joined.select(*df.columns, *[F.col(f"__found.{v}").alias(v) for v in values])
 
 
 def seed_pages(seeds: DataFrame, pages: int) -> DataFrame:
@@ -82,16 +90,11 @@ def seed_pages(seeds: DataFrame, pages: int) -> DataFrame:
 
 
 def update_from(
-    base: DataFrame, edits: DataFrame, key: str, updates: Mapping[str, Column],
-    spread_by: Sequence[str] | None = None,
+    base: DataFrame, edits: DataFrame, key: str, updates: Mapping[str, Column], spread_by: Spread = None
 ) -> DataFrame:
     """Apply column expressions to the base rows whose key is in `edits`; the rest is unchanged."""
     edited = _key_set(edits, key, key).withColumn("__edit", F.lit(True))
-    if spread_by:
-        marked = salted_join(base, edited, [key], spread_by, "left")
-    else:
-        keyed, names = rename_keys(edited, [key], "__right_")
-        marked = base.join(keyed, key_condition([key], names, "match"), "left")
+    marked = equi_join(base, edited, [key], "left", "match", spread_by)
     hit = F.coalesce(F.col("__edit"), F.lit(False))
     return marked.select(
         *[F.when(hit, updates[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
@@ -99,18 +102,19 @@ def update_from(
     )
 
 
-def frontier(urls: DataFrame, ledger: DataFrame, key: str, retry_failed: bool = True) -> DataFrame:
+def frontier(
+    urls: DataFrame, ledger: DataFrame, key: str, retry_failed: bool = True, spread_by: Spread = None
+) -> DataFrame:
     """URLs still to fetch. Failed ones stay in unless `retry_failed` is off."""
     done = ledger.filter(F.col("status") == "completed") if retry_failed else ledger
-    return non_members(urls, done, key)
+    return non_members(urls, done, key, spread_by=spread_by)
 
 
 def attach_results(
-    requests: DataFrame, results: DataFrame, key: str, defaults: Mapping[str, str]
+    requests: DataFrame, results: DataFrame, key: str, defaults: Mapping[str, str], spread_by: Spread = None
 ) -> DataFrame:
     """Every request keeps a row; payload columns it lacks take their default text."""
-    keyed, names = rename_keys(results, [key], "__right_")
-    joined = requests.join(keyed, key_condition([key], names, "drop"), "left")
+    joined = equi_join(requests, results, [key], "left", "drop", spread_by)
     payload = [c for c in results.columns if c != key]
     return joined.select(
         *requests.columns,

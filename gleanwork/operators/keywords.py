@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions.predicates import WORD_END, WORD_START
+from gleanwork.operators.skew import equi_join
 
 # Anything but letters, numbers and underscore separates words.
 SPLIT = r"[^\p{L}\p{N}_]+"
@@ -26,7 +27,9 @@ def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str
     wanted = terms.select(F.col(term).alias("term"), _words(F.col(term)).alias("__t")).distinct()
     wanted = wanted.filter(F.size("__t") > 0).withColumn("__first", F.get("__t", F.lit(0)))
     words = df.select(key, F.array_distinct(_words(F.col(text))).alias("__words"))
-    candidates = words.select(key, "__words", F.explode("__words").alias("__first")).join(wanted, "__first")
+    # A common word may stand in a third of the texts, so its rows are spread by text key.
+    exploded = words.select(key, "__words", F.explode("__words").alias("__first"))
+    candidates = equi_join(exploded, wanted, ["__first"], "inner", "drop", spread_by=[key])
     plain = F.lower("term") == F.col("__first")
     single = candidates.filter(plain).select(key, "term")
     possible = candidates.filter(~plain & (F.size(F.array_except("__t", "__words")) == 0)).select(key, "term")

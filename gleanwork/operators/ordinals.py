@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanwork.operators.skew import equi_join
+
 
 def _bucket_count(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -85,7 +88,10 @@ def repeatable_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFra
     return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}"))), key).limit(n)
 
 
-def early_stop(pages: DataFrame, seed: str, page: str, n_items: str, failed: str | None = None) -> DataFrame:
+def early_stop(
+    pages: DataFrame, seed: str, page: str, n_items: str, failed: str | None = None,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Pages of a seed before its first empty or failed one.
 
     The stop page is a map-side combined minimum per seed, so no seed is held as a group.
@@ -93,13 +99,9 @@ def early_stop(pages: DataFrame, seed: str, page: str, n_items: str, failed: str
     empty = F.coalesce(F.col(n_items), F.lit(0)) == 0
     if failed:
         empty = empty | F.coalesce(F.col(failed), F.lit(False))
-    stops = (
-        pages.filter(empty)
-        .groupBy(F.col(seed).alias("__seed"))
-        .agg(F.min(page).alias("__stop"))
-    )
+    stops = pages.filter(empty).groupBy(seed).agg(F.min(page).alias("__stop"))
     return (
-        pages.join(stops, F.col(seed).eqNullSafe(F.col("__seed")), "left")
+        equi_join(pages, stops, [seed], "left", "match", spread_by)
         .filter(F.col("__stop").isNull() | (F.col(page) < F.col("__stop")))
-        .drop("__seed", "__stop")
+        .drop("__stop")
     )

@@ -55,26 +55,55 @@ def salted_join(
     spread_by: Sequence[str],
     how: str = "inner",
     null_keys: str = "match",
+    right_spread_by: Sequence[str] | None = None,
     salts: int = 64,
     share: float = 0.005,
 ) -> DataFrame:
-    """Join with the hot keys of `left` spread over `salts` partitions.
+    """Join with the rows of hot keys spread over `salts` partitions.
 
-    A left row takes its salt from `spread_by` (a row ordinal: recomputing a lost task gives the
-    same salt). Right rows of hot keys are repeated once per salt, all others stay single, so
-    the result is exactly that of the plain join. `how`: inner, left, left_semi or left_anti.
+    A left row of a key that is hot on the left takes a salt from `spread_by` (a row ordinal, so
+    a recomputed task gives the same salt), and the right rows of that key are repeated once per
+    salt. With `right_spread_by` keys that are hot on the right are treated the same way round
+    (inner joins only). All other rows stay single, so the result is that of the plain join.
     Key columns come from the left; other shared names must be resolved by the caller.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
-    hot = hot_keys(left, keys, share)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    left_s = _flag_hot(left, hot, keys).withColumn(
-        _SALT, F.when(F.col(_IS_HOT), salt).otherwise(F.lit(0))
-    ).drop(_IS_HOT)
-    copies = F.when(F.col(_IS_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    if right_spread_by and how != "inner":
+        raise ValueError("right_spread_by needs an inner join")
     renamed, names = rename_keys(right, keys, "__right_")
-    right_s = _flag_hot(renamed, hot, names).withColumn("__copy", F.explode(copies)).drop(_IS_HOT)
-    condition = key_condition(keys, names, null_keys) & (F.col(_SALT) == F.col("__copy"))
-    joined = left_s.join(right_s, condition, how)
-    return joined.drop(_SALT, "__copy", *names)
+    sides = [(left, keys), (renamed, names)]
+    salted = [(hot_keys(left, keys, share), spread_by)]
+    if right_spread_by:
+        own = [names[keys.index(c)] if c in keys else c for c in right_spread_by]
+        salted.append((hot_keys(renamed, names, share), own))
+    condition = key_condition(keys, names, null_keys)
+    for side, (hot, spread) in enumerate(salted):
+        salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        made = []
+        for i, (df, df_keys) in enumerate(sides):
+            one = F.when(F.col(_IS_HOT), salt).otherwise(F.lit(0))
+            copies = F.explode(F.when(F.col(_IS_HOT), every).otherwise(F.array(F.lit(0))))
+            flagged = _flag_hot(df, hot, df_keys)
+            made.append((flagged.withColumn(f"{_SALT}_{side}_{i}", one if i == side else copies).drop(_IS_HOT), df_keys))
+        sides = made
+        condition = condition & (F.col(f"{_SALT}_{side}_0") == F.col(f"{_SALT}_{side}_1"))
+    extra = [f"{_SALT}_{s}_{i}" for s in range(len(salted)) for i in (0, 1)]
+    return sides[0][0].join(sides[1][0], condition, how).drop(*extra, *names)
+
+
+def equi_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    null_keys: str = "match",
+    spread_by: Sequence[str] | None = None,
+    right_spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Salted when a row ordinal is given; otherwise skew is left to adaptive execution."""
+    if spread_by:
+        return salted_join(left, right, keys, spread_by, how, null_keys, right_spread_by)
+    renamed, names = rename_keys(right, keys, "__right_")
+    return left.join(renamed, key_condition(keys, names, null_keys), how).drop(*names)

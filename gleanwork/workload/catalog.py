@@ -46,7 +46,7 @@ m AS (SELECT r.ord, r.tool_id, r.use_original, p.use_aggregated, p.name_tool, r.
 
 @query(_MERGE_SQL + "SELECT * FROM m")
 def catalog_merge_nullsafe(spark, sf_dir):
-    return joins.merge(_ranking(spark, sf_dir), _profile(spark, sf_dir), "tool_id", spread_by=["ord"])
+    return joins.merge(_ranking(spark, sf_dir), _profile(spark, sf_dir), "tool_id", spread_by=["ord"], right_spread_by=["tool_url"])
 
 
 @query(_MERGE_SQL + "SELECT * FROM m WHERE tool_id IS NOT NULL")
@@ -93,7 +93,7 @@ def cohort_or_listed(spark, sf_dir):
 SELECT ord, tool_id FROM tag_cells t WHERE EXISTS (SELECT 1 FROM c WHERE c.tool_id IS NOT DISTINCT FROM t.tool_id)""")
 def cohort_members(spark, sf_dir):
     rows, cohort = _tagged(spark, sf_dir, "k9")
-    return joins.members(rows, cohort, "tool_id").select("ord", "tool_id")
+    return joins.members(rows, cohort, "tool_id", spread_by=["ord"]).select("ord", "tool_id")
 
 
 @query(_CELLS + """, c AS (SELECT DISTINCT tool_id FROM tag_cells WHERE contains(use_aggregated, 'k99'))
@@ -102,7 +102,7 @@ SELECT ord, tool_id FROM tag_cells t WHERE contains(tool_description, 'click')
 def candidates_anti(spark, sf_dir):
     rows, cohort = _tagged(spark, sf_dir, "k99")
     found = rows.filter(predicates.any_keyword(F.col("tool_description"), ["click"]))
-    return joins.non_members(found, cohort, "tool_id").select("ord", "tool_id")
+    return joins.non_members(found, cohort, "tool_id", spread_by=["ord"]).select("ord", "tool_id")
 
 
 @query("""WITH b AS (SELECT nullif(p_partkey, 5) AS tool_id, p_name, p_size FROM part),
@@ -123,7 +123,7 @@ SELECT c_custkey, d.tool_id, d.tool_url FROM customer LEFT JOIN d ON c_nationkey
 def lookup_last_wins(spark, sf_dir):
     dim = table(spark, sf_dir, "nation").selectExpr("n_regionkey AS name", "n_nationkey AS tool_id", "n_name AS tool_url")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    found = joins.lookup_last(people, dim, "c_nationkey", ["tool_id", "tool_url"], "tool_id", dim_key="name")
+    found = joins.lookup_last(people, dim, "c_nationkey", ["tool_id", "tool_url"], "tool_id", dim_key="name", spread_by=["c_custkey"])
     return found.select("c_custkey", "tool_id", "tool_url")
 
 

@@ -41,6 +41,15 @@ def test_merge_equals_pandas(keyed, spread, nulls):
         assert len(pd.merge(a, b, on="k")) == len(want)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 1.0])
+def test_salting_both_sides_equals_plain(keyed, share):
+    """From every key hot to none."""
+    left, right, ldf, rdf = keyed
+    got = skew.salted_join(ldf, rdf.withColumnRenamed("v", "w"), ["k"], ["ord"], "inner", "match", ["w"], 3, share)
+    want = [(o, k, a, b) for o, k, a in left for k2, b in right if k == k2]
+    assert got.columns == ["ord", "k", "v", "w"] and rows(got) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain(keyed, how):
     left, right, ldf, rdf = keyed
