@@ -46,7 +46,8 @@ def repeated_keys(df: DataFrame, key: str, k: int | None = None) -> DataFrame:
 
 def repeated_rows(df: DataFrame, key: str, k: int) -> DataFrame:
     """All rows of the k most repeated keys, with the repeat count."""
-    return df.join(repeated_keys(df, key, k), key)
+    # k rows by definition, so the base is filtered in place instead of being shuffled by a hot key.
+    return df.join(F.broadcast(repeated_keys(df, key, k)), key)
 
 
 def distinct_values_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -81,7 +82,8 @@ def conflicting_values(df: DataFrame, key: str, columns: Sequence[str], k: int)
     """The values themselves where a top-k key has more than one, one row each."""
     values = distinct_values_per_key(repeated_rows(df, key, k), key, columns)
     several = values.groupBy(key, "column").agg(F.count("*").alias("n_values")).filter("n_values > 1")
-    return values.join(several, [key, "column"])
+    # At most k keys times the listed columns.
+    return values.join(F.broadcast(several), [key, "column"])
 
 
 def exact_duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -95,23 +97,29 @@ def first_value(column: str, order: str) -> Column:
     return F.min_by(column, F.when(F.col(column).isNotNull(), F.col(order)))
 
 
-def merge_tags(df: DataFrame, key: str, column: str, order: str) -> DataFrame:
-    """Per key: the distinct trimmed tags of all its cells, in order of first occurrence.
+def merge_tags(df: DataFrame, key: str, columns: Sequence[str], order: str) -> DataFrame:
+    """Per key and column: the distinct trimmed tags of all cells, in order of first occurrence.
 
-    Tokens are reduced to one first position per (key, tag) before the shuffle, so what meets
-    in one place is the tag vocabulary of a key, not its rows.
+    Tokens are reduced to one first position per (key, column, tag) before the shuffle, so what
+    meets in one place is the tag vocabulary of a key, not its rows.
     """
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("column"), F.col(c).alias("cell")) for i, c in enumerate(columns)
+    ]))
     tokens = (
         df.filter(F.col(key).isNotNull())
-        .select(key, order, F.posexplode(F.split(column, ";")).alias("pos", "tag"))
+        .select(key, order, cells.alias("c"))
+        .select(key, order, "c.column", F.posexplode(F.split("c.cell", ";")).alias("pos", "tag"))
         .withColumn("tag", strip(F.col("tag")))
         .filter(F.col("tag") != "")
     )
-    first_seen = tokens.groupBy(key, "tag").agg(F.min(F.struct(order, "pos")).alias("at"))
-    listed = F.array_sort(F.collect_list(F.struct("at", "tag")))
-    return first_seen.groupBy(key).agg(
-        F.array_join(F.transform(listed, lambda x: x["tag"]), ";").alias(column)
-    )
+    first_seen = tokens.groupBy(key, "column", "tag").agg(F.min(F.struct(order, "pos")).alias("at"))
+
+    def listed(i: int) -> Column:
+        own = F.collect_list(F.when(F.col("column") == i, F.struct("at", "tag")))
+        return F.array_join(F.transform(F.array_sort(own), lambda x: x["tag"]), ";")
+
+    return first_seen.groupBy(key).agg(*[listed(i).alias(c) for i, c in enumerate(columns)])
 
 
 def one_per_key(
@@ -121,8 +129,8 @@ def one_per_key(
     out = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
         *[first_value(c, order).alias(c) for c in first]
     )
-    for c in merged:
-        out = out.join(merge_tags(df, key, c, order), key, "left").na.fill("", [c])
+    # Both sides hold one row per key.
+    out = out.join(merge_tags(df, key, merged, order), key, "left").na.fill("", list(merged))
     return out.select(key, *first, *merged)
 
 

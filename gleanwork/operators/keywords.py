@@ -16,20 +16,24 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), SPLIT), lambda w: w != "")
 
 
-def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term") -> DataFrame:
+def match_terms(
+    df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", spread: bool = False
+) -> DataFrame:
     """(key, term) for every term that occurs as a whole word or phrase, ignoring case.
 
     The same answer as `predicates.any_word` with escaped keywords, for any number of terms: the
     distinct words of each text join the terms on their first word. Terms that are one plain word
     are settled by that; for the others the texts holding all their words are tested. Terms
     without a single word character are not matched.
+
+    A term list too large to broadcast meets words that stand in most texts; `spread` salts those
+    at the price of one more pass over the texts.
     """
     wanted = terms.select(F.col(term).alias("term"), _words(F.col(term)).alias("__t")).distinct()
     wanted = wanted.filter(F.size("__t") > 0).withColumn("__first", F.get("__t", F.lit(0)))
     words = df.select(key, F.array_distinct(_words(F.col(text))).alias("__words"))
-    # A common word may stand in a third of the texts, so its rows are spread by text key.
     exploded = words.select(key, "__words", F.explode("__words").alias("__first"))
-    candidates = equi_join(exploded, wanted, ["__first"], "inner", "drop", spread_by=[key])
+    candidates = equi_join(exploded, wanted, ["__first"], "inner", "drop", [key] if spread else None)
     plain = F.lower("term") == F.col("__first")
     single = candidates.filter(plain).select(key, "term")
     possible = candidates.filter(~plain & (F.size(F.array_except("__t", "__words")) == 0)).select(key, "term")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,12 +14,20 @@ def _bucket_count(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _locate(ordinal: Column, bounds: Column, n: int) -> Column:
-    """How many of the sorted bounds are below the ordinal, in two steps of about sqrt(n)."""
-    step = max(1, math.isqrt(n))
-    coarse = F.filter(bounds, lambda b, i: (i % step == step - 1) & (b < ordinal))
-    start = F.size(coarse) * step
-    return start + F.size(F.filter(F.slice(bounds, start + 1, F.lit(step)), lambda b: b < ordinal))
+def _place(df: DataFrame, ordinal: str, bounds: Column, n: int) -> DataFrame:
+    """Add `__bucket`: how many of the n - 1 sorted bounds lie below the ordinal.
+
+    A binary search unrolled into log2(n) projections, which stay in generated code.
+    """
+    df = df.withColumn("__bounds", bounds).withColumn("__bucket", F.lit(0))
+    step = 1 << max(0, (n - 1).bit_length() - 1)
+    while step:
+        probe = F.get("__bounds", F.col("__bucket") + (step - 1))
+        df = df.withColumn(
+            "__bucket", F.col("__bucket") + F.when(probe < F.col(ordinal), step).otherwise(0)
+        )
+        step //= 2
+    return df.drop("__bounds")
 
 
 def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: int | None = None) -> DataFrame:
@@ -37,9 +44,7 @@ def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: i
     cuts = [i / n for i in range(1, n)]
     keyed = df.withColumn("__at", ordinal)
     bounds = keyed.agg(F.percentile_approx("__at", cuts, 20 * n).alias("b")).scalar()
-    placed = keyed.withColumn("__bounds", bounds).withColumn(
-        "__bucket", _locate(F.col("__at"), F.col("__bounds"), n)
-    ).drop("__bounds")
+    placed = _place(keyed, "__at", bounds, n)
     sizes = placed.groupBy("__bucket").agg(F.count("*").alias("n"))
     # At most `buckets` rows from here on, whatever the table holds.
     pairs = sizes.agg(F.collect_list(F.struct("__bucket", "n")).alias("p")).scalar()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleanwork.operators.dedup import keep_first
-from gleanwork.operators.joins import frontier
+from gleanwork.operators.joins import frontier, members
 from gleanwork.sources.readers import read_ledger
 
 
@@ -58,7 +58,11 @@ def crawl_batches(
         # Runs outside this stream have names instead of numbers and always count.
         earlier = F.coalesce(F.col("run_id").try_cast("bigint"), F.lit(-1)) < batch_id
         done = read_ledger(spark, ledger).filter(earlier)
-        todo = frontier(keep_first(batch, [key], [order]), done, key, retry_failed)
+        asked = keep_first(batch, [key], [order])
+        # Only the ledger rows of this batch matter; the ledger itself is filtered, not shuffled,
+        # as long as the batch's URLs are few enough to broadcast.
+        seen = members(done.select(F.col("url").alias(key), "status"), asked, key)
+        todo = frontier(asked, seen, key, retry_failed)
         path = f"{out}/batch_id={batch_id}"
         fetch(todo).write.mode("overwrite").parquet(path)
         saved = spark.read.parquet(path)

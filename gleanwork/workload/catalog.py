@@ -211,7 +211,7 @@ def _merge_tags_sql(column: str) -> str:
 
 @query(_CELLS + f"SELECT tool_id, use_aggregated FROM {_merge_tags_sql('use_aggregated')}")
 def tag_merge(spark, sf_dir):
-    return aggregates.merge_tags(v.tag_cells(spark, sf_dir), "tool_id", "use_aggregated", "ord")
+    return aggregates.merge_tags(v.tag_cells(spark, sf_dir), "tool_id", ["use_aggregated"], "ord")
 
 
 def _first_sql(column: str) -> str:

@@ -110,8 +110,8 @@ _DECODE = "regexp_extract(html, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1)"
 
 def _text_sql(tag: str) -> str:
     expr = f"regexp_replace({_DECODE.format(tag=tag)}, '<[^>]*>', '', 'g')"
-    for entity, char in lx.HTML_ENTITIES:
-        expr = f"replace({expr}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    for entity, char in lx.HTML_ENTITIES:  # parsers also accept them without the semicolon
+        expr = f"regexp_replace({expr}, '{entity}?', '{char.replace(chr(39), chr(39) * 2)}', 'g')"
     return f"trim(regexp_replace({expr}, '\\s+', ' ', 'g'))"
 
 

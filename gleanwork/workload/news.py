@@ -238,7 +238,8 @@ def keyword_table_hits(spark, sf_dir):
     bench = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), keywords.SPLIT)).alias("term"))
     parts = table(spark, sf_dir, "part").select(F.lower("p_name").alias("term"))
     terms = bench.unionByName(parts).filter("term <> ''").distinct()
-    hits = keywords.match_terms(table(spark, sf_dir, "documents"), "doc_id", "text", terms)
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text")
+    hits = keywords.match_terms(docs, "doc_id", "text", terms)
     return hits.groupBy("term").agg(F.count("*").alias("n"))
 
 
