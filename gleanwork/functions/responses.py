@@ -170,8 +170,8 @@ def definition_text(status: Column, body: Column) -> Column:
             | ~F.startswith(kind, F.lit("OBJECT"))
             | (meanings.isNotNull() & ~F.startswith(meanings, F.lit("ARRAY")))
         )
-        return F.when(unreadable, "Error parsing definition.").otherwise(
-            F.coalesce(found, F.lit("No definition found."))
+        return F.when(unreadable, lx.UNREADABLE_DEFINITION).otherwise(
+            F.coalesce(found, F.lit(lx.NO_DEFINITION))
         )
 
     failed = F.concat(F.lit("Error: "), status.cast("string"), F.lit(" - "), body)

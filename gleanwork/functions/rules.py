@@ -24,7 +24,7 @@ def too_short(title: Column) -> Column:
     return char_length(strip(title)) < lx.GATE_TITLE_CHARS
 
 
-SHORT_VERDICT = ("news article", False, "Title too short")
+SHORT_VERDICT = ("news article", False, lx.TITLE_TOO_SHORT)
 
 
 def classify_by_rules(
@@ -35,10 +35,10 @@ def classify_by_rules(
 ) -> Column:
     """Name missing, then funding words, then feature words, else general news."""
     return (
-        F.when(~mentions(title, name), verdict("irrelevant", False, "Tool name not found in title"))
-        .when(any_keyword(title, funding_words), verdict("funding", True, "Funding-related keywords found"))
-        .when(any_keyword(title, feature_words), verdict("feature update", True, "Feature update keywords found"))
-        .otherwise(verdict("news article", True, "General tool news"))
+        F.when(~mentions(title, name), verdict("irrelevant", False, lx.NAME_NOT_IN_TITLE))
+        .when(any_keyword(title, funding_words), verdict("funding", True, lx.FUNDING_FOUND))
+        .when(any_keyword(title, feature_words), verdict("feature update", True, lx.FEATURE_FOUND))
+        .otherwise(verdict("news article", True, lx.GENERAL_NEWS))
     )
 
 
@@ -90,7 +90,7 @@ def affiliation(companies: Column, universities: Column, primary: Column, reason
 
 
 def blank_affiliation() -> Column:
-    return affiliation(_no_names(), _no_names(), F.lit("No affiliation provided"), "Empty affiliation field")
+    return affiliation(_no_names(), _no_names(), F.lit(lx.NO_AFFILIATION), lx.EMPTY_AFFILIATION)
 
 
 def extract_affiliation(
@@ -102,12 +102,12 @@ def extract_affiliation(
     lower = F.lower(text)
     found = affiliation(
         _hits(lower, company_keywords), _hits(lower, university_keywords), text,
-        "Fallback keyword matching",
+        lx.KEYWORD_MATCH,
     )
     return F.when(is_blank(text), blank_affiliation()).otherwise(found)
 
 
 def affiliation_fallback(text: Column) -> Column:
     """No usable response: nothing found, the text itself is the affiliation."""
-    raw = affiliation(_no_names(), _no_names(), text, "Fast fallback - LLM extraction failed")
+    raw = affiliation(_no_names(), _no_names(), text, lx.EXTRACTION_FALLBACK)
     return F.when(is_blank(text), blank_affiliation()).otherwise(raw)

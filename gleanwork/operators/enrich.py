@@ -58,8 +58,8 @@ def enrich(
     df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50,
     max_parallelism: int | None = None,
 ) -> DataFrame:
-    """Adds `response` and `error`. `max_parallelism` caps concurrent callers by coalescing."""
-    source = df if max_parallelism is None else df.coalesce(max_parallelism)
+    """Adds `response` and `error`. `max_parallelism` caps the number of concurrent callers."""
+    source = df if max_parallelism is None else df.repartition(max_parallelism)
     asked = source.withColumn("__a", ask(prompt, infer, batch_size))
     return asked.select(*df.columns, "__a.response", "__a.error")
 
@@ -115,7 +115,7 @@ def keep_answered(df: DataFrame, column: str = "response") -> DataFrame:
 
 def translate(df: DataFrame, column: str, infer: Infer) -> DataFrame:
     """Translation batch. `infer` returns JSON with `response` and `total_duration`."""
-    prompt = text.fill("translate this French text into English: {t}", t=F.col(column))
+    prompt = text.fill(lx.TRANSLATE_PROMPT, text=F.col(column))
     v = F.try_parse_json(F.col("response"))
     asked = enrich(df, prompt, infer)
     out = asked.select(
@@ -185,11 +185,7 @@ class UseCase:
         return match(F.col(column), self.keywords)
 
     def prompt(self) -> Column:
-        question = (
-            f"Does this tool or company do *{self.name}*, or is very closely related to this "
-            'use case or business?\n\n"""{desc}"""'
-        )
-        return text.fill(question, desc=F.col(self.text_column))
+        return text.fill(lx.USE_PROMPT, use=F.lit(self.name), desc=F.col(self.text_column))
 
 
 def curate(

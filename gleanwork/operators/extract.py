@@ -233,7 +233,25 @@ def records_column(html: Column, spec: RecordSpec) -> Column:
     def parse(batch: pa.Array) -> pa.Array:
         return pa.array([page_records(h, spec) for h in batch.to_pylist()], type=kind)
 
-    return parse(html)
+    return parse(F.when(_may_hold(html, spec), html))
+
+
+def _may_hold(html: Column, spec: RecordSpec) -> Column:
+    """False only for pages that cannot have a container, so they never reach the tree.
+
+    What a container's attributes must hold stands literally in its page, unless a tag of the
+    page uses character references. Element names alone are not tested.
+    """
+    if not spec.containers:
+        return F.lit(True)
+    possible = F.rlike(html, F.lit("<[^>]*&"))
+    for el in spec.containers:
+        marks = [*el.classes, *(v for part in (el.equals, el.contains, el.starts) for _, v in part)]
+        here = F.lit(True)
+        for mark in marks:
+            here = here & F.contains(html, F.lit(mark))
+        possible = possible | here
+    return possible
 
 
 def extract_records(pages: DataFrame, spec: RecordSpec, html: str = "html") -> DataFrame:

@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork import lexicons as lx
 from gleanwork.functions import responses, rules, text
 from gleanwork.operators import enrich, extract, page_specs
 
-PROMPT = """Extract from this affiliation:
-PERSON: {name}
-AFFILIATION: "{affiliation}"
-
-Return JSON only:
-{{
-  "companies": ["list company names"],
-  "universities": ["list university names"],
-  "primary_affiliation": "main affiliation",
-  "reasoning": "brief explanation"
-}}""".replace("{{", "{").replace("}}", "}")
-
-
 def profile_rows(pages: DataFrame) -> DataFrame:
     """Profile cards of listing pages, control characters removed."""
     rows = extract.extract_records(pages, page_specs.PROFILES)
@@ -44,12 +32,12 @@ def affiliations(people: DataFrame, infer: enrich.Infer | None = None) -> DataFr
     raw = F.col("original_affiliation")
     if infer is None:
         return enrich.widen(source.withColumn("__r", rules.extract_affiliation(raw)), "__r")
-    prompt = F.when(~rules.is_blank(raw), text.fill(PROMPT, name=F.col("name"), affiliation=raw))
+    prompt = F.when(~rules.is_blank(raw), text.fill(lx.AFFILIATION_PROMPT, name=F.col("name"), affiliation=raw))
     asked = enrich.enrich_distinct(source, prompt, infer)
     none = F.array().cast("array<string>")
     failed = F.struct(
         none.alias("companies"), none.alias("universities"),
-        F.lit("Extraction failed").alias("primary_affiliation"), F.col("error").alias("reasoning"),
+        F.lit(lx.EXTRACTION_FAILED).alias("primary_affiliation"), F.col("error").alias("reasoning"),
     )
     answered = responses.affiliation_or_fallback(F.col("response"), raw)
     judged = asked.withColumn("__r", F.when(F.col("error").isNotNull(), failed).otherwise(answered))

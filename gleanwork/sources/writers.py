@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork import lexicons as lx
+
 
 def with_sentinels(df: DataFrame, sentinels: Mapping[str, str]) -> DataFrame:
     return df.na.fill({c: s for c, s in sentinels.items() if c in df.columns})
@@ -54,6 +56,6 @@ def append_ledger(df: DataFrame, path: str, url: str, status: str, run_id: str)
 
 def write_reports(df: DataFrame, path: str, key: str, title: str, body: str) -> None:
     """One text directory per key: a heading, a rule, the body."""
-    heading = F.concat(F.lit("AI Tool Website Analysis: "), F.col(title))
+    heading = F.concat(F.lit(lx.REPORT_HEADING), F.col(title))
     text = F.concat(heading, F.lit("\n" + "=" * 80 + "\n\n"), F.col(body))
     df.select(F.col(key), text.alias("value")).write.mode("overwrite").partitionBy(key).text(path)

@@ -285,7 +285,7 @@ def review_numbers(spark, sf_dir):
     stamp = F.when(F.col("event_type") == "signup", "N/A").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
     return table(spark, sf_dir, "events").select(
         "event_id", text.total_review_count(line).alias("all_time"), text.recent_review_count(line).alias("recent"),
-        text.helpful_count(line).alias("helpful"), text.review_time(stamp).alias("review_time"),
+        text.helpful_count(line).alias("helpful"), text.review_time(stamp).cast("timestamp_ntz").alias("review_time"),
     )
 
 

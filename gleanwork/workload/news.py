@@ -10,6 +10,8 @@ from gleanwork import lexicons as lx
 from gleanwork.functions import predicates, rules, text, urls
 from gleanwork.operators import aggregates, dedup, enrich, extract, joins, keywords, ordinals, page_specs
 from gleanwork.plans import news
+from gleanwork.session import shared_path
+from gleanwork.sources import readers, writers
 from gleanwork.workload import views as v
 from gleanwork.workload.registry import (
     query, sql_any, sql_occurrences, sql_presence, sql_rate, sql_strip, spread_table,
@@ -205,6 +207,30 @@ def news_summary(spark, sf_dir):
     return news.run_summary(rows).withColumn("top_companies", F.array_join(shown, ", "))
 
 
+@query("""SELECT tool_name FROM (SELECT source || '/' || lang AS tool_name, min(doc_id) AS first_id FROM documents
+  WHERE lang <> 'es' GROUP BY 1) ORDER BY first_id LIMIT 100""")
+def seed_names(spark, sf_dir):
+    """The first distinct names of a seed file; rows without a name are skipped."""
+    rows = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id AS tool_id", "CASE WHEN lang <> 'es' THEN concat(source, '/', lang) END AS tool_name",
+        "concat('https://', source, '.example.com') AS tool_url",
+    )
+    path = shared_path(spark, "seeds")
+    writers.write_csv(rows, path, ["tool_id", "tool_name", "tool_url"])
+    return readers.read_seeds(spark, path)
+
+
+@query(f"""WITH {v.ARTICLES_SQL}, c AS (SELECT company, count(*) AS n FROM articles GROUP BY company ORDER BY n DESC, company LIMIT 5)
+SELECT (SELECT count(*) FROM articles) AS total_articles, company, n FROM c""")
+def summary_document(spark, sf_dir):
+    """The run summary written as JSON and read back, one row per top company."""
+    rows = news.features(v.articles(spark, sf_dir)).withColumn("has_timestamp", F.lit(False))
+    path = shared_path(spark, "summary")
+    writers.write_json(news.run_summary(rows), path)
+    back = spark.read.schema("total_articles BIGINT, top_companies ARRAY<STRUCT<company: STRING, n: BIGINT>>").json(path)
+    return back.select("total_articles", F.inline("top_companies"))
+
+
 # --- filters ---------------------------------------------------------------------------------
 
 

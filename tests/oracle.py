@@ -50,6 +50,8 @@ def kind(t: str) -> str:
         return "integer"
     if t.startswith(("double", "float", "decimal")):
         return "float"
+    if t.startswith("timestamp"):
+        return "timestamp"
     if t in ("varchar", "string"):
         return "string"
     return t.split("(")[0].split("<")[0]
