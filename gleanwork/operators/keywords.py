@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions.predicates import WORD_END, WORD_START
-from gleanwork.operators.skew import equi_join
 
 # Anything but letters, numbers and underscore separates words.
 SPLIT = r"[^\p{L}\p{N}_]+"
@@ -17,7 +16,7 @@ def _words(c: Column) -> Column:
 
 
 def match_terms(
-    df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", spread: bool = False
+    df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", salts: int = 1
 ) -> DataFrame:
     """(key, term) for every term that occurs as a whole word or phrase, ignoring case.
 
@@ -26,14 +25,16 @@ def match_terms(
     are settled by that; for the others the texts holding all their words are tested. Terms
     without a single word character are not matched.
 
-    A term list too large to broadcast meets words that stand in most texts; `spread` salts those
-    at the price of one more pass over the texts.
+    A word that stands in most texts would make one large group once the term list is too large
+    to broadcast; `salts` copies of the list cut every such group into as many parts.
     """
     wanted = terms.select(F.col(term).alias("term"), _words(F.col(term)).alias("__t")).distinct()
     wanted = wanted.filter(F.size("__t") > 0).withColumn("__first", F.get("__t", F.lit(0)))
     words = df.select(key, F.array_distinct(_words(F.col(text))).alias("__words"))
-    exploded = words.select(key, "__words", F.explode("__words").alias("__first"))
-    candidates = equi_join(exploded, wanted, ["__first"], "inner", "drop", [key] if spread else None)
+    part = F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
+    exploded = words.select(key, "__words", F.explode("__words").alias("__first"), part.alias("__part"))
+    copies = wanted.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    candidates = exploded.join(copies, ["__first", "__part"])
     plain = F.lower("term") == F.col("__first")
     single = candidates.filter(plain).select(key, "term")
     possible = candidates.filter(~plain & (F.size(F.array_except("__t", "__words")) == 0)).select(key, "term")

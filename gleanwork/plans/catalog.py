@@ -17,12 +17,15 @@ def catalogue(ranking: DataFrame, profile: DataFrame, **options) -> DataFrame:
     return joins.merge(ranking, profile, "tool_id", **options).select(*lx.CATALOG_FIELDS)
 
 
-def remove_tags(base: DataFrame, keywords: Sequence[str], tool_ids: DataFrame | None = None) -> DataFrame:
+def remove_tags(
+    base: DataFrame, keywords: Sequence[str], tool_ids: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Delete keywords from the aggregated uses, of all tools or of the listed ones."""
     cleaned = tags.remove_keywords(F.col("use_aggregated"), keywords)
     if tool_ids is None:
         return base.withColumn("use_aggregated", cleaned)
-    return joins.update_from(base, tool_ids, "tool_id", {"use_aggregated": cleaned})
+    return joins.update_from(base, tool_ids, "tool_id", {"use_aggregated": cleaned}, spread_by)
 
 
 def add_tag_to(

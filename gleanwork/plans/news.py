@@ -68,12 +68,14 @@ def classify(
     df: DataFrame,
     infer: enrich.Infer | None = None,
     keep_all_when_none: bool = True,
+    spread_by: Sequence[str] | None = None,
     **words: Sequence[str],
 ) -> DataFrame:
     """Adds `category` and `company_relevance`, keeping relevant rows only.
 
     Rows whose title lacks the tool name are dropped before anything is asked. If that would drop
-    every row, all of them are returned as irrelevant instead.
+    every row, all of them are returned as irrelevant instead. `spread_by`: a row ordinal, for
+    titles that were not de-duplicated.
     """
     title, name = F.col("title"), F.col("tool_name")
     flagged = df.withColumn("__in_title", predicates.mentions(title, name))
@@ -81,7 +83,7 @@ def classify(
     if infer is None:
         judged = named.withColumn("__v", rules.classify_title(title, name, **words))
     else:
-        judged = _judge_by_model(named, infer, words)
+        judged = _judge_by_model(named, infer, spread_by, words)
     relevant = judged.filter("__v.company_relevance").select(
         *df.columns, F.col("__v.category").alias("category"),
         F.col("__v.company_relevance").alias("company_relevance"),
@@ -95,11 +97,11 @@ def classify(
     return relevant.unionByName(rest)
 
 
-def _judge_by_model(named: DataFrame, infer: enrich.Infer, words) -> DataFrame:
+def _judge_by_model(named: DataFrame, infer: enrich.Infer, spread_by, words) -> DataFrame:
     """Short titles never reach the model; a failed call means general news, not relevant."""
     title, name = F.col("title"), F.col("tool_name")
     prompt = F.when(~rules.too_short(title), text.fill(PROMPT, tool_name=name, title=title))
-    asked = enrich.enrich_distinct(named, prompt, infer)
+    asked = enrich.enrich_distinct(named, prompt, infer, spread_by=spread_by)
     answered = responses.article_class_or_rules(F.col("response"), title, name, **words)
     failed = rules.verdict("news article", False, "Classification failed")
     verdict = F.when(F.col("error").isNotNull(), failed).otherwise(answered)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,9 @@ def labelled_profile_rows(pages: DataFrame, scraped_at: str = "current_timestamp
     return rows.withColumn("scraped_at", F.expr(scraped_at))
 
 
-def affiliations(people: DataFrame, infer: enrich.Infer | None = None) -> DataFrame:
+def affiliations(
+    people: DataFrame, infer: enrich.Infer | None = None, spread_by: Sequence[str] | None = None
+) -> DataFrame:
     """Companies and universities per person, by keywords or by a model.
 
     With a model: blank texts are not asked, unusable answers fall back to the raw text, and a
@@ -33,7 +37,7 @@ def affiliations(people: DataFrame, infer: enrich.Infer | None = None) -> DataFr
     if infer is None:
         return enrich.widen(source.withColumn("__r", rules.extract_affiliation(raw)), "__r")
     prompt = F.when(~rules.is_blank(raw), text.fill(lx.AFFILIATION_PROMPT, name=F.col("name"), affiliation=raw))
-    asked = enrich.enrich_distinct(source, prompt, infer)
+    asked = enrich.enrich_distinct(source, prompt, infer, spread_by=spread_by)
     none = F.array().cast("array<string>")
     failed = F.struct(
         none.alias("companies"), none.alias("universities"),

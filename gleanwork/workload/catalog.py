@@ -56,7 +56,7 @@ def catalog_merge_drop_nulls(spark, sf_dir):
 
 @query(_MERGE_SQL + "SELECT use_original, use_aggregated, count(*) AS n FROM m GROUP BY ALL")
 def catalog_columns(spark, sf_dir):
-    rows = catalog.catalogue(_ranking(spark, sf_dir), _profile(spark, sf_dir))
+    rows = catalog.catalogue(_ranking(spark, sf_dir), _profile(spark, sf_dir), spread_by=["ord"])
     return rows.groupBy("use_original", "use_aggregated").agg(F.count("*").alias("n"))
 
 
@@ -171,7 +171,7 @@ def tag_remove(spark, sf_dir):
   THEN {_remove_sql('use_aggregated', ['view'])} ELSE use_aggregated END AS use_aggregated FROM tag_cells""")
 def tag_remove_listed(spark, sf_dir):
     ids = table(spark, sf_dir, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("tool_id"))
-    return catalog.remove_tags(v.tag_cells(spark, sf_dir), ["view"], ids).select("ord", "use_aggregated")
+    return catalog.remove_tags(v.tag_cells(spark, sf_dir), ["view"], ids, ["ord"]).select("ord", "use_aggregated")
 
 
 def _list_sql(column: str) -> str:

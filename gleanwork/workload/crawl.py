@@ -99,7 +99,7 @@ def attach_results(spark, sf_dir):
     results = table(spark, sf_dir, "nation").filter("n_regionkey <> 2").selectExpr(
         "n_nationkey AS c_nationkey", "n_name", "cast(n_regionkey AS string) AS region"
     )
-    joined = joins.attach_results(requests, results, "c_nationkey", {"n_name": "TIMEOUT", "region": "ERROR"})
+    joined = joins.attach_results(requests, results, "c_nationkey", {"n_name": "TIMEOUT", "region": "ERROR"}, ["c_custkey"])
     return joined.drop("c_nationkey")
 
 

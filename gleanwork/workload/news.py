@@ -432,7 +432,7 @@ def early_stop(spark, sf_dir):
     pages = table(spark, sf_dir, "events").groupBy("user_id", F.dayofmonth("ts").alias("page")).agg(
         F.count_if(F.col("event_type") == "view").alias("n_items")
     )
-    return ordinals.early_stop(pages, "user_id", "page", "n_items")
+    return ordinals.early_stop(pages, "user_id", "page", "n_items", spread_by=["page"])
 
 
 # --- model-backed ----------------------------------------------------------------------------
@@ -467,7 +467,7 @@ judged AS (SELECT ord, CASE WHEN j.w = 'Title too short' THEN j.c WHEN n_e < 3 T
 SELECT * FROM judged WHERE company_relevance""")
 def enrich_titles(spark, sf_dir):
     rows = v.articles(spark, sf_dir).select("ord", "title", "tool_name")
-    judged = news.classify(rows, infer=_stand_in, **_WORDS)
+    judged = news.classify(rows, infer=_stand_in, spread_by=["ord"], **_WORDS)
     return judged.select("ord", "category", "company_relevance")
 
 

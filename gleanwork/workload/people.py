@@ -91,7 +91,7 @@ def _stand_in(prompts):
     CASE c_mktsegment WHEN 'BUILDING' THEN 'Empty affiliation field' WHEN 'MACHINERY' THEN 'model' ELSE 'Fast fallback - LLM extraction failed' END AS reasoning
   FROM people) GROUP BY ALL""")
 def affiliation_by_model(spark, sf_dir):
-    rows = people.affiliations(_people(spark, sf_dir), infer=_stand_in)
+    rows = people.affiliations(_people(spark, sf_dir), infer=_stand_in, spread_by=["c_custkey"])
     return rows.groupBy("primary_affiliation", "reasoning").agg(F.count("*").alias("n"))
 
 

@@ -254,7 +254,7 @@ def test_match_terms(spark):
     listed = ["risk", "risk & compliance", "Compliance audits", "c++", "x\\Ey", ""]
     terms = frame(spark, [(t,) for t in listed], "term STRING")
     got = keywords.match_terms(docs, "id", "t", terms)
-    assert sorted(rows(got)) == sorted(rows(keywords.match_terms(docs, "id", "t", terms, spread=True)))
+    assert sorted(rows(got)) == sorted(rows(keywords.match_terms(docs, "id", "t", terms, salts=3)))
     want = [
         (r.id, t) for t in listed if t
         for r in docs.filter(predicates.any_word(F.col("t"), [t], escape=True)).collect()
