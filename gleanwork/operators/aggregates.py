@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.functions.text import rate, strip
+from gleanwork.functions.tags import to_list
+from gleanwork.functions.text import rate
 
 
 
@@ -109,14 +110,16 @@ def merge_tags(df: DataFrame, key: str, columns: Sequence[str], order: str) -> D
     tokens = (
         df.filter(F.col(key).isNotNull())
         .select(key, order, cells.alias("c"))
-        .select(key, order, "c.column", F.posexplode(F.split("c.cell", ";")).alias("pos", "tag"))
-        .withColumn("tag", strip(F.col("tag")))
-        .filter(F.col("tag") != "")
+        .select(key, order, "c.column", F.posexplode(F.array_distinct(to_list(F.col("c.cell")))).alias("pos", "tag"))
+    )
+    # A tag stands once in a row's list, so its place in its first row is well defined; numbers
+    # alone are kept per group, which lets Spark aggregate by hash.
+    first_seen = tokens.groupBy(key, "column", "tag").agg(
+        F.min(order).alias("row"), F.min_by("pos", order).alias("pos")
     )
-    first_seen = tokens.groupBy(key, "column", "tag").agg(F.min(F.struct(order, "pos")).alias("at"))
 
     def listed(i: int) -> Column:
-        own = F.collect_list(F.when(F.col("column") == i, F.struct("at", "tag")))
+        own = F.collect_list(F.when(F.col("column") == i, F.struct("row", "pos", "tag")))
         return F.array_join(F.transform(F.array_sort(own), lambda x: x["tag"]), ";")
 
     return first_seen.groupBy(key).agg(*[listed(i).alias(c) for i, c in enumerate(columns)])
