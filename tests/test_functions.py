@@ -15,50 +15,54 @@ def values(spark, build, inputs, ddl="c STRING"):
     return [r["out"] for r in df.select("i", build.alias("out")).orderBy("i").collect()]
 
 
-CELLS = [
-    None, "", ";", ";a;b", "a; b ;a", "a;;b", "a;;;b", "ab;a", "A;a", "x;a;y", "a", ";;a;;", " a ; a ",
-    "b;a;a", "\ta\xa0;b", "software a",
-]
-
-
 def test_tag_list(spark):
-    want = [[t.strip() for t in (c or "").split(";") if t.strip()] for c in CELLS]
-    assert values(spark, tags.to_list(F.col("c")), CELLS) == want
-
-
-def test_remove_keywords(spark):
-    def expected(cell):
-        if cell is None:
-            return None
-        for kw in ("a", "x"):
-            cell = cell.replace(";" + kw, "").replace(kw + ";", "").replace(kw, "")
-        return cell.replace(";;", ";").strip(";").strip()
-
-    assert values(spark, tags.remove_keywords(F.col("c"), ["a", "x"]), CELLS) == [expected(c) for c in CELLS]
+    cells = [None, "", ";", "a; b ;a", ";\ta\xa0;;b"]
+    assert values(spark, tags.to_list(F.col("c")), cells) == [[], [], [], ["a", "b", "a"], ["a", "b"]]
+
+
+# One row per cell: after removing a and x, after adding a, after a true and a false verdict on a.
+TAG_EDITS = [
+    (None, None, "a", "a", ""),
+    ("", "", "a", "a", ""),
+    (";", "", "a", ";a", ";"),
+    (";a;b", "b", "a;b", ";a;b", ";b"),
+    ("a; b ;a", "b", "a; b ;a", "a;b;a", "b"),
+    ("a;;b", "b", "a;;b", "a;b", "b"),
+    ("a;;;b", "b", "a;;;b", "a;b", "b"),
+    ("ab;a", "b", "ab;a", "ab;a", "ab"),
+    ("A;a", "A", "A;a", "A;a", "A"),
+    ("x;a;y", "y", "x;a;y", "x;a;y", "x;y"),
+    ("a", "", "a", "a", ""),
+    (";;a;;", "", "a", ";a", ";"),
+    (" a ; a ", ";", "a ; a;a", "a;a", ""),
+    ("b;a;a", "b", "b;a;a", "b;a;a", "b"),
+    ("\ta\xa0;b", ";b", "a\xa0;b;a", "a;b", "b"),
+    ("software a", "softwre", "software a;a", "software a;a", "software a"),
+]
 
 
-def test_add_tag(spark):
-    def expected(cell):
-        clean = (cell or "").strip(";").strip()
-        if "a" in clean.lower().split(";"):
-            return clean
-        return clean + ";a" if clean else "a"
+@pytest.mark.parametrize(
+    ("at", "build"),
+    [
+        (1, lambda c: tags.remove_keywords(c, ["a", "x"])),
+        (2, lambda c: tags.add_tag(c, "a")),
+        (3, lambda c: tags.upsert_tag(c, "a", F.lit(True))),
+        (4, lambda c: tags.upsert_tag(c, "a", F.lit(False))),
+    ],
+)
+def test_tag_edits(spark, at, build):
+    got = values(spark, build(F.col("c")), [row[0] for row in TAG_EDITS])
+    assert got == [row[at] for row in TAG_EDITS]
 
-    assert values(spark, tags.add_tag(F.col("c"), "a"), CELLS) == [expected(c) for c in CELLS]
 
+def test_separators_are_tidied_in_one_pass(spark):
+    assert values(spark, tags.remove_keywords(F.col("c"), ["zz"]), ["a;;;b", "; a;b ;"]) == ["a;;b", "a;b"]
 
-@pytest.mark.parametrize("verdict", [True, False])
-def test_upsert_tag(spark, verdict):
-    def expected(cell):
-        uses = [t.strip() for t in (cell or "").split(";") if t.strip()]
-        if verdict:
-            uses = uses if "a" in uses else [*uses, "a"]
-        else:
-            uses = [u for u in uses if u != "a"]
-        return (";" if (cell or "").startswith(";") else "") + ";".join(uses)
 
-    built = tags.upsert_tag(F.col("c"), "a", F.lit(verdict))
-    assert values(spark, built, CELLS) == [expected(c) for c in CELLS]
+def test_renaming_twice_prefixes_twice(spark):
+    once = tags.rename_tag(F.col("c"), "disease", "medical disease")
+    twice = tags.rename_tag(once, "disease", "medical disease")
+    assert values(spark, twice, ["x;disease"]) == ["x;medical medical disease"]
 
 
 def test_strip_follows_unicode(spark):

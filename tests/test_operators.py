@@ -170,16 +170,11 @@ DDL = "ord INT, tool_id INT, name_tool STRING, use_original STRING, use_aggregat
 
 
 def test_one_per_key_equals_pandas(spark):
-    def combine(series):
-        seen = []
-        for cell in series.dropna():
-            for item in cell.split(";"):
-                if item.strip() and item.strip() not in seen:
-                    seen.append(item.strip())
-        return ";".join(seen)
+    def merged(cells):
+        return ";".join(dict.fromkeys(t.strip() for cell in cells.dropna() for t in cell.split(";") if t.strip()))
 
     pdf = pd.DataFrame(CATALOG, columns=["ord", "tool_id", "name_tool", "use_original", "use_aggregated"])
-    want = pdf.groupby("tool_id").agg({"name_tool": "first", "use_original": combine, "use_aggregated": combine}).reset_index()
+    want = pdf.groupby("tool_id").agg({"name_tool": "first", "use_original": merged, "use_aggregated": merged}).reset_index()
     got = aggregates.one_per_key(
         frame(spark, CATALOG, DDL).repartition(3), "tool_id", "ord", ["name_tool"], ["use_original", "use_aggregated"]
     )
