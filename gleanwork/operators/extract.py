@@ -133,7 +133,15 @@ class _Page(HTMLParser):
             self._close_up_to(node.parent)
 
     def handle_data(self, data):
-        self.here.children.append(data)
+        beside = self.here.children
+        if beside and isinstance(beside[-1], str):
+            beside[-1] += data
+        else:
+            beside.append(data)
+
+    def handle_comment(self, data):
+        # Not an element, but it parts the text around it.
+        self.here.children.append(_Node("", {}, self.here, -1))
 
     def all_in(self, scope: _Node, el: El) -> list[_Node]:
         return [n for n in self.nodes[scope.at + 1:scope.end] if _matches(n, el)]
@@ -145,6 +153,15 @@ class _Page(HTMLParser):
         return None
 
 
+def _only_text(node: _Node) -> bool:
+    """One piece of text, possibly wrapped in single elements."""
+    while not isinstance(node, str):
+        if len(node.children) != 1:
+            return False
+        node = node.children[0]
+    return True
+
+
 def _matches(node: _Node, el: El) -> bool:
     a = node.attrs
     if el.tag and node.tag != el.tag:
@@ -162,7 +179,7 @@ def _matches(node: _Node, el: El) -> bool:
     for k, v in el.starts:
         if not a.get(k, "").startswith(v):
             return False
-    if el.single_text and not (len(node.children) == 1 and isinstance(node.children[0], str)):
+    if el.single_text and not _only_text(node):
         return False
     if el.text and el.text.lower() not in " ".join("".join(node.pieces()).split()).lower():
         return False

@@ -102,6 +102,22 @@ def update_from(
     )
 
 
+def overwrite_from(
+    base: DataFrame, edits: DataFrame, key: str, columns: Sequence[str], spread_by: Spread = None
+) -> DataFrame:
+    """Replace columns of the base rows by those of the edited row with the same key.
+
+    `edits` has one row per key; a replaced value may be null.
+    """
+    values = edits.select(key, F.struct(*columns).alias("__new"))
+    joined = equi_join(base, values, [key], "left", "match", spread_by)
+    hit = F.col("__new").isNotNull()
+    return joined.select(
+        *[F.when(hit, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+          for c in base.columns]
+    )
+
+
 def frontier(
     urls: DataFrame, ledger: DataFrame, key: str, retry_failed: bool = True, spread_by: Spread = None
 ) -> DataFrame:

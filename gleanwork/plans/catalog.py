@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
 from gleanwork.functions import tags
-from gleanwork.operators import aggregates, dedup, joins
+from gleanwork.operators import aggregates, dedup, enrich, joins
 
 
 def catalogue(ranking: DataFrame, profile: DataFrame, **options) -> DataFrame:
@@ -50,3 +50,15 @@ def merged_tools(base: DataFrame, order: str) -> DataFrame:
         base, "tool_id", order, ["name_tool", "tool_url_y", "tool_description"],
         ["use_original", "use_aggregated"],
     )
+
+
+def curate_and_merge(
+    base: DataFrame, case: enrich.UseCase, order: str, infer: enrich.Infer | None = None
+) -> DataFrame:
+    """Curate one use, write the repaired tags back to the catalogue, one record per tool.
+
+    `order` is the row ordinal; edits go back by it, so each row gets its own repaired cell.
+    """
+    cohort, _ = enrich.curate(base, case, "tool_id", enrich.judged_by(case, infer))
+    repaired = joins.overwrite_from(base, cohort, order, [case.tag_column])
+    return merged_tools(repaired, order)

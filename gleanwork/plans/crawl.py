@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
 from gleanwork.functions import predicates, text, urls
-from gleanwork.operators import extract, page_specs
+from gleanwork.operators import extract, joins, page_specs
 
 
 def product_rows(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -29,6 +29,19 @@ def product_rows(pages: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
+def crawl_run(urls: DataFrame, ledger: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
+    """One run over the URLs not yet done: a product row and a ledger status for each.
+
+    URLs without a page keep a row with nulls. Only live pages count as completed, so dead and
+    blocked ones stay in the frontier.
+    """
+    todo = joins.frontier(urls.select(key).distinct(), ledger, key)
+    wanted = joins.members(pages, todo, key)
+    rows = joins.attach_results(todo, product_rows(wanted, key), key, {"page_status": "missing"})
+    status = F.when(F.col("page_status") == "ok", "completed").otherwise("failed")
+    return rows.withColumn("status", status)
+
+
 def tool_names(pages: DataFrame) -> DataFrame:
     """Title and tool name per page; blocked pages say so, pages without a name `N/A`."""
     rows = extract.extract_records(pages, page_specs.TOOL_NAME_PAGE).drop("pos")

@@ -114,6 +114,18 @@ def news_run(articles: DataFrame, order: str, infer: enrich.Infer | None = None,
     return classify(features(unique), infer, **words)
 
 
+def from_pages(
+    pages: DataFrame, seeds: DataFrame, order: str, infer: enrich.Infer | None = None, **words
+) -> DataFrame:
+    """The whole run: cards of result pages, tool columns, features, dedup, verdicts, output columns.
+
+    `pages` has `html`, `tool_name` and an ordinal; articles are ordered by page, then position.
+    """
+    cards = article_rows(pages.select(order, "tool_name", "html"))
+    placed = with_tool(cards, seeds).withColumn("ord", F.struct(order, "pos"))
+    return output_rows(news_run(placed, "ord", infer, **words))
+
+
 def run_counts(articles: DataFrame, order: str, **words) -> DataFrame:
     """How many rows each stage leaves: collected, unique titles, naming the tool, relevant."""
     title, name = F.col("title"), F.col("tool_name")

@@ -46,3 +46,10 @@ def affiliations(
     answered = responses.affiliation_or_fallback(F.col("response"), raw)
     judged = asked.withColumn("__r", F.when(F.col("error").isNotNull(), failed).otherwise(answered))
     return enrich.widen(judged.drop("response", "error"), "__r")
+
+
+def people_run(pages: DataFrame, infer: enrich.Infer | None = None) -> DataFrame:
+    """Listing pages to affiliations. The `N/A` a profile may carry counts as missing, as it does
+    when the collected rows are read back from a file."""
+    profiles = profile_rows(pages).replace(lx.NOT_AVAILABLE, None, ["affiliation"])
+    return affiliations(profiles.select("name", "affiliation"), infer)

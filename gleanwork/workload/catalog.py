@@ -227,6 +227,21 @@ def one_per_tool(spark, sf_dir):
     return catalog.merged_tools(v.tag_cells(spark, sf_dir), "ord")
 
 
+_VIDEO = enrich.UseCase("clicking", "click", ("click", "k9"))
+
+
+@query(_CELLS + f""", edited AS (SELECT ord, tool_id, CASE WHEN regexp_matches(lower(use_aggregated), '{predicates.word_pattern(_VIDEO.keywords)}')
+    THEN CASE WHEN starts_with(use_aggregated, ';') THEN ';' ELSE '' END || array_to_string(
+      CASE WHEN regexp_matches(lower(tool_description), '{predicates.word_pattern(_VIDEO.keywords)}')
+        THEN CASE WHEN list_contains({_list_sql('use_aggregated')}, 'click') THEN {_list_sql('use_aggregated')} ELSE list_append({_list_sql('use_aggregated')}, 'click') END
+        ELSE list_filter({_list_sql('use_aggregated')}, lambda x: x <> 'click') END, ';')
+    ELSE use_aggregated END AS use_aggregated FROM tag_cells)
+SELECT tool_id, use_aggregated FROM {_merge_tags_sql('use_aggregated').replace('tag_cells', 'edited')}""")
+def curate_and_merge(spark, sf_dir):
+    """End to end: curate a use, write the cells back row by row, one record per tool."""
+    return catalog.curate_and_merge(v.tag_cells(spark, sf_dir), _VIDEO, "ord").select("tool_id", "use_aggregated")
+
+
 # --- duplicates ------------------------------------------------------------------------------
 
 

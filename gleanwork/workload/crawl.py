@@ -174,6 +174,24 @@ def run_report(spark, sf_dir):
     return aggregates.run_report(crawl.product_rows(pages), "product_name", "page_status", "scrape_time")
 
 
+@query(f"""WITH p AS (SELECT *, 'https://hunt.example.com/p/' || p_partkey || '/' AS url FROM part),
+u AS (SELECT DISTINCT 'https://hunt.example.com/p/' || (l_partkey + l_linenumber) || '/' AS url FROM lineitem),
+d AS (SELECT DISTINCT 'https://hunt.example.com/p/' || l_partkey || '/' AS url FROM lineitem WHERE l_quantity > 45 AND l_discount < 0.05)
+SELECT u.url, CASE WHEN p.p_size > 45 THEN '{lx.DEAD_HEADING}' WHEN p.p_size > 30 THEN p.p_name ELSE p.p_name || ' & ' || p.p_type END AS product_name,
+  CASE WHEN p.p_partkey IS NULL THEN 'missing' WHEN p.p_type = 'SMALL' AND p.p_size < 5 THEN 'captcha' WHEN p.p_size > 45 THEN 'dead' ELSE 'ok' END AS page_status,
+  CASE WHEN p.p_partkey IS NULL OR p.p_type = 'SMALL' AND p.p_size < 5 OR p.p_size > 45 THEN 'failed' ELSE 'completed' END AS status
+FROM u LEFT JOIN p USING (url) WHERE u.url NOT IN (SELECT url FROM d)""")
+def crawl_run(spark, sf_dir):
+    """End to end: requested URLs minus the done ones, product rows, and a status for each."""
+    lines = table(spark, sf_dir, "lineitem")
+    wanted = lines.selectExpr("concat('https://hunt.example.com/p/', l_partkey + l_linenumber, '/') AS url")
+    ledger = lines.filter("l_quantity > 45 AND l_discount < 0.05").selectExpr(
+        "concat('https://hunt.example.com/p/', l_partkey, '/') AS url", "'completed' AS status"
+    )
+    rows = crawl.crawl_run(wanted, ledger, _product_pages(spark, sf_dir).drop("p_partkey"))
+    return rows.select("url", "product_name", "page_status", "status")
+
+
 @query(f"""SELECT url, CASE WHEN c_mktsegment = 'FURNITURE' THEN '{lx.BLOCK_TITLE}' ELSE c_name END AS page_title,
   CASE c_mktsegment WHEN 'FURNITURE' THEN 'BLOCKED' WHEN 'MACHINERY' THEN 'N/A' ELSE c_name END AS tool_name
 FROM (SELECT *, 'https://hunt.example.com/' || c_custkey AS url FROM customer)""")

@@ -135,3 +135,16 @@ def profile_cards(spark, sf_dir):
 FROM customer WHERE c_mktsegment <> 'FURNITURE'""")
 def profile_cards_labelled(spark, sf_dir):
     return people.labelled_profile_rows(_listing(spark, sf_dir), "'2024-01-01'").drop("pos")
+
+
+@query("""WITH a AS (SELECT c_name AS name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE 'Dept. of' || c_mktsegment END AS affiliation FROM customer)
+SELECT name, affiliation AS original_affiliation, coalesce(affiliation, 'No affiliation provided') AS primary_affiliation,
+  CASE WHEN affiliation IS NULL THEN 'Empty affiliation field' ELSE 'Fallback keyword matching' END AS reasoning FROM a""")
+def people_run(spark, sf_dir):
+    """End to end: listing pages to affiliations; a card without any affiliation text counts as blank."""
+    pages = _listing(spark, sf_dir).select(
+        F.regexp_replace("html", '<div class="gs_ai_eml">.*?</div>', "").alias("html"), "label", "c_custkey"
+    )
+    bare = F.regexp_replace("html", '<div class="gs_ai_cby">.*?</div>', "")
+    rows = people.people_run(pages.select(bare.alias("html")))
+    return rows.select("name", "original_affiliation", "primary_affiliation", "reasoning")

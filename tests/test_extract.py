@@ -99,6 +99,12 @@ def test_profiles(spark):
     ]
 
 
+def test_affiliation_falls_back_to_the_first_plain_div():
+    card = "<div class='gsc_1usr'><h3>N</h3><div><i>a</i> b</div><div></div><div><b> Only <!-- x --></b></div><div><b>Wrapped</b></div></div>"
+    assert one(card, specs.PROFILES)[0]["affiliation"] == "Wrapped"
+    assert one("<div class='gsc_1usr'><h3> A <!-- c --> B &amp; 1 < 2 </h3></div>", specs.PROFILES)[0]["name"] == "AB & 1 < 2"
+
+
 def test_only_html_crosses_into_python(spark):
     pages = spark.createDataFrame([(1, "u", CARD, "wide")], "page_id INT, url STRING, html STRING, other STRING")
     plan = extract.extract_records(pages, specs.PROFILES).select("page_id", "name")

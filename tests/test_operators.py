@@ -96,6 +96,12 @@ def test_update_from(spark, spread):
     assert rows(got, "ord") == [(1, 1, "a!"), (2, 1, "!"), (3, 2, "c"), (4, None, "d!")]
 
 
+def test_overwrite_from(spark):
+    base = frame(spark, [(1, "a", "x"), (2, "b", "x"), (None, "c", "x")], "k INT, v STRING, w STRING")
+    edits = frame(spark, [("new", 1), (None, 2)], "v STRING, k INT")
+    assert rows(joins.overwrite_from(base, edits, "k", ["v"])) == sorted([(1, "new", "x"), (2, None, "x"), (None, "c", "x")], key=str)
+
+
 def test_frontier(spark):
     urls = frame(spark, [("a",), ("b",), ("c",)], "url STRING")
     ledger = frame(spark, [("a", "completed"), ("b", "failed")], "url STRING, status STRING")
