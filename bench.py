@@ -12,7 +12,8 @@ from gleanwork import workload
 
 HEADLINE = (
     "news_by_category", "news_rows", "news_summary", "article_features", "title_dedup_exact",
-    "answer_normalizer", "keyword_filter_word", "article_cards", "enrich_titles",
+    "answer_normalizer", "keyword_filter_word", "keyword_table_hits", "article_cards",
+    "news_from_pages", "enrich_titles",
     "catalog_merge_nullsafe", "tag_upsert", "one_per_tool", "dup_explain", "keep_first",
     "two_pass_verdict", "response_validate", "frontier", "batch_ids", "shards",
     "merge_generations", "page_fields", "page_links", "review_rows", "affiliation_stats",

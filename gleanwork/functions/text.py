@@ -87,10 +87,6 @@ def review_time(c: Column) -> Column:
     return F.try_to_timestamp(c)
 
 
-def or_default(c: Column, default: str) -> Column:
-    return F.coalesce(c, F.lit(default))
-
-
 def join_list(c: Column, sep: str = "; ") -> Column:
     return F.array_join(c, sep)
 

@@ -137,9 +137,3 @@ def attach_results(
         *[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
           for c in payload],
     )
-
-
-def explode_children(parents: DataFrame, children: str) -> DataFrame:
-    """One row per child with all parent columns; parents without children vanish."""
-    keep = [c for c in parents.columns if c != children]
-    return parents.select(*keep, F.explode(children).alias("__child")).select(*keep, "__child.*")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleanwork import lexicons as lx
 from gleanwork.functions import responses, rules, text
 from gleanwork.operators import enrich, extract, page_specs
+from gleanwork.session import staged
 
 def profile_rows(pages: DataFrame) -> DataFrame:
     """Profile cards of listing pages, control characters removed."""
@@ -52,4 +53,6 @@ def people_run(pages: DataFrame, infer: enrich.Infer | None = None) -> DataFrame
     """Listing pages to affiliations. The `N/A` a profile may carry counts as missing, as it does
     when the collected rows are read back from a file."""
     profiles = profile_rows(pages).replace(lx.NOT_AVAILABLE, None, ["affiliation"])
-    return affiliations(profiles.select("name", "affiliation"), infer)
+    named = profiles.select("name", "affiliation")
+    # With a model the rows are read twice, for the prompts and for the answers.
+    return affiliations(named if infer is None else staged(named, "profiles"), infer)

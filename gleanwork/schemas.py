@@ -21,10 +21,3 @@ SCIENTIST = (
     "tab_index INT, page_number INT, scraped_at STRING"
 )
 CRAWL_LEDGER = "url STRING, status STRING, run_id STRING, ts TIMESTAMP"
-PAGES = "page_id BIGINT, url STRING, html STRING"
-ARTICLE_CLASS = "STRUCT<category: STRING, company_relevance: BOOLEAN, reasoning: STRING>"
-AFFILIATION = (
-    "STRUCT<companies: ARRAY<STRING>, universities: ARRAY<STRING>, "
-    "primary_affiliation: STRING, reasoning: STRING>"
-)
-USE_CHECK = "STRUCT<relevant: BOOLEAN, reason: STRING, verified: BOOLEAN>"

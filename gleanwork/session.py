@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -19,3 +19,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="gleanwork-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write a costly intermediate once and continue from the written table.
+
+    For parsed pages that several branches of a plan read: each branch would parse again.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

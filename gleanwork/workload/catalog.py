@@ -11,7 +11,7 @@ from gleanwork.functions import predicates, responses, tags
 from gleanwork.operators import aggregates, dedup, enrich, joins, ordinals
 from gleanwork.plans import catalog
 from gleanwork.workload import views as v
-from gleanwork.workload.registry import query, sql_strip, table
+from gleanwork.workload.registry import query, spread_table, sql_strip, table
 
 _CELLS = f"WITH {v.TAG_CELLS_SQL} "
 
@@ -410,7 +410,7 @@ _EVENTS_K = "(SELECT *, json_extract_string(props, '$.k') AS k FROM events)"
 
 
 def _answers(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    e = spread_table(spark, sf_dir, "events", "event_id", "event_type", "props").withColumn("k", F.get_json_object("props", "$.k"))
     return e.withColumn("content", F.expr(_ANSWER))
 
 
@@ -455,7 +455,7 @@ _DEFINITION = """CASE lang
 @query("""SELECT doc_id, CASE WHEN source = 'src3' THEN 'Error: 404 - ' || source WHEN lang = 'en' THEN text
   WHEN lang = 'fr' THEN 'No definition found.' ELSE 'Error parsing definition.' END AS definition FROM documents""")
 def definition_path(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     quoted = F.regexp_extract(F.to_json(F.struct(F.col("text").alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
     body = F.when(F.col("source") == "src3", F.col("source")).otherwise(F.expr(_DEFINITION))
     status = F.when(F.col("source") == "src3", 404).otherwise(200)

@@ -220,7 +220,7 @@ l AS (SELECT page_id, url, unnest(regexp_extract_all(h, '(?is)<a\s[^>]*?href="([
   unnest(regexp_extract_all(h, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2)) AS link_text FROM c)
 SELECT page_id, href, link_text, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/?#]*)', 1) || href ELSE href END AS absolute FROM l""")
 def page_links(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select(
+    rows = spread_table(spark, sf_dir, "pages", "page_id", "url", "html").select(
         "page_id", "url", F.explode(extract.links_column(F.col("html"))).alias("l")
     )
     return rows.select(
@@ -244,7 +244,7 @@ def nav_records(spark, sf_dir):
     return rows.select("page_id", "href", "link_text")
 
 
-@query(f"""SELECT ord AS event_id, CASE WHEN href = '' THEN base WHEN href LIKE 'https:%' THEN href WHEN href LIKE '//%' THEN 'https:' || href
+@query(f"""SELECT ord AS event_id, contains(href, '.') AND contains(href, '/') AS looks_like_url, CASE WHEN href = '' THEN base WHEN href LIKE 'https:%' THEN href WHEN href LIKE '//%' THEN 'https:' || href
   WHEN href LIKE '/%' THEN 'https://h.example.com' || href WHEN href LIKE '?%' THEN 'https://h.example.com/a/b' || href
   WHEN href LIKE '#%' THEN 'https://h.example.com/a/b?x=1' || href
   WHEN href LIKE '../%' THEN 'https://h.example.com/' || href[4:] ELSE 'https://h.example.com/a/' || href END AS absolute
@@ -258,7 +258,9 @@ def absolute_links(spark, sf_dir):
       WHEN 'signup' THEN CASE WHEN value > 10 THEN concat('?u=', user_id) ELSE concat('#u', user_id) END
       ELSE CASE WHEN value > 10 THEN concat('//cdn.example.com/', user_id) ELSE concat('p', user_id, '?q=/../x') END END""")
     base = F.lit("https://h.example.com/a/b?x=1#f")
-    return table(spark, sf_dir, "events").select("event_id", urls.absolute_url(base, href).alias("absolute"))
+    return table(spark, sf_dir, "events").select(
+        "event_id", urls.looks_like_url(href).alias("looks_like_url"), urls.absolute_url(base, href).alias("absolute")
+    )
 
 
 # --- reviews ---------------------------------------------------------------------------------
@@ -385,6 +387,8 @@ def generations_from_files(spark, sf_dir):
     events = table(spark, sf_dir, "events").selectExpr(
         "event_id", "concat('u', user_id, '/', get_json_object(props, '$.k')) AS page_url", "event_type AS product_name"
     )
+    writers.append_rows(events, f"{root}/all")
+    events = readers.read_table(spark, f"{root}/all", "event_id BIGINT, page_url STRING, product_name STRING")
     for kind in ("view", "click"):
         part = events.filter(F.col("product_name") == kind)
         writers.write_csv(part, f"{root}/backup_{kind}", ["event_id", "page_url", "product_name"])

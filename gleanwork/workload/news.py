@@ -76,6 +76,25 @@ def article_features_occurrence(spark, sf_dir):
     return rows.select("ord", "cleaned_title", "has_timestamp", "positive_words", "negative_words", "sentiment_score")
 
 
+@query(f"""
+WITH {v.ARTICLES_SQL} SELECT company, count(*) AS n, count(link) AS links, count(image_url) AS images,
+  sum(length(title))::BIGINT AS title_chars, sum({sql_occurrences('title', v.POSITIVE_WORDS)})::BIGINT AS positive_words
+FROM articles WHERE title <> '' AND title <> 'N/A' GROUP BY company""")
+def advanced_file(spark, sf_dir):
+    """Rows written with the fixed advanced column list and read back by it."""
+    rows = news.features_advanced(v.articles(spark, sf_dir), v.POSITIVE_WORDS, v.NEGATIVE_WORDS)
+    path = shared_path(spark, "advanced")
+    writers.write_csv(rows.withColumn("page", F.lit(1)), path, lx.ARTICLE_ADVANCED_FIELDS)
+    kinds = {"page": "INT", "title_length": "INT", "snippet_length": "INT", "has_image": "BOOLEAN", "has_timestamp": "BOOLEAN",
+             "positive_words": "INT", "negative_words": "INT", "sentiment_score": "INT"}
+    ddl = ", ".join(f"{c} {kinds.get(c, 'STRING')}" for c in lx.ARTICLE_ADVANCED_FIELDS)
+    back = readers.read_csv(spark, path, ddl).filter("title IS NOT NULL")
+    return back.groupBy("company").agg(
+        F.count("*").alias("n"), F.count("link").alias("links"), F.count("image_url").alias("images"),
+        F.sum("title_length").alias("title_chars"), F.sum("positive_words").alias("positive_words"),
+    )
+
+
 @query(f"""
 WITH {v.ARTICLES_SQL}, e AS (SELECT ord, {sql_occurrences('title', lx.POSITIVE_WORDS)} AS p,
   {sql_presence('title', lx.POSITIVE_WORDS)} AS pp, {sql_presence('title', lx.NEGATIVE_WORDS)} AS np FROM articles)
@@ -134,7 +153,7 @@ def _answer_sql(text_expr: str, funding, feature) -> str:
 FROM conversations""")
 def answer_normalizer(spark, sf_dir):
     alias = F.concat(F.lit(" "), F.when(F.col("role") == "user", "Fund ").otherwise("UPDATE"))
-    return table(spark, sf_dir, "conversations").select(
+    return spread_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").select(
         "conv_id", "turn",
         rules.normalize_answer(F.col("text")).alias("category"),
         rules.normalize_answer(F.col("text"), v.FUNDING_WORDS, v.FEATURE_WORDS).alias("category_words"),
@@ -248,7 +267,7 @@ def keyword_filter_case_sensitive(spark, sf_dir):
 
 @query(f"SELECT doc_id FROM documents WHERE regexp_matches(lower(text), '{predicates.word_pattern(['the by', 'que', 'e.n'])}')")
 def keyword_filter_word(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text")
     return docs.filter(predicates.any_word(F.col("text"), ["The by", "que", "e.n"])).select("doc_id")
 
 

@@ -7,9 +7,12 @@ import json
 from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
+from gleanwork import schemas
 from gleanwork.functions import responses
 from gleanwork.operators import aggregates
 from gleanwork.plans import people
+from gleanwork.session import shared_path
+from gleanwork.sources import readers, writers
 from gleanwork.workload.registry import query, sql_rate, table
 
 # A free-text affiliation per customer: some blank, some naming several organisations.
@@ -148,3 +151,20 @@ def people_run(spark, sf_dir):
     bare = F.regexp_replace("html", '<div class="gs_ai_cby">.*?</div>', "")
     rows = people.people_run(pages.select(bare.alias("html")))
     return rows.select("name", "original_affiliation", "primary_affiliation", "reasoning")
+
+
+@query("""SELECT label, count(*) AS n, count(*) FILTER (aff IS NULL) AS blank, count(*) FILTER (name IS NULL) AS unnamed FROM (
+  SELECT c_mktsegment AS label, CASE WHEN c_mktsegment <> 'BUILDING' THEN 1 END AS aff,
+    CASE WHEN c_mktsegment <> 'MACHINERY' THEN 1 END AS name FROM customer WHERE c_mktsegment <> 'FURNITURE') GROUP BY label""")
+def people_file(spark, sf_dir):
+    """Collected profiles written with the fixed columns; the `N/A` texts read back as missing."""
+    rows = people.labelled_profile_rows(_listing(spark, sf_dir), "'2024-01-01'")
+    path = shared_path(spark, "profiles")
+    writers.write_csv(rows, path, lx.SCIENTIST_FIELDS)
+    back = readers.read_csv(spark, path, schemas.SCIENTIST)
+    found = people.affiliations(back.select("label", "name", "affiliation"))
+    return found.groupBy("label").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("primary_affiliation") == lx.NO_AFFILIATION).alias("blank"),
+        F.count_if(F.col("name").isNull()).alias("unnamed"),
+    )

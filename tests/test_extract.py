@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from gleanwork import schemas
 from gleanwork.operators import extract
 from gleanwork.operators import page_specs as specs
 from gleanwork.plans import crawl, news, people
@@ -73,6 +74,7 @@ def test_reviews_need_the_direct_parent(spark):
         "fontSize-14 fontWeight-400'>Recently (9 reviews)</span></p></div><div id='review-1'></div><div id='preview-2'></div>"
     )
     df = spark.createDataFrame([("u", page), ("v", "<h1>none</h1>")], "url STRING, html STRING")
+    assert crawl.review_rows(df).columns == [c.split()[0] for c in schemas.REVIEW.split(", ")]
     got = crawl.review_rows(df).collect()
     assert [(r.review_id, r.tool_name, r.recent_reviews_amount, r.helpful_count, r.product_url) for r in got] == [
         ("review-1", "T", "N/A", "0", "u")
@@ -130,6 +132,15 @@ def test_news_run_without_any_mention_keeps_all_as_irrelevant(spark):
     assert [(r.ord, r.category, r.has_image) for r in got] == [(9, "funding", True)]
 
 
+def test_people_run_with_a_model(spark):
+    def infer(prompts):
+        return ['{"companies": ["C"], "universities": [], "primary_affiliation": "p", "reasoning": "r"}'] * len(prompts)
+
+    pages = spark.createDataFrame([(CARD,), (CARD.replace("gs_ai_aff", "x").replace("X\x01Y", "N/A"),)], "html STRING")
+    got = people.people_run(pages, infer).collect()
+    assert sorted((r.primary_affiliation, r.companies) for r in got) == [("No affiliation provided", []), ("p", ["C"])]
+
+
 def test_output_rows_have_the_fixed_columns(spark):
     df = spark.createDataFrame([(1, "Tool", "u", "tool raises a round", None, None, None, None)],
                                "tool_id INT, tool_name STRING, tool_url STRING, title STRING, link STRING, image_url STRING, source STRING, snippet STRING")
