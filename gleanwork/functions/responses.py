@@ -92,11 +92,11 @@ def parse_article_class(content: Column) -> Column:
     return _with_json(content, fields)
 
 
-def parse_use_check(content: Column) -> Column:
-    """`relevant` is required, `reason` may be missing; null when invalid."""
+def parse_use_check(content: Column, flag: str = "relevant") -> Column:
+    """struct<relevant, reason>: the flag is required, `reason` may be missing; null when invalid."""
 
     def fields(v: Column) -> Column:
-        relevant = _lenient_bool(v, "relevant")
+        relevant = _lenient_bool(v, flag)
         reason, kind = _field(v, "reason")
         reason_ok = kind.isNull() | kind.isin("STRING", "VOID")
         return F.when(

@@ -179,6 +179,7 @@ class UseCase:
     whole_word: bool = True
     tag_column: str = "use_aggregated"
     text_column: str = "tool_description"
+    answer_flag: str = "relevant"
 
     def suggests(self, column: str) -> Column:
         match = predicates.any_word if self.whole_word else predicates.any_keyword
@@ -215,7 +216,7 @@ def judged_by(case: UseCase, infer: Infer | None = None) -> Callable[[DataFrame]
     def by_model(cohort: DataFrame) -> DataFrame:
         asked = enrich(cohort, case.prompt(), infer)
         parsed = responses.require_valid(
-            responses.parse_use_check(F.col("response")), F.col("response")
+            responses.parse_use_check(F.col("response"), case.answer_flag), F.col("response")
         )
         return widen(asked.withColumn("__r", parsed).drop("response", "error"), "__r")
 

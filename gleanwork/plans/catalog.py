@@ -12,11 +12,28 @@ from gleanwork.functions import tags
 from gleanwork.operators import aggregates, dedup, enrich, joins
 
 
+USE_CASES = {
+    name: enrich.UseCase(name, name, words, whole_word=whole, tag_column=column)
+    for table, whole, column in (
+        (lx.ORIGINAL_USE_KEYWORDS, False, "use_original"),
+        (lx.AGGREGATED_USE_KEYWORDS, False, "use_aggregated"),
+        (lx.WORD_USE_KEYWORDS, True, "use_aggregated"),
+    )
+    for name, words in table.items()
+}
+
+
 def catalogue(ranking: DataFrame, profile: DataFrame, **options) -> DataFrame:
     """Ranking joined to profile on tool_id, narrowed to the working columns."""
     return joins.merge(ranking, profile, "tool_id", **options).select(*lx.CATALOG_FIELDS)
 
 
+def cohort(base: DataFrame, name: str) -> DataFrame:
+    """The rows one of the known uses suggests."""
+    case = USE_CASES[name]
+    return base.filter(case.suggests(case.tag_column))
+
+
 def remove_tags(
     base: DataFrame, keywords: Sequence[str], tool_ids: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
@@ -29,11 +46,11 @@ def remove_tags(
 
 
 def add_tag_to(
-    base: DataFrame, cohort: DataFrame, tag: str, spread_by: Sequence[str] | None = None
+    base: DataFrame, edits: DataFrame, tag: str, spread_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Write a tag back to every base row of the cohort's tools, by tool_id."""
+    """Add a tag to every base row of the tools in `edits`, by tool_id."""
     edit = {"use_aggregated": tags.add_tag(F.col("use_aggregated"), tag)}
-    return joins.update_from(base, cohort, "tool_id", edit, spread_by)
+    return joins.update_from(base, edits, "tool_id", edit, spread_by)
 
 
 def unique_uses(base: DataFrame, order: str) -> DataFrame:
@@ -59,6 +76,6 @@ def curate_and_merge(
 
     `order` is the row ordinal; edits go back by it, so each row gets its own repaired cell.
     """
-    cohort, _ = enrich.curate(base, case, "tool_id", enrich.judged_by(case, infer))
-    repaired = joins.overwrite_from(base, cohort, order, [case.tag_column])
+    judged, _ = enrich.curate(base, case, "tool_id", enrich.judged_by(case, infer))
+    repaired = joins.overwrite_from(base, judged, order, [case.tag_column])
     return merged_tools(repaired, order)

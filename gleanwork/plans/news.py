@@ -25,6 +25,15 @@ ARTICLE TITLE: "{title}"
 Return JSON with the fields category, company_relevance and reasoning."""
 
 
+LABEL_PROMPT = """Classify this article title into exactly one of:
+- 'feature update': new features, product releases, updates, launches
+- 'funding': funding rounds, investments, fundraising, venture capital
+- 'news article': general news, partnerships, research, analysis
+
+Title: "{title}"
+Category (only the name):"""
+
+
 def article_rows(pages: DataFrame) -> DataFrame:
     """Article cards of result pages that carry tool columns and a page ordinal."""
     cards = extract.extract_records(pages, page_specs.ARTICLE_ADVANCED)
@@ -109,6 +118,16 @@ def _judge_by_model(named: DataFrame, infer: enrich.Infer, spread_by, words) ->
     return asked.withColumn("__v", verdict).drop("response", "error")
 
 
+def label_titles(
+    df: DataFrame, infer: enrich.Infer, spread_by: Sequence[str] | None = None, **words: Sequence[str]
+) -> DataFrame:
+    """Three-way `category` from free-text answers. Short titles and failures are general news."""
+    title = F.col("title")
+    prompt = F.when(~rules.too_short(title), text.fill(LABEL_PROMPT, title=title))
+    asked = enrich.enrich_distinct(df, prompt, infer, spread_by=spread_by)
+    return asked.withColumn("category", rules.normalize_answer(F.col("response"), **words)).drop("response", "error")
+
+
 def news_run(articles: DataFrame, order: str, infer: enrich.Infer | None = None, **words) -> DataFrame:
     """Features, exact-title dedup, classification, relevance filter."""
     unique = dedup.dedup_exact_title(articles, "title", order)

@@ -510,6 +510,21 @@ def enrich_titles(spark, sf_dir):
     return judged.select("ord", "category", "company_relevance")
 
 
+def _free_text(prompts):
+    titles = [p.split('Title: "', 1)[1].rsplit('"', 1)[0] for p in prompts]
+    answers = {0: "Funding.", 1: " Update ", 2: "It announces a launch", 3: "no idea"}
+    return [answers[t.count("e") % 4] for t in titles]
+
+
+@query(f"""WITH {v.ARTICLES_SQL} SELECT ord, CASE WHEN length({sql_strip('title')}) < 10 THEN 'news article' ELSE
+  CASE (length(title) - length(replace(title, 'e', ''))) % 4 WHEN 0 THEN 'funding' WHEN 3 THEN 'news article' ELSE 'feature update' END END AS category
+FROM articles""")
+def label_titles(spark, sf_dir):
+    """Free-text answers mapped to three categories."""
+    rows = v.articles(spark, sf_dir).select("ord", "title")
+    return news.label_titles(rows, _free_text, spread_by=["ord"]).select("ord", "category")
+
+
 def _translate(prompts):
     prefix = "translate this French text into English: "
     texts = [p[len(prefix):] for p in prompts]

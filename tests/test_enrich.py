@@ -164,3 +164,22 @@ def test_catalogue_steps(spark):
     ids = spark.createDataFrame([(1,)], "tool_id INT")
     assert {r.tool_id: r.use_aggregated for r in catalog.remove_tags(base, ["x", "z"], ids).collect()} == {1: "y", None: "z"}
     assert {r.tool_id: r.use_aggregated for r in catalog.remove_tags(base, ["x", "z"]).collect()} == {1: "y", None: ""}
+
+
+def test_known_use_cases(spark):
+    base = spark.createDataFrame(
+        [(1, "x;Software Development", None), (2, "gamingx", "an interview"), (3, None, "interviews"), (4, None, "legal assistance"), (5, None, "Risk & Compliance;x")],
+        "tool_id INT, use_original STRING, use_aggregated STRING",
+    )
+    found = {n: [r.tool_id for r in catalog.cohort(base, n).collect()] for n in catalog.USE_CASES}
+    assert {n: ids for n, ids in found.items() if ids} == {
+        "software development": [1], "gaming": [2], "interviews & interview management": [2],
+        "legal assistance": [4], "compliance management": [5],
+    }
+
+
+def test_answer_flag_of_a_use(spark):
+    case = enrich.UseCase("u", "t", ("sound",), tag_column="use_aggregated", answer_flag="audio")
+    base = spark.createDataFrame([(1, "sound", "makes sound")], "tool_id INT, use_aggregated STRING, tool_description STRING")
+    judge = enrich.judged_by(case, lambda ps: ['{"audio": true}'] * len(ps))
+    assert enrich.curate(base, case, "tool_id", judge)[0].first().use_aggregated == "sound;t"
