@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from gleanwork import schemas
@@ -115,6 +120,14 @@ def test_only_html_crosses_into_python(spark):
     assert "other" not in text.split("ArrowEvalPython")[0]
 
 
+def test_workers_need_no_copy_of_the_package():
+    code = "import sys; from pyspark import cloudpickle; print(cloudpickle.loads(sys.stdin.buffer.read())())"
+    job = cloudpickle.dumps(lambda: extract.page_records("<title>T</title>", specs.TOOL_NAME_PAGE))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], input=job, capture_output=True, cwd="/", env=env, check=True)
+    assert done.stdout.decode().strip() == "[{'page_title': 'T', 'tool_name': 'N/A'}]"
+
+
 def test_links_match_the_tree(spark):
     page = "<!-- <a href='x'>no</a> --><a class='c' href=\"/a?b=1\">T <b>x</b></a><script>'<a href=\"/s\">s</a>'</script>"
     df = spark.createDataFrame([(page,)], "html STRING")

@@ -64,6 +64,25 @@ def test_salted_join_equals_plain(keyed, how):
     assert got == sorted(want, key=str)
 
 
+def test_salting_evens_out_the_partitions(spark):
+    """A third of the rows share one key; no task gets more than three times its part."""
+    left = spark.range(30000).selectExpr("id AS ord", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 1009 END AS k")
+    right = spark.range(1009).selectExpr("id AS k", "id AS w")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        largest = [
+            max(r["count"] for r in joins.merge(left, right, "k", spread_by=by).groupBy(F.spark_partition_id()).count().collect())
+            for by in (None, ["ord"])
+        ]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert largest[0] > 10000 and largest[1] < 3 * 30000 / 8
+
+
 def test_hot_keys_are_bounded(keyed):
     assert [r.k for r in skew.hot_keys(keyed[2], ["k"], 0.3).collect()] == [7]
 
