@@ -7,6 +7,7 @@ is a spec and not a parser of its own.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -256,17 +257,19 @@ def records_column(html: Column, spec: RecordSpec) -> Column:
 def _may_hold(html: Column, spec: RecordSpec) -> Column:
     """False only for pages that cannot have a container, so they never reach the tree.
 
-    What a container's attributes must hold stands literally in its page, unless a tag of the
-    page uses character references. Element names alone are not tested.
+    What a container's attributes must hold stands literally in its page, unless it is written
+    with references to single characters; those that can stand for a letter, a digit, `_` or
+    `-` are looked for. Element names alone are not tested.
     """
     if not spec.containers:
         return F.lit(True)
-    possible = F.rlike(html, F.lit("<[^>]*&"))
+    possible = F.rlike(html, F.lit("&(#|fjlig|lowbar|UnderBar)"))
     for el in spec.containers:
         marks = [*el.classes, *(v for part in (el.equals, el.contains, el.starts) for _, v in part)]
         here = F.lit(True)
         for mark in marks:
-            here = here & F.contains(html, F.lit(mark))
+            if re.fullmatch(r"[A-Za-z0-9_-]+", mark):
+                here = here & F.contains(html, F.lit(mark))
         possible = possible | here
     return possible
 

@@ -128,6 +128,16 @@ def test_workers_need_no_copy_of_the_package():
     assert done.stdout.decode().strip() == "[{'page_title': 'T', 'tool_name': 'N/A'}]"
 
 
+def test_pages_without_containers_skip_the_tree_safely(spark):
+    pages = [
+        "<div class='t_s'><a>plain text</a></div>", "<div class='t&#95;s'><a>numeric</a></div>",
+        "<div title='a>b' class='t&lowbar;s'><a>named</a></div>", "<div class='ts'><a>none &amp; nothing</a></div>",
+    ]
+    df = spark.createDataFrame([(p,) for p in pages], "html STRING")
+    got = extract.extract_records(df, specs.ARTICLE_BASIC).collect()
+    assert sorted(r.title for r in got) == ["named", "numeric", "plain text"]
+
+
 def test_links_match_the_tree(spark):
     page = "<!-- <a href='x'>no</a> --><a class='c' href=\"/a?b=1\">T <b>x</b></a><script>'<a href=\"/s\">s</a>'</script>"
     df = spark.createDataFrame([(page,)], "html STRING")
