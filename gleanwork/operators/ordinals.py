@@ -14,14 +14,26 @@ def _bucket_count(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _place(df: DataFrame, ordinal: str, bounds: Column, n: int) -> DataFrame:
-    """Add `__bucket`: how many of the n - 1 sorted bounds lie below the ordinal.
+def _as_number(df: DataFrame, ord_col: str) -> Column:
+    kind = dict(df.dtypes)[ord_col]
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(ord_col).cast("timestamp"))
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(ord_col).cast("long")
+    if kind in ("float", "double"):
+        return F.col(ord_col).cast("double")
+    raise TypeError(f"an ordinal must be a whole number, a float or a time, not {kind}")
 
-    A binary search unrolled into log2(n) projections, which stay in generated code.
+
+def _place(df: DataFrame, ordinal: str, bounds: Sequence[int | float], kind: str) -> DataFrame:
+    """Add `__bucket`: how many of the sorted bounds lie below the ordinal.
+
+    A binary search unrolled into log2 projections, which stay in generated code.
     """
-    df = df.withColumn("__bounds", bounds).withColumn("__bucket", F.lit(0))
-    step = 1 << max(0, (n - 1).bit_length() - 1)
-    while step:
+    fixed = F.array(*[F.lit(b) for b in bounds]).cast(f"array<{kind}>")
+    df = df.withColumn("__bounds", fixed).withColumn("__bucket", F.lit(0))
+    step = 1 << max(0, len(bounds).bit_length() - 1)
+    while step and bounds:
         probe = F.get("__bounds", F.col("__bucket") + (step - 1))
         df = df.withColumn(
             "__bucket", F.col("__bucket") + F.when(probe < F.col(ordinal), step).otherwise(0)
@@ -35,16 +47,15 @@ def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: i
 
     Quantiles of the ordinal cut the rows into even buckets; each bucket is numbered on its own
     and shifted by the size of those before it. Only the bounds and bucket sizes (`buckets`
-    values each) are ever in one place, and both are scalar subqueries of the same plan.
+    values each) are ever in one place. The bounds are taken by one small job up front and fixed
+    in the plan, because a quantile sketch merged in another order may give others, and sizes
+    and numbers must agree on them.
     """
-    n = buckets or _bucket_count(df)
-    ordinal = F.col(ord_col).cast("double" if dict(df.dtypes)[ord_col] in ("float", "double") else "long")
-    if dict(df.dtypes)[ord_col].startswith("timestamp"):
-        ordinal = F.unix_micros(F.col(ord_col).cast("timestamp"))
+    n = max(2, buckets or _bucket_count(df))
+    keyed = df.withColumn("__at", _as_number(df, ord_col))
     cuts = [i / n for i in range(1, n)]
-    keyed = df.withColumn("__at", ordinal)
-    bounds = keyed.agg(F.percentile_approx("__at", cuts, 20 * n).alias("b")).scalar()
-    placed = _place(keyed, "__at", bounds, n)
+    bounds = keyed.agg(F.percentile_approx("__at", cuts, 20 * n).alias("b")).first()["b"] or []
+    placed = _place(keyed, "__at", bounds, dict(keyed.dtypes)["__at"])
     sizes = placed.groupBy("__bucket").agg(F.count("*").alias("n"))
     # At most `buckets` rows from here on, whatever the table holds.
     pairs = sizes.agg(F.collect_list(F.struct("__bucket", "n")).alias("p")).scalar()

@@ -439,7 +439,7 @@ cards AS (SELECT ord, tool_name, {sql_strip('title')} AS title, link, coalesce(i
   coalesce({sql_strip('snippet')}, 'No Snippet') AS snippet FROM articles WHERE length({sql_strip('title')}) >= 5),
 firsts AS (SELECT * FROM cards QUALIFY row_number() OVER (PARTITION BY title ORDER BY ord) = 1),
 judged AS (SELECT *, {_classify_sql('title', 'tool_name', v.FUNDING_WORDS, v.FEATURE_WORDS)} AS j FROM firsts WHERE contains(lower(title), tool_name)),
-seeds AS (SELECT {v._NAME_SQL} AS tool_name, max(doc_id) AS tool_id FROM documents GROUP BY 1)
+seeds AS (SELECT {v.NAME_SQL} AS tool_name, max(doc_id) AS tool_id FROM documents GROUP BY 1)
 SELECT s.tool_id, j.tool_name, 'https://' || s.tool_id || '.example.com' AS tool_url, title, link, image_url, source, snippet,
   length(title)::INTEGER AS title_length, length(snippet)::INTEGER AS snippet_length, image_url <> 'No Image' AS has_image,
   {sql_presence('title', lx.POSITIVE_WORDS)} AS positive_words, {sql_presence('title', lx.NEGATIVE_WORDS)} AS negative_words,
@@ -447,9 +447,9 @@ SELECT s.tool_id, j.tool_name, 'https://' || s.tool_id || '.example.com' AS tool
   j.c AS ollama_category, j.r AS company_relevance FROM judged j JOIN seeds s USING (tool_name) WHERE j.r""")
 def news_from_pages(spark, sf_dir):
     """End to end: rendered result pages and a seed table with repeated names to output rows."""
-    pages = _result_pages(spark, sf_dir).withColumn("tool_name", F.expr(v._NAME_SQL))
+    pages = _result_pages(spark, sf_dir).withColumn("tool_name", F.expr(v.NAME_SQL))
     seeds = table(spark, sf_dir, "documents").selectExpr(
-        "doc_id AS tool_id", v._NAME_SQL + " AS tool_name", "concat('https://', doc_id, '.example.com') AS tool_url"
+        "doc_id AS tool_id", v.NAME_SQL + " AS tool_name", "concat('https://', doc_id, '.example.com') AS tool_url"
     )
     return news.from_pages(pages, seeds, "doc_id", **_WORDS)
 

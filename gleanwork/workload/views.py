@@ -18,7 +18,7 @@ POSITIVE_WORDS = ("tion", "the", "que")
 NEGATIVE_WORDS = ("und", "re", "aa")
 NAME_BY_LANG = {"en": "the", "fr": "que", "de": "und"}
 
-_NAME_SQL = "CASE " + " ".join(f"WHEN lang = '{k}' THEN '{v}'" for k, v in NAME_BY_LANG.items()) + " ELSE 'de' END"
+NAME_SQL = "CASE " + " ".join(f"WHEN lang = '{k}' THEN '{v}'" for k, v in NAME_BY_LANG.items()) + " ELSE 'de' END"
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id") * 1000000 + F.col("line_no")).alias("ord"),
         "doc_id", "lang",
         F.col("source").alias("company"), "source",
-        F.expr(_NAME_SQL).alias("tool_name"),
+        F.expr(NAME_SQL).alias("tool_name"),
         title.alias("title"),
         F.concat(F.lit("/a/"), F.col("doc_id"), F.lit("#"), F.col("line_no")).alias("link"),
         F.when(F.endswith(title, F.lit(".")), F.concat(F.lit("/img/"), F.col("doc_id"))).alias("image_url"),
@@ -48,7 +48,7 @@ article_at AS (
   SELECT doc_id, lang, source, ls, unnest(range(1, len(ls) + 1)) AS i FROM article_lines),
 articles AS (
   SELECT doc_id * 1000000 + i - 1 AS ord, doc_id, lang, source AS company, source,
-    {_NAME_SQL} AS tool_name, ls[i] AS title,
+    {NAME_SQL} AS tool_name, ls[i] AS title,
     '/a/' || doc_id || '#' || (i - 1) AS link,
     CASE WHEN ends_with(ls[i], '.') THEN '/img/' || doc_id END AS image_url,
     ls[i + 1] AS snippet,
