@@ -35,7 +35,7 @@ def cohort(base: DataFrame, name: str) -> DataFrame:
 
 
 def remove_tags(
-    base: DataFrame, keywords: Sequence[str], tool_ids: DataFrame | None = None,
+    base: DataFrame, keywords: Sequence[str] = lx.ENERGY_TAGS, tool_ids: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Delete keywords from the aggregated uses, of all tools or of the listed ones."""
