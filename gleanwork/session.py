@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder the cluster names in `spark.checkpoint.dir`.
-
-    Only a local session that names none gets a temporary folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path in the shared folder: `spark.checkpoint.dir`, or the one the application set
+    with `SparkContext.setCheckpointDir`."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="gleanwork-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
