@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import decontaminate
+from gleanwork.llm import decontaminate, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select(
@@ -25,8 +29,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_decontamination,)}
+    return {f.__name__: f for f in (op1_mixing, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": mixing.SQL}
