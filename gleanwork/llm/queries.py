@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import decontaminate, mixing
+from gleanwork.llm import decontaminate, mixing, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op9_decontamination)}
+    return {f.__name__: f for f in (op1_mixing, op9_decontamination, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:

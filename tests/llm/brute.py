@@ -34,3 +34,24 @@ def decontamination(docs, items, n=13):
                     found |= got
         out[doc] = (len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit) and 20 * len(hit) >= len(w))
     return out
+
+
+def repeats(docs, n=13):
+    """[(doc_id, n_words, n_removed, kept_sha256)]"""
+    least = {}
+    cut = [(d, (t or "").encode().split()) for d, t in docs]
+    for d, w in cut:
+        for i in range(len(w) - n + 1):
+            key = tuple(w[i:i + n])
+            if d is not None:
+                least[key] = min(least.get(key, d), d)
+    out = []
+    for d, w in cut:
+        gone = set()
+        for i in range(len(w) - n + 1):
+            first = least.get(tuple(w[i:i + n]))
+            if first is not None and (d is None or first < d):
+                gone.update(range(i, i + n))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone).decode()
+        out.append((d, len(w), len(gone), sha(kept)))
+    return out
