@@ -55,3 +55,37 @@ def repeats(docs, n=13):
         kept = b" ".join(x for i, x in enumerate(w) if i not in gone).decode()
         out.append((d, len(w), len(gone), sha(kept)))
     return out
+
+
+def near_duplicates(docs, k=4, percent=80):
+    """[(doc_id, n_shingles, component_id, kept)]"""
+    sets = []
+    for _, text in docs:
+        w = fold(text).encode().split()
+        sets.append(frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset())
+    posted = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            posted.setdefault(x, []).append(i)
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, s in enumerate(sets):
+        common = {}
+        for x in s:
+            for j in posted[x]:
+                if j < i:
+                    common[j] = common.get(j, 0) + 1
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        r = find(i)
+        if d is not None:
+            least[r] = min(least.get(r, d), d)
+    return [(d, len(s), least.get(find(i)), d == least.get(find(i))) for i, ((d, _), s) in enumerate(zip(docs, sets))]
