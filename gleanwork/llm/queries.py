@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import decontaminate, mixing, near_dup, repeats
+from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select(
@@ -38,7 +42,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op9_decontamination, op10_repeats)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op8_neighbours, op9_decontamination, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
