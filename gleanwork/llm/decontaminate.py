@@ -191,7 +191,7 @@ def scan(
     out = docs.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()
-        block = docs.sparkSession.sparkContext.broadcast(phrases([(r["i"], r["t"]) for r in rows], window))
+        block = docs.sparkSession.sparkContext.broadcast(vars(phrases([(r["i"], r["t"]) for r in rows], window)))
         if k:
             out = staged(out, "decontaminate")
         out = _pass(out, keep, block, first=k == 0)
@@ -205,7 +205,7 @@ def _pass(docs: DataFrame, keep: Sequence[str], block, first: bool) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = block.value
+            p = Phrases(**block.value)
             shard = _scan_batch(batch.column("__text"), p)
             items = [[p.item_ids[i] for i in x] for x in shard.items]
             spans = shard.spans

@@ -6,11 +6,11 @@ whose recall among the sample reaches `SAMPLE_RECALL`, so clustered vectors need
 vectors without structure most of them. Every vector is indexed.
 
 Lists are cut into parts and their queries too, so a tile has at most about `PART` of each however
-full a list is. A tile rotates its vectors and looks at them in blocks of columns. After each block, a
-candidate is given up if its inner product, as far as known, stays below the query's bound even at
-`DEVIATIONS` standard deviations of what the other columns can add: after a random rotation that is
-|q_rest| |x_rest| / sqrt(columns left). The bound starts at the score of the `2 k`-th sample vector in the
-probed lists and rises with the candidates kept. Kept candidates are scored anew on the original vectors in
+full a list is. A tile rotates its vectors and looks at them in blocks of columns. An inner product of at least
+the query's bound is a squared distance of at most |q|^2 + |x|^2 - 2 bound. After d of D rotated columns
+the partial squared distance times D / d estimates the whole one, and a candidate is given up if that
+exceeds (1 + DEVIATIONS / sqrt(d))^2 times the allowed one. The bound starts at the score of the `2 k`-th
+sample vector in the probed lists. Kept candidates are scored anew on the original vectors in
 double precision.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no
@@ -35,7 +35,8 @@ SAMPLE = 4096
 SAMPLE_RECALL = 0.97
 PART = 8192
 COLUMNS = 16
-DEVIATIONS = 3.5
+#: Of a partial distance, in units of 1 / sqrt(columns seen).
+DEVIATIONS = 2.5
 
 
 @dataclass
@@ -106,7 +107,7 @@ def _listed(index) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                mine = nearest_centre(_matrix(batch.column("v")), index.value.centres)
+                mine = nearest_centre(_matrix(batch.column("v")), index.value["centres"])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mine.astype(np.int32))], names=["id", "v", "list"])
     return run
 
@@ -114,7 +115,7 @@ def _listed(index) -> Callable:
 def _probed(index) -> Callable:
     """Each query with the lists it probes and its first bound."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        i: Index = index.value
+        i = Index(**index.value)
         for batch in batches:
             if not len(batch):
                 continue
@@ -130,38 +131,40 @@ def _probed(index) -> Callable:
     return run
 
 
-def scan(q: np.ndarray, x: np.ndarray, rest: np.ndarray, bound: float) -> np.ndarray:
-    """Rows of x (rotated, as q) that may score `bound` or more; rest: per block of columns the length
-    of what comes after it."""
-    alive, partial = np.arange(len(x)), np.zeros(len(x))
+def scan(q: np.ndarray, x: np.ndarray, blocks: np.ndarray, bound: float) -> np.ndarray:
+    """Rows of x (rotated, as q) that may score `bound` or more; blocks: squared length of each row
+    within each block of columns."""
+    # An inner product of `bound` is a squared distance of `far`.
+    far = blocks.sum(axis=1) + q @ q - 2 * bound
+    alive = np.flatnonzero(far > -1e-9)
+    so_far = np.zeros(len(alive))
     for b, at in enumerate(range(0, len(q), COLUMNS)):
-        partial = partial + x[alive, at:at + COLUMNS] @ q[at:at + COLUMNS]
-        left = len(q) - at - COLUMNS
-        if left <= 0:
-            return alive[partial >= bound - 1e-9]
-        q_rest = np.linalg.norm(q[at + COLUMNS:])
-        keep = partial + DEVIATIONS * q_rest * rest[b][alive] / math.sqrt(left) >= bound
-        alive, partial = alive[keep], partial[keep]
+        part = q[at:at + COLUMNS]
+        so_far = so_far + blocks[alive, b] + part @ part - 2 * (x[alive, at:at + COLUMNS] @ part)
+        seen = min(at + COLUMNS, len(q))
+        slack = (1 + DEVIATIONS / math.sqrt(seen)) ** 2 if seen < len(q) else 1.0
+        keep = so_far * (len(q) / seen) <= far[alive] * slack + 1e-9
+        alive, so_far = alive[keep], so_far[keep]
     return alive
 
 
 def _searched(index) -> Callable:
     def run(key: tuple, vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        i: Index = index.value
+        i = Index(**index.value)
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if len(vectors) and len(queries):
             raw, ids = _matrix(vectors["v"]), vectors["id"].to_numpy()
             order = np.argsort(ids, kind="stable")
             raw, ids = raw[order], ids[order]
             x = raw @ i.rotation
-            rest = [np.linalg.norm(x[:, at + COLUMNS:], axis=1) for at in range(0, x.shape[1], COLUMNS)]
+            blocks = np.stack([(x[:, at:at + COLUMNS] ** 2).sum(axis=1) for at in range(0, x.shape[1], COLUMNS)], axis=1)
             turned = _matrix(queries["v"]) @ i.rotation
             for r, (q_id, bound) in enumerate(zip(queries["id"].to_pylist(), queries["bound"].to_pylist(), strict=True)):
                 q = _matrix(queries["v"].slice(r, 1))[0]
                 if bound == -np.inf and len(x) > 4 * i.k:
                     first = raw[: 4 * i.k][ids[: 4 * i.k] != q_id] @ q
                     bound = np.partition(first, -i.k)[-i.k] if len(first) >= i.k else bound
-                found = scan(turned[r], x, rest, bound)
+                found = scan(turned[r], x, blocks, bound)
                 found = found[ids[found] != q_id]
                 # Summed by one rule wherever a row lies, so that equal vectors score alike.
                 score = np.add.reduce(raw[found] * q, axis=1)
@@ -183,7 +186,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, key: str = "vec_id"
     if usual is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.filter(F.size("v") == usual["d"])
-    index = spark.sparkContext.broadcast(fit(rows, usual["n"], k))
+    index = spark.sparkContext.broadcast(vars(fit(rows, usual["n"], k)))
     listed = staged(rows.mapInArrow(_listed(index), "id long, v array<double>, list int"), "listed")
     asked = staged(rows.filter(queries).mapInArrow(_probed(index), "id long, v array<double>, bound double, lists array<int>"), "asked")
     probing = asked.select("id", "v", "bound", F.explode("lists").alias("list"))

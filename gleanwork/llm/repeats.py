@@ -164,41 +164,47 @@ def _by_group(order_key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def _postings(split) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, values = byte_classes(BLANKS, fold=False)
-        s: Split = split.value
+        s = Split(**split.value)
         for batch in batches:
-            for row, to, data, offsets in chunks(batch.column("text"), CHUNK_BYTES):
-                blocks = list(_chunk(data, offsets, inside, values, s, *(
-                    np.asarray(batch.column(c)[row:to].fill_null(_NO_ID), dtype=np.int64) for c in ("id", "fp"))))
-                if blocks:
-                    yield pa.RecordBatch.from_pylist(blocks, schema=_BLOCK_ARROW)
+            ids, fps = (np.asarray(batch.column(c).fill_null(_NO_ID), dtype=np.int64) for c in ("id", "fp"))
+            held, size, since = [], 0, 0
+            for row, to, data, offsets in chunks(batch.column("text")):
+                w = words_of(data, offsets, inside, values)
+                held.append((w.hashes, np.diff(w.first)))
+                size += len(data)
+                if size >= CHUNK_BYTES or to == len(batch):
+                    hashes = np.concatenate([h for h, _ in held])
+                    first = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in held]))])
+                    for block in _chunk(hashes, first, s, ids[since:to], fps[since:to]):
+                        yield pa.RecordBatch.from_pylist([block], schema=_BLOCK_ARROW)
+                    held, size, since = [], 0, to
     return run
 
 
-def _chunk(data, offsets, inside, values, s: Split, ids: np.ndarray, texts: np.ndarray) -> Iterator[dict]:
-    w = words_of(data, offsets, inside, values)
-    at = _whole_windows(w.first, max(0, len(w.hashes) - WINDOW + 1))
+def _chunk(hashes: np.ndarray, first: np.ndarray, s: Split, ids: np.ndarray, texts: np.ndarray) -> Iterator[dict]:
+    at = _whole_windows(first, max(0, len(hashes) - WINDOW + 1))
     if not len(at):
         return
     group = np.full(len(at), -1, dtype=np.int64)
-    for k, h in enumerate(prefix_hashes(w.hashes)):
+    for k, h in enumerate(prefix_hashes(hashes)):
         h = h[at]
         use = (group < 0) & s.enough[k][(h >> np.uint64(64 - _PREFIX_BITS)).astype(np.int64)]
         group[use] = (mix(h[use] ^ np.uint64(0x51)) % np.uint64(s.groups)).astype(np.int64)
     key = h  # of the whole window
-    owner = ids[np.searchsorted(w.first, at, "right") - 1]
+    owner = ids[np.searchsorted(first, at, "right") - 1]
     # Within the chunk the window is posted for its smallest document; others are settled.
     order = np.lexsort((at, owner, key))
-    fresh = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]) != 0)
-    run = np.repeat(fresh, np.diff([*fresh, len(order)]))
+    new = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]) != 0)
+    run = np.repeat(new, np.diff([*new, len(order)]))
     later = owner[order] > owner[order[run]]
     settled = np.sort(order[later])
     keep = np.sort(order[~later])
     if len(settled):
         # Sent along with the postings of some group; they only need to reach their documents.
-        yield _block(int(key[settled[0]] % np.uint64(s.groups)), True, b"", at[settled], ids, texts, w.first[:-1])
+        yield _block(int(key[settled[0]] % np.uint64(s.groups)), True, b"", at[settled], ids, texts, first[:-1])
     for g, x in _by_group(group[keep]):
         x = keep[x]
-        yield _block(g, False, _pack56(key[x]), at[x], ids, texts, w.first[:-1])
+        yield _block(g, False, _pack56(key[x]), at[x], ids, texts, first[:-1])
 
 
 _REPLY = T.StructType([
@@ -300,7 +306,7 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str], key: str = "doc_id", te
     spark = docs.sparkSession
     keep = [c for c in keep if c not in RESULT]
     split = split_of(docs, text, capacity)
-    shared = spark.sparkContext.broadcast(split)
+    shared = spark.sparkContext.broadcast(vars(split))
     slots = max(split.groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
     slim = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("fp"), F.col(text).alias("text"))
     posted = slim.mapInArrow(_postings(shared), _BLOCK)
