@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,14 +53,10 @@ BLANKS = bytes([32, *range(9, 14)])
 NOT_ALNUM = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 
 
-@lru_cache(maxsize=1)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    with np.errstate(over="ignore"):
-        up = np.full(n, _BASE, dtype=np.uint64)
-        down = np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
-        up[0] = down[0] = 1
-        return np.multiply.accumulate(up), np.multiply.accumulate(down)
+def _powers(base: int, n: int) -> np.ndarray:
+    up = np.full(n, base, dtype=np.uint64)
+    up[:1] = 1
+    return np.multiply.accumulate(up)
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -90,10 +85,10 @@ def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, values:
     here = word[1:-1]
     starts = np.flatnonzero(here & (~word[:-2] | edge[:-1]))
     ends = np.flatnonzero(here & (~word[2:] | edge[1:])) + 1
-    up, down = _powers(max(16, int(len(data)).bit_length()))
     with np.errstate(over="ignore"):
+        up, down = _powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data))
         total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(values[data] * up[:len(data)], out=total[1:])
+        np.cumsum(values[data] * up, out=total[1:])
         hashes = mix((total[ends] - total[starts]) * down[starts])
     return Words(hashes, np.searchsorted(starts, offsets), starts, ends)
 
