@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, repeats
+from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, pii, repeats, secrets, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,20 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _counted(found: DataFrame, kinds: list[str]) -> DataFrame:
+    own = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(own, k))).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(spans.written(F.col("base")), 256).alias("base_sha256"), spans.written(F.col("spans")).alias("spans"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(secrets.find_secrets(_table(spark, sf_dir, "documents"), ["doc_id"]), list(secrets.STRONG))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(pii.find_pii(_table(spark, sf_dir, "documents"), ["doc_id"]), list(pii.STRICT))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -42,7 +56,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op8_neighbours, op9_decontamination, op10_repeats)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op5_secrets, op6_pii, op8_neighbours, op9_decontamination, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -89,3 +89,41 @@ def near_duplicates(docs, k=4, percent=80):
         if d is not None:
             least[r] = min(least.get(r, d), d)
     return [(d, len(s), least.get(find(i)), d == least.get(find(i))) for i, ((d, _), s) in enumerate(zip(docs, sets))]
+
+
+def _matches(pattern, text, kind, ok):
+    return [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if ok(m)]
+
+
+def _digest(found, kinds):
+    found = sorted(found, key=lambda s: (s[0], kinds.index(s[1])))
+    return sha(",".join(f"{k}:{a}:{b}" for a, k, b in found))
+
+
+def secrets(text):
+    """(n_assign, n_access, n_hex, base_sha256)"""
+    kinds = ["assign", "access", "hex"]
+    text = text or ""
+    assign = r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    found = _matches(assign, text, "assign", lambda m: len(m[2]) >= 6)
+    found += _matches("AKIA[A-Z0-9]+", text, "access", lambda m: len(m[0]) >= 20)
+    found += _matches("[0-9a-f]+", text, "hex", lambda m: len(m[0]) >= 24)
+    return (*[sum(s[1] == k for s in found) for k in kinds], _digest(found, kinds))
+
+
+def _luhn(number):
+    odd = [int(d) for d in number[::-2]]
+    even = [int(d) * 2 for d in number[-2::-2]]
+    return (sum(odd) + sum(d - 9 if d > 9 else d for d in even)) % 10 == 0
+
+
+def pii(text):
+    """(n_email, n_ip, n_card, n_phone, base_sha256)"""
+    kinds = ["email", "ip", "card", "phone"]
+    text = text or ""
+    number = lambda m: re.sub("[^0-9]", "", m[0])
+    found = _matches(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text, "email", lambda m: True)
+    found += _matches(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text, "ip", lambda m: all(int(x) <= 255 for x in m[0].split(".")))
+    found += _matches(r"[0-9]([\x20-]?[0-9])+", text, "card", lambda m: 12 <= len(number(m)) <= 19 and _luhn(number(m)))
+    found += _matches(r"\+[0-9][\x20().0-9-]+[0-9]", text, "phone", lambda m: 9 <= len(number(m)) <= 15)
+    return (*[sum(s[1] == k for s in found) for k in kinds], _digest(found, kinds))
