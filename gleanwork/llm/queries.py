@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, pii, quality, repeats, secrets, spans
+from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, pii, quality, repeats, secrets, spans, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ["doc_id"])
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ["doc_id"])
+
+
 def _counted(found: DataFrame, kinds: list[str]) -> DataFrame:
     own = F.transform("base", lambda s: s["kind"])
     counts = [(F.size("base") - F.size(F.array_remove(own, k))).cast("long").alias(f"n_{k}") for k in kinds]
@@ -60,7 +64,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_quality, op5_secrets, op6_pii, op8_neighbours, op9_decontamination, op10_repeats)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_quality, op4_toxicity, op5_secrets, op6_pii, op8_neighbours, op9_decontamination, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
