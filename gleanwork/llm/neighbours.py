@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.session import staged
@@ -151,7 +151,7 @@ def scan(q: np.ndarray, x: np.ndarray, blocks: np.ndarray, bound: float) -> np.n
 def _searched(index) -> Callable:
     def run(key: tuple, vectors: pa.Table, queries: pa.Table) -> pa.Table:
         i = Index(**index.value)
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        out: dict[str, list] = {"query_id": [], "best": []}
         if len(vectors) and len(queries):
             raw, ids = _matrix(vectors["v"]), vectors["id"].to_numpy()
             order = np.argsort(ids, kind="stable")
@@ -169,10 +169,11 @@ def _searched(index) -> Callable:
                 # Summed by one rule wherever a row lies, so that equal vectors score alike.
                 score = np.add.reduce(raw[found] * q, axis=1)
                 best = np.lexsort((ids[found], -score))[: i.k]
-                out["query_id"] += [q_id] * len(best)
-                out["vec_id"] += ids[found][best].tolist()
-                out["score"] += score[best].tolist()
-        return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
+                if len(best):
+                    out["query_id"].append(q_id)
+                    out["best"].append([{"below": -s, "vec_id": v} for s, v in zip(score[best].tolist(), ids[found][best].tolist(), strict=True)])
+        best = pa.list_(pa.struct([("below", pa.float64()), ("vec_id", pa.int64())]))
+        return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "best": pa.array(out["best"], best)})
     return run
 
 
@@ -197,6 +198,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, key: str = "vec_id"
     own = listed.join(plan, "list").select("list", spread("parts").alias("i"), each("q_parts").alias("j"), "id", "v")
     met = probing.join(plan, "list").select("list", spread("q_parts").alias("j"), each("parts").alias("i"), "id", "v", "bound")
     found = own.groupBy("list", "i", "j").cogroup(met.groupBy("list", "i", "j")).applyInArrow(
-        _searched(index), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        _searched(index), "query_id long, best array<struct<below:double,vec_id:long>>")
+    # At most k of each tile: a query's list is as long as the tiles it probes, times k.
+    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
+    ranked = best.select("query_id", F.posexplode("best").alias("place", "one"))
+    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), "one.vec_id", (-F.col("one.below")).alias("score"))
