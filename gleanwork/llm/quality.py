@@ -90,7 +90,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(_BLOCKS)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["block", "sums"])
 
 
-def _added(key: tuple, rows: pa.Table) -> pa.Table:
+def added(key: tuple, rows: pa.Table) -> pa.Table:
+    """Sum of a block's arrays of long numbers."""
     total = 0
     for b in rows["sums"]:
         total = total + np.frombuffer(b.as_py(), np.int64)
@@ -100,7 +101,7 @@ def _added(key: tuple, rows: pa.Table) -> pa.Table:
 def word_vectors(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
     """(unit word vectors, rarity weights) per bucket, from all documents; of fixed size."""
     sums = docs.select(F.col(text).alias("text")).mapInArrow(_summed, "block long, sums binary")
-    rows = sums.groupBy("block").applyInArrow(_added, "block long, sums binary").collect()
+    rows = sums.groupBy("block").applyInArrow(added, "block long, sums binary").collect()
     width = BUCKETS // _BLOCKS
     total, seen = np.zeros((BUCKETS, DIMENSIONS)), np.zeros(BUCKETS)
     for r in rows:

@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
 A text's features are its distinct words (letters, digits and non-ASCII characters, A-Z folded) and their
-beginnings of 3 to 6 bytes, hashed to `SLOTS`. Voters are the words of a small lexicon and the
+beginnings of 3 to 8 bytes, and apart from these the beginnings that several of its words share, hashed to `SLOTS`. Voters are the words of a small lexicon and the
 `LEARNT` features that tell toxic rows best among at most `SAMPLE` labelled rows (the smallest by
 hash of id). A voter votes "toxic" or abstains.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanwork.llm.quality import held_out, training_rows
+from gleanwork.llm.quality import added, held_out, training_rows
 from gleanwork.llm.words import NOT_ALNUM, byte_classes, chunks, constants, mix, words_of
 from gleanwork.session import staged
 
@@ -38,8 +38,8 @@ LEXICON = (
 ).split()
 BITS = 18
 SLOTS = 1 << BITS
-BEGINNINGS = (3, 4, 5, 6)
-SAMPLE, LEARNT, CHOSEN = 20_000, 96, 2048
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
+SAMPLE, LEARNT, CHOSEN = 20_000, 384, 4096
 ROUNDS, STEPS, DECAY = 30, 300, 1e-3
 THRESHOLD = 0.3
 
@@ -49,22 +49,31 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     w = words_of(data, offsets, *byte_classes(NOT_ALNUM, fold=True))
     folded = np.arange(256, dtype=np.uint64)
     folded[65:91] += 32
+    # Each text's distinct words.
     owner = w.owner()
-    slots, owners = [w.hashes], [owner]
-    size, seeds = w.ends - w.starts, constants(53, max(BEGINNINGS) + 1)
+    order = np.lexsort((w.hashes, owner))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (w.hashes[order[1:]] != w.hashes[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
+    kept = order[new]
+    hashes, owner, starts, size = w.hashes[kept], owner[kept], w.starts[kept], (w.ends - w.starts)[kept]
+    found, seeds = [_numbered(owner, hashes)], constants(53, max(BEGINNINGS) + 1)
     with np.errstate(over="ignore"):
         for n in BEGINNINGS:
             long = np.flatnonzero(size > n)
             x = np.zeros(len(long), dtype=np.uint64)
             for i in range(n):
-                x |= folded[data[w.starts[long] + i]] << np.uint64(8 * i)
-            slots.append(mix(x * seeds[n] + np.uint64(n)))
-            owners.append(owner[long])
-    both = (np.concatenate(owners).astype(np.int64) << BITS) | (np.concatenate(slots) >> np.uint64(64 - BITS)).astype(np.int64)
-    both = np.unique(both)
+                x |= folded[data[starts[long] + i]] << np.uint64(8 * i)
+            once, times = np.unique(_numbered(owner[long], mix(x * seeds[n] + np.uint64(n))), return_counts=True)
+            several = once[times > 1]
+            found += [once, _numbered(several >> BITS, mix(several.astype(np.uint64) & np.uint64(SLOTS - 1) ^ seeds[n]))]
+    both = np.unique(np.concatenate(found))
     return both & (SLOTS - 1), both >> BITS
 
 
+def _numbered(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return (owner.astype(np.int64) << BITS) | (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
 def slots_of_words(words: Sequence[str]) -> np.ndarray:
     out = []
     for word in words:
@@ -125,8 +134,8 @@ def _together(voters: np.ndarray) -> Callable:
                 votes = np.zeros((len(who), len(voters)), dtype=np.float32)
                 votes[at, x[use]] = 1
                 total += votes.T @ votes
-        rows = [r.astype(np.int64).tolist() for r in total] + [[texts]]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array(rows, pa.list_(pa.int64()))], names=["voter", "counts"])
+        rows = [r.astype(np.int64).tobytes() for r in total] + [np.int64(texts).tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.binary())], names=["block", "sums"])
     return run
 
 
@@ -215,13 +224,10 @@ def score_toxicity(
     learnt, chosen = _chosen([r for r in counts if r["slot"] >= 0], n)
     voters = np.unique(np.concatenate([slots_of_words(LEXICON), learnt]).astype(np.int64))
     chosen = np.unique(np.concatenate([chosen, voters]))
-    pairs = docs.select(F.col(text).alias("text")).mapInArrow(_together(voters), "voter int, counts array<long>").select("voter", F.posexplode("counts"))
-    together, texts = np.zeros((len(voters), len(voters))), 0
-    for r in pairs.groupBy("voter", "pos").agg(F.sum("col").alias("n")).collect():
-        if r["voter"] < len(voters):
-            together[r["voter"], r["pos"]] = r["n"]
-        else:
-            texts = r["n"]
+    pairs = docs.select(F.col(text).alias("text")).mapInArrow(_together(voters), "block long, sums binary")
+    pairs = {r["block"]: np.frombuffer(r["sums"], np.int64) for r in pairs.groupBy("block").applyInArrow(added, "block long, sums binary").collect()}
+    together = np.array([pairs.get(i, np.zeros(len(voters))) for i in range(len(voters))])
+    texts = int(pairs.get(len(voters), [0])[0])
     rows = known.mapInArrow(_reduced(voters, chosen), "votes array<int>, features array<int>").collect()
     votes = np.zeros((len(rows), len(voters)))
     for i, r in enumerate(rows):
