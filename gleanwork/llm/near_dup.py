@@ -235,6 +235,18 @@ def _tiles(postings: DataFrame, low: DataFrame, classes: DataFrame) -> DataFrame
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
+    found = _labelled(docs, key, text)
+    return found.select(F.col("doc").alias(key), "n_shingles", "component_id", "kept")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that are kept, with all their columns unchanged. Rows are told apart by id and text."""
+    gone = _labelled(docs, key, text).filter(~F.col("kept")).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk")).distinct()
+    same = F.col(key).eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(text)) == F.col("__tk"))
+    return docs.join(staged(gone, "duplicates"), same, "left_anti")
+
+
+def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
     slim = docs.select(F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("tk"), F.col(text).alias("text"))
     kind = slim.schema["doc"].dataType.simpleString()
     signed = staged(slim.mapInArrow(_signed, f"doc {kind}, tk long, n long, f1 long, f2 long, sig array<int>"), "signatures")
@@ -255,7 +267,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     named = classes.join(low.withColumnRenamed("node", "cls"), "cls", "left").select("f1", "f2", "n", "low_doc", F.coalesce("low", "cls").alias("comp"))
     least = named.groupBy("comp").agg(F.min("low_doc").alias("component"))
     named = staged(named.join(least, "comp").select("f1", "f2", F.col("n").alias("size"), "component"), "components")
-    out = signed.select("doc", "n", "f1", "f2").join(
+    out = signed.select("doc", "tk", "n", "f1", "f2").join(
         named.withColumnsRenamed({"f1": "g1", "f2": "g2"}), (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("n") == F.col("size")), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc").eqNullSafe(component).alias("kept"))
+    return out.select("doc", "tk", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc").eqNullSafe(component).alias("kept"))

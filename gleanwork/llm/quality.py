@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanwork.llm.words import BLANKS, byte_classes, chunks, constants, mix, words_of
-from gleanwork.session import staged
 
 BITS, DIMENSIONS, SPARSE, REACH, SHORT = 14, 64, 4, 2, 4
 BUCKETS = 1 << BITS
@@ -113,23 +112,26 @@ def word_vectors(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
     return (total / np.maximum(length, 1e-9)).astype(np.float32), (RARE / (RARE + share)).astype(np.float32)
 
 
-def _pooled(shared) -> Callable:
+def pooled(text: pa.Array, vectors: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """One row per text: the mean of its words' vectors, plain and weighted by rarity."""
+    out = np.zeros((len(text), 2 * DIMENSIONS), dtype=np.float32)
+    for row, to, data, offsets in chunks(text):
+        b, first = buckets_of(data, offsets)
+        n = np.diff(first)
+        full = np.flatnonzero(n > 0)
+        if len(full):
+            v, weights, starts = vectors[b], rarity[b], first[:-1][full]
+            out[row + full, :DIMENSIONS] = np.add.reduceat(v, starts) / n[full, None]
+            out[row + full, DIMENSIONS:] = np.add.reduceat(v * weights[:, None], starts) / np.add.reduceat(weights, starts)[:, None]
+    return out
+
+
+def _sampled(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, rarity = shared.value
         for batch in batches:
-            for row, to, data, offsets in chunks(batch.column("__text")):
-                b, first = buckets_of(data, offsets)
-                out = np.zeros((to - row, 2 * DIMENSIONS), dtype=np.float32)
-                n = np.diff(first)
-                full = np.flatnonzero(n > 0)
-                if len(full):
-                    v = vectors[b]
-                    out[full, :DIMENSIONS] = np.add.reduceat(v, first[:-1][full]) / n[full, None]
-                    weights = rarity[b]
-                    out[full, DIMENSIONS:] = np.add.reduceat(v * weights[:, None], first[:-1][full]) / np.add.reduceat(weights, first[:-1][full])[:, None]
-                pooled = pa.ListArray.from_arrays(np.arange(to - row + 1, dtype=np.int32) * out.shape[1], pa.array(out.ravel()))
-                own = [batch.column(i)[row:to] for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*own, pooled], names=[*batch.schema.names[:-1], "__vector"])
+            x = pooled(batch.column("text"), *shared.value)
+            lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), lists], names=["id", "y", "x"])
     return run
 
 
@@ -175,12 +177,11 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 3) -> dict:
     return net
 
 
-def _scored(shared) -> Callable:
+def _scored(vectors, net) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column("__vector").flatten().to_numpy().reshape(len(batch), -1).astype(np.float64)
-            score = probability(x, shared.value) if len(batch) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*batch.schema.names[:-1], "score"])
+            x = pooled(batch.column("__text"), *vectors.value).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(probability(x, net.value))], names=[*batch.schema.names[:-1], "score"])
     return run
 
 
@@ -201,19 +202,27 @@ def score_quality(
     folds: int = 3, fold: int = 1, sample: int = SAMPLE,
 ) -> DataFrame:
     """The columns `keep` of every document with `held_out`, `score` and `predicted`."""
-    spark = docs.sparkSession
-    own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
-    rows = docs.select(*[F.col(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
-    vectors = spark.sparkContext.broadcast(word_vectors(docs, text))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__vector", T.ArrayType(T.FloatType()))])
-    pooled = staged(rows.mapInArrow(_pooled(vectors), schema), "pooled")
+    context = docs.sparkSession.sparkContext
+    vectors = context.broadcast(word_vectors(docs, text))
     # At most `sample` rows.
     wanted = F.broadcast(training_rows(labels, key, label, folds, fold, sample))
-    known = pooled.select("__key", "__vector").join(wanted, F.col("__key") == F.col("__labelled")).select("__labelled", "y", "__vector")
-    known = known.orderBy(F.xxhash64("__labelled"), "__labelled", "y").limit(sample).collect()
-    x = np.array([r["__vector"] for r in known], dtype=np.float64).reshape(len(known), 2 * DIMENSIONS)
-    net = spark.sparkContext.broadcast(train(x, np.array([r["y"] for r in known], dtype=np.float64)))
-    out = pooled.mapInArrow(_scored(net), T.StructType([*schema.fields[:-1], T.StructField("score", T.DoubleType())]))
+    known = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(wanted, F.col("k") == F.col("__labelled"))
+    known = known.select(F.col("__labelled").alias("id"), "y", "text").mapInArrow(_sampled(vectors), f"id {wanted.schema['__labelled'].dataType.simpleString()}, y int, x array<float>")
+    known = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample).collect()
+    x = np.array([r["x"] for r in known], dtype=np.float64).reshape(len(known), 2 * DIMENSIONS)
+    net = context.broadcast(train(x, np.array([r["y"] for r in known], dtype=np.float64)))
+    own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
+    rows = docs.select(*[F.col(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
+    out = rows.mapInArrow(_scored(vectors, net), T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
     return out.select(
         *[F.col(v).alias(c) for c, v in own.items()], held_out(F.col("__key"), folds, fold).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The documents with a score of at least 0.5, with all their columns unchanged."""
+    own = {c: f"__own_{i}" for i, c in enumerate(docs.columns)}
+    options = {"key": "doc_id", "text": "text"} | options
+    scored = score_quality(docs.withColumnsRenamed(own), labels.withColumnRenamed(options["key"], own[options["key"]]), list(own.values()),
+                           **options | {"key": own[options["key"]], "text": own[options["text"]]})
+    return scored.filter("predicted = 1").select(*[F.col(v).alias(c) for c, v in own.items()])
