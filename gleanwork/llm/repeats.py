@@ -310,7 +310,7 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str], key: str = "doc_id", te
     slots = max(split.groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
     slim = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("fp"), F.col(text).alias("text"))
     posted = slim.mapInArrow(_postings(shared), _BLOCK)
-    replies = posted.repartition(slots, "to").mapInArrow(_answers(slots), _REPLY)
+    replies = posted.repartitionById(slots, F.col("to")).mapInArrow(_answers(slots), _REPLY)
     bare = [F.lit(None).cast("binary").alias(f"__{c}") for c in ("ids", "texts", "counts", "at")]
     rows = docs.select(
         F.lit(True).alias("__is_doc"), F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("__id"),
@@ -318,7 +318,7 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str], key: str = "doc_id", te
     slot = F.pmod(F.col("__id").bitwiseXOR(F.col("__fp")), F.lit(slots)).cast("int")
     rows = rows.select(slot.alias("__to"), *rows.columns)
     gone = replies.select(F.col("to").alias("__to"), F.lit(False).alias("__is_doc"), *[F.col(c).alias(f"__{c}") for c in ("ids", "texts", "counts", "at")])
-    met = rows.unionByName(gone, allowMissingColumns=True).repartition(slots, "__to").sortWithinPartitions("__is_doc")
+    met = rows.unionByName(gone, allowMissingColumns=True).repartitionById(slots, F.col("__to")).sortWithinPartitions("__is_doc")
     schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in keep], T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("spans", _SPANS)])
     arrow = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()),
