@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, pii, quality, repeats, secrets, spans, toxicity
+from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, pii, quality, repeats, secrets, spans, tool_calls, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(pii.find_pii(_table(spark, sf_dir, "documents"), ["doc_id"]), list(pii.STRICT))
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link_calls(*tool_calls.calls_of(_table(spark, sf_dir, "conversations")), tool_calls.SCHEMAS)
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -64,8 +68,8 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_quality, op4_toxicity, op5_secrets, op6_pii, op8_neighbours, op9_decontamination, op10_repeats)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_quality, op4_toxicity, op5_secrets, op6_pii, op7_tool_calls, op8_neighbours, op9_decontamination, op10_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.SQL}
+    return {"op1_mixing": mixing.SQL, "op7_tool_calls": tool_calls.SQL}
