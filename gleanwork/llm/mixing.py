@@ -52,7 +52,7 @@ def targets(rows: DataFrame, weights: Sequence[int], max_copies: int) -> DataFra
     """One row per source: its words, its target, copies for all and what is left to sample."""
     per = rows.groupBy("__source").agg(
         F.sum("__size").alias("source_size"),
-        (F.sum(F.col("__size") * F.col("__liking")) / (F.sum("__size") * 1000.0)).alias("mean_liking"),
+        F.try_divide(F.sum(F.col("__size") * F.col("__liking")), F.sum("__size") * 1000.0).alias("mean_liking"),
     )
     place = F.row_number().over(Window.orderBy(F.col("__source").asc_nulls_last()))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(place - 1, F.lit(len(weights))) + 1).cast("int"))
@@ -87,7 +87,7 @@ def _rank() -> Column:
     tilt = (F.col("__liking") / 1000.0 - mean) / F.greatest(mean, 1.0 - mean)
     p = f + f * (1.0 - f) * tilt
     q = (F.col("__u") / (1.0 - F.col("__u"))) * ((1.0 - p) / p)
-    return F.floor(q / (1.0 + q) * F.lit(float(1 << _RANK_BITS))).cast("long")
+    return F.when(f > 0, F.floor(q / (1.0 + q) * F.lit(float(1 << _RANK_BITS))).cast("long"))
 
 
 def _narrowed(ranked: DataFrame, plan: DataFrame, depth: int) -> DataFrame:
