@@ -47,9 +47,12 @@ def any_word(c: Column, keywords: Sequence[str], escape: bool = False) -> Column
     return _false_if_null(F.rlike(c, F.lit("(?iu)" + word_pattern(keywords, escape))))
 
 
-def text_contains(c: Column, keyword: str) -> Column:
-    """Substring test on the stringified cell, where a missing cell reads `nan`."""
-    return F.contains(F.lower(F.coalesce(c.cast("string"), F.lit("nan"))), F.lit(keyword))
+def text_contains(c: Column, keyword: str, regex: bool = False) -> Column:
+    """Keyword or pattern in the stringified cell, ignoring case, where a missing cell reads `nan`."""
+    cell = F.coalesce(c.cast("string"), F.lit("nan"))
+    if regex:
+        return F.rlike(cell, F.lit("(?iu)" + keyword))
+    return F.contains(F.lower(cell), F.lit(keyword.lower()))
 
 
 def differs(a: Column, b: Column) -> Column:
@@ -69,11 +72,22 @@ def has_suffix(c: Column, suffix: str) -> Column:
     return _false_if_null(F.endswith(F.lower(strip(c)), F.lit(suffix)))
 
 
-def page_status(url: Column, title: Column, heading: Column, html: Column) -> Column:
-    """login / captcha / blocked / dead / ok. Detection only."""
+def visible_text(html: Column) -> Column:
+    """What stands between the tags, scripts and styles left out."""
+    return F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>", " ")
+
+
+def page_status(
+    url: Column, title: Column, heading: Column, html: Column, captcha_words: Sequence[str] = lx.CAPTCHA_WORDS
+) -> Column:
+    """login / captcha / blocked / dead / ok. Detection only.
+
+    Which words give a challenge page away depends on the kind of page; they are looked for in its
+    visible text.
+    """
     return (
         F.when(any_keyword(url, lx.LOGIN_MARKERS, case_sensitive=True), "login")
-        .when(any_keyword(html, lx.CAPTCHA_WORDS), "captcha")
+        .when(any_keyword(visible_text(html), captcha_words), "captcha")
         .when(_false_if_null(F.contains(title, F.lit(lx.BLOCK_TITLE))), "blocked")
         .when(_false_if_null(strip(heading) == lx.DEAD_HEADING), "dead")
         .otherwise("ok")

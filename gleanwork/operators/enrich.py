@@ -22,7 +22,6 @@ from gleanwork.operators.skew import equi_join
 
 Infer = Callable[[list[str]], Sequence[str | None]]
 ANSWER = "response STRING, error STRING"
-MAX_ERROR_CHARS = 100
 
 
 def ask(prompt: Column, infer: Infer, batch_size: int = 50) -> Column:
@@ -38,7 +37,7 @@ def ask(prompt: Column, infer: Infer, batch_size: int = 50) -> Column:
                 raise ValueError(f"{len(got)} answers for {len(prompts)} prompts")
             return [(g, None) for g in got]
         except Exception as e:  # noqa: BLE001 - any failure of user code is recorded per row
-            return [(None, str(e)[:MAX_ERROR_CHARS])] * len(prompts)
+            return [(None, str(e))] * len(prompts)
 
     @F.pandas_udf(ANSWER)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -55,29 +54,39 @@ def ask(prompt: Column, infer: Infer, batch_size: int = 50) -> Column:
 
 
 def enrich(
-    df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50,
-    max_parallelism: int | None = None,
+    df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50
 ) -> DataFrame:
-    """Adds `response` and `error`. `max_parallelism` caps the number of concurrent callers."""
-    source = df if max_parallelism is None else df.repartition(max_parallelism)
-    asked = source.withColumn("__a", ask(prompt, infer, batch_size))
+    """Adds `response` and `error`."""
+    asked = df.withColumn("__a", ask(prompt, infer, batch_size))
     return asked.select(*df.columns, "__a.response", "__a.error")
 
 
 def enrich_distinct(
-    df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50, spread_by: Sequence[str] | None = None
+    df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50, spread_by: Sequence[str] | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Ask once per distinct prompt and join the answers back by digest.
 
-    `spread_by` names a row ordinal where one prompt may belong to a large share of the rows.
+    `spread_by` names a row ordinal where one prompt may belong to a large share of the rows. With
+    a `store`, answers are kept in that table and later runs do not ask again. Rows without a prompt
+    match nothing.
     """
+    if store is not None:
+        return enrich_with_store(df, prompt, infer, store, batch_size, spread_by)
     keyed = df.withColumn("__prompt", prompt).withColumn("__digest", F.sha2("__prompt", 256))
-    once = keyed.filter(F.col("__prompt").isNotNull()).groupBy("__digest").agg(F.max("__prompt").alias("__prompt"))
+    once = keyed.filter(F.col("__prompt").isNotNull()).select("__digest", "__prompt").distinct()
     answered = once.select("__digest", ask(F.col("__prompt"), infer, batch_size).alias("__a"))
-    joined = equi_join(keyed, answered, ["__digest"], "left", "drop", spread_by)
+    joined = equi_join(_spread_nulls(keyed, "__digest", df.columns), answered, ["__digest"], "left", "drop", spread_by)
     return joined.select(*df.columns, "__a.response", "__a.error")
 
 
+def _spread_nulls(keyed: DataFrame, digest: str, columns: Sequence[str]) -> DataFrame:
+    """Rows without a prompt would share one join key; a hash of the row, no digest, spreads them."""
+    kinds = dict(keyed.dtypes)
+    own = F.xxhash64(*[c for c in columns if "map<" not in kinds[c] and "variant" not in kinds[c]])
+    return keyed.withColumn(digest, F.coalesce(digest, own.cast("string")))
+
+
 def enrich_with_store(
     df: DataFrame, prompt: Column, infer: Infer, store: str, batch_size: int = 50,
     spread_by: Sequence[str] | None = None,
@@ -89,22 +98,25 @@ def enrich_with_store(
     spark = df.sparkSession
     schema = "digest STRING, " + ANSWER
     keyed = df.withColumn("__prompt", prompt).withColumn("digest", F.sha2("__prompt", 256))
-    wanted = keyed.filter(F.col("__prompt").isNotNull()).groupBy("digest").agg(F.max("__prompt").alias("__prompt"))
+    wanted = keyed.filter(F.col("__prompt").isNotNull()).select("digest", "__prompt").distinct()
+    new = wanted
     try:
         known = spark.read.schema(schema).parquet(store).filter("error IS NULL")
-        wanted = non_members(wanted, known, "digest")
-    except AnalysisException:
-        pass  # no store yet
-    asked = wanted.select("digest", ask(F.col("__prompt"), infer, batch_size).alias("a"))
+        new = non_members(wanted, known, "digest")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    asked = new.select("digest", ask(F.col("__prompt"), infer, batch_size).alias("a"))
     asked.select("digest", "a.*").write.mode("append").parquet(store)
     # A failed answer may be followed by a good one; a good answer wins.
     kept = (
         spark.read.schema(schema).parquet(store)
+        .join(wanted.select("digest"), "digest", "left_semi")
         .groupBy("digest")
         .agg(F.max("response").alias("response"), F.max("error").alias("error"))
         .withColumn("error", F.when(F.col("response").isNull(), F.col("error")))
     )
-    joined = equi_join(keyed, kept, ["digest"], "left", "drop", spread_by)
+    joined = equi_join(_spread_nulls(keyed, "digest", df.columns), kept, ["digest"], "left", "drop", spread_by)
     return joined.select(*df.columns, "response", "error")
 
 
@@ -113,11 +125,11 @@ def keep_answered(df: DataFrame, column: str = "response") -> DataFrame:
     return df.filter(F.col(column).isNotNull() & (F.col(column) != ""))
 
 
-def translate(df: DataFrame, column: str, infer: Infer) -> DataFrame:
+def translate(df: DataFrame, column: str, infer: Infer, store: str | None = None) -> DataFrame:
     """Translation batch. `infer` returns JSON with `response` and `total_duration`."""
     prompt = text.fill(lx.TRANSLATE_PROMPT, text=F.col(column))
     v = F.try_parse_json(F.col("response"))
-    asked = enrich(df, prompt, infer)
+    asked = enrich_distinct(df, prompt, infer, store=store)
     out = asked.select(
         F.col(column).alias("original"),
         text.lstrip(F.try_variant_get(v, "$.response", "string")).alias("translation"),
@@ -126,9 +138,9 @@ def translate(df: DataFrame, column: str, infer: Infer) -> DataFrame:
     return keep_answered(out, "translation")
 
 
-def describe_images(images: DataFrame, infer: Infer, batch_size: int = 4) -> DataFrame:
+def describe_images(images: DataFrame, infer: Infer, batch_size: int = 4, store: str | None = None) -> DataFrame:
     """path, description. The prompt is the base64 payload; failures become error texts."""
-    asked = enrich(images, F.col("payload"), infer, batch_size)
+    asked = enrich_distinct(images, F.col("payload"), infer, batch_size, store=store)
     return asked.select(
         "path",
         F.when(F.col("error").isNotNull(), F.concat(F.lit("Error: "), F.col("error")))
@@ -205,7 +217,7 @@ def curate(
     return repaired, candidates
 
 
-def judged_by(case: UseCase, infer: Infer | None = None) -> Callable[[DataFrame], DataFrame]:
+def judged_by(case: UseCase, infer: Infer | None = None, store: str | None = None) -> Callable[[DataFrame], DataFrame]:
     """By the model, where an invalid response fails the job; without one by the keywords."""
 
     def by_rules(cohort: DataFrame) -> DataFrame:
@@ -214,7 +226,7 @@ def judged_by(case: UseCase, infer: Infer | None = None) -> Callable[[DataFrame]
         return cohort.withColumn("relevant", hit).withColumn("reason", reason)
 
     def by_model(cohort: DataFrame) -> DataFrame:
-        asked = enrich(cohort, case.prompt(), infer)
+        asked = enrich_distinct(cohort, case.prompt(), infer, store=store)
         parsed = responses.require_valid(
             responses.parse_use_check(F.col("response"), case.answer_flag), F.col("response")
         )

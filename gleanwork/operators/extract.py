@@ -44,6 +44,7 @@ class Take:
     many: all matching descendants, joined with this separator.
     value: `text` (stripped), `pieces` (every text piece stripped), `words` (blanks collapsed)
     or the name of an attribute.
+    filled: an empty value counts as missing.
     """
 
     name: str
@@ -55,6 +56,7 @@ class Take:
     many: str | None = None
     prefix: str = ""
     page_level: bool = False
+    filled: bool = False
 
 
 @dataclass(frozen=True)
@@ -216,6 +218,8 @@ def _take(page: _Page, scope: _Node, spec: Take) -> str | None:
         if spec.then is not None:
             node = page.first_in(node, spec.then) or (node if _matches(node, spec.then) else None)
         got = _value(node, spec.value) if node is not None else None
+        if spec.filled and not got:
+            got = None
         if spec.rule == "existing" or (spec.rule == "non_empty" and got):
             break
         if spec.rule == "url":

@@ -121,8 +121,8 @@ def overwrite_from(
 def frontier(
     urls: DataFrame, ledger: DataFrame, key: str, retry_failed: bool = True, spread_by: Spread = None
 ) -> DataFrame:
-    """URLs still to fetch. Failed ones stay in unless `retry_failed` is off."""
-    done = ledger.filter(F.col("status") == "completed") if retry_failed else ledger
+    """URLs still to fetch. Completed and dead ones are done; failed ones stay in unless `retry_failed` is off."""
+    done = ledger.filter(F.col("status").isin("completed", "dead")) if retry_failed else ledger
     return non_members(urls, done, key, spread_by=spread_by)
 
 

@@ -15,29 +15,26 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), SPLIT), lambda w: w != "")
 
 
-def match_terms(
-    df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", salts: int = 1
-) -> DataFrame:
+def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term") -> DataFrame:
     """(key, term) for every term that occurs as a whole word or phrase, ignoring case.
 
-    The same answer as `predicates.any_word` with escaped keywords, for any number of terms: the
-    distinct words of each text join the terms on their first word. Terms that are one plain word
-    are settled by that; for the others the texts holding all their words are tested. Terms
-    without a single word character are not matched.
+    The same answer as `predicates.any_word` with escaped keywords, for any number of terms. The
+    distinct words of each text, one row each, join the distinct words of the terms, so the work is
+    linear in the texts. Terms of one plain word are settled by that. For the others the words a
+    text shares with a term are counted, and only the texts that hold all of them are tested.
+    Terms without a single word character are not matched. Keys are unique.
 
-    A word that stands in most texts would make one large group once the term list is too large
-    to broadcast; `salts` copies of the list cut every such group into as many parts.
+    A word that stands in most texts is split by Spark as a skewed join: both sides come straight
+    from their exchange.
     """
-    wanted = terms.select(F.col(term).alias("term"), _words(F.col(term)).alias("__t")).distinct()
-    wanted = wanted.filter(F.size("__t") > 0).withColumn("__first", F.get("__t", F.lit(0)))
-    words = df.select(key, F.array_distinct(_words(F.col(text))).alias("__words"))
-    part = F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
-    exploded = words.select(key, "__words", F.explode("__words").alias("__first"), part.alias("__part"))
-    copies = wanted.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    candidates = exploded.join(copies, ["__first", "__part"])
-    plain = F.lower("term") == F.col("__first")
-    single = candidates.filter(plain).select(key, "term")
-    possible = candidates.filter(~plain & (F.size(F.array_except("__t", "__words")) == 0)).select(key, "term")
+    listed = terms.select(F.col(term).alias("term")).distinct().select("term", F.array_distinct(_words(F.col("term"))).alias("__t"))
+    wanted = listed.select("term", F.size("__t").alias("__n"), F.explode("__t").alias("__word"))
+    words = df.select(key, F.explode(F.array_distinct(_words(F.col(text)))).alias("__word"))
+    hits = words.join(wanted, "__word")
+    plain = F.lower("term") == F.col("__word")
+    single = hits.filter(plain).select(key, "term")
+    held = hits.filter(~plain).groupBy(key, "term").agg(F.count("*").alias("__held"), F.first("__n").alias("__n"))
+    possible = held.filter(F.col("__held") >= F.col("__n")).select(key, "term")
     quoted = F.concat(F.lit(r"\Q"), F.replace("term", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     pattern = F.concat(F.lit("(?iu)" + WORD_START), quoted, F.lit(WORD_END))
     phrases = possible.join(df.select(key, text), key).filter(F.rlike(F.col(text), pattern)).select(key, "term")

@@ -148,7 +148,7 @@ PROFILES = RecordSpec(
     ),
     fields=(
         Take("name", _NAME, "pieces", default=lx.NOT_AVAILABLE),
-        Take("profile_url", _NAME, "href", default=lx.NOT_AVAILABLE, then=El("a"), prefix=lx.PROFILE_HOST),
+        Take("profile_url", _NAME, "href", default=lx.NOT_AVAILABLE, then=El("a"), prefix=lx.PROFILE_HOST, filled=True),
         Take("affiliation", (_cls("div", "gs_ai_aff"), El("div", single_text=True)), "pieces", default=lx.NOT_AVAILABLE),
         Take("email", (_cls("div", "gs_ai_eml"),), "pieces", default=lx.NOT_AVAILABLE),
         Take("citations", (_cls("div", "gs_ai_cby"),), "pieces", default=lx.NOT_AVAILABLE),
@@ -156,7 +156,7 @@ PROFILES = RecordSpec(
             "research_interests", (_cls("div", "gs_ai_int"),), "pieces", default=lx.NOT_AVAILABLE,
             then=_cls("a", "gs_ai_one_int"), many=", ",
         ),
-        Take("image_url", (El("img"),), "src", default=lx.NOT_AVAILABLE),
+        Take("image_url", (El("img"),), "src", default=lx.NOT_AVAILABLE, filled=True),
     ),
 )
 _LINKED = El("a", inside=_cls(None, "gs_ai_name"))

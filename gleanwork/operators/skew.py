@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-_IS_HOT = "__is_hot"
+from gleanwork.session import staged
+
+_SALTS = "__salts"
 _SALT = "__salt"
 
 
@@ -29,23 +31,24 @@ def rename_keys(df: DataFrame, keys: Sequence[str], prefix: str) -> tuple[DataFr
     return df.withColumnsRenamed(dict(zip(keys, names, strict=True))), names
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """Keys owning more than `share` of the rows: never more than 1/share of them."""
-    total = df.agg(F.count("*").alias("n")).scalar()
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("__n"))
-        .filter(F.col("__n") > total * F.lit(share))
-        .select(*keys)
-    )
+def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """Keys owning more rows than a fair part, with the number of salts that makes them fair.
+
+    One pass over the rows, written: keys and the total come from the same counts. Never more than
+    `parts` keys, with at most twice `parts` salts among them.
+    """
+    rows = Observation()
+    counts = df.observe(rows, F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.count("*").alias("__n"))
+    counts = staged(counts.filter("__n > 1"), "key-counts")
+    fair = max(1.0, rows.get["n"] / parts)
+    return counts.filter(F.col("__n") > fair).select(*keys, F.ceil(F.col("__n") / F.lit(fair)).cast("int").alias(_SALTS))
 
 
-def _flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # At most 1/share rows by construction, so the broadcast is bounded.
-    marks, names = rename_keys(hot, list(hot.columns), "__hot_")
-    marks = F.broadcast(marks.withColumn("__mark", F.lit(True)))
-    joined = df.join(marks, key_condition(keys, names, "match"), "left")
-    return joined.select(*df.columns, F.coalesce(F.col("__mark"), F.lit(False)).alias(_IS_HOT))
+def _with_salts(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # As many rows as there are parts at most, so the broadcast is bounded.
+    marks, names = rename_keys(hot, [c for c in hot.columns if c != _SALTS], "__hot_")
+    joined = df.join(F.broadcast(marks), key_condition(keys, names, "match"), "left")
+    return joined.select(*df.columns, F.coalesce(F.col(_SALTS), F.lit(1)).alias(_SALTS))
 
 
 def salted_join(
@@ -56,37 +59,36 @@ def salted_join(
     how: str = "inner",
     null_keys: str = "match",
     right_spread_by: Sequence[str] | None = None,
-    salts: int = 64,
-    share: float = 0.005,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Join with the rows of hot keys spread over `salts` partitions.
-
-    A left row of a key that is hot on the left takes a salt from `spread_by` (a row ordinal, so
-    a recomputed task gives the same salt), and the right rows of that key are repeated once per
-    salt. With `right_spread_by` keys that are hot on the right are treated the same way round
-    (inner joins only). All other rows stay single, so the result is that of the plain join.
-    Key columns come from the left; other shared names must be resolved by the caller.
+    """Join with the rows of hot keys spread over as many partitions as their share asks for.
+
+    A left row of a key that holds more than one of `parts` fair parts (the shuffle partitions, if
+    not given) takes a salt from `spread_by` (a row ordinal, so a recomputed task gives the same
+    salt), and the right rows of that key are repeated once per salt. With `right_spread_by` keys
+    that are hot on the right are treated the same way round (inner joins only). All other rows
+    stay single, so the result is that of the plain join. Key columns come from the left; other
+    shared names must be resolved by the caller.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
     if right_spread_by and how != "inner":
         raise ValueError("right_spread_by needs an inner join")
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     renamed, names = rename_keys(right, keys, "__right_")
     sides = [(left, keys), (renamed, names)]
-    salted = [(hot_keys(left, keys, share), spread_by)]
+    salted = [(hot_keys(left, keys, parts), spread_by)]
     if right_spread_by:
         own = [names[keys.index(c)] if c in keys else c for c in right_spread_by]
-        salted.append((hot_keys(renamed, names, share), own))
+        salted.append((hot_keys(renamed, names, parts), own))
     condition = key_condition(keys, names, null_keys)
     for side, (hot, spread) in enumerate(salted):
-        salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        salt = F.pmod(F.xxhash64(*spread), F.col(_SALTS)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))
         made = []
         for i, (df, df_keys) in enumerate(sides):
-            one = F.when(F.col(_IS_HOT), salt).otherwise(F.lit(0))
-            copies = F.explode(F.when(F.col(_IS_HOT), every).otherwise(F.array(F.lit(0))))
-            flagged = _flag_hot(df, hot, df_keys)
-            made.append((flagged.withColumn(f"{_SALT}_{side}_{i}", one if i == side else copies).drop(_IS_HOT), df_keys))
+            counted = _with_salts(df, hot, df_keys)
+            made.append((counted.withColumn(f"{_SALT}_{side}_{i}", salt if i == side else copies).drop(_SALTS), df_keys))
         sides = made
         condition = condition & (F.col(f"{_SALT}_{side}_0") == F.col(f"{_SALT}_{side}_1"))
     extra = [f"{_SALT}_{s}_{i}" for s in range(len(salted)) for i in (0, 1)]

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
-from gleanwork.functions import tags
+from gleanwork.functions import responses, tags
 from gleanwork.operators import aggregates, dedup, enrich, joins
 
-
 USE_CASES = {
     name: enrich.UseCase(name, name, words, whole_word=whole, tag_column=column)
     for table, whole, column in (
@@ -35,7 +34,7 @@ def cohort(base: DataFrame, name: str) -> DataFrame:
 
 
 def remove_tags(
-    base: DataFrame, keywords: Sequence[str] = lx.ENERGY_TAGS, tool_ids: DataFrame | None = None,
+    base: DataFrame, keywords: Sequence[str], tool_ids: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Delete keywords from the aggregated uses, of all tools or of the listed ones."""
@@ -70,12 +69,22 @@ def merged_tools(base: DataFrame, order: str) -> DataFrame:
 
 
 def curate_and_merge(
-    base: DataFrame, case: enrich.UseCase, order: str, infer: enrich.Infer | None = None
+    base: DataFrame, case: enrich.UseCase, order: str, infer: enrich.Infer | None = None, store: str | None = None
 ) -> DataFrame:
-    """Curate one use, write the repaired tags back to the catalogue, one record per tool.
+    """Curate one use, repair the tags of its cohort in place, one record per tool.
 
-    `order` is the row ordinal; edits go back by it, so each row gets its own repaired cell.
+    A cell depends on its own row alone: without a model nothing is joined, with one only its
+    answers are, once per distinct prompt.
     """
-    judged, _ = enrich.curate(base, case, "tool_id", enrich.judged_by(case, infer))
-    repaired = joins.overwrite_from(base, judged, order, [case.tag_column])
-    return merged_tools(repaired, order)
+    cohort = case.suggests(case.tag_column)
+    if infer is None:
+        judged, relevant = base, case.suggests(case.text_column)
+    else:
+        asked = enrich.enrich_distinct(base, F.when(cohort, case.prompt()), infer, spread_by=[order], store=store)
+        parsed = responses.require_valid(
+            responses.parse_use_check(F.col("response"), case.answer_flag), F.col("response"))
+        judged = asked.withColumn("__r", F.when(cohort, parsed))
+        relevant = F.col("__r.relevant")
+    tag = F.col(case.tag_column)
+    edited = F.when(cohort, tags.upsert_tag(tag, case.target_tag, relevant)).otherwise(tag)
+    return merged_tools(judged.withColumn(case.tag_column, edited).select(*base.columns), order)

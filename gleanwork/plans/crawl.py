@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
 from gleanwork.functions import predicates, text, urls
-from gleanwork.operators import extract, joins, page_specs
+from gleanwork.operators import dedup, extract, joins, page_specs, skew
 
 
 def product_rows(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -16,8 +18,9 @@ def product_rows(pages: DataFrame, url: str = "url") -> DataFrame:
     record = extract.records_column(F.col("html"), page_specs.PRODUCT_PAGE)
     href = F.nullif(F.col("__r.visit_href"), F.lit(""))
     absolute = F.when(F.startswith(href, F.lit("http")), href).otherwise(urls.absolute_url(F.col(url), href))
+    # Product pages have no challenge page of their own.
     status = predicates.page_status(
-        F.col(url), F.col("__r.page_title"), F.col("__r.product_name"), F.col("html")
+        F.col(url), F.col("__r.page_title"), F.col("__r.product_name"), F.col("html"), captcha_words=()
     )
     return pages.withColumn("__r", F.get(record, F.lit(0))).select(
         *kept,
@@ -29,17 +32,26 @@ def product_rows(pages: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
-def crawl_run(urls: DataFrame, ledger: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
+def crawl_run(
+    urls: DataFrame, ledger: DataFrame, pages: DataFrame, key: str = "url", fetched: str | None = None,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """One run over the URLs not yet done: a product row and a ledger status for each.
 
-    URLs without a page keep a row with nulls. Only live pages count as completed, so dead and
-    blocked ones stay in the frontier.
+    URLs without a page keep a row with nulls. Live pages are completed, dead ones final; blocked
+    and missing ones stay in the frontier. Pages are joined once and parsed afterwards. With
+    `fetched`, a time column, the latest page of a URL counts; otherwise pages are unique.
     """
+    if fetched is not None:
+        newest = pages.withColumn("__age", -F.unix_micros(F.col(fetched).cast("timestamp")))
+        pages = dedup.keep_first(newest, [key], ["__age"]).drop("__age")
     todo = joins.frontier(urls.select(key).distinct(), ledger, key)
-    wanted = joins.members(pages, todo, key)
-    rows = joins.attach_results(todo, product_rows(wanted, key), key, {"page_status": "missing"})
-    status = F.when(F.col("page_status") == "ok", "completed").otherwise("failed")
-    return rows.withColumn("status", status)
+    found = skew.equi_join(todo, pages.withColumn("__got", F.lit(True)), [key], "left", "drop", spread_by)
+    rows = product_rows(found, key)
+    there = F.coalesce(F.col("__got"), F.lit(False))
+    page = F.when(there, F.col("page_status")).otherwise("missing")
+    status = F.when(page == "ok", "completed").when(page == "dead", "dead").otherwise("failed")
+    return rows.withColumns({"page_status": page, "status": status}).drop("__got")
 
 
 def tool_names(pages: DataFrame) -> DataFrame:

@@ -12,26 +12,18 @@ from gleanwork.functions import predicates, responses, rules, text
 from gleanwork.operators import aggregates, dedup, enrich, extract, joins, page_specs
 from gleanwork.session import staged
 
-PROMPT = """You are an expert news classifier. Analyze this article title and determine its category:
-- "feature update": ONLY if the article is about the tool's new features, releases, launches or announcements
-- "funding": ONLY if the article is about the tool's funding rounds, investments or financial news
-- "news article": other tool-related news
-- "irrelevant": the article is NOT about the tool
-and whether it is about the tool at all.
+PROMPT = """Tool: {tool_name}
+Headline: "{title}"
 
-TOOL BEING SEARCHED: {tool_name}
-ARTICLE TITLE: "{title}"
+Judge the headline alone. Say whether it concerns the tool itself, and which one label fits:
+feature update (something the tool newly does or offers), funding (money raised, invested or reported),
+news article (anything else concerning the tool), irrelevant (does not concern the tool).
+Answer with one JSON object: category (a label), company_relevance (true or false), reasoning (one sentence)."""
 
-Return JSON with the fields category, company_relevance and reasoning."""
 
-
-LABEL_PROMPT = """Classify this article title into exactly one of:
-- 'feature update': new features, product releases, updates, launches
-- 'funding': funding rounds, investments, fundraising, venture capital
-- 'news article': general news, partnerships, research, analysis
-
-Title: "{title}"
-Category (only the name):"""
+LABEL_PROMPT = """Headline: "{title}"
+Which label fits best: feature update, funding or news article?
+Reply with the label alone."""
 
 
 def article_rows(pages: DataFrame) -> DataFrame:
@@ -77,23 +69,27 @@ def features_advanced(
 def classify(
     df: DataFrame,
     infer: enrich.Infer | None = None,
-    keep_all_when_none: bool = True,
+    keep_all_when_none: bool = False,
     spread_by: Sequence[str] | None = None,
+    store: str | None = None,
     **words: Sequence[str],
 ) -> DataFrame:
     """Adds `category` and `company_relevance`, keeping relevant rows only.
 
-    Rows whose title lacks the tool name are dropped before anything is asked. If that would drop
-    every row, all of them are returned as irrelevant instead. `spread_by`: a row ordinal, for
-    titles that were not de-duplicated.
+    Rows whose title lacks the tool name are dropped before anything is asked. With
+    `keep_all_when_none`, if that would drop every row, all of them are returned as irrelevant
+    instead; the rows are staged for it, as they are read twice. `spread_by`: a row ordinal, for
+    titles that were not de-duplicated. `store`: a table that keeps the model's answers.
     """
     title, name = F.col("title"), F.col("tool_name")
     flagged = df.withColumn("__in_title", predicates.mentions(title, name))
+    if keep_all_when_none:
+        flagged = staged(flagged, "flagged")
     named = flagged.filter("__in_title")
     if infer is None:
         judged = named.withColumn("__v", rules.classify_title(title, name, **words))
     else:
-        judged = _judge_by_model(named, infer, spread_by, words)
+        judged = _judge_by_model(named, infer, spread_by, store, words)
     relevant = judged.filter("__v.company_relevance").select(
         *df.columns, F.col("__v.category").alias("category"),
         F.col("__v.company_relevance").alias("company_relevance"),
@@ -107,11 +103,11 @@ def classify(
     return relevant.unionByName(rest)
 
 
-def _judge_by_model(named: DataFrame, infer: enrich.Infer, spread_by, words) -> DataFrame:
+def _judge_by_model(named: DataFrame, infer: enrich.Infer, spread_by, store, words) -> DataFrame:
     """Short titles never reach the model; a failed call means general news, not relevant."""
     title, name = F.col("title"), F.col("tool_name")
     prompt = F.when(~rules.too_short(title), text.fill(PROMPT, tool_name=name, title=title))
-    asked = enrich.enrich_distinct(named, prompt, infer, spread_by=spread_by)
+    asked = enrich.enrich_distinct(named, prompt, infer, spread_by=spread_by, store=store)
     answered = responses.article_class_or_rules(F.col("response"), title, name, **words)
     failed = rules.verdict("news article", False, "Classification failed")
     verdict = F.when(F.col("error").isNotNull(), failed).otherwise(answered)
@@ -119,12 +115,13 @@ def _judge_by_model(named: DataFrame, infer: enrich.Infer, spread_by, words) ->
 
 
 def label_titles(
-    df: DataFrame, infer: enrich.Infer, spread_by: Sequence[str] | None = None, **words: Sequence[str]
+    df: DataFrame, infer: enrich.Infer, spread_by: Sequence[str] | None = None, store: str | None = None,
+    **words: Sequence[str],
 ) -> DataFrame:
     """Three-way `category` from free-text answers. Short titles and failures are general news."""
     title = F.col("title")
     prompt = F.when(~rules.too_short(title), text.fill(LABEL_PROMPT, title=title))
-    asked = enrich.enrich_distinct(df, prompt, infer, spread_by=spread_by)
+    asked = enrich.enrich_distinct(df, prompt, infer, spread_by=spread_by, store=store)
     return asked.withColumn("category", rules.normalize_answer(F.col("response"), **words)).drop("response", "error")
 
 
@@ -140,11 +137,11 @@ def from_pages(
     """The whole run: cards of result pages, tool columns, features, dedup, verdicts, output columns.
 
     `pages` has `html`, `tool_name` and an ordinal; articles are ordered by page, then position.
-    The cards are staged, since several branches read them and parsing is the costly part. Tool
-    columns are looked up last, when only relevant rows are left.
+    Rows are staged once, after the dedup. Tool columns are looked up last, when only relevant
+    rows are left.
     """
-    cards = staged(article_rows(pages.select(order, "tool_name", "html")), "cards")
-    rows = news_run(cards.withColumn("ord", F.struct(order, "pos")), "ord", infer, **words)
+    cards = article_rows(pages.select(order, "tool_name", "html"))
+    rows = news_run(cards.withColumn("ord", F.struct(order, "pos")), "ord", infer, keep_all_when_none=True, **words)
     return output_rows(with_tool(rows, seeds))
 
 

@@ -12,6 +12,7 @@ from gleanwork.functions import responses, rules, text
 from gleanwork.operators import enrich, extract, page_specs
 from gleanwork.session import staged
 
+
 def profile_rows(pages: DataFrame) -> DataFrame:
     """Profile cards of listing pages, control characters removed."""
     rows = extract.extract_records(pages, page_specs.PROFILES)
@@ -26,7 +27,8 @@ def labelled_profile_rows(pages: DataFrame, scraped_at: str = "current_timestamp
 
 
 def affiliations(
-    people: DataFrame, infer: enrich.Infer | None = None, spread_by: Sequence[str] | None = None
+    people: DataFrame, infer: enrich.Infer | None = None, spread_by: Sequence[str] | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Companies and universities per person, by keywords or by a model.
 
@@ -38,11 +40,11 @@ def affiliations(
     if infer is None:
         return enrich.widen(source.withColumn("__r", rules.extract_affiliation(raw)), "__r")
     prompt = F.when(~rules.is_blank(raw), text.fill(lx.AFFILIATION_PROMPT, name=F.col("name"), affiliation=raw))
-    asked = enrich.enrich_distinct(source, prompt, infer, spread_by=spread_by)
+    asked = enrich.enrich_distinct(source, prompt, infer, spread_by=spread_by, store=store)
     none = F.array().cast("array<string>")
     failed = F.struct(
         none.alias("companies"), none.alias("universities"),
-        F.lit(lx.EXTRACTION_FAILED).alias("primary_affiliation"), F.col("error").alias("reasoning"),
+        F.lit(lx.EXTRACTION_FAILED).alias("primary_affiliation"), F.left("error", F.lit(lx.MAX_REASON_CHARS)).alias("reasoning"),
     )
     answered = responses.affiliation_or_fallback(F.col("response"), raw)
     judged = asked.withColumn("__r", F.when(F.col("error").isNotNull(), failed).otherwise(answered))

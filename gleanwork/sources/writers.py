@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
@@ -19,8 +19,12 @@ def select_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields])
 
 
-def write_csv(df: DataFrame, path: str, fields: Sequence[str], mode: str = "overwrite") -> None:
-    select_fields(df, fields).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+def write_csv(
+    df: DataFrame, path: str, fields: Sequence[str], mode: str = "overwrite", order_by: Sequence[str | Column] = ()
+) -> None:
+    """With `order_by` every part file holds a range of the order, and parts follow it by name."""
+    rows = df.orderBy(*order_by) if order_by else df
+    select_fields(rows, fields).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanwork.workload import catalog, crawl, news, people  # noqa: F401
+from gleanwork.workload import catalog, crawl, files, news, people  # noqa: F401
 from gleanwork.workload.registry import QUERIES, SQL
 
 

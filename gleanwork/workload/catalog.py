@@ -365,9 +365,9 @@ def _use_model(prompts):
     return [json.dumps({"relevant": p.count("e") > 200, "reason": None}) for p in prompts]
 
 
-@query(_DOC_CATALOG_SQL + """, n AS (SELECT *, length(tool_description) - length(replace(tool_description, 'e', '')) AS n_e FROM b WHERE in_tags)
+@query(_DOC_CATALOG_SQL + f""", n AS (SELECT *, length(tool_description) - length(replace(tool_description, 'e', '')) AS n_e FROM b WHERE in_tags)
 SELECT tool_id, n_e + (length(q) - length(replace(q, 'e', ''))) > 200 AS relevant, NULL::VARCHAR AS reason FROM n,
-  (SELECT 'Does this tool or company do *french writing*, or is very closely related to this use case or business?' AS q)""")
+  (SELECT '{lx.USE_PROMPT.replace('{use}', 'french writing').replace('{desc}', '').replace(chr(39), chr(39) * 2)}' AS q)""")
 def curate_by_model(spark, sf_dir):
     judge = enrich.judged_by(_CASE, _use_model)
     cohort, _ = enrich.curate(_doc_catalog(spark, sf_dir), _CASE, "tool_id", judge)

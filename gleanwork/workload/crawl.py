@@ -39,9 +39,9 @@ def frontier(spark, sf_dir):
     return joins.frontier(_urls(spark, sf_dir), _ledger(spark, sf_dir), "url")
 
 
-@query(f"WITH {_LEDGER_SQL}, {_URLS_SQL} SELECT * FROM urls WHERE url NOT IN (SELECT url FROM ledger)")
+@query(f"WITH {_LEDGER_SQL}, {_URLS_SQL} SELECT * FROM urls WHERE url NOT IN (SELECT url FROM ledger WHERE length(url) % 2 = 0)")
 def frontier_no_retry(spark, sf_dir):
-    return joins.frontier(_urls(spark, sf_dir), _ledger(spark, sf_dir), "url", retry_failed=False)
+    return joins.frontier(_urls(spark, sf_dir), _ledger(spark, sf_dir).filter("length(url) % 2 = 0"), "url", retry_failed=False)
 
 
 @query(f"WITH {_LEDGER_SQL} SELECT status, count(*) AS n FROM ledger GROUP BY status")
@@ -115,8 +115,12 @@ def _text_sql(tag: str) -> str:
     return f"trim(regexp_replace({expr}, '\\s+', ' ', 'g'))"
 
 
-_STATUS_SQL = f"""CASE WHEN contains(url, 'accounts.google.com') OR contains(url, 'signin') THEN 'login'
-  WHEN contains(lower(html), 'captcha') OR contains(lower(html), 'robot') THEN 'captcha'
+_VISIBLE_SQL = r"lower(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g'))"
+_CAPTCHA_SQL = f"WHEN contains({_VISIBLE_SQL}, 'captcha') OR contains({_VISIBLE_SQL}, 'robot') THEN 'captcha'"
+
+
+def _status_sql(captcha: str) -> str:
+    return f"""CASE WHEN contains(url, 'accounts.google.com') OR contains(url, 'signin') THEN 'login' {captcha}
   WHEN contains({_text_sql('title')}, '{lx.BLOCK_TITLE}') THEN 'blocked'
   WHEN {_text_sql('h1')} = '{lx.DEAD_HEADING}' THEN 'dead' ELSE 'ok' END"""
 
@@ -127,13 +131,13 @@ def page_titles(spark, sf_dir):
 
 
 @query(f"""SELECT page_id, url, {_text_sql('title')} AS page_title, {_text_sql('h1')} AS product_name,
-  NULL::VARCHAR AS visit_website_url, NULL::VARCHAR AS additional_url, {_STATUS_SQL} AS page_status FROM pages""")
+  NULL::VARCHAR AS visit_website_url, NULL::VARCHAR AS additional_url, {_status_sql('')} AS page_status FROM pages""")
 def page_fields(spark, sf_dir):
     return crawl.product_rows(spread_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 # Product pages rendered from parts; size decides which markup the page has, or that it is dead.
-_PRODUCT_HTML = f"""concat('<html><head><title>', p_name, ' | ', p_brand, '</title></head><body>',
+_PRODUCT_HTML = f"""concat('<html><head><meta name="robots" content="index"><title>', p_name, ' | ', p_brand, '</title></head><body>',
   CASE WHEN p_size > 45 THEN '<h1>{lx.DEAD_HEADING}</h1>'
     WHEN p_size > 30 THEN concat('<h1> </h1><p class="product-name">', p_name, '</p>')
     ELSE concat('<h1 class="color-darker-grey"><b>', p_name, '</b>\n  &amp; ', p_type, '</h1>') END,
@@ -156,12 +160,12 @@ def _product_pages(spark, sf_dir):
     WHEN p_size > 10 THEN 'https://hunt.example.com/p/go/' || p_partkey
     ELSE 'https://hunt.example.com/go/' || p_partkey END AS visit_website_url,
   CASE WHEN p_size <= 25 THEN 'x.example.com/' || p_partkey END AS additional_url,
-  CASE WHEN p_type = 'SMALL' AND p_size < 5 THEN 'captcha' WHEN p_size > 45 THEN 'dead' ELSE 'ok' END AS page_status FROM part""")
+  CASE WHEN p_size > 45 THEN 'dead' ELSE 'ok' END AS page_status FROM part""")
 def product_rows(spark, sf_dir):
     return crawl.product_rows(_product_pages(spark, sf_dir))
 
 
-@query(f"""WITH r AS (SELECT p_size / 10.0::DOUBLE AS s, CASE WHEN p_type = 'SMALL' AND p_size < 5 THEN 'captcha' WHEN p_size > 45 THEN 'dead' ELSE 'ok' END AS st FROM part)
+@query(f"""WITH r AS (SELECT p_size / 10.0::DOUBLE AS s, CASE WHEN p_size > 45 THEN 'dead' ELSE 'ok' END AS st FROM part)
 SELECT count(*) AS total, count(*) AS raw_success, count(*) FILTER (st = 'ok') AS live_success,
   {sql_rate('count(*)', 'count(*)', '100.0')} AS raw_success_pct,
   {sql_rate("count(*) FILTER (st = 'ok')", 'count(*)', '100.0')} AS live_success_pct,
@@ -178,8 +182,8 @@ def run_report(spark, sf_dir):
 u AS (SELECT DISTINCT 'https://hunt.example.com/p/' || (l_partkey + l_linenumber) || '/' AS url FROM lineitem),
 d AS (SELECT DISTINCT 'https://hunt.example.com/p/' || l_partkey || '/' AS url FROM lineitem WHERE l_quantity > 45 AND l_discount < 0.05)
 SELECT u.url, CASE WHEN p.p_size > 45 THEN '{lx.DEAD_HEADING}' WHEN p.p_size > 30 THEN p.p_name ELSE p.p_name || ' & ' || p.p_type END AS product_name,
-  CASE WHEN p.p_partkey IS NULL THEN 'missing' WHEN p.p_type = 'SMALL' AND p.p_size < 5 THEN 'captcha' WHEN p.p_size > 45 THEN 'dead' ELSE 'ok' END AS page_status,
-  CASE WHEN p.p_partkey IS NULL OR p.p_type = 'SMALL' AND p.p_size < 5 OR p.p_size > 45 THEN 'failed' ELSE 'completed' END AS status
+  CASE WHEN p.p_partkey IS NULL THEN 'missing' WHEN p.p_size > 45 THEN 'dead' ELSE 'ok' END AS page_status,
+  CASE WHEN p.p_partkey IS NULL THEN 'failed' WHEN p.p_size > 45 THEN 'dead' ELSE 'completed' END AS status
 FROM u LEFT JOIN p USING (url) WHERE u.url NOT IN (SELECT url FROM d)""")
 def crawl_run(spark, sf_dir):
     """End to end: requested URLs minus the done ones, product rows, and a status for each."""
@@ -206,7 +210,7 @@ def tool_name_pages(spark, sf_dir):
     return crawl.tool_names(pages)
 
 
-@query(f"SELECT page_id, {_STATUS_SQL} AS page_status FROM pages")
+@query(f"SELECT page_id, {_status_sql(_CAPTCHA_SQL)} AS page_status FROM pages")
 def page_status(spark, sf_dir):
     """Status from native expressions alone."""
     html = F.col("html")
@@ -399,6 +403,28 @@ def generations_from_files(spark, sf_dir):
     return dedup.keep_first(dedup.union_all(backups, rest), ["page_url"], ["event_id"])
 
 
+@query("""SELECT c_custkey AS tool_id, c_name AS tool_name, c_mktsegment AS tool_url FROM customer""")
+def csv_reordered_columns(spark, sf_dir):
+    """Two files with the columns in another order, one of them with one more."""
+    rows = table(spark, sf_dir, "customer").selectExpr("c_custkey AS tool_id", "c_name AS tool_name", "c_mktsegment AS tool_url", "c_acctbal AS extra")
+    root = shared_path(spark, "reordered")
+    writers.write_csv(rows.filter("tool_id % 2 = 0"), f"{root}/a", ["tool_url", "tool_id", "tool_name"])
+    writers.write_csv(rows.filter("tool_id % 2 = 1"), f"{root}/b", ["tool_name", "extra", "tool_url", "tool_id"])
+    return readers.read_csv(spark, [f"{root}/a", f"{root}/b"], schemas.TOOL_SEED)
+
+
+@query("""SELECT event_id, 'u' || user_id AS page_url, CASE WHEN event_type <> 'view' THEN event_type END AS product_name
+FROM events WHERE event_type IN ('view', 'click')""")
+def generations_mixed_layouts(spark, sf_dir):
+    """Result files of which one lacks a column, one has others, and one is no result file at all."""
+    root = shared_path(spark, "mixed")
+    rows = table(spark, sf_dir, "events").selectExpr("event_id", "concat('u', user_id) AS page_url", "event_type AS product_name", "value", "ts")
+    writers.write_csv(rows.filter("product_name = 'view'"), f"{root}/backup_view", ["page_url", "value", "event_id"])
+    writers.write_csv(rows.filter("product_name = 'click'"), f"{root}/backup_click", ["product_name", "event_id", "page_url"])
+    writers.write_csv(rows, f"{root}/backup_other", ["value", "ts"])
+    return readers.read_generations(spark, f"{root}/backup_*", "event_id BIGINT, page_url STRING, product_name STRING").drop("file_path")
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 
@@ -447,3 +473,19 @@ def incremental_crawl(spark, sf_dir):
     ).awaitTermination()
     rows = readers.read_ledger(spark, ledger).withColumn("run", F.col("run_id").cast("bigint"))
     return rows.groupBy("url").agg(F.max_by("status", "run").alias("status"))
+
+
+@query("""SELECT url, 'completed' AS status, CASE WHEN length(url) > 3 THEN 1 ELSE 3 END AS attempts
+FROM (SELECT DISTINCT 'u' || user_id AS url FROM events)""")
+def crawl_retry(spark, sf_dir):
+    """One set of request files, three runs: URLs that failed are asked again without a new request."""
+    path, schema = _event_files(spark, sf_dir)
+    ledger, out, checkpoint = shared_path(spark, "retry-ledger"), shared_path(spark, "retry-out"), shared_path(spark, "retry-checkpoint")
+    for attempt in (1, 2, 3):
+        def fetch(todo, attempt=attempt):
+            status = F.when((F.length("url") > 3) | F.lit(attempt == 3), "completed").otherwise("failed")
+            return todo.select("url", status.alias("status"))
+
+        stream = streams.stream_files(spark, path, schema, files_per_batch=10)
+        streams.crawl_batches(stream, ledger, out, checkpoint, "url", "event_id", fetch).awaitTermination()
+    return streams.latest_status(readers.read_ledger(spark, ledger))

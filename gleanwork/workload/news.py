@@ -113,10 +113,15 @@ def title_dedup_exact(spark, sf_dir):
     return dedup.dedup_exact_title(v.articles(spark, sf_dir), "title", "ord").select("ord", "title")
 
 
-@query(f"""WITH {v.ARTICLES_SQL} SELECT ord, title FROM articles
+_VARIED = "CASE WHEN ord % 2 = 1 THEN concat('  ', translate(title, 'ETAON', 'etaon'), ' ') ELSE title END"
+
+
+@query(f"""WITH {v.ARTICLES_SQL}, a AS (SELECT ord, {_VARIED} AS title FROM articles) SELECT ord, title FROM a
 QUALIFY row_number() OVER (PARTITION BY {sql_strip('lower(title)')} ORDER BY ord) = 1""")
 def title_dedup_normalized(spark, sf_dir):
-    return dedup.dedup_normalized_title(v.articles(spark, sf_dir), "title", "ord").select("ord", "title")
+    """Half of the titles with other cases and blanks around."""
+    rows = v.articles(spark, sf_dir).withColumn("title", F.expr(_VARIED))
+    return dedup.dedup_normalized_title(rows, "title", "ord").select("ord", "title")
 
 
 def _rules_query(spark, sf_dir, **words):
@@ -236,7 +241,7 @@ def seed_names(spark, sf_dir):
     )
     path = shared_path(spark, "seeds")
     writers.write_csv(rows, path, ["tool_id", "tool_name", "tool_url"])
-    return readers.read_seeds(spark, path)
+    return readers.read_seeds(spark, path, n=100)
 
 
 @query(f"""WITH {v.ARTICLES_SQL}, c AS (SELECT company, count(*) AS n FROM articles GROUP BY company ORDER BY n DESC, company LIMIT 5)
@@ -481,7 +486,7 @@ def _stand_in(prompts):
     """Answers as a model would, by counting letters: valid, broken, wrong label, or prose."""
     out = []
     for p in prompts:
-        title = p.split('ARTICLE TITLE: "', 1)[1].rsplit('"', 1)[0].rsplit('"\n\nReturn', 1)[0]
+        title = p.split('Headline: "', 1)[1].rsplit('"\n\nJudge', 1)[0]
         n = title.count("e")
         if n < 3:
             out.append(json.dumps({"category": "funding", "company_relevance": True, "reasoning": "few"}))
@@ -511,7 +516,7 @@ def enrich_titles(spark, sf_dir):
 
 
 def _free_text(prompts):
-    titles = [p.split('Title: "', 1)[1].rsplit('"', 1)[0] for p in prompts]
+    titles = [p.split('Headline: "', 1)[1].rsplit('"\nWhich', 1)[0] for p in prompts]
     answers = {0: "Funding.", 1: " Update ", 2: "It announces a launch", 3: "no idea"}
     return [answers[t.count("e") % 4] for t in titles]
 

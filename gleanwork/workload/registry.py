@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanwork import lexicons as lx
-from gleanwork.sources.readers import spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,8 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """For queries with much work per row: the table on all cores, only the columns needed."""
-    return spread_small(table(spark, sf_dir, name).select(*columns))
+    """For queries with much work per row: the table's columns, in as many parts as the caller asks for.
+
+    The session names them (`gleanwork.scan.parts`), for a small table in one file; a large one is
+    split as it is read.
+    """
+    df = table(spark, sf_dir, name).select(*columns)
+    parts = spark.conf.get("gleanwork.scan.parts", None)
+    return df.repartition(int(parts)) if parts else df
 
 
 # --- SQL snippets ---------------------------------------------------------------------------

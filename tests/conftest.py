@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,7 @@ def session():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleanwork-tests-"))
     return spark
 
 

@@ -23,7 +23,7 @@ def test_failing_batch_only_marks_its_own_rows(spark):
 
     got = enrich.enrich(prompts(spark, ["a", "b", "bad", "c", None, "d"]), F.col("p"), infer, batch_size=2).orderBy("i").collect()
     assert [(r.response, r.error and len(r.error)) for r in got] == [
-        ("A", None), ("B", None), (None, 100), (None, 100), (None, None), ("D", None)
+        ("A", None), ("B", None), (None, 200), (None, 200), (None, None), ("D", None)
     ]
 
 

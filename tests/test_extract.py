@@ -148,10 +148,11 @@ def test_links_match_the_tree(spark):
 def test_news_run_without_any_mention_keeps_all_as_irrelevant(spark):
     rows = [(i, "Tool", f"Some headline {i}", None, None) for i in range(3)]
     df = spark.createDataFrame(rows, "ord INT, tool_name STRING, title STRING, snippet STRING, image_url STRING")
-    got = news.news_run(df, "ord").collect()
+    got = news.news_run(df, "ord", keep_all_when_none=True).collect()
     assert [(r.category, r.company_relevance) for r in got] == [("irrelevant", False)] * 3
     named = df.union(spark.createDataFrame([(9, "Tool", "tool raises a round", None, "/i")], df.schema))
-    got = news.news_run(named, "ord").collect()
+    assert news.news_run(df, "ord").count() == 0
+    got = news.news_run(named, "ord", keep_all_when_none=True).collect()
     assert [(r.ord, r.category, r.has_image) for r in got] == [(9, "funding", True)]
 
 

@@ -27,7 +27,7 @@ def test_seed_fallbacks(spark, tmp_path):
 def test_csv_null_rules(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text('tool_id,tool_name,tool_url\n1,N/A,\n2,"a ""q"", b","x\ny"\n')
-    got = readers.read_csv(spark, str(path), schemas.TOOL_SEED).orderBy("tool_id").collect()
+    got = readers.read_csv(spark, str(path), schemas.TOOL_SEED, multi_line=True).orderBy("tool_id").collect()
     assert [tuple(r) for r in got] == [(1, None, None), (2, 'a "q", b', "x\ny")]
 
 
@@ -38,6 +38,37 @@ def test_generations_skip_what_is_missing(spark, tmp_path):
     assert sorted((r.url, os.path.basename(r.file_path)) for r in got.collect()) == [("u1", "backup_1.csv"), ("u2", "backup_2.csv")]
 
 
+def test_columns_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("tool_name,tool_id,tool_url\nAlpha,7,http://a\n")
+    got = readers.read_csv(spark, str(tmp_path / "a.csv"), schemas.TOOL_SEED).collect()
+    assert [(r.tool_id, r.tool_name, r.tool_url) for r in got] == [(7, "Alpha", "http://a")]
+    (tmp_path / "b.csv").write_text("tool_id,tool_url\n1,u\n")
+    with pytest.raises(ValueError, match="tool_name"):
+        readers.read_csv(spark, str(tmp_path / "b.csv"), schemas.TOOL_SEED)
+    assert readers.read_seeds(spark, str(tmp_path / "b.csv")).count() == 3
+
+
+def test_garbage_seed_file_gives_the_fixed_names(spark, tmp_path):
+    (tmp_path / "seeds").write_bytes(bytes(range(256)) * 40)
+    assert readers.read_seeds(spark, str(tmp_path / "seeds")).count() == 3
+
+
+def test_generations_of_other_layouts(spark, tmp_path):
+    schema = "page_url STRING, product_name STRING"
+    (tmp_path / "backup_1.csv").write_text("page_url,extra,product_name\nu1,x,P1\n")
+    (tmp_path / "backup_2.csv").write_text("product_name,page_url\nP2,u2\n")
+    (tmp_path / "backup_3.csv").write_text("page_url\nu3\n")
+    (tmp_path / "backup_4.csv").write_bytes(b"\x00\xff\x10garbage\n\x01")
+    path = str(tmp_path / "backup_*.csv")
+    got = readers.read_generations(spark, path, schema).collect()
+    assert {(r.page_url, r.product_name) for r in got} == {("u1", "P1"), ("u2", "P2"), ("u3", None)} and len(got) == 3
+    assert [os.path.basename(r.file_path) for r in readers.rejected_files(spark, path, schema).collect()] == ["backup_4.csv"]
+
+
+def test_no_url_file_is_no_url(spark, tmp_path):
+    assert readers.read_urls(spark, str(tmp_path / "none.csv")).count() == 0
+
+
 def test_fixed_fields(spark):
     df = spark.createDataFrame([(1, "x")], "b INT, extra STRING")
     assert writers.select_fields(df, ["a", "b"]).first().asDict() == {"a": None, "b": 1}
@@ -137,7 +168,22 @@ def test_failed_urls_are_fetched_again(spark, tmp_path, inbox):
     first = run(["a"])
     assert first == [("a", "completed", "0"), ("b", "failed", "0")]
     put([(4, "a", t), (5, "b", t)])
-    assert run(["a", "b"]) == sorted([*first, ("b", "completed", "1")])
+    assert run(["a", "b"]) == sorted([*first, ("b", "completed", "retry-0")])
+
+
+def test_failed_urls_are_asked_again_without_new_requests(spark, tmp_path, inbox):
+    import datetime
+
+    path, put = inbox
+    ledger, out, checkpoint = (str(tmp_path / p) for p in ("ledger", "out", "cp"))
+    put([(1, "a", datetime.datetime(2024, 1, 1)), (2, "b", datetime.datetime(2024, 1, 1))])
+    for good in (["a"], ["a"], ["a", "b"], ["a", "b"]):
+        def fetch(todo, good=good):
+            return todo.select("url", F.when(F.col("url").isin(*good), "completed").otherwise("failed").alias("status"))
+
+        streams.crawl_batches(streams.stream_files(spark, path, SCHEMA), ledger, out, checkpoint, "url", "ord", fetch).awaitTermination()
+    got = streams.latest_status(readers.read_ledger(spark, ledger)).collect()
+    assert sorted(tuple(r) for r in got) == [("a", "completed", 1), ("b", "completed", 3)]
 
 
 def test_sentinels(spark):

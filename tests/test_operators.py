@@ -1,5 +1,7 @@
 import random
 
+import time
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -41,11 +43,11 @@ def test_merge_equals_pandas(keyed, spread, nulls):
         assert len(pd.merge(a, b, on="k")) == len(want)
 
 
-@pytest.mark.parametrize("share", [0.0, 0.2, 1.0])
-def test_salting_both_sides_equals_plain(keyed, share):
-    """From every key hot to none."""
+@pytest.mark.parametrize("parts", [1, 5, 10000])
+def test_salting_both_sides_equals_plain(keyed, parts):
+    """From no key hot to every repeated one."""
     left, right, ldf, rdf = keyed
-    got = skew.salted_join(ldf, rdf.withColumnRenamed("v", "w"), ["k"], ["ord"], "inner", "match", ["w"], 3, share)
+    got = skew.salted_join(ldf, rdf.withColumnRenamed("v", "w"), ["k"], ["ord"], "inner", "match", ["w"], parts)
     want = [(o, k, a, b) for o, k, a in left for k2, b in right if k == k2]
     assert got.columns == ["ord", "k", "v", "w"] and rows(got) == sorted(want, key=str)
 
@@ -55,7 +57,7 @@ def test_salted_join_equals_plain(keyed, how):
     left, right, ldf, rdf = keyed
     once = rdf.select("k").distinct().withColumn("hit", F.lit(1))
     known = {k for k, _ in right}
-    got = rows(skew.salted_join(ldf, once, ["k"], ["ord"], how, salts=4, share=0.2))
+    got = rows(skew.salted_join(ldf, once, ["k"], ["ord"], how, parts=5))
     want = {
         "left": [(*r, 1 if r[1] in known else None) for r in left],
         "left_semi": [r for r in left if r[1] in known],
@@ -84,7 +86,17 @@ def test_salting_evens_out_the_partitions(spark):
 
 
 def test_hot_keys_are_bounded(keyed):
-    assert [r.k for r in skew.hot_keys(keyed[2], ["k"], 0.3).collect()] == [7]
+    assert [r.k for r in skew.hot_keys(keyed[2], ["k"], 5).collect()] == [7]
+
+
+@pytest.mark.parametrize("hot", [3, 250])
+def test_small_hot_keys_are_salted_when_parts_are_many(spark, hot):
+    """One key at a third or at 0.4 % of the rows: no salt of it exceeds a fair part by much."""
+    rows = spark.range(60000).selectExpr("id AS ord", f"CASE WHEN id % {hot} = 0 THEN -1 ELSE id END AS k")
+    parts = 1000
+    got = {r.k: r["__salts"] for r in skew.hot_keys(rows, ["k"], parts).collect()}
+    n = 60000 // hot
+    assert set(got) == {-1} and n / got[-1] <= 60000 / parts
 
 
 def test_members(keyed):
@@ -274,9 +286,20 @@ def test_match_terms(spark):
     listed = ["risk", "risk & compliance", "Compliance audits", "c++", "x\\Ey", ""]
     terms = frame(spark, [(t,) for t in listed], "term STRING")
     got = keywords.match_terms(docs, "id", "t", terms)
-    assert sorted(rows(got)) == sorted(rows(keywords.match_terms(docs, "id", "t", terms, salts=3)))
     want = [
         (r.id, t) for t in listed if t
         for r in docs.filter(predicates.any_word(F.col("t"), [t], escape=True)).collect()
     ]
     assert sorted(rows(got)) == sorted(want) and len(want) == 6
+
+
+def test_match_terms_is_linear_in_the_text(spark):
+    """The rows that leave the join grow with the words of a text, not with their square."""
+    def seconds(n):
+        docs = spark.range(8).select("id", F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("w"), i))).alias("t"))
+        terms = spark.range(1, n, 2).select(F.concat(F.lit("w"), F.col("id"), F.lit(" w"), F.col("id") + 1).alias("term"))
+        start = time.perf_counter()
+        assert keywords.match_terms(docs, "id", "t", terms).filter("term = 'w1 w2'").count() == 8
+        return time.perf_counter() - start
+    seconds(100)
+    assert seconds(8000) < 12 * max(1.0, seconds(2000))

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from gleanwork import workload
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,7 +12,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_plan(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas", "FlatMapGroups"):

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from gleanwork import workload
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_query_matches_sql(spark, con, name):
     sql = entry.oracle_sql().get(name)
     assert (sql is None) == (name in WITHOUT_SQL)
