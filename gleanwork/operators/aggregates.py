@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions.tags import to_list
 from gleanwork.functions.text import rate
+from gleanwork.session import staged
 
 
 
@@ -45,10 +46,15 @@ def repeated_keys(df: DataFrame, key: str, k: int | None = None) -> DataFrame:
     return found if k is None else found.orderBy(F.desc("n"), F.asc(key)).limit(k)
 
 
+#: Keys up to which a list of k keys is broadcast.
+FEW_KEYS = 10_000
+
+
 def repeated_rows(df: DataFrame, key: str, k: int) -> DataFrame:
     """All rows of the k most repeated keys, with the repeat count."""
-    # k rows by definition, so the base is filtered in place instead of being shuffled by a hot key.
-    return df.join(F.broadcast(repeated_keys(df, key, k)), key)
+    # A list of k rows; while it is short, the base is filtered in place instead of being shuffled by a hot key.
+    keys = repeated_keys(df, key, k)
+    return df.join(F.broadcast(keys) if k <= FEW_KEYS else keys, key)
 
 
 def distinct_values_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -69,7 +75,8 @@ def explain_duplicates(
     df: DataFrame, key: str, name: str, columns: Sequence[str], order: str, k: int
 ) -> DataFrame:
     """For the k most repeated keys: first name and the number of different values per column."""
-    rows = repeated_rows(df, key, k)
+    # Two things are computed from these rows; staged, so that finding them is not done twice.
+    rows = staged(repeated_rows(df.select(*{key: 0, name: 0, order: 0, **dict.fromkeys(columns, 0)}), key, k), "repeated")
     counts = distinct_values_per_key(rows, key, columns).groupBy(key).agg(
         *[F.count_if(F.col("column") == c).alias(f"distinct_{c}") for c in columns]
     )
@@ -81,10 +88,11 @@ def explain_duplicates(
 
 def conflicting_values(df: DataFrame, key: str, columns: Sequence[str], k: int) -> DataFrame:
     """The values themselves where a top-k key has more than one, one row each."""
-    values = distinct_values_per_key(repeated_rows(df, key, k), key, columns)
+    values = staged(distinct_values_per_key(repeated_rows(df, key, k), key, columns), "values")
     several = values.groupBy(key, "column").agg(F.count("*").alias("n_values")).filter("n_values > 1")
     # At most k keys times the listed columns.
-    return values.join(F.broadcast(several), [key, "column"])
+    few = k * len(columns) <= FEW_KEYS
+    return values.join(F.broadcast(several) if few else several, [key, "column"])
 
 
 def exact_duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:

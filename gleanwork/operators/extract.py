@@ -8,6 +8,8 @@ is a spec and not a parser of its own.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -73,10 +75,11 @@ class RecordSpec:
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "at", "end")
+    __slots__ = ("tag", "attrs", "classes", "parent", "children", "at", "end")
 
     def __init__(self, tag, attrs, parent, at):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        self.classes = attrs["class"].split() if "class" in attrs else ()
         self.at = self.end = at
 
     def pieces(self) -> list[str]:
@@ -94,12 +97,15 @@ class _Page(HTMLParser):
     """Lenient tree: an end tag closes the nearest open element of that name, or nothing.
 
     `nodes` is in document order; the descendants of a node are nodes[node.at + 1 : node.end].
+    `by_tag` and `by_class` hold the places of the nodes of each element name and class, ascending.
     """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.root = self.here = _Node("", {}, None, -1)
         self.nodes: list[_Node] = []
+        self.by_tag: dict[str, list[int]] = {}
+        self.by_class: dict[str, list[int]] = {}
         self.feed(html)
         self.close()
         self._close_up_to(None)
@@ -118,6 +124,9 @@ class _Page(HTMLParser):
             first[k] = v or ""
         node = _Node(tag, first, self.here, len(self.nodes))
         self.here.children.append(node)
+        self.by_tag.setdefault(tag, []).append(len(self.nodes))
+        for c in set(node.classes):
+            self.by_class.setdefault(c, []).append(len(self.nodes))
         self.nodes.append(node)
         if tag in VOID:
             node.end = len(self.nodes)
@@ -146,11 +155,22 @@ class _Page(HTMLParser):
         # Not an element, but it parts the text around it.
         self.here.children.append(_Node("", {}, self.here, -1))
 
+    def _places(self, scope: _Node, el: El) -> Sequence[int]:
+        """Where nodes of the element's class or name stand within the scope."""
+        first, end = scope.at + 1, scope.end
+        if el.classes:
+            known = self.by_class.get(el.classes[0], ())
+        elif el.tag:
+            known = self.by_tag.get(el.tag, ())
+        else:
+            return range(first, end)
+        return known[bisect_left(known, first):bisect_left(known, end)]
+
     def all_in(self, scope: _Node, el: El) -> list[_Node]:
-        return [n for n in self.nodes[scope.at + 1:scope.end] if _matches(n, el)]
+        return [self.nodes[i] for i in self._places(scope, el) if _matches(self.nodes[i], el)]
 
     def first_in(self, scope: _Node, el: El) -> _Node | None:
-        for i in range(scope.at + 1, scope.end):
+        for i in self._places(scope, el):
             if _matches(self.nodes[i], el):
                 return self.nodes[i]
         return None
@@ -169,9 +189,8 @@ def _matches(node: _Node, el: El) -> bool:
     a = node.attrs
     if el.tag and node.tag != el.tag:
         return False
-    if el.classes:
-        own = a.get("class")
-        if not own or not set(el.classes).issubset(own.split()):
+    for c in el.classes:
+        if c not in node.classes:
             return False
     for k, v in el.equals:
         if a.get(k) != v:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,37 +43,32 @@ def _place(df: DataFrame, ordinal: str, bounds: Sequence[int | float], kind: str
     return df.drop("__bounds")
 
 
-def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: int | None = None) -> DataFrame:
-    """Zero-based position of every row by a unique numeric or time ordinal.
-
-    Quantiles of the ordinal cut the rows into even buckets; each bucket is numbered on its own
-    and shifted by the size of those before it. Only the bounds and bucket sizes (`buckets`
-    values each) are ever in one place. The bounds are taken by one small job up front and fixed
-    in the plan, because a quantile sketch merged in another order may give others, and sizes
-    and numbers must agree on them.
-    """
+def _positions(df: DataFrame, ord_col: str, out: str, buckets: int | None) -> tuple[DataFrame, int]:
     n = max(2, buckets or _bucket_count(df))
     keyed = df.withColumn("__at", _as_number(df, ord_col))
     cuts = [i / n for i in range(1, n)]
     bounds = keyed.agg(F.percentile_approx("__at", cuts, 20 * n).alias("b")).first()["b"] or []
     placed = _place(keyed, "__at", bounds, dict(keyed.dtypes)["__at"])
-    sizes = placed.groupBy("__bucket").agg(F.count("*").alias("n"))
-    # At most `buckets` rows from here on, whatever the table holds.
-    pairs = sizes.agg(F.collect_list(F.struct("__bucket", "n")).alias("p")).scalar()
-    before = F.aggregate(
-        F.filter("__pairs", lambda p: p["__bucket"] < F.col("__bucket")),
-        F.lit(0).cast("long"),
-        lambda acc, p: acc + p["n"],
-    )
-    offsets = sizes.withColumn("__pairs", pairs).select("__bucket", before.alias("__offset"))
-    small = F.broadcast(offsets)
+    # At most `buckets` rows, whatever the table holds.
+    sizes = {r["__bucket"]: r["n"] for r in placed.groupBy("__bucket").agg(F.count("*").alias("n")).collect()}
+    before = [0, *accumulate(sizes.get(i, 0) for i in range(len(bounds) + 1))]
+    offsets = F.array(*[F.lit(x) for x in before[:-1]]).cast("array<long>")
     w = Window.partitionBy("__bucket").orderBy("__at")
-    numbered = placed.withColumn("__local", F.row_number().over(w) - 1)
-    return (
-        numbered.join(small, "__bucket")
-        .withColumn(out, F.col("__offset") + F.col("__local"))
-        .drop("__at", "__bucket", "__local", "__offset")
-    )
+    numbered = placed.withColumn("__local", F.row_number().over(w) - 1).withColumn("__before", offsets)
+    position = F.get("__before", F.col("__bucket")) + F.col("__local")
+    return numbered.withColumn(out, position).drop("__at", "__bucket", "__local", "__before"), before[-1]
+
+
+def with_position(df: DataFrame, ord_col: str, out: str = "position", buckets: int | None = None) -> DataFrame:
+    """Zero-based position of every row by a unique numeric or time ordinal.
+
+    Quantiles of the ordinal cut the rows into even buckets; each bucket is numbered on its own
+    and shifted by the size of those before it. Only the bounds and bucket sizes (`buckets`
+    values each) are ever in one place. Both are taken up front, one pass each, and fixed in the
+    plan, because a quantile sketch merged in another order may give other bounds, and sizes and
+    numbers must agree on them.
+    """
+    return _positions(df, ord_col, out, buckets)[0]
 
 
 def batch_ids(df: DataFrame, ord_col: str, size: int) -> DataFrame:
@@ -82,12 +78,11 @@ def batch_ids(df: DataFrame, ord_col: str, size: int) -> DataFrame:
 
 def shards(df: DataFrame, ord_col: str, n: int) -> DataFrame:
     """Contiguous shards of equal floor size; the last one takes the remainder."""
-    total = df.agg(F.count("*").alias("n")).scalar()
-    placed = with_position(df, ord_col).withColumn("__total", total)
-    return placed.withColumn("__size", F.expr(f"__total div {int(n)}")).withColumn(
-        "shard_id",
-        F.expr(f"CASE WHEN __size = 0 THEN {n - 1}L ELSE least(position div __size, {n - 1}L) END"),
-    ).drop("__total", "__size")
+    placed, total = _positions(df, ord_col, "position", None)
+    size = total // int(n)
+    if not size:
+        return placed.withColumn("shard_id", F.lit(n - 1).cast("long"))
+    return placed.withColumn("shard_id", F.expr(f"least(position div {size}L, {n - 1}L)"))
 
 
 def row_slice(df: DataFrame, ord_col: str, start: int, stop: int) -> DataFrame:
