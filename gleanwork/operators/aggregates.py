@@ -12,7 +12,6 @@ from gleanwork.functions.text import rate
 from gleanwork.session import staged
 
 
-
 def count_where(df: DataFrame, condition: Column, out: str = "n") -> DataFrame:
     return df.agg(F.count_if(condition).alias(out))
 

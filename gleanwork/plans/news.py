@@ -32,8 +32,11 @@ def article_rows(pages: DataFrame) -> DataFrame:
     return cards.filter(predicates.valid_title(F.col("title")))
 
 
-def with_tool(df: DataFrame, seeds: DataFrame, order: str = "tool_id") -> DataFrame:
-    return joins.lookup_last(df, seeds, "tool_name", ["tool_id", "tool_url"], order)
+def with_tool(
+    df: DataFrame, seeds: DataFrame, order: str = "tool_id", spread_by: Sequence[str] | None = None
+) -> DataFrame:
+    """`spread_by`: a row ordinal, for a tool that owns a large share of the rows."""
+    return joins.lookup_last(df, seeds, "tool_name", ["tool_id", "tool_url"], order, spread_by=spread_by)
 
 
 def features(
@@ -141,8 +144,8 @@ def from_pages(
     rows are left.
     """
     cards = article_rows(pages.select(order, "tool_name", "html"))
-    rows = news_run(cards.withColumn("ord", F.struct(order, "pos")), "ord", infer, keep_all_when_none=True, **words)
-    return output_rows(with_tool(rows, seeds))
+    rows = news_run(cards.withColumn("ord", F.struct(order, "pos")), "ord", infer, keep_all_when_none=True, spread_by=["ord"], **words)
+    return output_rows(with_tool(rows, seeds, spread_by=["ord"]))
 
 
 def run_counts(articles: DataFrame, order: str, **words) -> DataFrame:

@@ -1,14 +1,6 @@
 """Table schemas as Spark DDL. Readers pass these instead of inferring."""
 
 TOOL_SEED = "tool_id BIGINT, tool_name STRING, tool_url STRING"
-CATALOG = (
-    "tool_id BIGINT, use_original STRING, use_aggregated STRING, name_tool STRING, "
-    "tool_url_y STRING, tool_description STRING"
-)
-PRODUCT_PAGE = (
-    "page_url STRING, page_title STRING, product_name STRING, visit_website_url STRING, "
-    "additional_url STRING, scrape_time DOUBLE, browser_id INT, error STRING"
-)
 REVIEW = (
     "tool_name STRING, review_id STRING, review_text STRING, review_date STRING, "
     "user_name STRING, user_href STRING, helpful_count STRING, all_time_score STRING, "

@@ -51,7 +51,7 @@ def catalog_merge_nullsafe(spark, sf_dir):
 
 @query(_MERGE_SQL + "SELECT * FROM m WHERE tool_id IS NOT NULL")
 def catalog_merge_drop_nulls(spark, sf_dir):
-    return joins.merge(_ranking(spark, sf_dir), _profile(spark, sf_dir), "tool_id", null_keys="drop")
+    return joins.merge(_ranking(spark, sf_dir), _profile(spark, sf_dir), "tool_id", null_keys="drop", spread_by=["ord"])
 
 
 @query(_MERGE_SQL + "SELECT use_original, use_aggregated, count(*) AS n FROM m GROUP BY ALL")

@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from gleanwork import schemas
+from gleanwork.functions import predicates
 from gleanwork.operators import extract
 from gleanwork.operators import page_specs as specs
 from gleanwork.plans import crawl, news, people
@@ -171,3 +172,17 @@ def test_output_rows_have_the_fixed_columns(spark):
     got = news.output_rows(news.classify(news.features(df)).withColumn("extra", F.lit(1))).first().asDict()
     assert (got["link"], got["snippet"], got["ollama_category"]) == ("No Link", "No Snippet", "funding")
     assert "extra" not in got
+
+
+def test_empty_attributes_of_a_profile_count_as_missing(spark):
+    html = '<div class="gsc_1usr"><h3 class="gs_ai_name"><a href="">Ann</a></h3><img src=""></div>'
+    row = people.profile_rows(spark.createDataFrame([(html,)], "html STRING")).first()
+    assert (row.name, row.profile_url, row.image_url) == ("Ann", "N/A", "N/A")
+
+
+def test_a_robots_meta_tag_is_no_challenge(spark):
+    html = '<html><head><meta name="robots" content="index"><title>T</title></head><body><h1>Tool</h1></body></html>'
+    pages = spark.createDataFrame([("u", html)], "url STRING, html STRING")
+    assert crawl.product_rows(pages).first().page_status == "ok"
+    status = predicates.page_status(F.col("url"), F.lit("T"), F.lit("Tool"), F.col("html"))
+    assert pages.select(status.alias("s")).first().s == "ok"

@@ -65,6 +65,13 @@ def test_generations_of_other_layouts(spark, tmp_path):
     assert [os.path.basename(r.file_path) for r in readers.rejected_files(spark, path, schema).collect()] == ["backup_4.csv"]
 
 
+def test_sorted_csv(spark, tmp_path):
+    out = tmp_path / "sorted"
+    writers.write_csv(spark.range(1000).selectExpr("id * 7919 % 1000 AS n").repartition(6), str(out), ["n"], order_by=[F.desc("n")])
+    lines = [x for part in sorted(out.glob("part-*.csv")) for x in part.read_text().split()[1:]]
+    assert lines == [str(n) for n in range(999, -1, -1)]
+
+
 def test_no_url_file_is_no_url(spark, tmp_path):
     assert readers.read_urls(spark, str(tmp_path / "none.csv")).count() == 0
 
