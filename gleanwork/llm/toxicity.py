@@ -179,14 +179,12 @@ def label_model(votes: np.ndarray, together: np.ndarray, texts: int, share: floa
     return 1 / (1 + np.exp(-np.clip(low + evidence, -40, 40)))
 
 
-def train(rows: list[list[int]], y: np.ndarray, size: int) -> np.ndarray:
-    """Weights of a logistic regression on sets of features, the intercept last."""
-    at = np.array([x for r in rows for x in r], dtype=np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+def train(row: np.ndarray, at: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+    """Weights of a logistic regression, the intercept last; row `row[i]` has the feature `at[i]`."""
     w, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
-    for t in range(1, STEPS + 1 if len(rows) else 1):
-        z = np.bincount(row, weights=w[at], minlength=len(rows)) + w[-1]
-        g = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y) / len(rows)
+    for t in range(1, STEPS + 1 if len(y) else 1):
+        z = np.bincount(row, weights=w[at], minlength=len(y)) + w[-1]
+        g = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y) / len(y)
         grad = np.append(np.bincount(at, weights=g[row], minlength=size), g.sum())
         grad[:-1] += DECAY * w[:-1] / 10
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad ** 2
@@ -194,6 +192,12 @@ def train(rows: list[list[int]], y: np.ndarray, size: int) -> np.ndarray:
     return w
 
 
+def _entries(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number) of all numbers in a column of lists."""
+    lists = lists.combine_chunks()
+    return np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+
+
 def _scored(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen, w = shared.value
@@ -228,13 +232,12 @@ def score_toxicity(
     pairs = {r["block"]: np.frombuffer(r["sums"], np.int64) for r in pairs.groupBy("block").applyInArrow(added, "block long, sums binary").collect()}
     together = np.array([pairs.get(i, np.zeros(len(voters))) for i in range(len(voters))])
     texts = int(pairs.get(len(voters), [0])[0])
-    rows = known.mapInArrow(_reduced(voters, chosen), "votes array<int>, features array<int>").collect()
-    votes = np.zeros((len(rows), len(voters)))
-    for i, r in enumerate(rows):
-        votes[i, r["votes"]] = 1
+    rows = known.mapInArrow(_reduced(voters, chosen), "votes array<int>, features array<int>").toArrow()
+    votes = np.zeros((len(rows), len(voters)), dtype=np.float32)
+    votes[_entries(rows["votes"])] = 1
     share = (n[1] + 0.5) / (n.sum() + 1)
     y = label_model(votes, together, texts, share) if len(rows) else np.zeros(0)
-    shared = context.broadcast((chosen, train([r["features"] for r in rows], y, len(chosen))))
+    shared = context.broadcast((chosen, train(*_entries(rows["features"]), y, len(chosen))))
     own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
     out = docs.select(*[F.col(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
     out = out.mapInArrow(_scored(shared), T.StructType([*out.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
