@@ -38,9 +38,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleanwork-bench-"))
     queries = workload.queries()
+    small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    small = small if os.path.isdir(small) else sf_dir
     seconds = {}
     for name in HEADLINE:
-        queries[name](spark, os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")).collect()  # warm-up, not timed
+        queries[name](spark, small).collect()  # warm-up, not timed
         start = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
