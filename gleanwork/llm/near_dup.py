@@ -134,14 +134,9 @@ def _confirmed(key: tuple, pairs: pa.Table, sets: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def _bins(df: DataFrame, rows: int) -> int:
-    """Enough bins to use all partitions, and more when they would hold too much."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // BIN_ROWS)
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
     """pairs: (blk, ys, xs, members), aligned lists; the sets travel once per block."""
-    bins = _bins(pairs, rows)
+    bins = max(1, rows // BIN_ROWS)
     bin_of = F.pmod(F.xxhash64("blk"), F.lit(bins)).alias("bin")
     needed = pairs.select(bin_of, F.explode("members").alias("cls")).distinct()
     return pairs.select(bin_of, "ys", "xs").groupBy("bin").cogroup(
@@ -264,7 +259,8 @@ def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
     links = staged(_confirm(stars, sets, postings.count()), "links")
     tiles = _tiles(postings, components(links), classes)
     tiles = staged(tiles, "tiles")
-    bins = F.pmod(F.xxhash64("blk"), F.lit(_bins(tiles, tiles.count())))
+    n = tiles.count()
+    bins = F.pmod(F.xxhash64("blk"), F.lit(max(1, n // BIN_ROWS)))
     met = staged(tiles.groupBy(bins.alias("bin")).applyInArrow(_candidates, "blk long, ys array<long>, xs array<long>, members array<long>"), "pairs")
     involved = met.agg(F.sum(F.size("members")).alias("n")).first()["n"] or 0
     low = components(links.union(_confirm(met, sets, involved)))
