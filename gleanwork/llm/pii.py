@@ -2,14 +2,19 @@
 
 Strict kinds: e-mail, IP address, card number (Luhn), phone number. Generators of high recall also
 propose spans: any number of 7 or more digits with separators, and addresses spelt with "at" and
-"dot". A candidate is described by whole-numbered features of its format and context; one that overlaps a
-strict span counts as positive. Candidates of all documents are added up per combination of features (at
-most `CELLS` by construction), half of them by hash of the text to fit and half to calibrate. Trees of depth two are boosted on
-those sums for log loss and become one SQL expression. The threshold is the lowest at which `PRECISION` of
-the calibration half's candidates are positive; candidates above it that overlap no strict span are added.
+"dot". Evidence labels a candidate: it is positive if it overlaps a strict span, is announced by a word like
+"phone" or "mail", is laid out like a phone number or ends in a known domain; negative if it is part of a word, announced as
+something else, a date, an amount, a bare number or a long one without checksum. Without evidence it has no label.
+
+Candidates are described by whole-numbered features of their format and context. The labelled ones of all documents are added
+up per combination of features (at most `CELLS` by construction), half of them by hash of the text to fit and half to calibrate.
+Trees of depth two are boosted on those sums for log loss and become one SQL expression. They are fitted on every combination as it
+is and with its giveaways (`HIDDEN`) set to zero, and calibrated on the latter, which look like candidates without evidence. The threshold is the lowest at which
+`PRECISION` of the calibration half's candidates are positive. Added are the candidates outside strict spans that evidence calls
+positive, and those without a label that score above the threshold.
 
 Null texts are empty; ids are not read. Empty table: empty result. Without a threshold that is precise enough
-nothing is added. Everything is local to its row, apart from the sums per combination.
+only candidates with evidence are added. Everything is local to its row, apart from the sums per combination.
 """
 
 from __future__ import annotations
@@ -37,27 +42,54 @@ KINDS = [*STRICT, *WIDE]
 PRECISION = 0.95
 ROUNDS = 30
 RATE = 0.3
+#: Features that give a label away.
+HIDDEN = ("plus", "called")
+_SO = "(?:[^a-z0-9]+(?:me|us|at|on|is|no|nr|number|address|under|to))*[^a-z0-9]*$"
+CALLED = {
+    "number": "(?:^|[^\\p{L}])(?:tel|telephone|phone|call|mobile|mobil|cell|fax|sms|whatsapp|telefon|tel\u00e9fono|t\u00e9l\u00e9phone)" + _SO,
+    "spelt": "(?:^|[^\\p{L}])(?:e-?mail|mail|contact|write|reach|correo|kontakt|courriel)" + _SO,
+}
+OTHERWISE = "(?:^|[^\\p{L}])(?:order|invoice|isbn|issn|id|no|nr|ref|reference|version|serial|sku|page|pages|pp|doi|section|ticket|build)(?:[^a-z0-9]+(?:id|is|no|nr|number))*[^a-z0-9]*$|[$\u20ac\u00a3#/=_-]$"
+#: Bracketed area code; three, three and four figures; international prefix.
+LAYOUT = "^\\+?(?:[0-9]{1,3}[\\x20.-]?)?\\([0-9]{2,5}\\)[\\x20.-]?[0-9]{2,4}(?:[\\x20.-]?[0-9]{2,4})+$|^(?:1[\\x20.-])?[0-9]{3}([\\x20.-])[0-9]{3}\\1[0-9]{4}$|^00[1-9][0-9]{0,2}[\\x20.-]"
+#: Dates, ranges of years, amounts, four dotted numbers.
+NOT_A_PHONE = "^(?:19|20)[0-9]{2}[\\x20.-][0-9]{1,2}[\\x20.-][0-9]{1,2}(?![0-9])|^[0-9]{1,2}[.-][0-9]{1,2}[.-](?:19|20)[0-9]{2}(?![0-9])|^(?:19|20)[0-9]{2}[\\x20-]{1,2}(?:19|20)[0-9]{2}$|^[0-9]{1,3}(?:[\\x20.][0-9]{3}){2,}$|^[0-9]+\\.[0-9]+$|^[0-9]+(?:\\.[0-9]+){3}$"
+DOMAIN = "(?i)(?:\\(dot\\)|\\[dot\\]|\\x20dot\\x20)\\x20?(?:com|org|net|edu|gov|info|biz|eu|io|ai|app|dev|co|me|[a-z]{2})$"
 RESULT = ("base", "spans")
 
 
 def _features(m: Column, wide: str) -> dict[str, Column]:
     """Small whole numbers, each below the bound in `BOUNDS`."""
-    hit, number = m["hit"], digits(m["hit"])
-    n = F.length(number)
+    hit, n = m["hit"], m["n"]
     words = F.lower(m["before"])
     return {
         "spelt": F.lit(int(wide == "spelt")),
         "length": F.when(n < 9, 0).when(n < 12, 1).when(n < 16, 2).when(n == 16, 3).when(n < 20, 4).otherwise(5),
-        "separators": F.least(F.length(hit) - n, F.lit(5)),
+        "separators": F.least(F.length(F.ltrim(hit, F.lit("+"))) - n, F.lit(5)),
         "plus": hit.startswith("+").cast("int"),
         "dots": F.least(F.length(F.regexp_replace(hit, "[^.]", "")), F.lit(4)),
-        "checksum": F.when(n.between(12, 19), luhn(number)).otherwise(False).cast("int"),
+        "checksum": m["checked"].cast("int"),
         "called": F.when(words.rlike("tel|phone|call|mobile|fax"), 1).when(words.rlike("card|visa|iban|account"), 2).otherwise(0),
         "after_word": words.rlike("[a-z0-9]$").cast("int"),
         "before_word": m["after"].rlike("[A-Za-z0-9]").cast("int"),
     }
 
 
+def _label(m: Column, wide: str) -> Column:
+    """1 or 0 by evidence, null without any."""
+    hit, n, checked, words = m["hit"], m["n"], m["checked"], F.lower(m["before"])
+    called = words.rlike(CALLED[wide])
+    if wide == "spelt":
+        return F.when(m["strict"] | called | hit.rlike(DOMAIN) | hit.rlike("(?i)[\\[(]at[\\])]"), 1).otherwise(0)
+    plain = n == F.length(hit)
+    return (F.when(m["strict"], 1)
+            .when(words.rlike("[\\p{L}0-9_]$") | m["after"].rlike("[\\p{L}0-9_]"), 0)
+            .when(called & (n <= 15), 1)
+            .when(words.rlike(OTHERWISE) | hit.rlike(NOT_A_PHONE) | (plain & ~checked), 0)
+            .when(hit.rlike(LAYOUT) & (n <= 15), 1)
+            .when((n > 12) & ~checked, 0))
+
+
 BOUNDS = {"spelt": 2, "length": 6, "separators": 6, "plus": 2, "dots": 5, "checksum": 2, "called": 3, "after_word": 2, "before_word": 2}
 FEATURES = list(BOUNDS)
 CELLS = math.prod(BOUNDS.values())
@@ -75,15 +107,20 @@ def _strict(m: dict[str, Column]) -> dict[str, Column]:
 
 
 def _found(docs: DataFrame, text: str) -> DataFrame:
-    """`base`, and `wide`: candidates with their features and whether a strict span overlaps them."""
+    """`base`, and `wide`: candidates with their features, whether a strict span overlaps them, and their label."""
     rows = with_matches(docs, text, STRICT | WIDE)
     strict = _strict({k: F.col(k) for k in STRICT})
     rows = rows.withColumn("base", all_of([tagged(strict[k], k, KINDS.index(k)) for k in STRICT]))
 
     def described(kind: str) -> Column:
-        return F.transform(F.col(kind), lambda m: F.struct(
+        # Steps of their own, so that no costly part is written out more than once.
+        noted = F.transform(F.col(kind), lambda m: F.struct(m.alias("m"), digits(m["hit"]).alias("number"), F.exists("base", lambda b: overlaps(m, b)).alias("strict")))
+        noted = F.transform(noted, lambda x: F.struct(
+            *[x["m"][c].alias(c) for c in ("start", "end", "hit", "before", "after")], x["strict"].alias("strict"), F.length(x["number"]).alias("n"),
+            F.when(F.length(x["number"]).between(12, 19), luhn(x["number"])).otherwise(False).alias("checked")))
+        return F.transform(noted, lambda m: F.struct(
             m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("place"), m["end"].alias("end"), F.lit(kind).alias("kind"),
-            F.exists("base", lambda b: overlaps(m, b)).cast("int").alias("positive"),
+            m["strict"].alias("strict"), _label(m, kind).alias("positive"),
             *[v.alias(k) for k, v in _features(m, kind).items()]))
 
     return rows.withColumn("wide", F.concat(*[described(k) for k in WIDE])).drop(*STRICT, *WIDE)
@@ -153,12 +190,13 @@ def fit(docs: DataFrame, text: str = "text") -> Trees:
     found = _found(docs.select(F.col(text).alias("text")), "text")
     half = F.pmod(F.xxhash64("text"), F.lit(2)).alias("half")
     cells = found.select(half, F.explode("wide").alias("w")).groupBy("half", *[F.col(f"w.{f}").alias(f) for f in FEATURES]).agg(
-        F.count("*").alias("n"), F.sum("w.positive").alias("positives"))
-    rows = [r.asDict() for r in cells.collect()]  # at most 2 * CELLS
+        F.count("w.positive").alias("n"), F.sum("w.positive").alias("positives"))
+    rows = [r.asDict() for r in cells.collect() if r["n"]]  # at most 2 * CELLS
     rows.sort(key=lambda r: [r[f] for f in FEATURES])
+    hidden = [r | dict.fromkeys(HIDDEN, 0) for r in rows]
     trees = Trees()
-    trees.fit([r for r in rows if r["half"] == 0])
-    trees.calibrate([r for r in rows if r["half"] == 1])
+    trees.fit([r for r in [*rows, *hidden] if r["half"] == 0])
+    trees.calibrate([r for r in hidden if r["half"] == 1])
     return trees
 
 
@@ -169,11 +207,10 @@ def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Tr
     trees = trees or fit(docs, text)
     rows = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], F.col(text).alias("text"))
     rows = _found(rows, "text")
-    added = F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")
-    if trees.threshold < math.inf:
-        limit = math.log(trees.threshold / max(1e-12, 1 - trees.threshold)) - 1e-9
-        accepted = F.filter("wide", lambda w: (w["positive"] == 0) & (trees.expression(w) >= limit))
-        added = F.transform(accepted, lambda w: F.struct(*[w[c].alias(c) for c in ("start", "place", "end", "kind")]))
+    limit = math.log(trees.threshold / max(1e-12, 1 - trees.threshold)) - 1e-9 if trees.threshold < math.inf else math.inf
+    likely = lambda w: F.coalesce(w["positive"] == 1, trees.expression(w) >= limit)
+    accepted = F.filter("wide", lambda w: ~w["strict"] & likely(w))
+    added = F.transform(accepted, lambda w: F.struct(*[w[c].alias(c) for c in ("start", "place", "end", "kind")]))
     spans = F.when(F.size("wide") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", added)))
     return rows.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "base", spans.alias("spans"))
 

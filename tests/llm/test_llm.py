@@ -314,3 +314,22 @@ def test_pipeline(spark, odd_docs):
             assert ids <= {d for d, _ in before} and after.filter("taken > 3 * size or taken <= 0").count() == 0
         docs = after
     assert pipeline.run(spark, SF).count() == docs.count()
+
+
+def test_candidates_outside_the_strict_patterns_are_found(spark, odd_docs):
+    """Phones without '+' and spelt addresses, however many of them the corpus holds; by evidence, or by trees learnt from strict spans."""
+    private = {"ask (202) 555-0100 now": "ask [NUMBER] now", "ask 202-555-0100 now": "ask [NUMBER] now", "fax 5550100": "fax [NUMBER]",
+               "it is bob at example dot com, yes": "it is [SPELT], yes", "ask 030 123-4567 now": "ask [NUMBER] now"}
+    other = ["order 12 34-56 78-901 came", "on 2024-05-17 it", "sum 1 234 567 so", "id 12345678901234", "a0123456789abc", "so 98765432 it", "stay at home dot matrix now"]
+    rows = [(f"n{i}", f"x{i} . {t}") for i, t in enumerate([*private, *other] * 20)]
+    rows += [(f"s{i}", f"x{i} . ask +{i % 80 + 10} 30{100 + i}-{4000 + i} now") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    given = dict(rows)
+    found = {r["doc_id"]: r["spans"] for r in pii.find_pii(df, ["doc_id"]).collect()}
+    for r in pii.redact(df).collect():
+        number, text = given[r["doc_id"]].split(" . ")
+        want = private.get(text, text) if r["doc_id"][0] == "n" else "ask [PHONE] now"
+        assert r["text"] == f"{number} . {want}"
+        assert len(found[r["doc_id"]]) == (want != text)
+    alone = spark.createDataFrame([(1, "(202) 555-0100 or bob at example dot com")], "doc_id long, text string")
+    assert [r["text"] for r in pii.redact(alone).collect()] == ["[NUMBER] or [SPELT]"]
