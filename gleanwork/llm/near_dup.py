@@ -19,8 +19,8 @@ Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; a document's set is its disti
 Components run over the links of both steps. Texts are shuffled once, for classes with enough shared values only.
 
 Null or wordless texts have an empty set and are linked with nothing. A document without id takes part
-and is never the smallest unless its whole component has none. Rows with equal ids are alike kept or not.
-Empty table: empty result. Other columns are not read.
+and is never the smallest unless its whole component has none. In `near_duplicates` rows with equal ids are alike kept or not;
+`keep_one` keeps one row of each component. Empty table: empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwork.llm.components import components
@@ -180,10 +180,15 @@ def _candidates(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"blk": pa.array(out["blk"], pa.int64()), **{c: pa.array(out[c], longs) for c in ("ys", "xs", "members")}})
 
 
+def _best() -> Column:
+    """Orders documents by id, those without one last, then by text."""
+    return F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("tk"))
+
+
 def _classes(signed: DataFrame) -> DataFrame:
     """One row per distinct set, numbered as written."""
     per = signed.filter(F.col("n") > 0).groupBy("f1", "f2", "n").agg(
-        F.min("doc").alias("low_doc"), F.min(F.struct("doc", "tk")).alias("one"), F.first("sig").alias("sig"))
+        F.min("doc").alias("low_doc"), F.min(_best()).alias("one"), F.first("sig").alias("sig"))
     return staged(per.select(F.monotonically_increasing_id().alias("cls"), "f1", "f2", "n", "low_doc", "one.doc", "one.tk", "sig"), "classes")
 
 
@@ -240,10 +245,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are kept, with all their columns unchanged. Rows are told apart by id and text."""
-    gone = _labelled(docs, key, text).filter(~F.col("kept")).select(F.col("doc").alias("__doc"), F.col("tk").alias("__tk")).distinct()
+    """One row of each component, with all its columns unchanged: the one with the smallest id, rows
+    without id last; then by hash of the text, then of all columns. Rows without words all stay."""
+    found = _labelled(docs, key, text).filter("n_shingles > 0")
+    seen = found.groupBy(F.col("doc").alias("__doc"), F.col("tk").alias("__tk")).agg(F.first("best").alias("__best"), F.count("*").alias("n"))
+    # Texts that go, and those of which one of several rows stays.
+    marked = staged(seen.filter("n > 1 OR NOT __best").drop("n"), "duplicates")
     same = F.col(key).eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(text)) == F.col("__tk"))
-    return docs.join(staged(gone, "duplicates"), same, "left_anti")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = docs.join(marked.filter("__best"), same)
+    order = Window.partitionBy("__doc", "__tk").orderBy(F.xxhash64(F.to_json(F.struct(*own))))
+    first = repeated.withColumn("__row", F.row_number().over(order)).filter("__row = 1").select(*own)
+    return docs.join(marked, same, "left_anti").unionByName(first)
 
 
 def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -264,10 +277,11 @@ def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
     met = staged(tiles.groupBy(bins.alias("bin")).applyInArrow(_candidates, "blk long, ys array<long>, xs array<long>, members array<long>"), "pairs")
     involved = met.agg(F.sum(F.size("members")).alias("n")).first()["n"] or 0
     low = components(links.union(_confirm(met, sets, involved)))
-    named = classes.join(low.withColumnRenamed("node", "cls"), "cls", "left").select("f1", "f2", "n", "low_doc", F.coalesce("low", "cls").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("low_doc").alias("component"))
-    named = staged(named.join(least, "comp").select("f1", "f2", F.col("n").alias("size"), "component"), "components")
+    named = classes.join(low.withColumnRenamed("node", "cls"), "cls", "left").select("f1", "f2", "n", "low_doc", "doc", "tk", F.coalesce("low", "cls").alias("comp"))
+    least = named.groupBy("comp").agg(F.min("low_doc").alias("component"), F.min(_best()).alias("one"))
+    named = staged(named.join(least, "comp").select("f1", "f2", F.col("n").alias("size"), "component", F.col("one.doc").alias("one_doc"), F.col("one.tk").alias("one_tk")), "components")
     out = signed.select("doc", "tk", "n", "f1", "f2").join(
         named.withColumnsRenamed({"f1": "g1", "f2": "g2"}), (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("n") == F.col("size")), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
-    return out.select("doc", "tk", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc").eqNullSafe(component).alias("kept"))
+    best = F.col("doc").eqNullSafe(F.col("one_doc")) & (F.col("tk") == F.col("one_tk"))
+    return out.select("doc", "tk", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc").eqNullSafe(component).alias("kept"), best.alias("best"))

@@ -333,3 +333,19 @@ def test_candidates_outside_the_strict_patterns_are_found(spark, odd_docs):
         assert len(found[r["doc_id"]]) == (want != text)
     alone = spark.createDataFrame([(1, "(202) 555-0100 or bob at example dot com")], "doc_id long, text string")
     assert [r["text"] for r in pii.redact(alone).collect()] == ["[NUMBER] or [SPELT]"]
+
+
+def test_one_row_of_each_group_is_kept(spark, odd_docs):
+    """Groups with repeated rows, an id on two near-copies or on two groups, and no id at all."""
+    rng = random.Random(9)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    near = lambda t: t.rsplit(" ", 1)[0] + " end"
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a, "p")] * 40 + [(1, a, "q"), (2, a, "p"), (None, a, "p")] + [(3, b, "p"), (3, near(b), "p"), (4, b, "p")]
+    rows += [(None, c, "p"), (None, c, "p"), (None, near(c), "p")] + [(3, d, "p"), (5, e, "p")] + [(6, "", "p"), (6, "", "p"), (None, None, "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = [tuple(r) for r in near_dup.keep_one(docs).collect()]
+    groups = {t: k for k, ts in enumerate([(a,), (b, near(b)), (c, near(c)), (d,), (e,)]) for t in ts}
+    assert sorted(groups[t] for _, t, _ in kept if t) == [0, 1, 2, 3, 4]
+    assert ordered((i, groups.get(t)) for i, t, _ in kept) == ordered([(1, 0), (3, 1), (None, 2), (3, 3), (5, 4), (6, None), (6, None), (None, None)])
+    assert all(r in rows for r in kept)
