@@ -1,11 +1,11 @@
 """Quality of documents: random-indexing word vectors, pooled, and a two-layer network.
 
-Words are split at blanks. A word of up to `SHORT` bytes is itself, A-Z folded; a longer one is its
-shape (runs of letters, capitals, digits and each sign, as in `A-a.`); one that repeats the word before
-or the one before that is a mark for it. Words are hashed to `BUCKETS`. Every bucket
-has a fixed sparse random vector; a bucket's word vector is the sum of the random vectors of the words up to
-`REACH` places away, over all documents. A document is the mean of its words' unit vectors,
-plainly and weighted by rarity. The network is fitted with numpy on at most `SAMPLE` labelled rows (the
+Words are split at blanks, A-Z folded. Beside its words a text has as many marks: of a word of up to `SHORT` bytes the
+word, of a longer one its shape (runs of letters, capitals, digits and each sign, as in `A-a.`), and of one that repeats the word
+before or the one before that a sign for it. Words are hashed to 2^`BITS` buckets, marks to 2^`MARK_BITS` others. Every bucket
+has a fixed sparse random vector; a bucket's word vector is the sum of the random vectors of itself and of the words (for a mark, marks) up to
+`REACH` places away, over all documents. A document is the mean of its words' unit vectors and that of its marks',
+each plainly and weighted by rarity. The network is fitted with numpy on at most `SAMPLE` labelled rows (the
 smallest by hash of id); a fifth of them is held back to fit the temperature of its
 probabilities.
 
@@ -26,12 +26,14 @@ from pyspark.sql import types as T
 
 from gleanwork.llm.words import BLANKS, byte_classes, chunks, constants, mix, words_of
 
-BITS, DIMENSIONS, SPARSE, REACH, SHORT = 14, 64, 4, 2, 4
-BUCKETS = 1 << BITS
+BITS, MARK_BITS, DIMENSIONS, SPARSE, REACH, SHORT = 16, 14, 64, 4, 2, 4
+BUCKETS = (1 << BITS) + (1 << MARK_BITS)
+#: Numbers that describe a document.
+WIDTH = 4 * DIMENSIONS
 SAMPLE = 20_000
 HIDDEN, EPOCHS, BATCH, STEP, DECAY = 32, 60, 256, 3e-3, 1e-4
 RARE = 1e-3
-_BLOCKS = 64
+_BLOCKS = 256
 #: Stand for a word that repeats the one before, or the one before that.
 _AGAIN = constants(131, 2)
 
@@ -45,8 +47,8 @@ def _shapes() -> np.ndarray:
     return table
 
 
-def buckets_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every word, first word of every text)."""
+def buckets_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket of every word, bucket of its mark, first word of every text)."""
     w = words_of(data, offsets, *byte_classes(BLANKS, fold=True))
     shape = _shapes()[data]
     fresh = np.ones(len(shape), dtype=bool)
@@ -60,7 +62,8 @@ def buckets_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     for back in (1, 2):
         again = back + np.flatnonzero((w.hashes[back:] == w.hashes[:-back]) & (owner[back:] == owner[:-back]))
         h[again] = _AGAIN[back - 1]
-    return (h >> np.uint64(64 - BITS)).astype(np.int64), w.first
+    marks = (h >> np.uint64(64 - MARK_BITS)).astype(np.int64) + (1 << BITS)
+    return (w.hashes >> np.uint64(64 - BITS)).astype(np.int64), marks, w.first
 
 
 def random_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -74,17 +77,16 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, seen = np.zeros(BUCKETS * DIMENSIONS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
     for batch in batches:
         for _, _, data, offsets in chunks(batch.column(0)):
-            b, first = buckets_of(data, offsets)
-            seen += np.bincount(b, minlength=BUCKETS)
+            words, marks, first = buckets_of(data, offsets)
             owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            for d in range(1, REACH + 1):
-                if len(b) <= d:
-                    continue
-                near = np.flatnonzero(owner[d:] == owner[:-d])
-                for me, other in ((b[near], b[near + d]), (b[near + d], b[near])):
-                    at = (me[:, None] * DIMENSIONS + places[other]).ravel()
-                    plus = signs[other].ravel() > 0
-                    total += np.bincount(at[plus], minlength=len(total)) - np.bincount(at[~plus], minlength=len(total))
+            for b in (words, marks):
+                seen += np.bincount(b, minlength=BUCKETS)
+                for d in range(1, REACH + 1):
+                    if len(b) <= d:
+                        continue
+                    near = np.flatnonzero(owner[d:] == owner[:-d])
+                    for me, other in ((b[near], b[near + d]), (b[near + d], b[near])):
+                        np.add.at(total, (me[:, None] * DIMENSIONS + places[other]).ravel(), signs[other].ravel())
     parts = np.concatenate([total.reshape(_BLOCKS, -1), seen.reshape(_BLOCKS, -1)], axis=1)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(_BLOCKS)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["block", "sums"])
 
@@ -107,22 +109,29 @@ def word_vectors(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
         x = np.frombuffer(r["sums"], np.int64)
         at = slice(r["block"] * width, (r["block"] + 1) * width)
         total[at], seen[at] = x[:-width].reshape(width, DIMENSIONS), x[-width:]
+    for place, sign in zip(*(x.T for x in random_vectors()), strict=True):
+        total[np.arange(BUCKETS), place] += sign * seen
     length = np.linalg.norm(total, axis=1, keepdims=True)
-    share = seen / max(1.0, seen.sum())
+    # As many marks as words.
+    share = seen / max(1.0, seen.sum() / 2)
     return (total / np.maximum(length, 1e-9)).astype(np.float32), (RARE / (RARE + share)).astype(np.float32)
 
 
 def pooled(text: pa.Array, vectors: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    """One row per text: the mean of its words' vectors, plain and weighted by rarity."""
-    out = np.zeros((len(text), 2 * DIMENSIONS), dtype=np.float32)
+    """One row per text: the means of its words' and of its marks' vectors, plain and weighted by rarity."""
+    out = np.zeros((len(text), WIDTH), dtype=np.float32)
     for row, to, data, offsets in chunks(text):
-        b, first = buckets_of(data, offsets)
+        words, marks, first = buckets_of(data, offsets)
         n = np.diff(first)
         full = np.flatnonzero(n > 0)
         if len(full):
-            v, weights, starts = vectors[b], rarity[b], first[:-1][full]
-            out[row + full, :DIMENSIONS] = np.add.reduceat(v, starts) / n[full, None]
-            out[row + full, DIMENSIONS:] = np.add.reduceat(v * weights[:, None], starts) / np.add.reduceat(weights, starts)[:, None]
+            for at, b in ((0, words), (2 * DIMENSIONS, marks)):
+                weights = np.stack([np.ones(len(b), np.float32), rarity[b]])
+                weights /= np.repeat(np.add.reduceat(weights, first[:-1][full], axis=1), n[full], axis=1)
+                # Text by text, for vectors that stay in the processor's cache.
+                for i in full:
+                    mine = slice(first[i], first[i + 1])
+                    out[row + i, at:at + 2 * DIMENSIONS] = (weights[:, mine] @ vectors[b[mine]]).ravel()
     return out
 
 
@@ -208,9 +217,9 @@ def score_quality(
     wanted = F.broadcast(training_rows(labels, key, label, folds, fold, sample))
     known = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(wanted, F.col("k") == F.col("__labelled"))
     known = known.select(F.col("__labelled").alias("id"), "y", "text").mapInArrow(_sampled(vectors), f"id {wanted.schema['__labelled'].dataType.simpleString()}, y int, x array<float>")
-    known = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample).collect()
-    x = np.array([r["x"] for r in known], dtype=np.float64).reshape(len(known), 2 * DIMENSIONS)
-    net = context.broadcast(train(x, np.array([r["y"] for r in known], dtype=np.float64)))
+    known = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample).toArrow()
+    x = known["x"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(known), WIDTH)
+    net = context.broadcast(train(x, known["y"].to_numpy().astype(np.float64)))
     own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
     rows = docs.select(*[F.col(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
     out = rows.mapInArrow(_scored(vectors, net), T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))

@@ -335,6 +335,17 @@ def test_candidates_outside_the_strict_patterns_are_found(spark, odd_docs):
     assert [r["text"] for r in pii.redact(alone).collect()] == ["[NUMBER] or [SPELT]"]
 
 
+def test_quality_tells_long_words_apart(spark, odd_docs):
+    """Texts that differ only in which longer words they hold, all of one shape."""
+    rng = random.Random(4)
+    kinds = [[f"{a}{b}{c}" for a in "ka lo mi".split() for b in x for c in ("rado", "tenu")] for x in (("bi", "fo"), ("gu", "se"))]
+    rows = [(i, " ".join(rng.choice(kinds[i % 2]) for _ in range(30)), i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    got = quality.score_quality(df.select("doc_id", "text"), df.select("doc_id", "quality"), ["doc_id"]).filter("held_out").collect()
+    right = [r["predicted"] == r["doc_id"] % 2 for r in got]
+    assert len(right) > 50 and np.mean(right) > 0.95
+
+
 def test_one_row_of_each_group_is_kept(spark, odd_docs):
     """Groups with repeated rows, an id on two near-copies or on two groups, and no id at all."""
     rng = random.Random(9)
