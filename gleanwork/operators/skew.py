@@ -40,7 +40,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
     rows = Observation()
     counts = df.observe(rows, F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.count("*").alias("__n"))
     counts = staged(counts.filter("__n > 1"), "key-counts")
-    fair = max(1.0, rows.get["n"] / parts)
+    # Without rows Spark drops the observation from the plan, and there is nothing to be had.
+    fair = max(1.0, rows.get["n"] / parts) if not counts.isEmpty() else 1.0
     return counts.filter(F.col("__n") > fair).select(*keys, F.ceil(F.col("__n") / F.lit(fair)).cast("int").alias(_SALTS))
 
 

@@ -90,6 +90,13 @@ def test_hot_keys_are_bounded(keyed):
 
 
 @pytest.mark.parametrize("hot", [3, 250])
+def test_empty_tables_have_no_hot_keys(spark, tmp_path):
+    spark.createDataFrame([], "k int, v int").write.parquet(f"{tmp_path}/none")
+    none = spark.read.parquet(f"{tmp_path}/none")
+    assert skew.hot_keys(none, ["k"], 5).count() == 0
+    assert skew.salted_join(none, none.withColumnRenamed("v", "w"), ["k"], ["v"], "left", parts=5).count() == 0
+
+
 def test_small_hot_keys_are_salted_when_parts_are_many(spark, hot):
     """One key at a third or at 0.4 % of the rows: no salt of it exceeds a fair part by much."""
     rows = spark.range(60000).selectExpr("id AS ord", f"CASE WHEN id % {hot} = 0 THEN -1 ELSE id END AS k")
