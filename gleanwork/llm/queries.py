@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import decontaminate, mixing, near_dup, neighbours, pii, quality, repeats, secrets, spans, tool_calls, toxicity
+from gleanwork.llm import codes, conversations, decontaminate, licenses, mixing, near_dup, neighbours, pii, quality, repeats, secrets, spans, tool_calls, toxicity
+from gleanwork.operators.skew import equi_join
+from gleanwork.session import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,9 +69,32 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    rows = conversations.rows_of(conversations.damaged(given), "conv", copies="copies")
+    return conversations.report(given.select(F.col("conv_id").alias("conv")), rows).withColumnRenamed("conv", "conv_id")
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, coder = codes.compress(_table(spark, sf_dir, "embeddings"))
+    coded = staged(coded, "codes")
+    sums = coded.groupBy("label").agg(codes.clipped(F.sum(F.col("error").cast("decimal(38,0)"))).alias("label_error"))
+    joined = equi_join(coded, sums, ["label"], "left", spread_by=["id"])
+    return joined.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(coder.digest() if coder else None).cast("string").alias("codebooks_sha256"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_notices(_table(spark, sf_dir, "documents"), ["doc_id"])
+    starts = F.transform("base", lambda x: x["start"])
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        licenses.labels("base").alias("base_labels"), licenses.labels("base", "notices").alias("labels"), "score",
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_quality, op4_toxicity, op5_secrets, op6_pii, op7_tool_calls, op8_neighbours, op9_decontamination, op10_repeats)}
+    return {f.__name__: f for f in (op1_mixing, op2_near_duplicates, op3_quality, op4_toxicity, op5_secrets, op6_pii, op7_tool_calls, op8_neighbours, op9_decontamination, op10_repeats, op11_conversations, op12_codes, op13_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.SQL, "op7_tool_calls": tool_calls.SQL}
+    return {"op1_mixing": mixing.SQL, "op7_tool_calls": tool_calls.SQL, "op11_conversations": conversations.SQL, "op12_codes": codes.SQL}
