@@ -25,7 +25,7 @@ def _any(tests: list[Column]) -> Column:
 
 
 def any_keyword(c: Column, keywords: Sequence[str], case_sensitive: bool = False) -> Column:
-    """Any keyword is a substring. Long lists: see `operators.keywords.match_terms`."""
+    """Any keyword is a substring. Long lists: see `operators.keywords.match_substrings`."""
     text = c if case_sensitive else F.lower(c)
     words = keywords if case_sensitive else [k.lower() for k in keywords]
     return _false_if_null(_any([F.contains(text, F.lit(k)) for k in words]))
@@ -42,6 +42,7 @@ def _escaped(word: str) -> str:
 
 
 def any_word(c: Column, keywords: Sequence[str], escape: bool = False) -> Column:
+    """Any keyword as a whole word. Long lists: see `operators.keywords.match_terms` and `match_patterns`."""
     if not keywords:
         return F.lit(False)
     return _false_if_null(F.rlike(c, F.lit("(?iu)" + word_pattern(keywords, escape))))

@@ -1,11 +1,28 @@
-"""Keyword matching against lists too long for one expression."""
+"""Keyword matching against lists too long for one expression.
+
+Whole words and phrases (`match_terms`) need joins only. Substrings (`match_substrings`) and patterns
+(`match_patterns`) are found by one automaton for the whole list, which reads a text once however long the list is. The list goes to the
+executors in blocks of at most about `BLOCK_CHARS` characters; a longer list takes a further pass over the texts for each block, so
+neither the driver nor a worker holds more than a block. Texts are never shuffled.
+"""
 
 from __future__ import annotations
 
+import math
+import re
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions.predicates import WORD_END, WORD_START
+from gleanwork.operators.joins import members
+
+#: About 100 bytes of an automaton for each character, at the most.
+BLOCK_CHARS = 2_000_000
 
 # Anything but letters, numbers and underscore separates words.
 SPLIT = r"[^\p{L}\p{N}_]+"
@@ -39,3 +56,154 @@ def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str
     pattern = F.concat(F.lit("(?iu)" + WORD_START), quoted, F.lit(WORD_END))
     phrases = possible.join(df.select(key, text), key).filter(F.rlike(F.col(text), pattern)).select(key, "term")
     return single.unionByName(phrases)
+
+
+def folded(c: Column) -> Column:
+    """Lower case in which all characters that a pattern takes for one, ignoring case, look alike."""
+    # The inner translation also keeps the optimizer from dropping the upper case.
+    return F.translate(F.lower(F.translate(F.upper(c), "\u0307", "")), "ς\u0307", "σ")
+
+
+#: The automaton a worker process used last, by the name of its list.
+_LAST: dict[str, ahocorasick.Automaton] = {}
+
+
+def _automaton(name: str, words: Callable[[], Iterator[tuple[str, list[str]]]]) -> ahocorasick.Automaton:
+    if name not in _LAST:
+        _LAST.clear()
+        built = ahocorasick.Automaton()
+        for word, found in words():
+            if built.exists(word):
+                built.get(word).extend(found)
+            else:
+                built.add_word(word, found)
+        if len(built):
+            built.make_automaton()
+        _LAST[name] = built
+    return _LAST[name]
+
+
+def _finder(df: DataFrame, words: list[str], found: list[str], always: list[str]) -> Callable[[Column], Column]:
+    """array<string> of what is found in a text: found[i] if it holds words[i], and `always` in any text."""
+    sent = df.sparkSession.sparkContext.broadcast((words, found, always))
+    name = uuid.uuid4().hex
+
+    @F.arrow_udf("array<string>")
+    def find(texts: pa.Array) -> pa.Array:
+        words, found, always = sent.value
+        automaton = _automaton(name, lambda: ((w, [f]) for w, f in zip(words, found)))
+        out: list[list[str] | None] = []
+        for text in texts.to_pylist():
+            if text is None:
+                out.append(None)
+                continue
+            hits = {id(x): x for _, x in automaton.iter(text)} if len(automaton) else {}
+            out.append(sorted({f for x in hits.values() for f in x}.union(always)))
+        return pa.array(out, pa.list_(pa.string()))
+
+    return find
+
+
+def _blocks(listed: DataFrame, column: str, size: int) -> Iterator[pa.Table]:
+    """The rows of a list in blocks of about `size` characters of a column."""
+    total = listed.agg(F.sum(F.length(column) + 1).alias("n")).first()["n"] or 0
+    blocks = max(1, math.ceil(total / size))
+    for b in range(blocks):
+        yield listed.filter(F.pmod(F.xxhash64(column), F.lit(blocks)) == b).toArrow()
+
+
+def _united(parts: Sequence[DataFrame], empty: DataFrame) -> DataFrame:
+    out = empty
+    for i, part in enumerate(parts):
+        out = part if i == 0 else out.unionByName(part)
+    return out
+
+
+def match_substrings(
+    df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", case_sensitive: bool = False, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """(key, term) for every distinct term that is a substring of the text.
+
+    The same answer as `predicates.any_keyword`, for any number of terms. A missing text holds nothing, a missing term is
+    left out, the empty term is in every text. Terms that differ in case only are reported each. Rows with one key are reported each.
+    """
+    own = (lambda c: c) if case_sensitive else F.lower
+    listed = terms.select(F.col(term).cast("string").alias("term")).filter(F.col("term").isNotNull()).distinct().select("term", own(F.col("term")).alias("word"))
+    parts = []
+    for block in _blocks(listed, "word", block_chars):
+        rows = list(zip(block["word"].to_pylist(), block["term"].to_pylist()))
+        if rows:
+            some = [(w, t) for w, t in rows if w]
+            find = _finder(df, [w for w, _ in some], [t for _, t in some], [t for w, t in rows if not w])
+            parts.append(df.select(key, F.explode(find(own(F.col(text).cast("string")))).alias("term")))
+    return _united(parts, df.select(key, F.lit("").alias("term")).filter(F.lit(False)))
+
+
+_TOKEN = re.compile(
+    r"(?P<text>[^\\\[\](){}.^$|?*+]|\\[^a-zA-Z0-9])|(?P<other>\\[dDwWsSbBAzZGtnrfvhHRX]|\\[pP](?:\w|\{\w+\})|\[\^?(?:\\.|[^\[\]\\])+\]|[.^$])"
+    r"|(?P<more>\+[?+]?)|(?P<maybe>[?*][?+]?|\{\d+,?\d*\}[?+]?)|(?P<bar>\|)|(?P<open>\((?:\?(?:[:=!>]|<[=!]|<\w+>)|(?!\?)))|(?P<close>\))", re.DOTALL)
+
+
+def required_texts(pattern: str) -> list[str] | None:
+    """Literal texts of which any match of the pattern holds at least one, ignoring case; None if there may be none.
+
+    One for each alternative: its longest run of plain characters outside groups and classes. Patterns with flags of their own, quotations,
+    back references or nested classes are not read, nor those with an alternative without a run of two.
+    """
+    needed: list[str] = []
+    runs, at, depth = [""], 0, 0
+    while at < len(pattern):
+        token = _TOKEN.match(pattern, at)
+        if not token:
+            return None
+        kind, found, at = token.lastgroup, token[0], token.end()
+        depth += {"open": 1, "close": -1}.get(kind, 0)
+        if depth < 0:
+            return None
+        if depth or kind == "close":
+            if kind == "open":
+                runs.append("")
+        elif kind == "text":
+            runs[-1] += found[-1]
+        elif kind == "bar":
+            needed.append(max(runs, key=len))
+            runs = [""]
+        else:
+            if kind == "maybe":
+                runs[-1] = runs[-1][:-1]
+            runs.append("")
+    needed.append(max(runs, key=len))
+    return needed if not depth and min(map(len, needed)) >= 2 else None
+
+
+def match_patterns(
+    df: DataFrame, key: str, text: str, patterns: DataFrame, pattern: str = "pattern", whole_word: bool = True, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """(key, pattern) for every distinct pattern that matches the text, ignoring case; as whole words by default.
+
+    The same answer as `predicates.any_word` for each pattern, for any number of patterns. One automaton of the texts that the patterns
+    require finds the patterns that a text may match, and only those are tried. Patterns that require no text of two characters are tried on every
+    text, so their number is what costs. A missing text matches nothing; a missing pattern is left out; an invalid one is an error.
+    """
+    listed = patterns.select(F.col(pattern).cast("string").alias("pattern")).filter(F.col("pattern").isNotNull()).distinct()
+    parts = []
+    for block in _blocks(listed, "pattern", block_chars):
+        given = block["pattern"].to_pylist()
+        needs = {p: required_texts(p) for p in given}
+        asked = [(t, p) for p, texts in needs.items() for t in texts or ()]
+        if not given:
+            continue
+        # Folded by Spark, as the texts are.
+        rows = df.sparkSession.createDataFrame(pa.table({"t": pa.array([t for t, _ in asked], pa.string()), "p": pa.array([p for _, p in asked], pa.string())}))
+        words = rows.select(folded(F.col("t")).alias("t"), "p").toArrow()
+        find = _finder(df, words["t"].to_pylist(), words["p"].to_pylist(), [p for p, texts in needs.items() if not texts])
+        tried = df.select(key, F.col(text).cast("string").alias("__text"), find(folded(F.col(text).cast("string"))).alias("__some")).filter(F.size("__some") > 0)
+        start, end = (WORD_START, WORD_END) if whole_word else ("", "")
+        right = F.filter("__some", lambda p: F.rlike(F.col("__text"), F.concat(F.lit(f"(?iu){start}(?:"), p, F.lit(f"){end}"))))
+        parts.append(tried.select(key, F.explode(right).alias("pattern")))
+    return _united(parts, df.select(key, F.lit("").alias("pattern")).filter(F.lit(False)))
+
+
+def with_any(df: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """The rows with a hit among (key, ...) pairs: the filter for lists of any length."""
+    return members(df, found, key)

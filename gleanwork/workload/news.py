@@ -293,6 +293,44 @@ def keyword_table_hits(spark, sf_dir):
     return hits.groupBy("term").agg(F.count("*").alias("n"))
 
 
+#: Lengths of the substrings that are looked for.
+_GRAMS = (8, 10)
+
+
+def _grams_sql(table_name: str, columns: str) -> str:
+    parts = [f"SELECT DISTINCT {columns} lower(substr(text, i::INTEGER, {n})) AS term FROM (SELECT *, unnest(range(1, length(text) - {n - 2})) AS i FROM {table_name})" for n in _GRAMS]
+    return " UNION ".join(parts)
+
+
+@query(f"""WITH t AS ({_grams_sql('benchmark', '')}), d AS ({_grams_sql('documents', 'doc_id,')})
+SELECT term, count(*) AS n FROM d JOIN t USING (term) GROUP BY term""")
+def substring_table_hits(spark, sf_dir):
+    """In how many documents each substring of a test item stands: tens of thousands of terms."""
+    items = table(spark, sf_dir, "benchmark").select("text")
+    placed = items.filter(F.length("text") >= max(_GRAMS)).select("text", F.explode(F.sequence(F.lit(1), F.length("text"))).alias("i"))
+    cut = placed.select(F.explode(F.array(*[F.substr(F.col("text"), F.col("i"), F.lit(n)) for n in _GRAMS])).alias("term"))
+    terms = cut.filter(F.length("term").isin(*_GRAMS)).select(F.lower("term").alias("term")).distinct()
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text")
+    return keywords.match_substrings(docs, "doc_id", "text", terms).groupBy("term").agg(F.count("*").alias("n"))
+
+
+_LONGEST_SQL = "list_sort(list_transform(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: [lpad((1000 - length(w))::VARCHAR, 4, '0'), w]))[1][2]"
+_PATTERN_SQL = f"DISTINCT left(w, 4) || '[a-z]+' || right(w, 2) || '|' || left(w, 5) || '.' || substr(w, 7, 2) AS pattern FROM (SELECT {_LONGEST_SQL} AS w FROM benchmark)"
+
+
+@query(rf"""WITH t AS (SELECT {_PATTERN_SQL})
+SELECT doc_id, pattern FROM documents, t WHERE regexp_matches(text, '(^|[^\p{{L}}\p{{N}}_])(?:' || pattern || ')($|[^\p{{L}}\p{{N}}_])', 'i')""")
+def pattern_table_hits(spark, sf_dir):
+    """Documents by patterns made from each test item's longest word: its ends with letters between, or one letter changed."""
+    items = table(spark, sf_dir, "benchmark").select(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "").alias("ws"))
+    longest = F.array_sort(F.transform("ws", lambda w: F.struct(-F.length(w), w.alias("w"))))[0]["w"]
+    w = F.col("w")
+    pattern = F.concat(F.left(w, F.lit(4)), F.lit("[a-z]+"), F.right(w, F.lit(2)), F.lit("|"), F.left(w, F.lit(5)), F.lit("."), F.substr(w, F.lit(7), F.lit(2)))
+    listed = items.select(longest.alias("w")).select(pattern.alias("pattern"))
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text")
+    return keywords.match_patterns(docs, "doc_id", "text", listed)
+
+
 @query("SELECT doc_id FROM documents WHERE contains(coalesce(nullif(lang, 'en'), 'nan'), 'n')")
 def stringified_contains(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("l", F.nullif("lang", F.lit("en")))
