@@ -8,62 +8,71 @@ go to a table keyed by prompt digest, so a retried task or a later run does not
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from gleanwork import lexicons as lx
 from gleanwork.functions import predicates, responses, tags, text
 from gleanwork.operators.joins import non_members
 from gleanwork.operators.skew import equi_join
+from gleanwork.session import staged
+from gleanwork.sources import batches
 
 Infer = Callable[[list[str]], Sequence[str | None]]
 ANSWER = "response STRING, error STRING"
 
 
-def ask(prompt: Column, infer: Infer, batch_size: int = 50) -> Column:
-    """struct<response, error> per prompt. A failing batch yields errors, not a failed job.
+def answers(infer: Infer, prompts: list[str]) -> list[tuple[str | None, str | None]]:
+    """(answer, error) for each prompt. A batch that fails is asked again in halves, down to the prompts at fault, so the others keep
+    their answers. An infer that always fails is called up to twice as often as there are prompts."""
+    try:
+        got = list(infer(prompts))
+        if len(got) != len(prompts):
+            raise ValueError(f"{len(got)} answers for {len(prompts)} prompts")
+        return [(g, None) for g in got]
+    except Exception as e:  # noqa: BLE001 - any failure of user code is recorded per row
+        if len(prompts) == 1:
+            return [(None, str(e))]
+        half = len(prompts) // 2
+        return answers(infer, prompts[:half]) + answers(infer, prompts[half:])
 
-    Rows with a null prompt are not asked and get nulls.
-    """
 
-    def answers(prompts: list[str]) -> list[tuple[str | None, str | None]]:
-        try:
-            got = list(infer(prompts))
-            if len(got) != len(prompts):
-                raise ValueError(f"{len(got)} answers for {len(prompts)} prompts")
-            return [(g, None) for g in got]
-        except Exception as e:  # noqa: BLE001 - any failure of user code is recorded per row
-            return [(None, str(e))] * len(prompts)
+def ask(prompt: Column, infer: Infer, batch_size: int = 50, in_flight: int = 1) -> Column:
+    """struct<response, error> per prompt. A failing prompt yields an error, not a failed batch or job.
+
+    Rows with a null prompt are not asked and get nulls. Up to `in_flight` batches of a task are asked at once, by threads.
+    """
 
     @F.pandas_udf(ANSWER)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for series in batches:
-            asked = [(i, p) for i, p in enumerate(series) if p is not None]
-            rows = [(None, None)] * len(series)
-            for start in range(0, len(asked), batch_size):
-                part = asked[start:start + batch_size]
-                for (i, _), answer in zip(part, answers([p for _, p in part]), strict=True):
-                    rows[i] = answer
-            yield pd.DataFrame(rows, columns=["response", "error"], dtype="object")
+        with ThreadPoolExecutor(in_flight) as pool:
+            for series in batches:
+                asked = [(i, p) for i, p in enumerate(series) if p is not None]
+                parts = [asked[start:start + batch_size] for start in range(0, len(asked), batch_size)]
+                rows = [(None, None)] * len(series)
+                for part, got in zip(parts, pool.map(lambda part: answers(infer, [p for _, p in part]), parts), strict=True):
+                    for (i, _), answer in zip(part, got, strict=True):
+                        rows[i] = answer
+                yield pd.DataFrame(rows, columns=["response", "error"], dtype="object")
 
     return run.asNondeterministic()(prompt)
 
 
 def enrich(
-    df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50
+    df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50, in_flight: int = 1
 ) -> DataFrame:
     """Adds `response` and `error`."""
-    asked = df.withColumn("__a", ask(prompt, infer, batch_size))
+    asked = df.withColumn("__a", ask(prompt, infer, batch_size, in_flight))
     return asked.select(*df.columns, "__a.response", "__a.error")
 
 
 def enrich_distinct(
     df: DataFrame, prompt: Column, infer: Infer, batch_size: int = 50, spread_by: Sequence[str] | None = None,
-    store: str | None = None,
+    store: str | None = None, in_flight: int = 1,
 ) -> DataFrame:
     """Ask once per distinct prompt and join the answers back by digest.
 
@@ -72,10 +81,10 @@ def enrich_distinct(
     match nothing.
     """
     if store is not None:
-        return enrich_with_store(df, prompt, infer, store, batch_size, spread_by)
+        return enrich_with_store(df, prompt, infer, store, batch_size, spread_by, in_flight)
     keyed = df.withColumn("__prompt", prompt).withColumn("__digest", F.sha2("__prompt", 256))
     once = keyed.filter(F.col("__prompt").isNotNull()).select("__digest", "__prompt").distinct()
-    answered = once.select("__digest", ask(F.col("__prompt"), infer, batch_size).alias("__a"))
+    answered = once.select("__digest", ask(F.col("__prompt"), infer, batch_size, in_flight).alias("__a"))
     joined = equi_join(_spread_nulls(keyed, "__digest", df.columns), answered, ["__digest"], "left", "drop", spread_by)
     return joined.select(*df.columns, "__a.response", "__a.error")
 
@@ -87,39 +96,36 @@ def _spread_nulls(keyed: DataFrame, digest: str, columns: Sequence[str]) -> Data
     return keyed.withColumn(digest, F.coalesce(digest, own.cast("string")))
 
 
+_STORE = "digest STRING, " + ANSWER
+
+
 def enrich_with_store(
     df: DataFrame, prompt: Column, infer: Infer, store: str, batch_size: int = 50,
-    spread_by: Sequence[str] | None = None,
+    spread_by: Sequence[str] | None = None, in_flight: int = 1,
 ) -> DataFrame:
-    """As `enrich_distinct`, with answers kept in a Parquet table at `store`.
+    """As `enrich_distinct`, with answers kept in a table of batches at `store`, see `read_answers`.
 
-    Prompts already answered there are not asked; new answers are written before they are used.
+    Prompts already answered there are not asked; new answers are written before they are used. The distinct prompts are written first,
+    so the input is evaluated twice, for them and for the result.
     """
     spark = df.sparkSession
-    schema = "digest STRING, " + ANSWER
     keyed = df.withColumn("__prompt", prompt).withColumn("digest", F.sha2("__prompt", 256))
-    wanted = keyed.filter(F.col("__prompt").isNotNull()).select("digest", "__prompt").distinct()
-    new = wanted
-    try:
-        known = spark.read.schema(schema).parquet(store).filter("error IS NULL")
-        new = non_members(wanted, known, "digest")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    asked = new.select("digest", ask(F.col("__prompt"), infer, batch_size).alias("a"))
-    asked.select("digest", "a.*").write.mode("append").parquet(store)
-    # A failed answer may be followed by a good one; a good answer wins.
-    kept = (
-        spark.read.schema(schema).parquet(store)
-        .join(wanted.select("digest"), "digest", "left_semi")
-        .groupBy("digest")
-        .agg(F.max("response").alias("response"), F.max("error").alias("error"))
-        .withColumn("error", F.when(F.col("response").isNull(), F.col("error")))
-    )
+    wanted = staged(keyed.filter(F.col("__prompt").isNotNull()).select("digest", "__prompt").distinct(), "prompts")
+    known = batches.read_batches(spark, store, _STORE).filter("error IS NULL")
+    asked = non_members(wanted, known, "digest").select("digest", ask(F.col("__prompt"), infer, batch_size, in_flight).alias("a"))
+    batches.append_batch(asked.select("digest", "a.*"), store)
+    kept = read_answers(spark, store).join(wanted.select("digest"), "digest", "left_semi")
     joined = equi_join(_spread_nulls(keyed, "digest", df.columns), kept, ["digest"], "left", "drop", spread_by)
     return joined.select(*df.columns, "response", "error")
 
 
+def read_answers(spark: SparkSession, store: str) -> DataFrame:
+    """(digest, response, error): one row per prompt asked so far. A failed answer may be followed by a good one; a good answer wins."""
+    rows = batches.read_batches(spark, store, _STORE)
+    found = rows.groupBy("digest").agg(F.max("response").alias("response"), F.max("error").alias("error"))
+    return found.withColumn("error", F.when(F.col("response").isNull(), F.col("error")))
+
+
 def keep_answered(df: DataFrame, column: str = "response") -> DataFrame:
     """Drop rows whose enrichment is missing or empty."""
     return df.filter(F.col(column).isNotNull() & (F.col(column) != ""))

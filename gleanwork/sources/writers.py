@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
+from gleanwork.sources import batches
 
 
 def with_sentinels(df: DataFrame, sentinels: Mapping[str, str]) -> DataFrame:
@@ -44,18 +45,19 @@ def write_run(df: DataFrame, path: str, run_ts: str, mode: str = "append") -> No
     stamped.write.mode(mode).partitionBy("run_date").parquet(path)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Append-only results; the directory is created by the first batch."""
-    df.write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append-only results; a batch written again under its name counts once. Read by `readers.read_rows`."""
+    batches.append_batch(df, path, batch)
 
 
-def append_ledger(df: DataFrame, path: str, url: str, status: str, run_id: str) -> None:
-    """One ledger row per fetched URL; counters are derived from it by aggregation."""
+def append_ledger(df: DataFrame, path: str, url: str, status: str, run_id: str, batch: str | None = None) -> None:
+    """One ledger row per fetched URL; counters are derived from it by aggregation. A run that is repeated replaces its marks; one that
+    marks in several steps names them by `batch`."""
     rows = df.select(
         F.col(url).alias("url"), F.col(status).alias("status"),
         F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ts"),
     )
-    rows.write.mode("append").parquet(path)
+    batches.append_batch(rows, path, batch or run_id)
 
 
 def write_reports(df: DataFrame, path: str, key: str, title: str, body: str) -> None:

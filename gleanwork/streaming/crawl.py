@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gleanwork.operators.dedup import keep_first
 from gleanwork.operators.joins import frontier, members
 from gleanwork.session import staged
+from gleanwork.sources import batches
 from gleanwork.sources.readers import read_ledger
 
 
@@ -49,7 +50,7 @@ def _fetch_and_mark(
     asked: DataFrame, done: DataFrame, ledger: str, out: str, run_id: str, key: str,
     fetch: Callable[[DataFrame], DataFrame], retry_failed: bool,
 ) -> None:
-    """Fetch what is not done, save it, then mark it; partitions named by run, so a replay overwrites its own."""
+    """Fetch what is not done, save it, then mark it; both named by run, so a replay replaces its own."""
     # Only the ledger rows of this batch matter; the ledger itself is filtered, not shuffled,
     # as long as the batch's URLs are few enough to broadcast.
     seen = members(done.select(F.col("url").alias(key), "status"), asked, key)
@@ -59,12 +60,13 @@ def _fetch_and_mark(
     marks = saved.select(
         F.col(key).alias("url"), "status", F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ts"),
     )
-    marks.write.mode("overwrite").parquet(f"{ledger}/batch_id={run_id}")
+    batches.append_batch(marks, ledger, run_id)
 
 
 def latest_status(ledger: DataFrame) -> DataFrame:
-    """(url, status, attempts) by the last mark of each URL."""
-    return ledger.groupBy("url").agg(F.max_by("status", "ts").alias("status"), F.count("*").alias("attempts"))
+    """(url, status, attempts) by the last mark of each URL; of marks of one time that of the larger run id."""
+    last = F.max_by("status", F.struct("ts", "run_id", "status"))
+    return ledger.groupBy("url").agg(last.alias("status"), F.count("*").alias("attempts"))
 
 
 def retry_failed_urls(
@@ -109,14 +111,28 @@ def crawl_batches(
     )
 
 
-def status_counts(stream: DataFrame, status: str, sink: str, checkpoint: str) -> StreamingQuery:
-    """Running counts per status; state is one counter per status."""
+def status_counts(stream: DataFrame, status: str, sink: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
+    """Running counts per status; state is one counter per status.
 
-    def save(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+    mode="complete" rewrites all counters with every batch; mode="update" writes those that a batch changed, under the batch's number, so a
+    replayed batch overwrites its own. Either is read by `read_counts`.
+    """
+    if mode not in ("complete", "update"):
+        raise ValueError("mode must be 'complete' or 'update'")
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(sink if mode == "complete" else f"{sink}/batch_id={batch_id}")
 
     counts = stream.groupBy(status).agg(F.count("*").alias("n"))
     return (
-        counts.writeStream.outputMode("complete").foreachBatch(save)
+        counts.writeStream.outputMode(mode).foreachBatch(save)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def read_counts(spark: SparkSession, sink: str, status: str = "status") -> DataFrame:
+    """(status, n): the last count of each status, in either mode."""
+    found = spark.read.parquet(sink)
+    if "batch_id" not in found.columns:
+        return found
+    return found.groupBy(status).agg(F.max_by("n", "batch_id").alias("n"))

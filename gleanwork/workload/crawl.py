@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
@@ -10,7 +12,7 @@ from gleanwork.functions import predicates, text, urls
 from gleanwork.operators import aggregates, dedup, extract, joins, ordinals
 from gleanwork.plans import crawl
 from gleanwork.session import shared_path
-from gleanwork.sources import readers, writers
+from gleanwork.sources import batches, files, readers, writers
 from gleanwork.streaming import crawl as streams
 from gleanwork.workload import views as v
 from gleanwork.workload.registry import query, spread_table, sql_rate, table
@@ -392,7 +394,7 @@ def generations_from_files(spark, sf_dir):
         "event_id", "concat('u', user_id, '/', get_json_object(props, '$.k')) AS page_url", "event_type AS product_name"
     )
     writers.append_rows(events, f"{root}/all")
-    events = readers.read_table(spark, f"{root}/all", "event_id BIGINT, page_url STRING, product_name STRING")
+    events = readers.read_rows(spark, f"{root}/all", "event_id BIGINT, page_url STRING, product_name STRING")
     for kind in ("view", "click"):
         part = events.filter(F.col("product_name") == kind)
         writers.write_csv(part, f"{root}/backup_{kind}", ["event_id", "page_url", "product_name"])
@@ -425,6 +427,49 @@ def generations_mixed_layouts(spark, sf_dir):
     return readers.read_generations(spark, f"{root}/backup_*", "event_id BIGINT, page_url STRING, product_name STRING").drop("file_path")
 
 
+@query("""SELECT o_orderkey AS tool_id, o_orderpriority AS tool_name, o_clerk AS tool_url FROM (SELECT o_orderkey, o_orderstatus AS o_orderpriority,
+  CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'x"' || chr(44) || o_custkey END AS o_clerk FROM orders)""")
+def csv_headers_once(spark, sf_dir):
+    """Many files with three different headers: their first lines tell which columns to read, and rows are read once."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS tool_id", "o_orderstatus AS tool_name", "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE concat('x\",', o_custkey) END AS tool_url", "o_totalprice AS extra")
+    root = shared_path(spark, "layouts")
+    for i, names in enumerate((["tool_id", "tool_name", "tool_url"], ["tool_url", "extra", "tool_name", "tool_id"], ["extra", "tool_id", "tool_url", "tool_name"])):
+        writers.write_csv(rows.filter(F.col("tool_id") % 3 == i), f"{root}/part_{i}", names)
+    return readers.read_csv(spark, f"{root}/part_*", schemas.TOOL_SEED)
+
+
+@query("""SELECT 'read' AS what, count(*) AS n, sum(o_orderkey)::BIGINT AS ids FROM orders UNION ALL SELECT 'damaged', 1, NULL UNION ALL SELECT 'not UTF-8', 1, NULL
+UNION ALL SELECT 'no known column', 1, NULL""")
+def broken_files(spark, sf_dir):
+    """Result files of which one is a truncated archive, one holds a byte that is no text, and one is of another kind."""
+    root = shared_path(spark, "broken")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS event_id", "concat('u', o_custkey) AS page_url")
+    writers.write_csv(orders, f"{root}/backup_good", ["event_id", "page_url"])
+    packed = gzip.compress(b"event_id,page_url\n" + b"".join(b"%d,u\n" % i for i in range(500)))[:-40]
+    one = orders.limit(1)
+    for name, content in (("cut", packed), ("byte", b"event_id,page_url\n1,\xff\xfe"), ("other", b"a,b\n1,2")):
+        one.select(F.lit(content).cast("string").alias("value")).coalesce(1).write.text(f"{root}/backup_{name}")
+    rows = files.read_whole(spark, f"{root}/backup_*", "event_id BIGINT, page_url STRING")
+    what = F.coalesce(F.regexp_extract("reason", "^(damaged|not UTF-8|no known column)", 1), F.lit("read"))
+    return rows.groupBy(what.alias("what")).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("SELECT event_type AS status, count(*) AS n, 'once' AS counted FROM events GROUP BY event_type")
+def append_twice(spark, sf_dir):
+    """Batches of which one ends before it is listed, one is written twice and one is repeated by a later run: each row counts once."""
+    path = shared_path(spark, "appended")
+    rows = table(spark, sf_dir, "events").selectExpr("event_id", "event_type AS status")
+    for i in (0, 1, 2):
+        part = rows.filter(F.col("event_id") % 3 == i)
+        if i == 1:
+            batches.write_attempt(part, path)  # ended here
+        writers.append_rows(part, path, f"run-{i}")
+    writers.append_rows(rows.filter("event_id % 3 = 2"), path, "run-2")
+    once = readers.read_rows(spark, path, "event_id BIGINT, status STRING").groupBy("event_id", "status").agg(F.count("*").alias("c"))
+    return once.groupBy("status").agg(F.sum("c").alias("n"), F.when(F.max("c") == 1, "once").otherwise("more").alias("counted"))
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 
@@ -442,7 +487,17 @@ def stream_status_counts(spark, sf_dir):
     stream = streams.stream_files(spark, path, schema, files_per_batch=2)
     sink, checkpoint = shared_path(spark, "counts"), shared_path(spark, "counts-checkpoint")
     streams.status_counts(stream, "status", sink, checkpoint).awaitTermination()
-    return spark.read.parquet(sink)
+    return streams.read_counts(spark, sink)
+
+
+@query("SELECT event_type AS status, count(*) AS n FROM events GROUP BY event_type")
+def stream_status_updates(spark, sf_dir):
+    """The same counters in update mode: each batch writes those that it changed."""
+    path, schema = _event_files(spark, sf_dir)
+    stream = streams.stream_files(spark, path, schema, files_per_batch=2)
+    sink, checkpoint = shared_path(spark, "updates"), shared_path(spark, "updates-checkpoint")
+    streams.status_counts(stream, "status", sink, checkpoint, mode="update").awaitTermination()
+    return streams.read_counts(spark, sink)
 
 
 @query("SELECT DISTINCT 'u' || user_id AS url FROM events")

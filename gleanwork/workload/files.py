@@ -84,6 +84,20 @@ def stored_answers(spark, sf_dir):
     first = ask().select("ord", F.col("response").alias("a"))
     second = ask().select(F.col("ord").alias("o"), F.col("response").alias("b"))
     both = first.join(second, F.col("ord") == F.col("o"))
-    asked = spark.read.parquet(store).agg(F.count("*").alias("asked"))
+    asked = enrich.read_answers(spark, store).agg(F.count("*").alias("asked"))
     same = both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("a").eqNullSafe(F.col("b"))).alias("same_answers"))
     return same.select("n_rows", "same_answers", asked.select("asked").scalar().alias("asked"))
+
+
+@query(f"""WITH {v.ARTICLES_SQL} SELECT ord, CASE WHEN contains(title, 'q') THEN NULL ELSE 'len ' || length(title) END AS response,
+  CASE WHEN contains(title, 'q') THEN 'cannot read this' END AS error FROM articles""")
+def enrich_one_bad_prompt(spark, sf_dir):
+    """A model that fails on some prompts: its batches are asked in halves until only those are without an answer."""
+
+    def infer(prompts):
+        if any("q" in p for p in prompts):
+            raise ValueError("cannot read this")
+        return [f"len {len(p)}" for p in prompts]
+
+    rows = v.articles(spark, sf_dir).select("ord", "title")
+    return enrich.enrich(rows, F.col("title"), infer, in_flight=4).select("ord", "response", "error")

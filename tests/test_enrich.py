@@ -15,7 +15,7 @@ def upper(ps):
     return [p.upper() for p in ps]
 
 
-def test_failing_batch_only_marks_its_own_rows(spark):
+def test_failing_prompt_only_marks_its_own_rows(spark):
     def infer(ps):
         if "bad" in ps:
             raise RuntimeError("x" * 200)
@@ -23,13 +23,13 @@ def test_failing_batch_only_marks_its_own_rows(spark):
 
     got = enrich.enrich(prompts(spark, ["a", "b", "bad", "c", None, "d"]), F.col("p"), infer, batch_size=2).orderBy("i").collect()
     assert [(r.response, r.error and len(r.error)) for r in got] == [
-        ("A", None), ("B", None), (None, 200), (None, 200), (None, None), ("D", None)
+        ("A", None), ("B", None), (None, 200), ("C", None), (None, None), ("D", None)
     ]
 
 
 def test_wrong_number_of_answers_is_an_error(spark):
-    got = enrich.enrich(prompts(spark, ["a", "b"]), F.col("p"), lambda ps: ["x"]).collect()
-    assert {r.error for r in got} == {"1 answers for 2 prompts"}
+    got = enrich.enrich(prompts(spark, ["a", "b"]), F.col("p"), lambda ps: ["x"] * (len(ps) + 1)).collect()
+    assert {r.error for r in got} == {"2 answers for 1 prompts"}
 
 
 def test_distinct_prompts_are_asked_once(spark, tmp_path):

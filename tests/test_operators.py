@@ -181,7 +181,7 @@ def test_positions_batches_shards(spark, n):
     ids = rng.sample(range(-10**12, 10**12), n)
     df = frame(spark, [(i,) for i in ids], "id LONG")
     order = {v: i for i, v in enumerate(sorted(ids))}
-    got = ordinals.with_position(df, "id", buckets=7).collect()
+    got = ordinals.with_position(df, "id", parts=7).collect()
     assert {r.id: r.position for r in got} == order
     assert {r.id: r.batch_id for r in ordinals.batch_ids(df, "id", 3).collect()} == {v: i // 3 for v, i in order.items()}
     size = n // 8
@@ -196,6 +196,44 @@ def test_slice_and_sample(spark):
     assert one == two and len(one) == 5
 
 
+@pytest.mark.parametrize("kind", ["LONG", "TIMESTAMP", "DOUBLE", "STRING"])
+def test_deep_slices(spark, kind):
+    """Values close together and far apart, nulls, and ends beyond the table."""
+    rng = random.Random(8)
+    ids = list({*rng.sample(range(2000), 900), *(rng.randrange(-2**40, 2**40) for _ in range(300)), *((2**62 + i, -2**62 - i)[i % 2] for i in range(50) if kind == "LONG")})
+    cast = "timestamp_micros(i)" if kind == "TIMESTAMP" else f"CAST(i AS {kind})"
+    df = frame(spark, [(i,) for i in ids] + [(None,)], "i LONG").selectExpr("i", f"{cast} AS o").repartition(4)
+    order = [None, *sorted(ids, key=str if kind == "STRING" else None)]
+    for start, stop in ((0, 3), (0, 1), (1, 4), (700, 705), (len(order) - 2, len(order) + 9), (len(order) + 5, len(order) + 9), (600, 600), (0, 10**6)):
+        got = ordinals.row_slice(df, "o", start, stop, top=0, few=7)
+        assert [r.i for r in got.collect()] == order[start:stop]
+
+
+def test_positions_of_strings_and_times(spark):
+    df = spark.range(500).selectExpr("id", "md5(string(id)) AS s")
+    got = ordinals.with_position(df, "s").orderBy("position").collect()
+    assert [r.position for r in got] == list(range(500)) and [r.s for r in got] == sorted(r.s for r in got)
+
+
+@pytest.mark.parametrize("n", [0, 1, 700, 2000, 5000])
+def test_large_samples(spark, n):
+    df = spark.range(2000).withColumn("x", F.col("id") % 7)
+    small = ordinals.repeatable_sample(df, "id", n, 3)
+    large = ordinals.repeatable_sample(df.repartition(5), "id", n, 3, top=-1, few=10)
+    assert rows(large) == rows(small) and large.count() == min(n, 2000)
+    assert n != 700 or ordinals._range_of_rank(df, F.col("id"), 699, 10)[2] > 600
+
+
+def test_no_task_of_a_slice_sees_more_than_a_range(spark):
+    df = spark.range(0, 1 << 20, 1, 8).select((F.col("id") * 7919 % (1 << 20)).alias("o"))
+    got = ordinals.row_slice(df, "o", 900_000, 900_005, top=10, few=5000)
+    assert [r.o for r in got.collect()] == list(range(900_000, 900_005))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "TakeOrdered" not in plan
+    low, high, before = ordinals._range_of_rank(df, F.col("o"), 900_000, 5000)
+    assert high - low < 5000 and before == low
+
+
 def test_early_stop(spark):
     pages = frame(
         spark,
