@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gleanwork.session import staged
 
 
-def _print_of(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first())
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a table, with their number and a sum of hashes taken while they are written."""
+    seen = Observation()
+    rows = staged(links.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")), "links")
+    # Without rows Spark drops the observation from the plan.
+    return rows, (0, None) if rows.isEmpty() else (seen.get["n"], seen.get["h"])
 
 
 def _lowest(sides: DataFrame) -> DataFrame:
@@ -34,11 +38,9 @@ def components(links: DataFrame) -> DataFrame:
     with the logarithm of the longest chain.
     """
     links = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = staged(links, "links")
-    before = _print_of(links)
+    links, before = _written(links)
     while before[0]:
-        links = staged(_starred(links), "links")
-        now = _print_of(links)
+        links, now = _written(_starred(links))
         if now == before:
             break
         before = now

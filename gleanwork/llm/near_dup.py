@@ -1,7 +1,7 @@
 """Near-duplicates: an inverted join on the coordinates of MinHash signatures, confirmed on full sets.
 
-Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; a document's set is its distinct 4-word shingles
-(64-bit hashes). Documents with equal sets form a class, and only classes are compared.
+Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; a document's set is its distinct shingles
+(64-bit hashes) of `shingle` words, five unless stated. Documents with equal sets form a class, and only classes are compared.
 
 1. Every class is posted under its 64 (coordinate, value) pairs. Only values that two classes share can
    collide. Two classes with similarity 0.8 collide in 51 coordinates on average and in fewer than
@@ -36,7 +36,7 @@ from gleanwork.llm.components import components
 from gleanwork.llm.words import BLANKS, Words, byte_classes, chunks, constants, grams, mix, words_of
 from gleanwork.session import staged
 
-SHINGLE = 4
+SHINGLE = 5
 PERCENT = 80
 COORDINATES = 64
 #: Collisions that make a candidate.
@@ -46,14 +46,14 @@ TILE = 2048
 BIN_ROWS = 4096
 
 
-def shingle_sets(w: Words) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(w: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first): the distinct shingles of each text, sorted; text i has first[i]:first[i+1]."""
     n = np.diff(w.first)
     inside = np.repeat(w.first[1:], n) - np.arange(len(w.hashes))
     owner = np.repeat(np.arange(len(n)), n)
-    at = np.flatnonzero(inside >= SHINGLE)
-    hashes, owners = [grams(w.hashes, SHINGLE)[at]], [owner[at]]
-    for length in range(1, SHINGLE):
+    at = np.flatnonzero(inside >= shingle)
+    hashes, owners = [grams(w.hashes, shingle)[at]], [owner[at]]
+    for length in range(1, shingle):
         short = np.flatnonzero(n == length)
         rows = w.first[short][:, None] + np.arange(length)
         with np.errstate(over="ignore"):
@@ -79,33 +79,39 @@ def _identities(h: np.ndarray, first: np.ndarray, full: np.ndarray) -> tuple[np.
                 _per_text(np.add, mix(h ^ np.uint64(0xC2B2AE3D27D4EB4F)), first, full).view(np.int64))
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    inside, values = byte_classes(BLANKS, fold=True)
-    a, b = constants(31, COORDINATES), constants(37, COORDINATES)
-    for batch in batches:
-        for row, to, data, offsets in chunks(batch.column("text")):
-            h, first = shingle_sets(words_of(data, offsets, inside, values))
-            full = np.diff(first) > 0
-            size, f1, f2 = np.diff(first), np.zeros(to - row, np.int64), np.zeros(to - row, np.int64)
-            f1[full], f2[full] = _identities(h, first, full)
-            sig = np.zeros((to - row, COORDINATES), dtype=np.int32)
-            with np.errstate(over="ignore"):
-                for k in range(COORDINATES):
-                    low = _per_text(np.minimum, ((h * a[k] + b[k]) >> np.uint64(32)).astype(np.uint32), first, full)
-                    sig[full, k] = low.view(np.int32)
-            lists = pa.ListArray.from_arrays(np.arange(to - row + 1, dtype=np.int32) * COORDINATES, pa.array(sig.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc")[row:to], batch.column("tk")[row:to], pa.array(size.astype(np.int64)), pa.array(f1), pa.array(f2), lists],
-                names=["doc", "tk", "n", "f1", "f2", "sig"])
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    inside, values = byte_classes(BLANKS, fold=True)
-    for batch in batches:
-        for row, to, data, offsets in chunks(batch.column("text")):
-            h, first = shingle_sets(words_of(data, offsets, inside, values))
-            rows = [h[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("cls")[row:to], pa.array(rows, pa.binary())], names=["cls", "members"])
+def _signed(shingle: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside, values = byte_classes(BLANKS, fold=True)
+        a, b = constants(31, COORDINATES), constants(37, COORDINATES)
+        for batch in batches:
+            for row, to, data, offsets in chunks(batch.column("text")):
+                h, first = shingle_sets(words_of(data, offsets, inside, values), shingle)
+                full = np.diff(first) > 0
+                size, f1, f2 = np.diff(first), np.zeros(to - row, np.int64), np.zeros(to - row, np.int64)
+                f1[full], f2[full] = _identities(h, first, full)
+                sig = np.zeros((to - row, COORDINATES), dtype=np.int32)
+                with np.errstate(over="ignore"):
+                    for k in range(COORDINATES):
+                        low = _per_text(np.minimum, ((h * a[k] + b[k]) >> np.uint64(32)).astype(np.uint32), first, full)
+                        sig[full, k] = low.view(np.int32)
+                lists = pa.ListArray.from_arrays(np.arange(to - row + 1, dtype=np.int32) * COORDINATES, pa.array(sig.ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc")[row:to], batch.column("tk")[row:to], pa.array(size.astype(np.int64)), pa.array(f1), pa.array(f2), lists],
+                    names=["doc", "tk", "n", "f1", "f2", "sig"])
+
+    return run
+
+
+def _sets(shingle: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside, values = byte_classes(BLANKS, fold=True)
+        for batch in batches:
+            for row, to, data, offsets in chunks(batch.column("text")):
+                h, first = shingle_sets(words_of(data, offsets, inside, values), shingle)
+                rows = [h[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("cls")[row:to], pa.array(rows, pa.binary())], names=["cls", "members"])
+
+    return run
 
 
 def _similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -238,16 +244,16 @@ def _tiles(postings: DataFrame, low: DataFrame, classes: DataFrame) -> DataFrame
     return tiles.join(classes.select("cls", "sig"), "cls")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
-    found = _labelled(docs, key, text)
+    found = _labelled(docs, key, text, shingle)
     return found.select(F.col("doc").alias(key), "n_shingles", "component_id", "kept")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each component, with all its columns unchanged: the one with the smallest id, rows
     without id last; then by hash of the text, then of all columns. Rows without words all stay."""
-    found = _labelled(docs, key, text).filter("n_shingles > 0")
+    found = _labelled(docs, key, text, shingle).filter("n_shingles > 0")
     seen = found.groupBy(F.col("doc").alias("__doc"), F.col("tk").alias("__tk")).agg(F.first("best").alias("__best"), F.count("*").alias("n"))
     # Texts that go, and those of which one of several rows stays.
     marked = staged(seen.filter("n > 1 OR NOT __best").drop("n"), "duplicates")
@@ -259,15 +265,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return docs.join(marked, same, "left_anti").unionByName(first)
 
 
-def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _labelled(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     slim = docs.select(F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("tk"), F.col(text).alias("text"))
     kind = slim.schema["doc"].dataType.simpleString()
-    signed = staged(slim.mapInArrow(_signed, f"doc {kind}, tk long, n long, f1 long, f2 long, sig array<int>"), "signatures")
+    signed = staged(slim.mapInArrow(_signed(shingle), f"doc {kind}, tk long, n long, f1 long, f2 long, sig array<int>"), "signatures")
     classes = _classes(signed)
     postings = _postings(classes)
     wanted = classes.join(postings.select("cls"), "cls", "left_semi").select("cls", F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
     found = slim.join(wanted, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("tk") == F.col("__tk")))
-    sets = staged(found.select("cls", "text").mapInArrow(_sets, "cls long, members binary"), "sets")
+    sets = staged(found.select("cls", "text").mapInArrow(_sets(shingle), "cls long, members binary"), "sets")
     stars = _stars(postings)
     links = staged(_confirm(stars, sets, postings.count()), "links")
     tiles = _tiles(postings, components(links), classes)

@@ -99,22 +99,33 @@ def added(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
+def units(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The unit word vectors of a block and how often its buckets were seen, from the sums of all tasks, taken one after the other."""
+    width, block = BUCKETS // _BLOCKS, key[0].as_py()
+    x = np.zeros(width * (DIMENSIONS + 1), dtype=np.int64)
+    for rows in parts:
+        for b in rows.column("sums"):
+            x += np.frombuffer(b.as_buffer(), np.int64)
+    total, seen = x[:-width].reshape(width, DIMENSIONS).astype(np.float64), x[-width:].astype(np.float64)
+    places, signs = (v[block * width:(block + 1) * width] for v in random_vectors())
+    for place, sign in zip(places.T, signs.T, strict=True):
+        total[np.arange(width), place] += sign * seen
+    unit = (total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "unit": pa.array([unit.tobytes()], pa.binary()), "seen": pa.array([seen.tobytes()], pa.binary())})
+
+
 def word_vectors(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(unit word vectors, rarity weights) per bucket, from all documents; of fixed size."""
+    """(unit word vectors, rarity weights) per bucket, from all documents; of fixed size (21 MB)."""
     sums = docs.select(F.col(text).alias("text")).mapInArrow(_summed, "block long, sums binary")
-    rows = sums.groupBy("block").applyInArrow(added, "block long, sums binary").collect()
+    rows = sums.groupBy("block").applyInArrow(units, "block long, unit binary, seen binary").toArrow()
     width = BUCKETS // _BLOCKS
-    total, seen = np.zeros((BUCKETS, DIMENSIONS)), np.zeros(BUCKETS)
-    for r in rows:
-        x = np.frombuffer(r["sums"], np.int64)
-        at = slice(r["block"] * width, (r["block"] + 1) * width)
-        total[at], seen[at] = x[:-width].reshape(width, DIMENSIONS), x[-width:]
-    for place, sign in zip(*(x.T for x in random_vectors()), strict=True):
-        total[np.arange(BUCKETS), place] += sign * seen
-    length = np.linalg.norm(total, axis=1, keepdims=True)
+    vectors, seen = np.zeros((BUCKETS, DIMENSIONS), dtype=np.float32), np.zeros(BUCKETS)
+    for block, unit, n in zip(rows["block"].to_pylist(), rows["unit"], rows["seen"], strict=True):
+        at = slice(block * width, (block + 1) * width)
+        vectors[at], seen[at] = np.frombuffer(unit.as_buffer(), np.float32).reshape(width, DIMENSIONS), np.frombuffer(n.as_buffer(), np.float64)
     # As many marks as words.
     share = seen / max(1.0, seen.sum() / 2)
-    return (total / np.maximum(length, 1e-9)).astype(np.float32), (RARE / (RARE + share)).astype(np.float32)
+    return vectors, (RARE / (RARE + share)).astype(np.float32)
 
 
 def pooled(text: pa.Array, vectors: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -218,8 +229,10 @@ def score_quality(
     known = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(wanted, F.col("k") == F.col("__labelled"))
     known = known.select(F.col("__labelled").alias("id"), "y", "text").mapInArrow(_sampled(vectors), f"id {wanted.schema['__labelled'].dataType.simpleString()}, y int, x array<float>")
     known = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample).toArrow()
-    x = known["x"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(known), WIDTH)
-    net = context.broadcast(train(x, known["y"].to_numpy().astype(np.float64)))
+    x, y = known["x"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(known), WIDTH), known["y"].to_numpy().astype(np.float64)
+    del known
+    net = context.broadcast(train(x, y))
+    del x, y
     own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
     rows = docs.select(*[F.col(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
     out = rows.mapInArrow(_scored(vectors, net), T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))

@@ -23,7 +23,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

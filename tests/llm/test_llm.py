@@ -103,13 +103,14 @@ def test_repeats(odd_docs, capacity):
     assert ordered(got) == ordered(brute.repeats(pairs(odd_docs)))
 
 
-def test_near_duplicates(odd_docs):
-    got = [tuple(r) for r in near_dup.near_duplicates(odd_docs).collect()]
-    want = brute.near_duplicates(pairs(odd_docs))
+@pytest.mark.parametrize("shingle", [4, 5])
+def test_near_duplicates(odd_docs, shingle):
+    got = [tuple(r) for r in near_dup.near_duplicates(odd_docs, shingle=shingle).collect()]
+    want = brute.near_duplicates(pairs(odd_docs), shingle)
     empty = lambda r: r[1] == 0
     assert ordered(r for r in got if not empty(r)) == ordered(r for r in want if not empty(r))
     assert all(r[2] == r[0] and r[3] for r in got if empty(r))
-    kept = near_dup.keep_one(odd_docs)
+    kept = near_dup.keep_one(odd_docs, shingle=shingle)
     assert kept.columns == odd_docs.columns
     keep = {(d, n) for d, n, _, k in want if k or not n}
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in keep}
@@ -128,7 +129,7 @@ def test_many_near_copies_form_the_right_groups(spark, odd_docs):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     tile, near_dup.TILE = near_dup.TILE, 16
     try:
-        got = [tuple(r) for r in near_dup.near_duplicates(docs).collect()]
+        got = [tuple(r) for r in near_dup.near_duplicates(docs, shingle=4).collect()]
     finally:
         near_dup.TILE = tile
     want = brute.near_duplicates(list(enumerate(texts)))
@@ -304,7 +305,7 @@ def test_pipeline(spark, odd_docs):
             told = [labels[d] == (d in ids) for d, _ in before if labels.get(d) is not None]
             assert sum(told) >= 0.9 * len(told)
         elif name == "near_duplicates":
-            assert ids == {d for d, n, _, kept in brute.near_duplicates(before) if kept or not n}
+            assert ids == {d for d, n, _, kept in brute.near_duplicates(before, 5) if kept or not n}
         elif name == "decontamination":
             bad = brute.decontamination(before, items)
             assert ids == {d for d, _ in before if not bad[d][4]}
