@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.functions.text import decode_entities
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(("script", "style", "template"))
 
@@ -312,9 +314,11 @@ def flatten_success(fetches: DataFrame, status: str, records: str) -> DataFrame:
 
 
 def links_column(html: Column) -> Column:
-    """href and raw inner HTML of every anchor, without leaving the JVM."""
+    """href and raw inner HTML of every anchor, without leaving the JVM. Values may stand in double, single or no quotes; the basic
+    references in them are decoded."""
     clean = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->", "")
-    pattern = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-    hrefs = F.regexp_extract_all(clean, F.lit(pattern), F.lit(1))
-    texts = F.regexp_extract_all(clean, F.lit(pattern), F.lit(2))
-    return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
+    pattern = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
+    found = [F.regexp_extract_all(clean, F.lit(pattern), F.lit(i)) for i in (1, 2, 3, 4)]
+    zipped = F.arrays_zip(*[f.alias(n) for f, n in zip(found, ("double", "single", "bare", "text"))])
+    # Of the three ways one is not empty, if any.
+    return F.transform(zipped, lambda x: F.struct(decode_entities(F.concat(x["double"], x["single"], x["bare"])).alias("href"), x["text"].alias("text")))

@@ -17,10 +17,18 @@ from pyspark.sql.utils import AnalysisException
 _MANIFEST = "batch STRING, attempt STRING, at LONG"
 
 
+def new_attempt() -> str:
+    return uuid.uuid4().hex
+
+
+def folder(path: str, attempt: str) -> str:
+    return f"{path}/data/{attempt}"
+
+
 def write_attempt(df: DataFrame, path: str) -> str:
     """The data of a batch, not yet visible."""
-    attempt = uuid.uuid4().hex
-    df.write.parquet(f"{path}/data/{attempt}")
+    attempt = new_attempt()
+    df.write.parquet(folder(path, attempt))
     return attempt
 
 
@@ -49,10 +57,13 @@ def attempts(spark: SparkSession, path: str) -> dict[str, str]:
 
 
 def read_attempts(spark: SparkSession, path: str, chosen: list[str], schema: str | None = None) -> DataFrame:
-    paths = [f"{path}/data/{a}" for a in chosen]
-    if schema is None:
-        return spark.read.option("mergeSchema", True).parquet(*paths)
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    """The rows of some attempts. Without a schema each is read by its own, and what one lacks is null; an attempt may be partitioned."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(*[folder(path, a) for a in chosen]) if chosen else spark.createDataFrame([], schema)
+    out = spark.read.option("mergeSchema", True).parquet(folder(path, chosen[0]))
+    for a in chosen[1:]:
+        out = out.unionByName(spark.read.option("mergeSchema", True).parquet(folder(path, a)), allowMissingColumns=True)
+    return out
 
 
 def read_batches(spark: SparkSession, path: str, schema: str | None = None, without: str | None = None) -> DataFrame:

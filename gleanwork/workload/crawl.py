@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -13,7 +14,9 @@ from gleanwork.operators import aggregates, dedup, extract, joins, ordinals
 from gleanwork.plans import crawl
 from gleanwork.session import shared_path
 from gleanwork.sources import batches, files, readers, writers
+from gleanwork.sources import ledger as ledgers
 from gleanwork.streaming import crawl as streams
+from gleanwork.streaming import runs
 from gleanwork.workload import views as v
 from gleanwork.workload.registry import query, spread_table, sql_rate, table
 
@@ -46,6 +49,32 @@ def frontier_no_retry(spark, sf_dir):
     return joins.frontier(_urls(spark, sf_dir), _ledger(spark, sf_dir).filter("length(url) % 2 = 0"), "url", retry_failed=False)
 
 
+@query(f"WITH {_LEDGER_SQL}, {_URLS_SQL} SELECT * FROM urls WHERE url NOT IN (SELECT url FROM ledger WHERE status = 'completed')")
+def frontier_from_snapshot(spark, sf_dir):
+    """The frontier against a ledger of six runs, of which a snapshot covers four, one of them written twice."""
+    path = shared_path(spark, "snapshots")
+    marks = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "concat('https://shop.example.com/', o_custkey) AS url", "CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'failed' END AS status")
+    for run in (0, 1, 1, 2, 3, 4, 5):
+        if run == 4:
+            ledgers.compact(spark, path, buckets=8)
+        writers.append_ledger(marks.filter(F.col("o_orderkey") % 6 == run), path, "url", "status", str(run))
+    return ledgers.frontier(spark, path, _urls(spark, sf_dir))
+
+
+@query(f"WITH {_LEDGER_SQL} SELECT url, bool_or(status = 'completed') AS done, count(*) AS attempts FROM ledger GROUP BY url")
+def ledger_snapshot(spark, sf_dir):
+    """What is known of each URL after three compactions and some marks since."""
+    path = shared_path(spark, "snapshots")
+    marks = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "concat('https://shop.example.com/', o_custkey) AS url", "CASE o_orderstatus WHEN 'F' THEN 'completed' ELSE 'failed' END AS status")
+    for run in range(4):
+        writers.append_ledger(marks.filter(F.col("o_orderkey") % 4 == run), path, "url", "status", str(run))
+        if run < 3:
+            ledgers.compact(spark, path, buckets=8)
+    return ledgers.latest(spark, path).select("url", "done", "attempts")
+
+
 @query(f"WITH {_LEDGER_SQL} SELECT status, count(*) AS n FROM ledger GROUP BY status")
 def ledger_stats(spark, sf_dir):
     return aggregates.ledger_stats(_ledger(spark, sf_dir))
@@ -94,6 +123,24 @@ def merge_generations(spark, sf_dir):
     return dedup.merge_generations([views, clicks, final], "page_url", "event_id")
 
 
+@query("""WITH g AS (
+  SELECT 0 AS generation, event_id, 'u' || user_id || '/' || json_extract_string(props, '$.k') AS page_url, value, NULL AS note FROM events WHERE event_type = 'view'
+  UNION ALL SELECT 1, event_id, 'u' || user_id || '/' || json_extract_string(props, '$.k'), value, event_type FROM events WHERE event_type = 'click'
+  UNION ALL SELECT 2, event_id, 'u' || user_id || '/' || json_extract_string(props, '$.k'), NULL, event_type FROM events)
+SELECT page_url, generation, event_id, value, note FROM g
+QUALIFY row_number() OVER (PARTITION BY page_url ORDER BY generation, event_id) = 1""")
+def merge_generations_by_key(spark, sf_dir):
+    """The same result built set by set, the second one added twice: a set touches its own keys only."""
+    e = table(spark, sf_dir, "events").withColumn("page_url", F.expr("concat('u', user_id, '/', get_json_object(props, '$.k'))"))
+    views = e.filter("event_type = 'view'").select("page_url", "event_id", "value")
+    clicks = e.filter("event_type = 'click'").selectExpr("page_url", "event_id", "value", "event_type AS note")
+    final = e.selectExpr("page_url", "event_id", "event_type AS note")
+    kept = shared_path(spark, "kept")
+    for name, rows in (("views", views), ("clicks", clicks), ("clicks", clicks), ("final", final)):
+        dedup.add_generation(rows, kept, "page_url", "event_id", name, buckets=16)
+    return dedup.read_kept(spark, kept)
+
+
 @query("""SELECT c_custkey, coalesce(n_name, 'TIMEOUT') AS n_name, coalesce(n_regionkey::VARCHAR, 'ERROR') AS region
 FROM customer LEFT JOIN (SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey <> 2) ON c_nationkey = n_nationkey""")
 def attach_results(spark, sf_dir):
@@ -470,6 +517,30 @@ def append_twice(spark, sf_dir):
     return once.groupBy("status").agg(F.sum("c").alias("n"), F.when(F.max("c") == 1, "once").otherwise("more").alias("counted"))
 
 
+# --- runs ------------------------------------------------------------------------------------
+
+
+@query("""WITH r AS (SELECT user_id::VARCHAR AS job, ts AS started, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'started' ELSE 'completed' END AS state, event_id,
+    ts + INTERVAL 10 MINUTE AS ended FROM events),
+n AS (SELECT max(ts) + INTERVAL 1 MINUTE AS now FROM events),
+l AS (SELECT job, started, CASE WHEN state = 'started' AND started + INTERVAL 2 HOUR <= now THEN 'failed' ELSE state END AS state,
+    CASE WHEN state = 'started' AND started + INTERVAL 2 HOUR <= now THEN started + INTERVAL 2 HOUR WHEN state = 'started' THEN started ELSE ended END AS ended, now FROM r, n),
+d AS (SELECT job, max(ended) FILTER (state = 'completed') AS done, max({'s': started, 'e': ended, 'x': state}) AS last, any_value(now) AS now FROM l GROUP BY job),
+f AS (SELECT d.*, (SELECT count(*) FROM l WHERE l.job = d.job AND l.state = 'failed' AND (done IS NULL OR l.ended > done)) AS failures FROM d),
+t AS (SELECT job, last.x AS state, failures, now, CASE last.x WHEN 'completed' THEN last.s + INTERVAL 4 HOUR WHEN 'started' THEN last.s + INTERVAL 2 HOUR
+    ELSE last.e + least(16, power(2, greatest(failures - 1, 0)))::INTEGER * INTERVAL 1 HOUR END AS due FROM f)
+SELECT job, state, failures, due, state <> 'started' AND due <= now AS is_due FROM t""")
+def run_schedule(spark, sf_dir):
+    """When each job may run next, after its last run completed, failed, or was not heard of; each event plays a run."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("job"), F.col("ts").cast("timestamp").alias("started"), "event_type")
+    state = F.expr("CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'started' ELSE 'completed' END")
+    ended = F.when(state == "started", F.col("started")).otherwise(F.timestamp_micros(F.unix_micros("started") + 600_000_000))
+    rows = e.select("job", F.col("event_id").cast("string").alias("run_id"), state.alias("state"), "started", ended.alias("at"), F.lit(None).cast("string").alias("error"))
+    now = e.agg(F.timestamp_micros(F.unix_micros(F.max("started")) + 60_000_000).alias("now")).first()["now"]
+    told = runs.schedule(rows, F.lit(now), runs.Policy(lease=timedelta(hours=2)))
+    return told.withColumn("due", F.col("due").cast("timestamp_ntz"))
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 

@@ -24,19 +24,35 @@ def inline_seed_rows(spark, sf_dir):
     return aggregates.rows_per_seed(readers.inline_seeds(spark, ["src1", "src2", "none"]), rows, "tool_name")
 
 
-@query(f"""SELECT 'image_' || n_name AS name, 'seen ' || (length('{lx.REPORT_HEADING}' || n_name) + 83 + length(n_comment_) + 1) AS description
-FROM (SELECT n_name, 'n' || n_regionkey AS n_comment_ FROM nation)""")
+@query(f"""SELECT 'image_' || s_name AS name, 'seen ' || (length('{lx.REPORT_HEADING}' || s_name) + 83 + length('n' || s_nationkey) + 1) AS description FROM supplier""")
 def image_descriptions(spark, sf_dir):
     """Reports written one file per key, read back as binary payloads and described by a model."""
     path = shared_path(spark, "reports")
-    rows = table(spark, sf_dir, "nation").selectExpr("n_name", "n_name AS key", "concat('n', n_regionkey) AS body")
-    writers.write_reports(rows.coalesce(1), path, "key", "n_name", "body")
+    rows = table(spark, sf_dir, "supplier").selectExpr("s_name", "s_name AS key", "concat('n', s_nationkey) AS body")
+    writers.write_reports(rows.repartition("key"), path, "key", "s_name", "body")
     images = readers.read_images(spark, f"{path}/*/*.txt")
     described = enrich.describe_images(images, lambda payloads: [f"seen {len(base64.b64decode(p))}" for p in payloads])
     name = F.url_decode(F.regexp_extract("path", "key=([^/]*)/", 1))
     return described.select(F.concat(F.lit("image_"), F.regexp_replace(name, "%20", " ")).alias("name"), "description")
 
 
+@query("SELECT count(*) AS n, 0::BIGINT AS out_of_order, min(l_extendedprice)::DOUBLE AS first, max(l_extendedprice)::DOUBLE AS last FROM lineitem")
+def sorted_file(spark, sf_dir):
+    """A CSV table written in order: each part file holds a range, parts follow it by name."""
+    path = shared_path(spark, "sorted")
+    rows = table(spark, sf_dir, "lineitem").select("l_extendedprice", "l_orderkey", "l_linenumber")
+    writers.write_csv(rows, path, ["l_extendedprice", "l_orderkey", "l_linenumber"], order_by=["l_extendedprice", "l_orderkey", "l_linenumber"])
+    back = spark.read.schema("p DOUBLE, o BIGINT, l INT").option("header", True).csv(path).select(
+        "p", F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).cast("int").alias("part"), F.monotonically_increasing_id().alias("at"))
+    # Ends of each part, one row per part; within a part lines follow each other in `at`.
+    ends = back.groupBy("part").agg(F.count("*").alias("n"), F.min("p").alias("low"), F.max("p").alias("high"), F.max_by("p", "at").alias("last"), F.min_by("p", "at").alias("first"))
+    inside = F.count_if((F.col("first") != F.col("low")) | (F.col("last") != F.col("high")))
+    every = ends.agg(F.array_sort(F.collect_list(F.struct("part", "low", "high"))).alias("parts"), F.sum("n").alias("n"), inside.alias("inside"), F.min("low").alias("first"), F.max("high").alias("last"))
+    pairs = F.arrays_zip(F.slice("parts", F.lit(1), F.size("parts") - 1).alias("a"), F.slice("parts", F.lit(2), F.size("parts")).alias("b"))
+    between = F.size(F.filter(pairs, lambda x: x["a"]["high"] > x["b"]["low"]))
+    return every.select("n", (F.col("inside") + between).cast("long").alias("out_of_order"), "first", "last")
+
+
 _USES = [w for words in (*lx.ORIGINAL_USE_KEYWORDS.values(), *lx.AGGREGATED_USE_KEYWORDS.values(), *lx.WORD_USE_KEYWORDS.values()) for w in words]
 _BOUND = r"[^\p{L}\p{N}_]"
 
