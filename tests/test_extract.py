@@ -144,6 +144,10 @@ def test_links_match_the_tree(spark):
     df = spark.createDataFrame([(page,)], "html STRING")
     got = df.select(F.explode(extract.links_column(F.col("html"))).alias("l")).select("l.*").collect()
     assert [tuple(r) for r in got] == [("/a?b=1", "T <b>x</b>")]
+    page = "<a href='/s?x=1&amp;y'>s</a><a id=i href=/bare>b</a><A HREF = \"/d\" >d</A><a data-href='no' href='yes'>y</a><a data-href='no'>n</a><a href=''>e</a>"
+    df = spark.createDataFrame([(page,)], "html STRING")
+    got = df.select(F.explode(extract.links_column(F.col("html"))).alias("l")).select("l.*").collect()
+    assert [tuple(r) for r in got] == [("/s?x=1&y", "s"), ("/bare", "b"), ("/d", "d"), ("yes", "y"), ("", "e")]
 
 
 def test_news_run_without_any_mention_keeps_all_as_irrelevant(spark):
