@@ -28,7 +28,6 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("gleanwork.scan.parts", cpus)  # the tables are single files
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")

@@ -569,7 +569,7 @@ def label_titles(spark, sf_dir):
 
 
 def _translate(prompts):
-    prefix = "translate this French text into English: "
+    prefix = lx.TRANSLATE_PROMPT.removesuffix("{text}")
     texts = [p[len(prefix):] for p in prompts]
     return [
         None if len(t) < 500 else json.dumps({"response": "  \n" + t.upper(), "total_duration": len(t)})

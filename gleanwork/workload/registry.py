@@ -30,14 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """For queries with much work per row: the table's columns, in as many parts as the caller asks for.
+    """For queries with much work per row: the table's columns, in as many parts as the session has cores if the table has fewer files.
 
-    The session names them (`gleanwork.scan.parts`), for a small table in one file; a large one is
-    split as it is read.
+    A table of one small file would be worked on by one core; a large one is split as it is read.
     """
     df = table(spark, sf_dir, name).select(*columns)
-    parts = spark.conf.get("gleanwork.scan.parts", None)
-    return df.repartition(int(parts)) if parts else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 # --- SQL snippets ---------------------------------------------------------------------------
