@@ -6,15 +6,18 @@ propose spans: any number of 7 or more digits with separators, and addresses spe
 "phone" or "mail", is laid out like a phone number or ends in a known domain; negative if it is part of a word, announced as
 something else, a date, an amount, a bare number or a long one without checksum. Without evidence it has no label.
 
-Candidates are described by whole-numbered features of their format and context. The labelled ones of all documents are added
+Labels serve training only. Every candidate is described by whole-numbered features of its format and context, with
+the kind of evidence as one of them, and boosted trees alone accept or refuse it. The labelled candidates of all documents are added
 up per combination of features (at most `CELLS` by construction), half of them by hash of the text to fit and half to calibrate.
+To both halves come `PRIOR_ROWS` rows for each clear case of `PRIOR`, so that small corpora can be judged too; these are never hidden.
 Trees of depth two are boosted on those sums for log loss and become one SQL expression. They are fitted on every combination as it
-is and with its giveaways (`HIDDEN`) set to zero, and calibrated on the latter, which look like candidates without evidence. The threshold is the lowest at which
-`PRECISION` of the calibration half's candidates are positive. Added are the candidates outside strict spans that evidence calls
-positive, and those without a label that score above the threshold.
+is and with its giveaways (`HIDDEN`) set to zero, so that they must also tell by format. There are two thresholds, each the lowest at which `PRECISION`
+of the calibration half's candidates are positive: one for candidates with evidence, calibrated on those as they are, one for the rest,
+calibrated on all with their giveaways hidden. Added are the candidates outside strict spans that reach theirs, but for
+those that lie within another one. Redaction joins spans that overlap otherwise, so that no part of an accepted one stays.
 
 Null texts are empty; ids are not read. Empty table: empty result. Without a threshold that is precise enough
-only candidates with evidence are added. Everything is local to its row, apart from the sums per combination.
+candidates of that sort are all refused. Everything is local to its row, apart from the sums per combination.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ PRECISION = 0.95
 ROUNDS = 30
 RATE = 0.3
 #: Features that give a label away.
-HIDDEN = ("plus", "called")
+HIDDEN = ("plus", "called", "evidence")
 _SO = "(?:[^a-z0-9]+(?:me|us|at|on|is|no|nr|number|address|under|to))*[^a-z0-9]*$"
 CALLED = {
     "number": "(?:^|[^\\p{L}])(?:tel|telephone|phone|call|mobile|mobil|cell|fax|sms|whatsapp|telefon|tel\u00e9fono|t\u00e9l\u00e9phone)" + _SO,
@@ -56,6 +59,7 @@ LAYOUT = "^\\+?(?:[0-9]{1,3}[\\x20.-]?)?\\([0-9]{2,5}\\)[\\x20.-]?[0-9]{2,4}(?:[
 NOT_A_PHONE = "^(?:19|20)[0-9]{2}[\\x20.-][0-9]{1,2}[\\x20.-][0-9]{1,2}(?![0-9])|^[0-9]{1,2}[.-][0-9]{1,2}[.-](?:19|20)[0-9]{2}(?![0-9])|^(?:19|20)[0-9]{2}[\\x20-]{1,2}(?:19|20)[0-9]{2}$|^[0-9]{1,3}(?:[\\x20.][0-9]{3}){2,}$|^[0-9]+\\.[0-9]+$|^[0-9]+(?:\\.[0-9]+){3}$"
 DOMAIN = "(?i)(?:\\(dot\\)|\\[dot\\]|\\x20dot\\x20)\\x20?(?:com|org|net|edu|gov|info|biz|eu|io|ai|app|dev|co|me|[a-z]{2})$"
 RESULT = ("base", "spans")
+SPAN = ("start", "place", "end", "kind")
 
 
 def _features(m: Column, wide: str) -> dict[str, Column]:
@@ -70,29 +74,43 @@ def _features(m: Column, wide: str) -> dict[str, Column]:
         "dots": F.least(F.length(F.regexp_replace(hit, "[^.]", "")), F.lit(4)),
         "checksum": m["checked"].cast("int"),
         "called": F.when(words.rlike("tel|phone|call|mobile|fax"), 1).when(words.rlike("card|visa|iban|account"), 2).otherwise(0),
-        "after_word": words.rlike("[a-z0-9]$").cast("int"),
-        "before_word": m["after"].rlike("[A-Za-z0-9]").cast("int"),
+        "glued": (words.rlike("[\\p{L}0-9_]$") | m["after"].rlike("[\\p{L}0-9_]")).cast("int"),
+        "evidence": _evidence(m, wide),
     }
 
 
-def _label(m: Column, wide: str) -> Column:
-    """1 or 0 by evidence, null without any."""
-    hit, n, checked, words = m["hit"], m["n"], m["checked"], F.lower(m["before"])
-    called = words.rlike(CALLED[wide])
+def _evidence(m: Column, wide: str) -> Column:
+    """3: announced, 2: laid out as one, 1: announced or laid out as something else, 0: none."""
+    hit, words = m["hit"], F.lower(m["before"])
+    announced = F.when(words.rlike(CALLED[wide]), 3)
     if wide == "spelt":
-        return F.when(m["strict"] | called | hit.rlike(DOMAIN) | hit.rlike("(?i)[\\[(]at[\\])]"), 1).otherwise(0)
-    plain = n == F.length(hit)
-    return (F.when(m["strict"], 1)
-            .when(words.rlike("[\\p{L}0-9_]$") | m["after"].rlike("[\\p{L}0-9_]"), 0)
-            .when(called & (n <= 15), 1)
-            .when(words.rlike(OTHERWISE) | hit.rlike(NOT_A_PHONE) | (plain & ~checked), 0)
-            .when(hit.rlike(LAYOUT) & (n <= 15), 1)
-            .when((n > 12) & ~checked, 0))
+        return announced.when(hit.rlike(DOMAIN) | hit.rlike("(?i)[\\[(]at[\\])]"), 2).otherwise(0)
+    return announced.when(words.rlike(OTHERWISE) | hit.rlike(NOT_A_PHONE), 1).when(hit.rlike(LAYOUT), 2).otherwise(0)
 
 
-BOUNDS = {"spelt": 2, "length": 6, "separators": 6, "plus": 2, "dots": 5, "checksum": 2, "called": 3, "after_word": 2, "before_word": 2}
+def _label(w: Column) -> Column:
+    """1 or 0 by evidence, null without any, of a described candidate."""
+    spelt, plain, checked = w["spelt"] == 1, w["separators"] == 0, w["checksum"] == 1
+    short = w["length"] < 3
+    return (F.when(w["strict"], 1)
+            .when(spelt, (w["evidence"] > 1).cast("int"))
+            .when(w["glued"] == 1, 0)
+            .when((w["evidence"] == 3) & short, 1)
+            .when((w["evidence"] == 1) | (plain & ~checked), 0)
+            .when((w["evidence"] == 2) & short, 1)
+            .when((w["n"] > 12) & ~checked, 0))
+
+
+BOUNDS = {"spelt": 2, "length": 6, "separators": 6, "plus": 2, "dots": 5, "checksum": 2, "called": 3, "glued": 2, "evidence": 4}
 FEATURES = list(BOUNDS)
 CELLS = math.prod(BOUNDS.values())
+_NUMBER, _SPELT = {"length": 1, "separators": 2}, {"spelt": 1, "separators": 5}
+#: (features other than zero, label)
+PRIOR = [
+    *[({**_NUMBER, "evidence": e}, int(e > 1)) for e in (1, 2, 3)], *[({**_SPELT, "evidence": e}, int(e > 1)) for e in (0, 2, 3)],
+    *[({**_NUMBER, "glued": 1, "evidence": e}, 0) for e in (0, 1, 2, 3)],
+]
+PRIOR_ROWS = 10
 
 
 def _strict(m: dict[str, Column]) -> dict[str, Column]:
@@ -107,7 +125,7 @@ def _strict(m: dict[str, Column]) -> dict[str, Column]:
 
 
 def _found(docs: DataFrame, text: str) -> DataFrame:
-    """`base`, and `wide`: candidates with their features, whether a strict span overlaps them, and their label."""
+    """`base`, and `wide`: candidates with their features and whether a strict span overlaps them."""
     rows = with_matches(docs, text, STRICT | WIDE)
     strict = _strict({k: F.col(k) for k in STRICT})
     rows = rows.withColumn("base", all_of([tagged(strict[k], k, KINDS.index(k)) for k in STRICT]))
@@ -120,7 +138,7 @@ def _found(docs: DataFrame, text: str) -> DataFrame:
             F.when(F.length(x["number"]).between(12, 19), luhn(x["number"])).otherwise(False).alias("checked")))
         return F.transform(noted, lambda m: F.struct(
             m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("place"), m["end"].alias("end"), F.lit(kind).alias("kind"),
-            m["strict"].alias("strict"), _label(m, kind).alias("positive"),
+            m["strict"].alias("strict"), m["n"].alias("n"),
             *[v.alias(k) for k, v in _features(m, kind).items()]))
 
     return rows.withColumn("wide", F.concat(*[described(k) for k in WIDE])).drop(*STRICT, *WIDE)
@@ -130,39 +148,45 @@ class Trees:
     """Boosted trees of depth two over whole-numbered features, fitted to weighted combinations."""
 
     def __init__(self) -> None:
-        self.base, self.trees, self.threshold = 0.0, [], math.inf
+        self.base, self.trees = 0.0, []
+        #: The least accepted sums of candidates without and with evidence.
+        self.least = {False: math.inf, True: math.inf}
 
-    def score(self, cell: dict) -> float:
+    def total(self, cell: dict) -> float:
         total = self.base
         for (f, t), sides in self.trees:
             g, u, values = sides[int(cell[f] >= t)]
             total += values[int(cell[g] >= u)]
-        return 1 / (1 + math.exp(-total))
+        return total
+
+    def accepts(self, cell: dict) -> bool:
+        return self.total(cell) >= self.least[cell["evidence"] > 0]
 
     def fit(self, cells: list[dict]) -> None:
         n, positive = sum(c["n"] for c in cells), sum(c["positives"] for c in cells)
         self.base = math.log((positive + 0.5) / (n - positive + 0.5))
         for _ in range(ROUNDS if cells else 0):
             for c in cells:
-                p = self.score(c)
+                p = 1 / (1 + math.exp(-self.total(c)))
                 c["g"], c["h"] = c["positives"] - c["n"] * p, c["n"] * p * (1 - p)
-            root = max(_splits(), key=lambda s: _gain(cells, *s))
+            root = _best_split(cells)
             sides = []
             for high in (False, True):
                 own = [c for c in cells if (c[root[0]] >= root[1]) == high]
-                best = max(_splits(), key=lambda s: _gain(own, *s))
+                best = _best_split(own)
                 halves = [[c for c in own if (c[best[0]] >= best[1]) == x] for x in (False, True)]
                 sides.append((*best, tuple(RATE * _step(x) for x in halves)))
             self.trees.append((root, sides))
 
-    def calibrate(self, cells: list[dict]) -> None:
+    def calibrate(self, cells: list[dict], evidence: bool) -> None:
+        """The bound lies halfway between the last sum accepted and the first refused."""
         n = positive = 0
-        scored = sorted(((self.score(c), c["n"], c["positives"]) for c in cells), reverse=True)
-        for i, (score, size, hits) in enumerate(scored):
+        scored = sorted(((self.total(c), c["n"], c["positives"]) for c in cells), reverse=True)
+        for i, (total, size, hits) in enumerate(scored):
             n, positive = n + size, positive + hits
-            last = i + 1 == len(scored) or scored[i + 1][0] < score
-            if last and positive >= PRECISION * n:
-                self.threshold = score
+            following = scored[i + 1][0] if i + 1 < len(scored) else total - 1
+            if following < total and positive >= PRECISION * n:
+                self.least[evidence] = (total + following) / 2
 
     def expression(self, x: Column) -> Column:
         """The sum of the trees for a struct of features."""
@@ -173,31 +197,49 @@ class Trees:
         return total
 
 
-def _splits() -> list[tuple[str, int]]:
-    return [(f, t) for f, bound in BOUNDS.items() for t in range(1, bound)]
+def _best_split(cells: list[dict]) -> tuple[str, int]:
+    """The (feature, bound) that gains most, the first as listed of equal ones."""
+    best, found = -1.0, (FEATURES[0], 1)
+    for f, bound in BOUNDS.items():
+        g, h = [0.0] * bound, [0.0] * bound
+        for c in cells:
+            g[c[f]] += c["g"]
+            h[c[f]] += c["h"]
+        for t in range(1, bound):
+            gain = sum(sum(g[x]) ** 2 / (sum(h[x]) + 1.0) for x in (slice(0, t), slice(t, None)))
+            if gain > best + 1e-9:
+                best, found = gain, (f, t)
+    return found
 
 
 def _step(cells: list[dict]) -> float:
     return sum(c["g"] for c in cells) / (sum(c["h"] for c in cells) + 1.0)
 
 
-def _gain(cells: list[dict], feature: str, at: int) -> float:
-    halves = [[c for c in cells if (c[feature] >= at) == x] for x in (False, True)]
-    return sum(sum(c["g"] for c in h) ** 2 / (sum(c["h"] for c in h) + 1.0) for h in halves)
+def fitted(rows: list[dict]) -> Trees:
+    """From sums (half, features, n, positives) of labelled candidates."""
+    prior = [dict.fromkeys(FEATURES, 0) | known | {"half": half, "n": PRIOR_ROWS, "positives": PRIOR_ROWS * label}
+             for half in (0, 1) for known, label in PRIOR]
+    rows = sorted(rows, key=lambda r: [r[f] for f in FEATURES])
+    hidden = [r | dict.fromkeys(HIDDEN, 0) for r in rows]
+    trees = Trees()
+    trees.fit([dict(r) for r in [*prior, *rows, *hidden] if r["half"] == 0])
+    trees.calibrate([r for r in [*prior, *rows] if r["half"] == 1 and r["evidence"] > 0], True)
+    trees.calibrate([r for r in [*prior, *hidden] if r["half"] == 1 and not r["evidence"]], False)
+    return trees
 
 
 def fit(docs: DataFrame, text: str = "text") -> Trees:
     found = _found(docs.select(F.col(text).alias("text")), "text")
     half = F.pmod(F.xxhash64("text"), F.lit(2)).alias("half")
-    cells = found.select(half, F.explode("wide").alias("w")).groupBy("half", *[F.col(f"w.{f}").alias(f) for f in FEATURES]).agg(
-        F.count("w.positive").alias("n"), F.sum("w.positive").alias("positives"))
-    rows = [r.asDict() for r in cells.collect() if r["n"]]  # at most 2 * CELLS
-    rows.sort(key=lambda r: [r[f] for f in FEATURES])
-    hidden = [r | dict.fromkeys(HIDDEN, 0) for r in rows]
-    trees = Trees()
-    trees.fit([r for r in [*rows, *hidden] if r["half"] == 0])
-    trees.calibrate([r for r in hidden if r["half"] == 1])
-    return trees
+    cells = found.select(half, F.explode("wide").alias("w")).select("half", _label(F.col("w")).alias("positive"), *[F.col(f"w.{f}").alias(f) for f in FEATURES])
+    cells = cells.filter("positive IS NOT NULL").groupBy("half", *FEATURES).agg(F.count("*").alias("n"), F.sum("positive").alias("positives"))
+    return fitted([r.asDict() for r in cells.collect()])  # at most 2 * CELLS rows
+
+
+def _within(a: Column, b: Column) -> Column:
+    """Whether candidate `a` lies in `b`, of the other generator."""
+    return (a["kind"] != b["kind"]) & (b["start"] <= a["start"]) & (a["end"] <= b["end"])
 
 
 def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Trees | None = None) -> DataFrame:
@@ -207,10 +249,12 @@ def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Tr
     trees = trees or fit(docs, text)
     rows = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], F.col(text).alias("text"))
     rows = _found(rows, "text")
-    limit = math.log(trees.threshold / max(1e-12, 1 - trees.threshold)) - 1e-9 if trees.threshold < math.inf else math.inf
-    likely = lambda w: F.coalesce(w["positive"] == 1, trees.expression(w) >= limit)
-    accepted = F.filter("wide", lambda w: ~w["strict"] & likely(w))
-    added = F.transform(accepted, lambda w: F.struct(*[w[c].alias(c) for c in ("start", "place", "end", "kind")]))
+    least = {k: F.lit(v) for k, v in trees.least.items()}
+    scored = F.transform(F.filter("wide", lambda w: ~w["strict"]), lambda w: F.struct(
+        *[w[c].alias(c) for c in (*SPAN, "evidence")], trees.expression(w).alias("score")))
+    accepted = F.filter(scored, lambda w: w["score"] >= F.when(w["evidence"] > 0, least[True]).otherwise(least[False]))
+    added = F.transform(F.array(accepted), lambda all_: F.transform(F.filter(all_, lambda w: ~F.exists(all_, lambda o: _within(w, o))), lambda w: F.struct(
+        *[w[c].alias(c) for c in SPAN])))[0]
     spans = F.when(F.size("wide") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", added)))
     return rows.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "base", spans.alias("spans"))
 

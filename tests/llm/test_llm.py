@@ -212,8 +212,27 @@ def test_trees_learn_a_rule():
     cells = [{**dict.fromkeys(pii.FEATURES, 0), "length": n, "plus": p, "n": 50, "positives": 50 * int(n > 2 and p)} for n in range(6) for p in (0, 1)]
     trees = pii.Trees()
     trees.fit([dict(c) for c in cells])
-    trees.calibrate([dict(c) for c in cells])
-    assert {(c["length"], c["plus"]) for c in cells if trees.score(c) >= trees.threshold} == {(n, 1) for n in (3, 4, 5)}
+    trees.calibrate([dict(c) for c in cells], False)
+    assert {(c["length"], c["plus"]) for c in cells if trees.accepts(c)} == {(n, 1) for n in (3, 4, 5)}
+    assert not any(trees.accepts(c | {"evidence": 3}) for c in cells)
+
+
+def test_trees_decide_on_candidates_with_evidence():
+    """A format that the corpus shows to be no phone number is refused where a rule speaks for it; without a corpus the rule is followed."""
+    def cells(**known):
+        return [{**dict.fromkeys(pii.FEATURES, 0), "length": 1, "half": h, "n": 400, **known} for h in (0, 1)]
+
+    dotted = {"separators": 4, "dots": 4}
+    laid_out = {**dict.fromkeys(pii.FEATURES, 0), "length": 1, "evidence": 2}
+    corpus = cells(separators=2, plus=1, positives=400) + cells(**dotted, evidence=2, positives=0) + cells(separators=2, evidence=1, positives=0)
+    assert pii.fitted([]).accepts(laid_out | dotted) and not pii.fitted(corpus).accepts(laid_out | dotted)
+    assert pii.fitted(corpus).accepts(laid_out | {"separators": 2})
+
+
+def test_of_overlapping_candidates_one_stays(spark, odd_docs):
+    df = spark.createDataFrame([(1, "mail 202-555-0100 at example dot com and call 202-555-0101")], "doc_id long, text string")
+    spans = [(s["kind"], s["start"], s["end"]) for s in pii.find_pii(df, ["doc_id"]).first()["spans"]]
+    assert spans == [("spelt", 5, 36), ("number", 46, 58)]
 
 
 @pytest.mark.parametrize("score, label, least", [(quality.score_quality, "quality", 0.95), (toxicity.score_toxicity, "toxic", 0.8)])
