@@ -1,16 +1,17 @@
 """Tool calls and their results, linked, ordered, checked and written as canonical JSON.
 
 A call names its id, conversation, tool, arguments (JSON) and the call it follows, if any. Results are
-joined to calls by id. The position of a call is the number of calls before it in its chain, found by
+joined to calls of their conversation by id; ids of other conversations are others. The position of a call is the number of calls before it in its chain, found by
 pointer doubling: every round joins each call with the one it points to, so a chain of n calls takes
 about log2(n) rounds, each written to the shared folder. Arguments must be an object with the tool's required fields,
 no other than its fields, and values of the stated types. Canonical JSON has sorted keys and no blanks.
 
-One row per call and per result without a call: a conversation is never gathered, however long it is.
+One row per call, per result without a call and per repeat: a conversation is never gathered, however long it is.
 
 Status: "ok", "no result", "invalid arguments", "unknown tool", "cycle" (in this order of precedence from the last), or
-"orphan" for a result without a call. Of several calls or results with one id the first by turn, then by content, counts. A null
-id links with nothing: such a call has no result and such a result is an orphan. Following an id that is not there means following none.
+"orphan" for a result without a call. Of several calls or results with one id in a conversation the first by turn, then by content, counts;
+the others link with nothing and come out as "repeated", without position. A null
+id links with nothing: such a call has no result and such a result is an orphan. Rows without conversation belong to one. Following an id that is not there means following none.
 Null arguments are invalid. Empty tables: empty result. Other columns are not read.
 """
 
@@ -59,10 +60,17 @@ def positions(calls: DataFrame) -> DataFrame:
     return chain.select("id", F.when(F.col("to").isNull(), F.col("n")).otherwise(-1).alias("position"))
 
 
-def _first(df: DataFrame, *columns: str) -> DataFrame:
-    """One row per id; counted up before any shuffle."""
-    known = df.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min(F.struct("turn", *columns)).alias("one")).select("id", "one.*")
-    return known.unionByName(df.filter(F.col("id").isNull()).select("id", "turn", *columns))
+def _key(name: str) -> Column:
+    """Names an id within its conversation; null for a null id."""
+    return F.when(F.col(name).isNotNull(), F.to_json(F.struct(F.col("conversation").cast("string").alias("c"), F.col(name).cast("string").alias("i"))))
+
+
+def _divided(df: DataFrame, label: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that count, one per key, and the repeats. Keys are counted up before any shuffle, repeats are told by row number."""
+    rows = staged(df.select(_key("id").alias("key"), "id", "turn", "conversation", *columns, F.monotonically_increasing_id().alias("row")), label)
+    named = rows.filter(F.col("key").isNotNull())
+    first = staged(named.groupBy("key").agg(F.min(F.struct("turn", *columns, "row", "id", "conversation")).alias("one")).select("key", "one.*"), label)
+    return first.unionByName(rows.filter(F.col("key").isNull())), named.join(first.select("row"), "row", "left_anti")
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -70,11 +78,11 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
 
     Returns (conversation, id, turn, position, status, json).
     """
-    calls = staged(_first(calls.select("id", "turn", "conversation", "name", "arguments", "after"), "conversation", "name", "arguments", "after"), "calls")
-    results = staged(_first(results.select("id", "turn", "conversation", "content"), "conversation", "content"), "results")
-    order = positions(calls.filter(F.col("id").isNotNull()).select("id", "after")).withColumnRenamed("id", "__id")
-    answer = results.select(F.col("id").alias("__result"), F.col("content").alias("result"))
-    linked = calls.join(answer, F.col("id") == F.col("__result"), "left").join(order, F.col("id") == F.col("__id"), "left")
+    calls, called_again = _divided(calls, "calls", "name", "arguments", "after")
+    results, answered_again = _divided(results, "results", "content")
+    order = positions(calls.filter(F.col("key").isNotNull()).select(F.col("key").alias("id"), _key("after").alias("after"))).withColumnRenamed("id", "__id")
+    answer = results.select(F.col("key").alias("__result"), F.col("content").alias("result"))
+    linked = calls.join(answer, F.col("key") == F.col("__result"), "left").join(order, F.col("key") == F.col("__id"), "left")
     linked = linked.withColumns({"position": F.coalesce("position", F.lit(0)), "valid": valid_arguments(F.col("name"), F.col("arguments"), schemas)})
     status = (F.when(F.col("position") < 0, "cycle").when(~F.coalesce(F.col("name").isin(*schemas), F.lit(False)), "unknown tool")
               .when(~F.col("valid"), "invalid arguments").when(F.col("__result").isNull(), "no result").otherwise("ok"))
@@ -82,10 +90,12 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
     parsed = F.to_json(F.try_parse_json("arguments"))
     parts = {"arguments": F.coalesce(parsed, _quoted("arguments")), "id": _quoted("id"), "name": _quoted("name"), "result": _quoted("result")}
     out = linked.select("conversation", "id", "turn", "position", status.alias("status"), _object(parts).alias("json"))
-    lost = results.join(calls.select(F.col("id").alias("__call")), F.col("id") == F.col("__call"), "left_anti")
-    lost = lost.select("conversation", "id", "turn", F.lit(None).cast("long").alias("position"), F.lit("orphan").alias("status"),
-                       _object({"id": _quoted("id"), "result": _quoted("content")}).alias("json"))
-    return out.unionByName(lost)
+    lost = results.join(calls.select(F.col("key").alias("__call")), F.col("key") == F.col("__call"), "left_anti")
+    said = _object({"id": _quoted("id"), "result": _quoted("content")})
+    again = _object({k: v for k, v in parts.items() if k != "result"})
+    for rows, known, json in ((lost, "orphan", said), (answered_again, "repeated", said), (called_again, "repeated", again)):
+        out = out.unionByName(rows.select("conversation", "id", "turn", F.lit(None).cast("long").alias("position"), F.lit(known).alias("status"), json.alias("json")))
+    return out
 
 
 def _quoted(name: str) -> Column:

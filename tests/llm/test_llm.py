@@ -289,7 +289,9 @@ def test_tool_calls(spark, odd_docs):
                                     "id string, conversation long, turn long, content string")
     rows = tool_calls.link_calls(calls, results, tool_calls.SCHEMAS).collect()
     got = {(r["id"], r["turn"]): (r["position"], r["status"], r["json"]) for r in rows}
-    assert len(rows) == len(got) == 11
+    assert len(rows) == len(got) == 13
+    assert got[("c", 9)] == (None, "repeated", '{"arguments":{"limit":2},"id":"c","name":"count"}')
+    assert got[("c", 6)] == (None, "repeated", '{"id":"c","result":"second"}')
     assert got[("a", 0)] == (0, "ok", '{"arguments":{"limit":3,"query":"q"},"id":"a","name":"search","result":"r\\n\\"1\\""}')
     assert got[("b", 2)][:2] == (1, "invalid arguments") and got[("c", 4)][:2] == (2, "ok") and '"result":"first"' in got[("c", 4)][2]
     assert got[("d", 5)][:2] == (0, "unknown tool") and got[("e", 0)][1] == got[("f", 1)][1] == "cycle"
@@ -299,6 +301,18 @@ def test_tool_calls(spark, odd_docs):
     assert tool_calls.link_calls(calls.filter("false"), results.filter("false"), tool_calls.SCHEMAS).count() == 0
 
 
+def test_tool_calls_of_conversations_that_share_ids(spark, odd_docs):
+    """Every conversation has its own ids; no row is lost, also not equal ones."""
+    calls = spark.createDataFrame([(i, c, t, "count", '{"limit": 1}', a) for c in (1, 2, None) for i, t, a in (("call_1", 0, None), ("call_2", 2, "call_1"))]
+                                  + [("call_1", 1, 0, "count", '{"limit": 1}', None)] * 3, "id string, conversation long, turn long, name string, arguments string, after string")
+    results = spark.createDataFrame([("call_1", c, 1, f"of {c}") for c in (1, 2, None)] + [("call_2", 2, 3, "end")] * 2, "id string, conversation long, turn long, content string")
+    rows = tool_calls.link_calls(calls, results, tool_calls.SCHEMAS).collect()
+    assert ordered((r["conversation"], r["id"], r["position"], r["status"]) for r in rows) == ordered(
+        [(c, "call_1", 0, "ok") for c in (1, 2, None)] + [(1, "call_2", 1, "no result"), (2, "call_2", 1, "ok"), (None, "call_2", 1, "no result")]
+        + [(1, "call_1", None, "repeated")] * 3 + [(2, "call_2", None, "repeated")])
+    assert all(f'"result":"of {r["conversation"]}"' in r["json"] for r in rows if r["id"] == "call_1" and r["status"] == "ok")
+
+
 def test_empty_tables(spark, odd_docs):
     none, labels = odd_docs.filter("false"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([("a", "b")], "item_id string, text string")
