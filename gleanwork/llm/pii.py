@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.llm.spans import all_of, digits, luhn, overlaps, tagged, with_matches
+from gleanwork.llm.spans import all_of, bound, count_upto, digits, edges, luhn, meets, tagged, with_matches
 
 # A match may start after another one or where its first run of characters starts; elsewhere it would fail alike.
 STRICT = {
@@ -59,6 +59,8 @@ LAYOUT = "^\\+?(?:[0-9]{1,3}[\\x20.-]?)?\\([0-9]{2,5}\\)[\\x20.-]?[0-9]{2,4}(?:[
 NOT_A_PHONE = "^(?:19|20)[0-9]{2}[\\x20.-][0-9]{1,2}[\\x20.-][0-9]{1,2}(?![0-9])|^[0-9]{1,2}[.-][0-9]{1,2}[.-](?:19|20)[0-9]{2}(?![0-9])|^(?:19|20)[0-9]{2}[\\x20-]{1,2}(?:19|20)[0-9]{2}$|^[0-9]{1,3}(?:[\\x20.][0-9]{3}){2,}$|^[0-9]+\\.[0-9]+$|^[0-9]+(?:\\.[0-9]+){3}$"
 DOMAIN = "(?i)(?:\\(dot\\)|\\[dot\\]|\\x20dot\\x20)\\x20?(?:com|org|net|edu|gov|info|biz|eu|io|ai|app|dev|co|me|[a-z]{2})$"
 RESULT = ("base", "spans")
+#: Characters of text cut at once in redaction.
+PIECE = 4096
 SPAN = ("start", "place", "end", "kind")
 
 
@@ -132,7 +134,8 @@ def _found(docs: DataFrame, text: str) -> DataFrame:
 
     def described(kind: str) -> Column:
         # Steps of their own, so that no costly part is written out more than once.
-        noted = F.transform(F.col(kind), lambda m: F.struct(m.alias("m"), digits(m["hit"]).alias("number"), F.exists("base", lambda b: overlaps(m, b)).alias("strict")))
+        noted = bound(edges(F.col("base")), lambda e: F.transform(F.col(kind), lambda m: F.struct(
+            m.alias("m"), digits(m["hit"]).alias("number"), meets(m, e).alias("strict"))))
         noted = F.transform(noted, lambda x: F.struct(
             *[x["m"][c].alias(c) for c in ("start", "end", "hit", "before", "after")], x["strict"].alias("strict"), F.length(x["number"]).alias("n"),
             F.when(F.length(x["number"]).between(12, 19), luhn(x["number"])).otherwise(False).alias("checked")))
@@ -237,9 +240,18 @@ def fit(docs: DataFrame, text: str = "text") -> Trees:
     return fitted([r.asDict() for r in cells.collect()])  # at most 2 * CELLS rows
 
 
-def _within(a: Column, b: Column) -> Column:
-    """Whether candidate `a` lies in `b`, of the other generator."""
-    return (a["kind"] != b["kind"]) & (b["start"] <= a["start"]) & (a["end"] <= b["end"])
+def _within(a: Column, others: Column) -> Column:
+    """Whether span `a` lies in one of those with the `edges` others, which do not overlap."""
+    return F.coalesce(F.get(others["ends"], count_upto(others["starts"], a["start"]) - 1) >= a["end"], F.lit(False))
+
+
+def _outermost(spans: Column) -> Column:
+    """The candidates that lie in none of the other generator, without what was noted of them."""
+    def of(kind: str) -> Column:
+        own, others = F.filter(spans, lambda s: s["kind"] == kind), F.filter(spans, lambda s: s["kind"] != kind)
+        return bound(edges(others), lambda e: F.filter(own, lambda s: ~_within(s, e)))
+
+    return F.transform(F.concat(*[of(k) for k in WIDE]), lambda s: F.struct(*[s[c].alias(c) for c in SPAN]))
 
 
 def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Trees | None = None) -> DataFrame:
@@ -253,22 +265,50 @@ def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Tr
     scored = F.transform(F.filter("wide", lambda w: ~w["strict"]), lambda w: F.struct(
         *[w[c].alias(c) for c in (*SPAN, "evidence")], trees.expression(w).alias("score")))
     accepted = F.filter(scored, lambda w: w["score"] >= F.when(w["evidence"] > 0, least[True]).otherwise(least[False]))
-    added = F.transform(F.array(accepted), lambda all_: F.transform(F.filter(all_, lambda w: ~F.exists(all_, lambda o: _within(w, o))), lambda w: F.struct(
-        *[w[c].alias(c) for c in SPAN])))[0]
+    added = bound(accepted, _outermost)
     spans = F.when(F.size("wide") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", added)))
     return rows.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "base", spans.alias("spans"))
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with each run of overlapping spans replaced by its first kind in brackets."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def _runs(spans: Column) -> Column:
+    """Runs of overlapping sorted spans, each with the kind of its first.
 
-    def step(acc: Column, s: Column) -> Column:
-        cut = F.concat(acc["out"], F.array(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], cut).otherwise(acc["out"]).alias("out"))
+    A run begins where as many spans have ended as began before. Where the next one begins, the ends so far
+    are exactly those of the spans so far.
+    """
+    def of(ends: Column) -> Column:
+        numbered = F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), i.alias("i")))
+        first = F.filter(numbered, lambda s: count_upto(ends, s["start"]) == s["i"])
+        return bound(first, lambda f: F.transform(f, lambda s, k: F.struct(
+            s["start"].alias("start"), F.get(ends, F.coalesce(F.get(f, k + 1)["i"], F.size(ends)) - 1).alias("end"), s["kind"].alias("kind"))))
 
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1)))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    return bound(F.array_sort(F.transform(spans, lambda s: s["end"])), of)
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with each run of overlapping spans replaced by its first kind in brackets.
+
+    The text is cut into pieces, so that no span is looked for from the text's beginning.
+    """
+    def in_piece(piece: Column, low: Column, runs: Column) -> Column:
+        def upto(r: Column, i: Column) -> Column:
+            begin = F.greatest(low, F.get(runs, i - 1)["end"])
+            label = F.when(r["start"] >= low, F.concat(F.lit("["), F.upper(r["kind"]), F.lit("]"))).otherwise("")
+            return F.concat(F.substr(piece, begin - low + 1, F.greatest(r["start"] - begin, F.lit(0))), label)
+
+        last = F.substr(piece, F.greatest(F.get(runs, F.size(runs) - 1)["end"] - low, F.lit(0)) + 1)
+        return F.when(F.size(runs) == 0, piece).otherwise(F.concat(F.array_join(F.transform(runs, upto), ""), last))
+
+    def whole(x: Column) -> Column:
+        def cut(piece: Column, k: Column) -> Column:
+            low = k * PIECE
+            before, begun = count_upto(x["edges"]["ends"], low), count_upto(x["edges"]["starts"], low + (PIECE - 1))
+            return bound(before, lambda n: bound(F.slice(x["runs"], n + 1, begun - n), lambda runs: in_piece(piece, low, runs)))
+        return F.array_join(F.transform(x["pieces"], cut), "")
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}+"), F.lit(0))
+    joined = bound(_runs(spans), lambda r: bound(F.struct(pieces.alias("pieces"), r.alias("runs"), edges(r).alias("edges")), whole))
+    return F.when(F.size(spans) > 0, joined).otherwise(text)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 #: Characters of context kept before a match.
 CONTEXT = 24
+#: Numbers added up in one go, see `sums_before`.
+RUN = 64
 
 
 def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
     """Per name an array<struct<start, end, hit, before, after>> of the leftmost matches of its
     pattern that do not overlap; end exclusive; null text as empty. Patterns never match nothing.
 
-    The text between matches is split off, and running lengths give the positions.
+    The text between matches is split off, and running lengths give the positions. The work grows with the matches.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     parts = {}
@@ -28,18 +30,68 @@ def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFram
 
 
 def _placed(hits: Column, gaps: Column) -> Column:
+    def whole(x: Column) -> Column:
+        def one(hit: Column, i: Column) -> Column:
+            start = F.get(x["at"], i) + F.length(F.get(x["gaps"], i))
+            return F.struct(
+                start.alias("start"), (start + F.length(hit)).alias("end"), hit.alias("hit"),
+                F.right(F.get(x["gaps"], i), F.lit(CONTEXT)).alias("before"), F.left(F.get(x["gaps"], i + 1), F.lit(1)).alias("after"))
+        return F.transform(x["hits"], one)
+
+    lengths = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda hit, gap: F.length(hit) + F.length(gap))
+    placed = bound(F.struct(hits.alias("hits"), gaps.alias("gaps"), sums_before(lengths).alias("at")), whole)
     kind = "array<struct<start:int,end:int,hit:string,before:string,after:string>>"
-    n = F.size(hits)
-    pairs = F.arrays_zip(hits.alias("hit"), F.slice(gaps, F.lit(1), n).alias("gap"), F.slice(gaps, F.lit(2), n).alias("next"))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    return F.when(F.size(hits) > 0, placed).otherwise(F.array()).cast(kind)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"), F.right(x["gap"], F.lit(CONTEXT)).alias("before"), F.left(x["next"], F.lit(1)).alias("after"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.when(n > 0, F.aggregate(pairs, first, step, lambda acc: acc["out"])).otherwise(F.array().cast(kind))
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def sums_before(numbers: Column, levels: int = 3) -> Column:
+    """For every whole number of an array the sum of those before it.
+
+    An aggregate copies its array at every step, so arrays are cut into runs of `RUN`, whose sums are
+    added up in the same way, `levels` deep.
+    """
+    empty = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
+
+    def flat(x: Column) -> Column:
+        return F.aggregate(x, empty, lambda acc, n: F.struct((acc["sum"] + n).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")))
+
+    def of_runs(x: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / RUN).cast("int"))
+        return F.transform(starts, lambda r: flat(F.slice(x, r * RUN + 1, F.lit(RUN))))
+
+    def shifted(runs: Column) -> Column:
+        before = sums_before(F.transform(runs, lambda r: r["sum"]), levels - 1)
+        return F.flatten(F.zip_with(runs, before, lambda r, n: F.transform(r["out"], lambda own: own + n)))
+
+    if levels == 1:
+        return flat(numbers)["out"]
+    return bound(numbers, lambda x: F.when(F.size(x) <= RUN, flat(x)["out"]).otherwise(bound(of_runs(x), shifted)))
+
+
+def count_upto(ordered: Column, limit: Column) -> Column:
+    """How many numbers of an ascending array are at most `limit`, by halving."""
+    step = lambda acc, _: bound(F.floor((acc["low"] + acc["high"]) / 2).cast("int"), lambda mid: F.when(
+        acc["low"] >= acc["high"], acc).when(F.get(ordered, mid) <= limit, F.struct((mid + 1).alias("low"), acc["high"].alias("high")))
+        .otherwise(F.struct(acc["low"].alias("low"), mid.alias("high"))))
+    start = F.struct(F.lit(0).alias("low"), F.size(ordered).alias("high"))
+    rounds = F.sequence(F.lit(1), F.length(F.bin(F.size(ordered))))
+    return F.aggregate(rounds, start, step, lambda acc: acc["low"])
+
+
+def edges(spans: Column) -> Column:
+    """The starts and the ends of spans, each ascending."""
+    return F.struct(
+        F.array_sort(F.transform(spans, lambda s: s["start"])).alias("starts"), F.array_sort(F.transform(spans, lambda s: s["end"])).alias("ends"))
+
+
+def meets(s: Column, others: Column) -> Column:
+    """Whether a span overlaps one of those with the `edges` others: more start before its end than end by its start."""
+    return count_upto(others["starts"], s["end"] - 1) > count_upto(others["ends"], s["start"])
 
 
 def tagged(matches: Column, kind: str, place: int) -> Column:
@@ -57,12 +109,9 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-
 def outside(spans: Column, others: Column) -> Column:
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: overlaps(s, o)))
+    """The spans that overlap none of the others."""
+    return bound(edges(others), lambda e: F.filter(spans, lambda s: ~meets(s, e)))
 
 
 def digits(c: Column) -> Column:

@@ -394,3 +394,19 @@ def test_one_row_of_each_group_is_kept(spark, odd_docs):
     assert sorted(groups[t] for _, t, _ in kept if t) == [0, 1, 2, 3, 4]
     assert ordered((i, groups.get(t)) for i, t, _ in kept) == ordered([(1, 0), (3, 1), (None, 2), (3, 3), (5, 4), (6, None), (6, None), (None, None)])
     assert all(r in rows for r in kept)
+
+
+def test_positions_and_redaction_of_texts_with_many_matches(spark, odd_docs):
+    """Arrays longer than a run of `spans.RUN`, texts of several pieces, spans that touch, nest and cross their ends."""
+    sizes = (1, 63, 64, 65, 4097, 9000)
+    df = spark.createDataFrame([(list(range(n)),) for n in sizes], "a array<int>")
+    for r in df.select("a", spans.sums_before(F.col("a")).alias("b")).collect():
+        assert r["b"] == [x * (x - 1) // 2 for x in r["a"]]
+    text = "é a@b.co, x\n" * 1500
+    found = {k: [(m["start"], m["end"]) for m in v] for k, v in spans.with_matches(
+        spark.createDataFrame([(text,)], "text string"), "text", {"mail": "a@b[.]co", "none": "q"}).select("mail", "none").first().asDict().items()}
+    assert found == {"mail": [(12 * i + 2, 12 * i + 8) for i in range(1500)], "none": []}
+    given = [(4090, 0, 4096, "email"), (4096, 0, 4100, "ip"), (4099, 1, 9000, "card"), (5000, 2, 5001, "phone"), (9000, 0, 9001, "ip"), (12288, 0, 12289, "ip")]
+    df = spark.createDataFrame([(text, given), (text, []), ("", []), (None, [])], "t string, s array<struct<start:int,place:int,end:int,kind:string>>")
+    got = [r["t"] for r in df.select(pii.redacted(F.col("t"), F.col("s")).alias("t")).collect()]
+    assert got == [text[:4090] + "[EMAIL][IP][IP]" + text[9001:12288] + "[IP]" + text[12289:], text, "", None]
