@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
+#: Bytes whose words are hashed at once.
+BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -85,12 +88,40 @@ def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, values:
     here = word[1:-1]
     starts = np.flatnonzero(here & (~word[:-2] | edge[:-1]))
     ends = np.flatnonzero(here & (~word[2:] | edge[1:])) + 1
+    return Words(word_hashes(data, starts, ends, values), np.searchsorted(starts, offsets), starts, ends)
+
+
+@cache
+def _scales() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse for the bytes of a block."""
+    return _powers(_BASE, BLOCK_BYTES), _powers(pow(_BASE, -1, 1 << 64), BLOCK_BYTES)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the bytes `starts[i]:ends[i]`, which ascend and do not overlap.
+
+    Consecutive words are taken together as long as they reach over `BLOCK_BYTES` at most; a longer word is
+    added up block by block. So memory beside the result stays the same however long the text is.
+    """
+    out = np.zeros(len(starts), dtype=np.uint64)
+    up, down = _scales()
+    i = 0
     with np.errstate(over="ignore"):
-        up, down = _powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data))
-        total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(values[data] * up, out=total[1:])
-        hashes = mix((total[ends] - total[starts]) * down[starts])
-    return Words(hashes, np.searchsorted(starts, offsets), starts, ends)
+        while i < len(starts):
+            low = int(starts[i])
+            to = int(np.searchsorted(ends, low + BLOCK_BYTES, "right"))
+            if to > i:
+                high = int(ends[to - 1])
+                total = np.zeros(high - low + 1, dtype=np.uint64)
+                np.cumsum(values[data[low:high]] * up[:high - low], out=total[1:])
+                out[i:to] = (total[ends[i:to] - low] - total[starts[i:to] - low]) * down[starts[i:to] - low]
+                i = to
+                continue
+            for n, at in enumerate(range(low, int(ends[i]), BLOCK_BYTES)):
+                part = values[data[at:min(at + BLOCK_BYTES, int(ends[i]))]]
+                out[i] += (part * up[:len(part)]).sum(dtype=np.uint64) * np.uint64(pow(_BASE, n * BLOCK_BYTES, 1 << 64))
+            i += 1
+        return mix(out)
 
 
 def grams(hashes: np.ndarray, n: int, seed: int = 11) -> np.ndarray:
