@@ -11,7 +11,7 @@ positions. Nothing is shuffled. The items come in blocks of bounded size: a bloc
 documents pass once per block, and the spans are merged.
 
 Nulls: a text or item that is null or has no word has no windows; a null item id reads "null".
-Repeated item ids count once. Input columns named like a result are replaced by it.
+Repeated item ids count once, and so do repeated items. Input columns named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanwork.llm.fm_index import FMIndex
+from gleanwork.llm.names import quoted
 from gleanwork.llm.words import NOT_ALNUM, byte_classes, chunks, words_of
 from gleanwork.session import staged
 
@@ -46,40 +47,53 @@ _ARROW = {
 
 @dataclass
 class Phrases:
-    """The windows of a block of items: per length the symbols of each, and the items it is from."""
+    """The distinct windows of a block of items: per length the symbols of each, and the items it is from:
+    those of window w are `numbers[first[w]:first[w + 1]]`, numbers of `item_ids`."""
 
     vocabulary: np.ndarray
     windows: dict[int, np.ndarray]
-    items_of: dict[int, list[np.ndarray]]
+    items_of: dict[int, tuple[np.ndarray, np.ndarray]]
     item_ids: list[str]
 
     @property
     def shortest(self) -> int:
         return min(self.windows, default=0)
 
+    def items(self, length: int, window: int) -> list[int]:
+        first, numbers = self.items_of[length]
+        return numbers[first[window]:first[window + 1]].tolist()
+
 
 def phrases(items: Sequence[tuple[str | None, str | None]], window: int = WINDOW) -> Phrases:
     inside, values = byte_classes(NOT_ALNUM, fold=True)
-    hashes: list[np.ndarray] = []
+    hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, _, data, offsets in chunks(pa.array([t for _, t in items], pa.large_string())):
         w = words_of(data, offsets, inside, values)
-        hashes += [w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
-    vocabulary = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
-    ids = sorted({str(i) if i is not None else "null" for i, _ in items})
+        hashes.append(w.hashes)
+        sizes.append(np.diff(w.first))
+    size = np.concatenate(sizes)
+    vocabulary, symbols = np.unique(np.concatenate(hashes), return_inverse=True)
+    symbols = (symbols + 1).astype(np.int32)
+    names = ["null" if i is None else str(i) for i, _ in items]
+    ids = sorted(set(names))
     place = {x: k for k, x in enumerate(ids)}
-    found: dict[int, dict[bytes, set[int]]] = {}
-    for (item, _), h in zip(items, hashes, strict=True):
-        symbols = (np.searchsorted(vocabulary, h) + 1).astype(np.int64)
-        length = min(window, len(symbols))
-        for k in range(len(symbols) - length + 1 if length else 0):
-            key = symbols[k:k + length].tobytes()
-            found.setdefault(length, {}).setdefault(key, set()).add(place[str(item) if item is not None else "null"])
-    return Phrases(
-        vocabulary,
-        {n: np.frombuffer(b"".join(w), np.int64).reshape(-1, n) for n, w in found.items()},
-        {n: [np.array(sorted(x)) for x in w.values()] for n, w in found.items()},
-        ids,
-    )
+    item = np.array([place[x] for x in names], dtype=np.int32)
+    begin, length = np.cumsum(size) - size, np.minimum(size, window)
+    out = Phrases(vocabulary, {}, {}, ids)
+    for n in np.unique(length[length > 0]).tolist():
+        rows = np.flatnonzero(length == n)
+        count = size[rows] - n + 1
+        grid = np.lib.stride_tricks.sliding_window_view(symbols, n)[_spread(begin[rows], count)]
+        owner = np.repeat(item[rows], count)
+        order = np.lexsort((owner, *grid.T[::-1]))
+        grid, owner = grid[order], owner[order]
+        new = np.ones(len(owner), dtype=bool)
+        new[1:] = (grid[1:] != grid[:-1]).any(axis=1)
+        once = new.copy()
+        once[1:] |= owner[1:] != owner[:-1]
+        out.windows[n] = grid[new]
+        out.items_of[n] = (np.append(np.flatnonzero(new[once]), once.sum()), owner[once])
+    return out
 
 
 def _known_runs(ids: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +165,7 @@ class _Shard:
             for r, s in np.unique(np.stack([owner, start]), axis=1).T.tolist():
                 self.spans[r].append((s, s + length))
             for r, w in np.unique(np.stack([owner, window]), axis=1).T.tolist():
-                self.items[r].update(self.p.items_of[length][w].tolist())
+                self.items[r].update(self.p.items(length, w))
         self.clear()
 
 
@@ -185,28 +199,29 @@ def scan(
     """The columns `keep` of every document with `n_words`, `spans` (merged ranges of hit words,
     end exclusive) and `items` (the sorted ids of the items that occur)."""
     keep = [c for c in keep if c not in _RESULT]
-    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).distinct()
     size = items.agg(F.sum(F.length("t")).alias("n")).first()["n"]
     blocks = max(1, math.ceil((size or 0) / block_chars))
-    out = docs.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
+    own = [f"own_{i}" for i in range(len(keep))]
+    out = docs.select(*[quoted(c).alias(v) for c, v in zip(keep, own, strict=True)], quoted(text).alias("text"))
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()
         block = docs.sparkSession.sparkContext.broadcast(vars(phrases([(r["i"], r["t"]) for r in rows], window)))
         if k:
             out = staged(out, "decontaminate")
-        out = _pass(out, keep, block, first=k == 0)
-    return out.select(*keep, *_RESULT)
+        out = _pass(out, own, block, first=k == 0)
+    return out.select(*[F.col(v).alias(c) for c, v in zip(keep, own, strict=True)], *_RESULT)
 
 
 def _pass(docs: DataFrame, keep: Sequence[str], block, first: bool) -> DataFrame:
-    fields = [docs.schema[c] for c in [*keep, "__text"]]
+    fields = [docs.schema[c] for c in [*keep, "text"]]
     schema = T.StructType([*fields, *[T.StructField(n, t) for n, t in _RESULT.items()]])
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = Phrases(**block.value)
-            shard = _scan_batch(batch.column("__text"), p)
+            shard = _scan_batch(batch.column("text"), p)
             items = [[p.item_ids[i] for i in x] for x in shard.items]
             spans = shard.spans
             if not first:
@@ -233,7 +248,7 @@ def contaminated(share: int = 20) -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns unchanged."""
-    own = {c: f"__own_{c}" for c in docs.columns}
-    marked = scan(docs.withColumnsRenamed(own), benchmark, list(own.values()), text=own["text"])
+    own = {c: f"kept_{i}" for i, c in enumerate(docs.columns)}
+    marked = scan(docs.toDF(*own.values()), benchmark, list(own.values()), text=own["text"])
     return marked.filter(~contaminated()).select(*[F.col(v).alias(c) for c, v in own.items()])
 

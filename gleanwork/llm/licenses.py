@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.llm.names import quoted
+
 # Phrases that count as such, and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -230,7 +232,6 @@ def find_notices(docs: DataFrame, keep: Sequence[str], text: str = "text") -> Da
     `notices` (label, notice, words start to end, edits) and `score`."""
     keep = [c for c in keep if c not in _RESULT]
     named = [f"k{i}" for i in range(len(keep))]
-    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
     given = docs.select(*[quoted(c).alias(n) for c, n in zip(keep, named)], quoted(text).cast("string").alias("t"))
     schema = T.StructType([*given.schema.fields[:-1], *[T.StructField(n, t) for n, t in _RESULT.items()]])
 

@@ -139,7 +139,7 @@ def mix(
     `target` (its source's) and `taken` (words taken from it, repeats counted)."""
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in RESULT]
     own = {c: f"own_{k}" for k, c in enumerate(docs.columns)}
-    rows = measured(docs.withColumnsRenamed(own), own[key], own[source], own[text], seed)
+    rows = measured(docs.toDF(*own.values()), own[key], own[source], own[text], seed)
     rows = rows.select(*[own[c] for c in keep], "__source", "__size", "__liking", "__u")
     slim = staged(rows.select(*([own[c] for c in keep] if text not in keep else []), "__source", "__size", "__liking", "__u"), "mix-sizes")
     out = applied(slim if text not in keep else rows, plan_of(slim, weights, max_copies))

@@ -261,16 +261,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each component, with all its columns unchanged: the one with the smallest id, rows
     without id last; then by hash of the text, then of all columns. Rows without words all stay."""
+    own = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
+    docs, key, text = docs.toDF(*own.values()), own[key], own[text]
     found = _labelled(docs, key, text, shingle).filter("n_shingles > 0")
     seen = found.groupBy(F.col("doc").alias("__doc"), F.col("tk").alias("__tk")).agg(F.first("best").alias("__best"), F.count("*").alias("n"))
     # Texts that go, and those of which one of several rows stays.
     marked = staged(seen.filter("n > 1 OR NOT __best").drop("n"), "duplicates")
     same = F.col(key).eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(text)) == F.col("__tk"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
     repeated = docs.join(marked.filter("__best"), same)
-    order = Window.partitionBy("__doc", "__tk").orderBy(F.xxhash64(F.to_json(F.struct(*own))))
-    first = repeated.withColumn("__row", F.row_number().over(order)).filter("__row = 1").select(*own)
-    return docs.join(marked, same, "left_anti").unionByName(first)
+    order = Window.partitionBy("__doc", "__tk").orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
+    first = repeated.withColumn("__row", F.row_number().over(order)).filter("__row = 1").select(*docs.columns)
+    return docs.join(marked, same, "left_anti").unionByName(first).toDF(*own)
 
 
 def _labelled(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:

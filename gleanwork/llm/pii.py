@@ -28,6 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.llm.names import quoted
 from gleanwork.llm.spans import all_of, bound, count_upto, digits, edges, luhn, meets, tagged, with_matches
 
 # A match may start after another one or where its first run of characters starts; elsewhere it would fail alike.
@@ -259,7 +260,7 @@ def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Tr
     kind) in code points, end exclusive, sorted by start and then kind."""
     keep = [c for c in keep if c not in RESULT]
     trees = trees or fit(docs, text)
-    rows = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], F.col(text).alias("text"))
+    rows = docs.select(*[quoted(c).alias(f"keep_{i}") for i, c in enumerate(keep)], F.col(text).alias("text"))
     rows = _found(rows, "text")
     least = {k: F.lit(v) for k, v in trees.least.items()}
     scored = F.transform(F.filter("wide", lambda w: ~w["strict"]), lambda w: F.struct(
@@ -267,7 +268,7 @@ def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Tr
     accepted = F.filter(scored, lambda w: w["score"] >= F.when(w["evidence"] > 0, least[True]).otherwise(least[False]))
     added = bound(accepted, _outermost)
     spans = F.when(F.size("wide") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", added)))
-    return rows.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "base", spans.alias("spans"))
+    return rows.select(*[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "base", spans.alias("spans"))
 
 
 def _runs(spans: Column) -> Column:
@@ -314,7 +315,7 @@ def redacted(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of every document, personal data in the text replaced."""
     own = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
-    rows = docs.withColumnsRenamed(own)
+    rows = docs.toDF(*own.values())
     found = find_pii(rows, list(own.values()), text=own[text])
     found = found.withColumn(own[text], redacted(F.col(own[text]), F.col("spans")))
     return found.select(*[F.col(v).alias(c) for c, v in own.items()])

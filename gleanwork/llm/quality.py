@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.llm.names import quoted
 from gleanwork.llm.words import BLANKS, byte_classes, chunks, constants, mix, words_of
 
 BITS, MARK_BITS, DIMENSIONS, SPARSE, REACH, SHORT = 16, 14, 64, 4, 2, 4
@@ -234,7 +235,7 @@ def score_quality(
     net = context.broadcast(train(x, y))
     del x, y
     own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
-    rows = docs.select(*[F.col(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
+    rows = docs.select(*[quoted(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
     out = rows.mapInArrow(_scored(vectors, net), T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
     return out.select(
         *[F.col(v).alias(c) for c, v in own.items()], held_out(F.col("__key"), folds, fold).alias("held_out"), "score",
@@ -245,6 +246,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents with a score of at least 0.5, with all their columns unchanged."""
     own = {c: f"__own_{i}" for i, c in enumerate(docs.columns)}
     options = {"key": "doc_id", "text": "text"} | options
-    scored = score_quality(docs.withColumnsRenamed(own), labels.withColumnRenamed(options["key"], own[options["key"]]), list(own.values()),
+    scored = score_quality(docs.toDF(*own.values()), labels.withColumnRenamed(options["key"], own[options["key"]]), list(own.values()),
                            **options | {"key": own[options["key"]], "text": own[options["text"]]})
     return scored.filter("predicted = 1").select(*[F.col(v).alias(c) for c, v in own.items()])

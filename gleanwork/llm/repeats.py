@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.llm.names import quoted
 from gleanwork.llm.words import BLANKS, byte_classes, chunks, constants, mix, words_of
 
 WINDOW = 13
@@ -305,6 +306,7 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str], key: str = "doc_id", te
     joined by blanks) and `spans` (the removed ranges of words, end exclusive)."""
     spark = docs.sparkSession
     keep = [c for c in keep if c not in RESULT]
+    own = [f"own_{i}" for i in range(len(keep))]
     split = split_of(docs, text, capacity)
     shared = spark.sparkContext.broadcast(vars(split))
     slots = max(split.groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -314,13 +316,13 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str], key: str = "doc_id", te
     bare = [F.lit(None).cast("binary").alias(f"__{c}") for c in ("ids", "texts", "counts", "at")]
     rows = docs.select(
         F.lit(True).alias("__is_doc"), F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("__id"),
-        F.xxhash64(F.col(text)).alias("__fp"), F.col(text).alias("__text"), *bare, *keep)
+        F.xxhash64(F.col(text)).alias("__fp"), F.col(text).alias("__text"), *bare, *[quoted(c).alias(v) for c, v in zip(keep, own, strict=True)])
     slot = F.pmod(F.col("__id").bitwiseXOR(F.col("__fp")), F.lit(slots)).cast("int")
     rows = rows.select(slot.alias("__to"), *rows.columns)
     gone = replies.select(F.col("to").alias("__to"), F.lit(False).alias("__is_doc"), *[F.col(c).alias(f"__{c}") for c in ("ids", "texts", "counts", "at")])
     met = rows.unionByName(gone, allowMissingColumns=True).repartitionById(slots, F.col("__to")).sortWithinPartitions("__is_doc")
-    schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in keep], T.StructField("n_words", T.LongType()),
+    schema = T.StructType([*[T.StructField(v, docs.schema[c].dataType) for c, v in zip(keep, own, strict=True)], T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("spans", _SPANS)])
     arrow = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()),
         ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
-    return met.mapInArrow(_finished(keep, arrow), schema)
+    return met.mapInArrow(_finished(own, arrow), schema).select(*[F.col(v).alias(c) for c, v in zip(keep, own, strict=True)], *RESULT)

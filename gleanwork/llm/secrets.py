@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.llm.names import quoted
 from gleanwork.llm.spans import all_of, outside, tagged, with_matches
 from gleanwork.session import staged
 
@@ -46,13 +47,13 @@ def _mixed(c: Column) -> Column:
 
 
 def _parts(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
-    found = with_matches(docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], F.col(text).alias("text")), "text", STRONG | WEAK)
+    found = with_matches(docs.select(*[quoted(c).alias(f"keep_{i}") for i, c in enumerate(keep)], F.col(text).alias("text")), "text", STRONG | WEAK)
     found = found.withColumns({
         "assign": F.filter("assign", lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 2)) >= LEAST_VALUE),
         "opaque": F.filter("opaque", lambda m: _mixed(m["hit"])),
     })
     found = found.select(
-        F.monotonically_increasing_id().alias("row"), *[f"keep_{c}" for c in keep],
+        F.monotonically_increasing_id().alias("row"), *[f"keep_{i}" for i in range(len(keep))],
         all_of([tagged(F.col(k), k, KINDS.index(k)) for k in STRONG]).alias("base"),
         all_of([tagged(F.col(k), k, KINDS.index(k)) for k in WEAK]).alias("weak"))
     return staged(found.withColumn("weak", outside(F.col("weak"), F.col("base"))), "secret-parts")
@@ -83,4 +84,4 @@ def find_secrets(docs: DataFrame, keep: Sequence[str], text: str = "text") -> Da
     parts = _parts(docs, keep, text)
     out = parts.join(_completed(parts), "row", "left")
     spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added")))
-    return out.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "base", spans.alias("spans"))
+    return out.select(*[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "base", spans.alias("spans"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.llm.names import quoted
 from gleanwork.llm.quality import added, held_out, training_rows
 from gleanwork.llm.words import NOT_ALNUM, byte_classes, chunks, constants, mix, words_of
 from gleanwork.session import staged
@@ -221,6 +222,8 @@ def score_toxicity(
     # At most `sample` rows on either side.
     wanted = F.broadcast(training_rows(labels, key, label, folds, fold, sample))
     known = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(wanted, F.col("k") == F.col("__labelled"))
+    # Repeated rows count once; ids that many texts share are cut by hash of the text.
+    known = known.select("k", "text", "y").distinct().orderBy(F.xxhash64("k"), "k", F.xxhash64("text"), "y").limit(sample)
     known = staged(known.select("text", "y"), "labelled")
     counts = known.mapInArrow(_counted, "slot long, ones long, zeros long").groupBy("slot").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     counts = counts.collect()  # at most SLOTS + 1 rows
@@ -239,7 +242,7 @@ def score_toxicity(
     y = label_model(votes, together, texts, share) if len(rows) else np.zeros(0)
     shared = context.broadcast((chosen, train(*_entries(rows["features"]), y, len(chosen))))
     own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
-    out = docs.select(*[F.col(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
+    out = docs.select(*[quoted(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
     out = out.mapInArrow(_scored(shared), T.StructType([*out.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
     return out.select(
         *[F.col(v).alias(c) for c, v in own.items()], held_out(F.col("__key"), folds, fold).alias("held_out"), "score",

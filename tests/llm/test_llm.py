@@ -410,3 +410,21 @@ def test_positions_and_redaction_of_texts_with_many_matches(spark, odd_docs):
     df = spark.createDataFrame([(text, given), (text, []), ("", []), (None, [])], "t string, s array<struct<start:int,place:int,end:int,kind:string>>")
     got = [r["t"] for r in df.select(pii.redacted(F.col("t"), F.col("s")).alias("t")).collect()]
     assert got == [text[:4090] + "[EMAIL][IP][IP]" + text[9001:12288] + "[IP]" + text[12289:], text, "", None]
+
+
+def test_columns_of_any_name(spark, odd_docs):
+    """Names like those of own columns, and names with dots, come through every operator and stage."""
+    names = ["__doc", "__id", "__text", "__source", "__own_0", "own_0", "a.b"]
+    rows = [(i, "one two three four five six seven " * 2 + str(i % 3), "en", "web", *["x"] * len(names)) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([("a", "never said")], "item_id string, text string")
+    keep = ["doc_id", *names]
+    for out in (
+        decontaminate.scan(docs, bench, keep), quality.score_quality(docs, labels, keep), toxicity.score_toxicity(docs, labels, keep),
+        secrets.find_secrets(docs, keep), pii.find_pii(docs, keep), repeats.remove_repeats(docs, keep), mixing.mix(docs, keep=keep),
+    ):
+        assert out.columns[:len(keep)] == keep and out.count() == 9
+        assert {tuple(r)[1:len(keep)] for r in out.collect()} == {("x",) * len(names)}
+    for out, n in ((decontaminate.clean(docs, bench), 9), (near_dup.keep_one(docs), 3), (pii.redact(docs), 9)):
+        assert out.schema.simpleString() == docs.schema.simpleString() and out.count() == n
