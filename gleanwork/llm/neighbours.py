@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by inner product: probed lists and an adaptive dimension scan.
 
-The index is fitted on a bounded sample (`SAMPLE` vectors, the smallest by hash of id): a random
-rotation, the centres of the lists, and how many lists a query probes. That number is the smallest
+The index is fitted on a bounded sample (the smallest by hash of id; 4 per root of the number of vectors, at least `SAMPLE`, at most
+`MOST_SAMPLE`): a random rotation, the centres of the lists, of which there are a quarter of that root, and how many lists a query probes. That number is the smallest
 whose recall among the sample reaches `SAMPLE_RECALL`, so clustered vectors need few lists and
-vectors without structure most of them. Every vector is indexed.
+vectors without structure most of them. A query probes further ones until they hold k vectors besides its own. Every vector is indexed.
 
 Lists are cut into parts and their queries too, so a tile has at most about `PART` of each however
 full a list is. A tile rotates its vectors and looks at them in blocks of columns. An inner product of at least
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.session import staged
 
-SAMPLE = 4096
+SAMPLE, MOST_SAMPLE = 4096, 65_536
 SAMPLE_RECALL = 0.97
 PART = 8192
 COLUMNS = 16
@@ -48,6 +48,8 @@ class Index:
     sample: np.ndarray
     sample_ids: np.ndarray
     sample_lists: np.ndarray
+    #: Vectors in each list, once they are known.
+    sizes: np.ndarray | None = None
 
 
 def nearest_centre(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -78,16 +80,28 @@ def _probes(x: np.ndarray, mine: np.ndarray, centres: np.ndarray, k: int) -> int
     return int(np.quantile(needed, SAMPLE_RECALL, method="higher")) + 1
 
 
+def _sampled(vectors: DataFrame, n: int, size: int) -> pa.Table:
+    """The rows smallest by hash of id. Of large tables only hashes up to a bound that about 4 * size rows keep are ordered, unless
+    repeated ids leave too few of them."""
+    few = vectors
+    if n > 8 * size:
+        few = vectors.filter(F.xxhash64("id") < -(1 << 63) + (1 << 64) * 4 * size // n)
+        if few.limit(size).count() < size:
+            few = vectors
+    return few.orderBy(F.xxhash64("id"), "id").limit(size).toArrow()
+
+
 def fit(vectors: DataFrame, n: int, k: int, seed: int = 5) -> Index:
-    """From columns id, v. The driver sees `SAMPLE` vectors."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
-    x = np.array([r["v"] for r in rows], dtype=np.float64)
+    """From columns id, v. The driver sees at most `MOST_SAMPLE` vectors."""
+    size = max(SAMPLE, min(MOST_SAMPLE, round(4 * math.sqrt(n))))
+    rows = _sampled(vectors, n, size)
+    x = _matrix(rows["v"])
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.standard_normal((x.shape[1], x.shape[1])))[0]
     lists = max(1, min(round(math.sqrt(n) / 4), len(x) // 16))
     centres = _centres(x, lists, rng)
     mine = nearest_centre(x, centres)
-    return Index(rotation, centres, _probes(x, mine, centres, k), k, x, np.array([r["id"] for r in rows]), mine)
+    return Index(rotation, centres, _probes(x, mine, centres, k), k, x, rows["id"].to_numpy(), mine)
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -113,21 +127,24 @@ def _listed(index) -> Callable:
 
 
 def _probed(index) -> Callable:
-    """Each query with the lists it probes and its first bound."""
+    """Each query with the lists it probes and its first bound. `copies` rows have its id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i = Index(**index.value)
         for batch in batches:
             if not len(batch):
                 continue
             q, ids = _matrix(batch.column("v")), batch.column("id").to_numpy()
-            lists = np.argsort(-(q @ i.centres.T), axis=1, kind="stable")[:, :i.probes].astype(np.int32)
+            order = np.argsort(-(q @ i.centres.T), axis=1, kind="stable").astype(np.int32)
+            enough = i.k + batch.column("copies").to_numpy()
+            held = np.cumsum(i.sizes[order], axis=1) < enough[:, None]
+            lists = [x[:max(i.probes, n + 1)] for x, n in zip(order, held.sum(axis=1).tolist(), strict=True)]
             bounds = np.full(len(q), -np.inf)
             for r in range(len(q)):
                 scores = i.sample[np.isin(i.sample_lists, lists[r]) & (i.sample_ids != ids[r])] @ q[r]
                 if len(scores) >= 2 * i.k:
                     bounds[r] = np.partition(scores, -2 * i.k)[-2 * i.k]
-            probed = pa.ListArray.from_arrays(np.arange(len(q) + 1, dtype=np.int32) * lists.shape[1], pa.array(lists.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bounds), probed], names=["id", "v", "bound", "lists"])
+            probed = pa.ListArray.from_arrays(np.cumsum([0, *map(len, lists)], dtype=np.int32), pa.array(np.concatenate(lists)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(bounds), probed], names=["id", "v", "bound", "lists"])
     return run
 
 
@@ -187,9 +204,16 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, key: str = "vec_id"
     if usual is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.filter(F.size("v") == usual["d"])
-    index = spark.sparkContext.broadcast(vars(fit(rows, usual["n"], k)))
+    fitted = fit(rows, usual["n"], k)
+    index = spark.sparkContext.broadcast(vars(fitted))
     listed = staged(rows.mapInArrow(_listed(index), "id long, v array<double>, list int"), "listed")
-    asked = staged(rows.filter(queries).mapInArrow(_probed(index), "id long, v array<double>, bound double, lists array<int>"), "asked")
+    fitted.sizes = np.zeros(len(fitted.centres), dtype=np.int64)
+    for r in listed.groupBy("list").count().collect():  # a row per list
+        fitted.sizes[r["list"]] = r["count"]
+    index = spark.sparkContext.broadcast(vars(fitted))
+    wanted = listed.filter(queries)
+    wanted = wanted.join(wanted.groupBy("id").agg(F.count("*").alias("copies")), "id").select("id", "v", "copies")
+    asked = staged(wanted.mapInArrow(_probed(index), "id long, v array<double>, bound double, lists array<int>"), "asked")
     probing = asked.select("id", "v", "bound", F.explode("lists").alias("list"))
     parts = lambda df, name: df.groupBy("list").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias(name))
     plan = staged(parts(listed, "parts").join(parts(probing, "q_parts"), "list"), "plan")
