@@ -3,7 +3,8 @@
 A text's features are its distinct words (letters, digits and non-ASCII characters, A-Z folded) and their
 beginnings of 3 to 8 bytes, and apart from these the beginnings that several of its words share, hashed to `SLOTS`. Voters are the words of a small lexicon and the
 `LEARNT` features that tell toxic rows best among at most `SAMPLE` labelled rows (the smallest by
-hash of id). A voter votes "toxic" or abstains.
+hash of id). Pattern voters look for `PHRASES` of several words and, for every longer lexicon word, for its disguises: digits for letters, signs for
+letters, letters apart. A disguised word counts as the plain one too. A voter votes "toxic" or abstains.
 
 The label model gives every voter a rate of votes on toxic and on other texts, by expectation
 maximisation over the sample's votes. How often two voters vote together is counted over all
@@ -18,6 +19,8 @@ are not learnt from; without toxic rows the lexicon alone votes. Empty table: em
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 
 from gleanwork.llm.names import quoted
 from gleanwork.llm.quality import added, held_out, training_rows
-from gleanwork.llm.words import NOT_ALNUM, byte_classes, chunks, constants, mix, words_of
+from gleanwork.llm.words import NOT_ALNUM, Words, byte_classes, chunks, constants, grams, mix, word_hashes, words_of
 from gleanwork.session import staged
 
 LEXICON = (
@@ -37,6 +40,19 @@ LEXICON = (
     "idiote crétin connard salope ordure dégoûtant "
     "dumm dummkopf arschloch abschaum hurensohn widerlich wertlos"
 ).split()
+#: Abuse and threats over several words.
+PHRASES = [
+    "kill yourself", "kill you", "hurt you", "hate you", "shut up", "screw you", "go die", "drop dead", "go to hell", "burn in hell", "piece of shit",
+    "piece of garbage", "son of a", "waste of space", "i hope you", "you will pay", "watch your back", "go back to",
+    "cállate", "vete al", "te odio", "hijo de puta", "te voy a matar", "ferme la", "ta gueule", "va te faire", "je te déteste", "halt die", "halts maul", "ich hasse dich", "verpiss dich",
+]
+#: Digits written for letters, in two readings, and signs that stand for a letter.
+READINGS = ({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}, {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t"})
+SIGNS = b"*#@$!%"
+#: Letters of a word that is looked for in disguise, at least.
+LEAST_DISGUISED = 4
+#: Score of a text with nothing but the vote of a voter that is silent in the sample.
+ONE_VOTE = 0.6
 BITS = 18
 SLOTS = 1 << BITS
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
@@ -45,9 +61,107 @@ ROUNDS, STEPS, DECAY = 30, 300, 1e-3
 THRESHOLD = 0.3
 
 
+@dataclass
+class Disguises:
+    """What the pattern voters look for: hashes of the phrases by number of words, of plain words by length, and of (beginning, signs, ending)."""
+
+    phrases: dict[int, np.ndarray]
+    firsts: np.ndarray
+    words: np.ndarray
+    sizes: list[int]
+    signed: np.ndarray
+    signed_words: np.ndarray
+
+
+def _hash_of(text: str) -> np.ndarray:
+    data = np.frombuffer(text.encode(), np.uint8)
+    return words_of(data, np.array([0, len(data)]), *byte_classes(NOT_ALNUM, fold=True)).hashes
+
+
+def _of_signs(begin: np.ndarray, signs: int, end: np.ndarray) -> np.ndarray:
+    a, b = constants(59, 2)
+    with np.errstate(over="ignore"):
+        return mix(begin * a + end * b + np.uint64(signs))
+
+
+def disguised(word: np.ndarray) -> np.ndarray:
+    """Hash of the voter for a word in any disguise."""
+    return mix(word ^ constants(61, 1)[0])
+
+
+@cache
+def _disguises() -> Disguises:
+    told = [_hash_of(p) for p in PHRASES]
+    sizes = {len(h) for h in told}
+    plain = [x for x in LEXICON if len(x) >= LEAST_DISGUISED]
+    signed = {}
+    for x in plain:
+        for i in range(1, len(x) - 1):
+            for j in range(i + 1, len(x)):
+                signed[int(_of_signs(_hash_of(x[:i]), j - i, _hash_of(x[j:]))[0])] = int(_hash_of(x)[0])
+    keys = np.array(sorted(signed), dtype=np.uint64)
+    return Disguises(
+        {n: np.sort(np.concatenate([grams(h, n) for h in told if len(h) == n])) for n in sizes}, np.unique([h[0] for h in told]),
+        np.sort(np.concatenate([_hash_of(x) for x in plain])), sorted({len(x.encode()) for x in plain}),
+        keys, np.array([signed[int(k)] for k in keys], dtype=np.uint64))
+
+
+def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
+def _patterns(data: np.ndarray, w: Words) -> list[np.ndarray]:
+    """Numbered slots of the phrases, and of words spelt with digits, signs or blanks between; these count as the plain word too."""
+    d, owner, found = _disguises(), w.owner(), []
+    _, values = byte_classes(NOT_ALNUM, fold=True)
+
+    def hidden(at: np.ndarray, word: np.ndarray) -> None:
+        found.extend([_numbered(owner[at], word), _numbered(owner[at], disguised(word))])
+
+    start = np.flatnonzero(_among(w.hashes, d.firsts))
+    for n, told in d.phrases.items():
+        at = start[start + n <= len(owner)]
+        at = at[owner[at] == owner[at + n - 1]]
+        said = grams(w.hashes[at[:, None] + np.arange(n)].ravel(), n)[::n]
+        found.append(_numbered(owner[at[_among(said, told)]], said[_among(said, told)]))
+    # Words with digits for letters.
+    size = w.ends - w.starts
+    with_digit = np.unique(np.searchsorted(w.starts, np.flatnonzero((data >= 48) & (data <= 57)), "right") - 1)
+    at = with_digit[size[with_digit] <= d.sizes[-1]]
+    ends = np.cumsum(size[at])
+    letters = data[np.arange(int(size[at].sum())) + np.repeat(w.starts[at] - ends + size[at], size[at])]
+    for reading in READINGS:
+        read = values.copy()
+        read[[ord(x) for x in reading]] = values[[ord(x) for x in reading.values()]]
+        word = word_hashes(letters, ends - size[at], ends, read)
+        hidden(at[_among(word, d.words)], word[_among(word, d.words)])
+    # Signs for letters: two words with nothing but signs between.
+    is_sign = np.zeros(256, dtype=bool)
+    is_sign[list(SIGNS)] = True
+    near = np.flatnonzero(is_sign[data[w.ends[:-1]]] & (owner[1:] == owner[:-1]))
+    gap = w.starts[near + 1] - w.ends[near]
+    for n in range(1, d.sizes[-1] - 1):
+        at = near[gap == n]
+        at = at[is_sign[data[w.ends[at][:, None] + np.arange(n)]].all(axis=1)]
+        key = _of_signs(w.hashes[at], n, w.hashes[at + 1])
+        hidden(at[_among(key, d.signed)], d.signed_words[np.searchsorted(d.signed, key[_among(key, d.signed)])])
+    # Letters with one byte between.
+    single = np.flatnonzero(size == 1)
+    if len(single):
+        apart = (np.diff(single) > 1) | (w.starts[single[1:]] != w.ends[single[:-1]] + 1) | (owner[single[1:]] != owner[single[:-1]])
+        run = np.concatenate([[0], np.cumsum(apart)])
+        letters = data[w.starts[single]]
+        for n in d.sizes:
+            at = np.flatnonzero(run[n - 1:] == run[:max(0, len(run) - n + 1)])
+            word = word_hashes(letters, at, at + n, values)
+            hidden(single[at[_among(word, d.words)]], word[_among(word, d.words)])
+    return found
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(slot, text) of the distinct features, by text."""
+    """(slot, text) of the distinct features and patterns, by text."""
     w = words_of(data, offsets, *byte_classes(NOT_ALNUM, fold=True))
+    patterns = _patterns(data, w)
     folded = np.arange(256, dtype=np.uint64)
     folded[65:91] += 32
     # Each text's distinct words.
@@ -67,7 +181,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
             once, times = np.unique(_numbered(owner[long], mix(x * seeds[n] + np.uint64(n))), return_counts=True)
             several = once[times > 1]
             found += [once, _numbered(several >> BITS, mix(several.astype(np.uint64) & np.uint64(SLOTS - 1) ^ seeds[n]))]
-    both = np.unique(np.concatenate(found))
+    both = np.unique(np.concatenate([*found, *patterns]))
     return both & (SLOTS - 1), both >> BITS
 
 
@@ -84,6 +198,12 @@ def slots_of_words(words: Sequence[str]) -> np.ndarray:
     return np.array(out)
 
 
+def slots_of_patterns() -> np.ndarray:
+    """Of the voters for phrases and for disguised words."""
+    d = _disguises()
+    return np.concatenate([(x >> np.uint64(64 - BITS)).astype(np.int64) for x in (*d.phrases.values(), disguised(d.words))])
+
+
 def _per_batch(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     for row, to, data, offsets in chunks(batch.column(name)):
         yield row, to, *features(data, offsets)
@@ -229,7 +349,8 @@ def score_toxicity(
     counts = counts.collect()  # at most SLOTS + 1 rows
     n = np.array([[r["zeros"], r["ones"]] for r in counts if r["slot"] == -1], dtype=np.float64).reshape(-1, 2).sum(axis=0)
     learnt, chosen = _chosen([r for r in counts if r["slot"] >= 0], n)
-    voters = np.unique(np.concatenate([slots_of_words(LEXICON), learnt]).astype(np.int64))
+    told = np.unique(np.concatenate([slots_of_words(LEXICON), slots_of_patterns()]))
+    voters = np.unique(np.concatenate([told, learnt]).astype(np.int64))
     chosen = np.unique(np.concatenate([chosen, voters]))
     pairs = docs.select(F.col(text).alias("text")).mapInArrow(_together(voters), "block long, sums binary")
     pairs = {r["block"]: np.frombuffer(r["sums"], np.int64) for r in pairs.groupBy("block").applyInArrow(added, "block long, sums binary").collect()}
@@ -240,7 +361,11 @@ def score_toxicity(
     votes[_entries(rows["votes"])] = 1
     share = (n[1] + 0.5) / (n.sum() + 1)
     y = label_model(votes, together, texts, share) if len(rows) else np.zeros(0)
-    shared = context.broadcast((chosen, train(*_entries(rows["features"]), y, len(chosen))))
+    weights = train(*_entries(rows["features"]), y, len(chosen))
+    # A voter of the lists that is silent in the sample has the weight by which a text with its vote alone gets `ONE_VOTE`.
+    silent = np.searchsorted(chosen, told[votes[:, np.searchsorted(voters, told)].sum(axis=0) == 0])
+    weights[silent] = max(0.0, np.log(ONE_VOTE / (1 - ONE_VOTE)) - weights[-1]) if len(y) else 0.0
+    shared = context.broadcast((chosen, weights))
     own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
     out = docs.select(*[quoted(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
     out = out.mapInArrow(_scored(shared), T.StructType([*out.schema.fields[:-1], T.StructField("score", T.DoubleType())]))

@@ -428,3 +428,50 @@ def test_columns_of_any_name(spark, odd_docs):
         assert {tuple(r)[1:len(keep)] for r in out.collect()} == {("x",) * len(names)}
     for out, n in ((decontaminate.clean(docs, bench), 9), (near_dup.keep_one(docs), 3), (pii.redact(docs), 9)):
         assert out.schema.simpleString() == docs.schema.simpleString() and out.count() == n
+
+
+def test_far_queries_probe_lists_until_they_hold_enough(spark):
+    """Three vectors alone in a corner, and one id on many rows, still have all their neighbours."""
+    rng = np.random.default_rng(4)
+    near = [(1000 + i, [1.0, *rng.normal(0, 0.01, 7).tolist()]) for i in range(600)]
+    corner = [(20 * i, [-5.0, 3.0 + i, *rng.normal(0, 0.01, 6).tolist()]) for i in range(3)]
+    copies = [(40, [-5.0, 9.0, *[0.1] * 6])] * 30
+    df = spark.createDataFrame(near + corner + copies, "vec_id long, embedding array<double>")
+    found = {r["query_id"]: r["n"] for r in neighbours.search(df, F.col("id") < 100).groupBy("query_id").agg(F.count("*").alias("n")).collect()}
+    assert found == {0: 20, 20: 20, 40: 20}
+
+
+@pytest.mark.parametrize("text, word", [
+    ("you 1d10t!", "idiot"), ("such an I D I O T here", "idiot"), ("i.d.i.o.t", "idiot"), ("a i d i o t", "idiot"), ("lo5er", "loser"), ("a1l 5cum", "scum"),
+    ("what a f*ck", "fuck"), ("a$$hole", "asshole"), ("ass****", None), ("10 20 300", None), ("a b c 5 * 3", None), ("i d 1 o", None), ("idiotic", None),
+])
+def test_disguised_words_have_voters(text, word):
+    slot = slots_in(text)
+    plain = {w: int(toxicity.slots_of_words([w])[0]) for w in toxicity.LEXICON if len(w) >= 4}
+    told = set(toxicity.slots_of_patterns().tolist())
+    assert [w for w, at in plain.items() if at in slot] == ([word] if word else [])
+    assert len(slot & told) == int(word is not None)
+
+
+def slots_in(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return set(toxicity.features(data, np.array([0, len(data)]))[0].tolist())
+
+
+def test_phrases_have_voters():
+    told = toxicity.slots_of_patterns().tolist()
+    assert len(set(told)) >= 80
+    for phrase in toxicity.PHRASES:
+        assert len(slots_in(f"so, {phrase.upper() if phrase.isascii() else phrase} now") & set(told)) == 1, phrase
+    # Not across texts.
+    data = np.frombuffer(b"go shut" b"up now", np.uint8)
+    assert not set(toxicity.features(data, np.array([0, 7, 13]))[0].tolist()) & set(told)
+
+
+def test_silent_voters_count_and_clean_texts_do_not(spark, odd_docs):
+    rows = [(i, ("you idiot " if i % 5 == 0 else "a fine day ") + f"word{i % 7} and word{i % 11}") for i in range(400)]
+    rows += [(1001, "please shut up word1"), (1002, "you 1d10t word2"), (1003, "a fine day word3 and word4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, labels, ["doc_id"]).collect()}
+    assert [got[i] for i in (0, 1, 1001, 1002, 1003)] == [1, 0, 1, 1, 0]
