@@ -29,8 +29,8 @@ def image_descriptions(spark, sf_dir):
     """Reports written one file per key, read back as binary payloads and described by a model."""
     path = shared_path(spark, "reports")
     rows = table(spark, sf_dir, "supplier").selectExpr("s_name", "s_name AS key", "concat('n', s_nationkey) AS body")
-    writers.write_reports(rows.repartition("key"), path, "key", "s_name", "body")
-    images = readers.read_images(spark, f"{path}/*/*.txt")
+    writers.write_reports(rows, path, "key", "s_name", "body")
+    images = readers.read_images(spark, path, "*.txt")
     described = enrich.describe_images(images, lambda payloads: [f"seen {len(base64.b64decode(p))}" for p in payloads])
     name = F.url_decode(F.regexp_extract("path", "key=([^/]*)/", 1))
     return described.select(F.concat(F.lit("image_"), F.regexp_replace(name, "%20", " ")).alias("name"), "description")

@@ -196,3 +196,22 @@ def test_failed_urls_are_asked_again_without_new_requests(spark, tmp_path, inbox
 def test_sentinels(spark):
     df = spark.createDataFrame([(None, 1)], "image_url STRING, n INT")
     assert writers.with_sentinels(df, {"image_url": lx.NO_IMAGE, "absent": "x"}).first().image_url == "No Image"
+
+
+def test_reports_are_one_file_a_key_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 4).selectExpr("concat('k', id % 10) AS k", "concat('n', id) AS name", "'b' AS body")
+    path = str(tmp_path / "reports")
+    writers.write_reports(rows, path, "k", "name", "body")
+    files = spark.read.format("binaryFile").load(f"{path}/*/*.txt").select("path").collect()
+    assert len(files) == 10
+    assert len({f["path"].rsplit("/", 1)[1].split("-")[1] for f in files}) > 1
+
+
+def test_images_of_many_folders_by_pattern(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"k={i}").mkdir()
+        (tmp_path / f"k={i}" / "a.txt").write_bytes(b"A%d" % i)
+        (tmp_path / f"k={i}" / "b.bin").write_bytes(b"x")
+    got = readers.read_images(spark, str(tmp_path), "*.txt")
+    assert got.columns == ["path", "payload"] and got.count() == 40 == got.select("payload").distinct().count()
+    assert got.collect() != [] and readers.read_images(spark, f"{tmp_path}/*/*.txt").exceptAll(got).isEmpty()
