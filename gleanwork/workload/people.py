@@ -13,7 +13,7 @@ from gleanwork.operators import aggregates
 from gleanwork.plans import people
 from gleanwork.session import shared_path
 from gleanwork.sources import readers, writers
-from gleanwork.workload.registry import query, sql_rate, table
+from gleanwork.workload.registry import query, spread_table, sql_rate, table
 
 # A free-text affiliation per customer: some blank, some naming several organisations.
 _AFFILIATION = """CASE c_mktsegment WHEN 'BUILDING' THEN '  '
@@ -111,7 +111,8 @@ _CARD = """concat('<html><body><div class="', CASE WHEN c_mktsegment = 'FURNITUR
 
 
 def _listing(spark, sf_dir):
-    return table(spark, sf_dir, "customer").selectExpr(
+    rows = spread_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey", "c_acctbal")
+    return rows.selectExpr(
         "c_custkey", "c_mktsegment AS label", "cast(c_nationkey AS int) AS tab_index", "1 AS page_number", _CARD
     )
 
