@@ -1,11 +1,12 @@
 import os
+import random
 import subprocess
 import sys
 
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from gleanwork import schemas
+from gleanwork import schemas, workload
 from gleanwork.functions import predicates
 from gleanwork.operators import extract
 from gleanwork.operators import page_specs as specs
@@ -190,3 +191,40 @@ def test_a_robots_meta_tag_is_no_challenge(spark):
     assert crawl.product_rows(pages).first().page_status == "ok"
     status = predicates.page_status(F.col("url"), F.lit("T"), F.lit("Tool"), F.col("html"))
     assert pages.select(status.alias("s")).first().s == "ok"
+
+
+_PARTS = ['<div class="gsc_1usr x">', "<p>", "</p>", "</div>", "</b>", "<b>", "<br>", "<br/>", "<A HREF='/u'>", "</a >", "</A>", '<h3 class="gs_ai_name gs_ai_name" id=7>',
+          '<div class="gs_ai_aff" class="y">', "<!-- c -->", "<script>var a='<b>';</script>", "<title>a<b></title>", " text > ", "a\n b", "&amp;", "x & y", "<", "< b", "<p ", "é", "\0",
+          '<img src="" alt>', "<img src=' a b '>", "<template>t", "</template>", '<a data-x="1" title="a>b">', "<div\n class='gs_ai'>", '<div  id="r">', "<i class='gs_ai_int'>"]
+
+
+def test_plain_pages_are_read_as_by_the_library(monkeypatch):
+    """The same records whether a page is cut at its tags or read by the parser of the library."""
+    rng = random.Random(3)
+    kinds = [specs.PROFILES, specs.REVIEWS, specs.PRODUCT_PAGE, specs.ARTICLE_ADVANCED]
+    tags = [p for p in _PARTS if extract._plain_tag(p)]
+    assert {'<div class="gsc_1usr x">', "<A HREF='/u'>", "<br>", "</A>"} <= set(tags) and "<br/>" not in tags
+    pages = ["".join(rng.choices(some, k=rng.randrange(1, 25))) for some in (_PARTS, [*tags, " a ", "b > c"]) for _ in range(3000)]
+    for spec in kinds:
+        fast = [extract.page_records(p, spec) for p in pages]
+        with monkeypatch.context() as m:
+            m.setattr(extract._Page, "_read_plain", lambda self, html: False)
+            assert [extract.page_records(p, spec) for p in pages] == fast
+
+
+def test_records_of_many_pages_in_slices(spark):
+    """A batch is worked on in slices; nulls and pages without records keep their place."""
+    rows = spark.range(0, 700, 1, 1).selectExpr(
+        "id", "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 7 = 0 THEN '<p>' ELSE concat('<div class=\"gsc_1usr\"><h3>n', id, '</h3></div>') END AS html")
+    got = extract.extract_records(rows, specs.PROFILES).select("id", "name").collect()
+    assert sorted((r.id, r.name) for r in got) == [(i, f"n{i}") for i in range(700) if i % 5 and i % 7]
+    assert max(1, extract._PAGES) < 700
+
+
+def test_listing_pages_are_parsed_by_all_cores(spark, tmp_path):
+    """A table in one file must not be parsed by one task."""
+    spark.range(64).selectExpr("id AS c_custkey", "concat('c', id) AS c_name", "'HOUSEHOLD' AS c_mktsegment", "1 AS c_nationkey", "6000.0D AS c_acctbal") \
+        .coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    for name in ("profile_cards", "people_run"):
+        df = workload.queries()[name](spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() >= min(8, spark.sparkContext.defaultParallelism) and df.count() == 64
