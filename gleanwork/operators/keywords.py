@@ -144,13 +144,10 @@ _TOKEN = re.compile(
     r"|(?P<more>\+[?+]?)|(?P<maybe>[?*][?+]?|\{\d+,?\d*\}[?+]?)|(?P<bar>\|)|(?P<open>\((?:\?(?:[:=!>]|<[=!]|<\w+>)|(?!\?)))|(?P<close>\))", re.DOTALL)
 
 
-def required_texts(pattern: str) -> list[str] | None:
-    """Literal texts of which any match of the pattern holds at least one, ignoring case; None if there may be none.
-
-    One for each alternative: its longest run of plain characters outside groups and classes. Patterns with flags of their own, quotations,
-    back references or nested classes are not read, nor those with an alternative without a run of two.
-    """
-    needed: list[str] = []
+def _required(pattern: str) -> list[tuple[str, bool]] | None:
+    """`required_texts`, each with whether a match by its alternative begins with it."""
+    longest = lambda runs: (max(runs, key=len), len(runs[0]) == max(map(len, runs)))
+    needed: list[tuple[str, bool]] = []
     runs, at, depth = [""], 0, 0
     while at < len(pattern):
         token = _TOKEN.match(pattern, at)
@@ -166,14 +163,76 @@ def required_texts(pattern: str) -> list[str] | None:
         elif kind == "text":
             runs[-1] += found[-1]
         elif kind == "bar":
-            needed.append(max(runs, key=len))
+            needed.append(longest(runs))
             runs = [""]
         else:
             if kind == "maybe":
                 runs[-1] = runs[-1][:-1]
             runs.append("")
-    needed.append(max(runs, key=len))
-    return needed if not depth and min(map(len, needed)) >= 2 else None
+    needed.append(longest(runs))
+    return needed if not depth and min(len(text) for text, _ in needed) >= 2 else None
+
+
+def required_texts(pattern: str) -> list[str] | None:
+    """Literal texts of which any match of the pattern holds at least one, ignoring case; None if there may be none.
+
+    One for each alternative: its longest run of plain characters outside groups and classes. Patterns with flags of their own, quotations,
+    back references or nested classes are not read, nor those with an alternative without a run of two.
+    """
+    needed = _required(pattern)
+    return None if needed is None else [text for text, _ in needed]
+
+
+# What Java and Python read alike: plain characters, `.`, plain classes, groups, alternatives and quantifiers that may give back.
+_SHARED = re.compile(
+    r"(?:[a-zA-Z0-9 _]|\\[.+*?()\[\]{}|^$/\\-]|\.|\[(?:[a-z]-[a-z]|[A-Z]-[A-Z]|[0-9]-[0-9]|[a-zA-Z0-9_ ])+\]|\((?:\?:)?|[)|]|(?:[+*?]|\{\d+(?:,\d*)?\})\??(?![+*?{]))+")
+_WORD = frozenset("abcdefghijklmnopqrstuvwxyz0123456789_")
+
+
+def _test_of(pattern: str) -> re.Pattern | None:
+    """For ASCII texts in lower case: matches where the pattern matches a whole word, and perhaps elsewhere. None for patterns that may be read in
+    two ways."""
+    try:
+        return re.compile(f"(?:{pattern})(?![a-z0-9_])", re.IGNORECASE | re.DOTALL) if _SHARED.fullmatch(pattern) else None
+    except re.error:
+        return None
+
+
+#: How much of a folded text is known to stand as in the text: not where words begin, that, or every character.
+_ANY, _BOUNDED, _SAME = 0, 1, 2
+
+
+def _pattern_finder(df: DataFrame, words: list[str], found: list[str], leading: list[bool], always: list[str]) -> Callable[[Column, Column], Column]:
+    """array<string> of the patterns that a text may match: found[i] if it holds words[i], and `always`. A leading word must begin where a
+    word of the text begins, and in ASCII texts the pattern must match from there."""
+    sent = df.sparkSession.sparkContext.broadcast((words, found, leading, always))
+    name = uuid.uuid4().hex
+
+    @F.arrow_udf("array<string>")
+    def find(texts: pa.Array, known: pa.Array) -> pa.Array:
+        words, found, leading, always = sent.value
+        tests = {p: _test_of(p) for p in set(found)}
+        automaton = _automaton(name, lambda: ((w, [(f, lead)]) for w, f, lead in zip(words, found, leading)))
+        sizes = {id(automaton.get(w)): len(w) for w in words}
+        out: list[list[str] | None] = []
+        for text, level in zip(texts.to_pylist(), known.to_pylist()):
+            if text is None:
+                out.append(None)
+                continue
+            hits = set(always)
+            for end, candidates in automaton.iter(text) if len(automaton) else ():
+                start = end + 1 - sizes[id(candidates)]
+                within = level != _ANY and start > 0 and text[start - 1] in _WORD
+                for pattern, lead in candidates:
+                    if pattern in hits or (lead and within):
+                        continue
+                    test = tests[pattern] if lead and level == _SAME else None
+                    if test is None or test.match(text, start):
+                        hits.add(pattern)
+            out.append(sorted(hits))
+        return pa.array(out, pa.list_(pa.string()))
+
+    return find
 
 
 def match_patterns(
@@ -182,25 +241,33 @@ def match_patterns(
     """(key, pattern) for every distinct pattern that matches the text, ignoring case; as whole words by default.
 
     The same answer as `predicates.any_word` for each pattern, for any number of patterns. One automaton of the texts that the patterns
-    require finds the patterns that a text may match, and only those are tried. Patterns that require no text of two characters are tried on every
+    require finds the patterns that a text may match, and only those are tried by Spark. A whole word that begins with its required text is
+    looked for at the beginnings of words only, and in ASCII texts it is tried there before. Patterns that require no text of two characters are tried on every
     text, so their number is what costs. A missing text matches nothing; a missing pattern is left out; an invalid one is an error.
     """
     listed = patterns.select(F.col(pattern).cast("string").alias("pattern")).filter(F.col("pattern").isNotNull()).distinct()
     parts = []
     for block in _blocks(listed, "pattern", block_chars):
         given = block["pattern"].to_pylist()
-        needs = {p: required_texts(p) for p in given}
-        asked = [(t, p) for p, texts in needs.items() for t in texts or ()]
+        needs = {p: _required(p) for p in given}
+        asked = [(t, p, lead and whole_word) for p, texts in needs.items() for t, lead in texts or ()]
         if not given:
             continue
         # Folded by Spark, as the texts are.
-        rows = df.sparkSession.createDataFrame(pa.table({"t": pa.array([t for t, _ in asked], pa.string()), "p": pa.array([p for _, p in asked], pa.string())}))
-        words = rows.select(folded(F.col("t")).alias("t"), "p").toArrow()
-        find = _finder(df, words["t"].to_pylist(), words["p"].to_pylist(), [p for p, texts in needs.items() if not texts])
-        tried = df.select(key, F.col(text).cast("string").alias("__text"), find(folded(F.col(text).cast("string"))).alias("__some")).filter(F.size("__some") > 0)
+        kinds = (("t", pa.string()), ("p", pa.string()), ("lead", pa.bool_()))
+        rows = df.sparkSession.createDataFrame(pa.table({name: pa.array([a[i] for a in asked], kind) for i, (name, kind) in enumerate(kinds)}))
+        words = rows.select(folded(F.col("t")).alias("t"), "p", "lead").toArrow()
+        find = _pattern_finder(df, *[words[name].to_pylist() for name, _ in kinds], [p for p, texts in needs.items() if not texts])
+        whole = F.col(text).cast("string")
+        # Folding takes the dot above away, which separates words; of ASCII texts it leaves the lower case.
+        ascii_only = F.octet_length(whole) == F.length(whole)
+        known = F.when(ascii_only, _SAME).when(F.contains(whole, F.lit("\u0307")), _ANY).otherwise(_BOUNDED)
+        some = find(F.when(ascii_only, F.lower(whole)).otherwise(folded(whole)), known)
+        # One row for each pattern to be tried: in a function over the array Spark would try them three times.
+        tried = df.select(key, whole.alias("__text"), some.alias("__some")).select(key, "__text", F.explode("__some").alias("__pattern"))
         start, end = (WORD_START, WORD_END) if whole_word else ("", "")
-        right = F.filter("__some", lambda p: F.rlike(F.col("__text"), F.concat(F.lit(f"(?iu){start}(?:"), p, F.lit(f"){end}"))))
-        parts.append(tried.select(key, F.explode(right).alias("pattern")))
+        right = F.rlike(F.col("__text"), F.concat(F.lit(f"(?iu){start}(?:"), F.col("__pattern"), F.lit(f"){end}")))
+        parts.append(tried.filter(right).select(key, F.col("__pattern").alias("pattern")))
     return _united(parts, df.select(key, F.lit("").alias("pattern")).filter(F.lit(False)))
 
 

@@ -106,3 +106,16 @@ def test_patterns_reach_the_text_only_where_they_may_match(spark):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     assert {(r.id, r.pattern) for r in got.collect()} == {(i, f"item{7 * i}[a-z]?") for i in range(2000)}
     assert re.fullmatch("item0.*", min(r.pattern for r in got.collect()))
+
+
+def test_leading_texts_are_tried_where_words_begin(spark):
+    """Patterns are left to Spark only for texts in which a word begins as they do and, in ASCII texts, goes on as they do."""
+    texts = ["overrisk", "a risky", "risk-x", "over_risk", "ürisk", "ȧrisk", "ͅrisk", "RISKs", None, ""]
+    some = keywords._pattern_finder(spark.range(1), ["risk"], ["risk[a-r]?"], [True], [])
+    level = lambda t: keywords._SAME if t is None or t.isascii() else keywords._ANY if "̇" in t else keywords._BOUNDED
+    df = frame(spark, [(i, t, level(t)) for i, t in enumerate(texts)], "id INT, b STRING, known INT")
+    got = {texts[r.id]: r.found for r in df.select("id", some(keywords.folded(F.col("b")), F.col("known")).alias("found")).collect()}
+    assert {t for t, found in got.items() if found} == {"risk-x", "ürisk", "ȧrisk", "ͅrisk"}
+    listed = frame(spark, [("risk[a-r]?",), ("ver.?risk|risk",), ("ri.ks",), ("over(_|)risk",)], "pattern STRING")
+    want = [(r.id, p) for (p,) in listed.collect() for r in df.filter(predicates.any_word(F.col("b"), [p])).collect()]
+    assert pairs(keywords.match_patterns(df, "id", "b", listed)) == sorted(want, key=repr)
