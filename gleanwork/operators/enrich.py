@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from gleanwork import lexicons as lx
 from gleanwork.functions import predicates, responses, tags, text
-from gleanwork.operators.joins import non_members
+from gleanwork.operators.joins import members, non_members
 from gleanwork.operators.skew import equi_join
 from gleanwork.session import staged
 from gleanwork.sources import batches
@@ -82,18 +82,28 @@ def enrich_distinct(
     """
     if store is not None:
         return enrich_with_store(df, prompt, infer, store, batch_size, spread_by, in_flight)
-    keyed = df.withColumn("__prompt", prompt).withColumn("__digest", F.sha2("__prompt", 256))
-    once = keyed.filter(F.col("__prompt").isNotNull()).select("__digest", "__prompt").distinct()
-    answered = once.select("__digest", ask(F.col("__prompt"), infer, batch_size, in_flight).alias("__a"))
+    keyed = df.withColumn("__prompt", prompt)
+    answered = _once(keyed).select(_digest().alias("__digest"), ask(F.col("__prompt"), infer, batch_size, in_flight).alias("__a"))
+    keyed = keyed.withColumn("__digest", _digest())
     joined = equi_join(_spread_nulls(keyed, "__digest", df.columns), answered, ["__digest"], "left", "drop", spread_by)
     return joined.select(*df.columns, "__a.response", "__a.error")
 
 
+def _digest() -> Column:
+    """Of the prompt, as bytes: half as long as the text that a store keeps."""
+    return F.unhex(F.sha2("__prompt", 256))
+
+
+def _once(keyed: DataFrame) -> DataFrame:
+    """The distinct prompts; their digests are made of them afterwards, so that they are not moved."""
+    return keyed.select("__prompt").filter(F.col("__prompt").isNotNull()).distinct()
+
+
 def _spread_nulls(keyed: DataFrame, digest: str, columns: Sequence[str]) -> DataFrame:
     """Rows without a prompt would share one join key; a hash of the row, no digest, spreads them."""
     kinds = dict(keyed.dtypes)
     own = F.xxhash64(*[c for c in columns if "map<" not in kinds[c] and "variant" not in kinds[c]])
-    return keyed.withColumn(digest, F.coalesce(digest, own.cast("string")))
+    return keyed.withColumn(digest, F.coalesce(digest, F.unhex(F.hex(own))))
 
 
 _STORE = "digest STRING, " + ANSWER
@@ -105,25 +115,40 @@ def enrich_with_store(
 ) -> DataFrame:
     """As `enrich_distinct`, with answers kept in a table of batches at `store`, see `read_answers`.
 
-    Prompts already answered there are not asked; new answers are written before they are used. The distinct prompts are written first,
-    so the input is evaluated twice, for them and for the result.
+    Prompts already answered there are not asked; new answers are written before they are used. Against a store that holds answers the digests
+    of the prompts are compared first, and only prompts that are new are moved. The input is evaluated for each: the digests, the prompts to ask, if any, and
+    the result.
     """
     spark = df.sparkSession
-    keyed = df.withColumn("__prompt", prompt).withColumn("digest", F.sha2("__prompt", 256))
-    wanted = staged(keyed.filter(F.col("__prompt").isNotNull()).select("digest", "__prompt").distinct(), "prompts")
-    known = batches.read_batches(spark, store, _STORE).filter("error IS NULL")
-    asked = non_members(wanted, known, "digest").select("digest", ask(F.col("__prompt"), infer, batch_size, in_flight).alias("a"))
-    batches.append_batch(asked.select("digest", "a.*"), store)
-    kept = read_answers(spark, store).join(wanted.select("digest"), "digest", "left_semi")
-    joined = equi_join(_spread_nulls(keyed, "digest", df.columns), kept, ["digest"], "left", "drop", spread_by)
+    keyed = df.withColumn("__prompt", prompt)
+    digests = keyed.withColumn("__digest", _digest())
+    before = batches.attempts(spark, store)
+    new: DataFrame | None = _once(keyed)
+    wanted = None
+    if before:
+        wanted = staged(digests.select("__digest").filter(F.col("__digest").isNotNull()).distinct(), "digests")
+        good = batches.read_attempts(spark, store, list(before.values()), _STORE).filter("error IS NULL")
+        fresh = staged(non_members(wanted, good.select(F.unhex("digest").alias("__digest")), "__digest"), "new-digests")
+        new = None if fresh.isEmpty() else members(new.withColumn("__digest", _digest()), fresh, "__digest")
+    if new is not None:
+        asked = new.select(F.sha2("__prompt", 256).alias("digest"), ask(F.col("__prompt"), infer, batch_size, in_flight).alias("a"))
+        batches.append_batch(asked.select("digest", "a.*"), store)
+    kept = _last_answers(batches.read_batches(spark, store, _STORE))
+    if wanted is not None:
+        kept = kept.join(wanted, "__digest", "left_semi")
+    joined = equi_join(_spread_nulls(digests, "__digest", df.columns), kept, ["__digest"], "left", "drop", spread_by)
     return joined.select(*df.columns, "response", "error")
 
 
+def _last_answers(rows: DataFrame) -> DataFrame:
+    """(__digest, response, error): one row per digest, as bytes."""
+    found = rows.groupBy(F.unhex("digest").alias("__digest")).agg(F.max("response").alias("response"), F.max("error").alias("error"))
+    return found.withColumn("error", F.when(F.col("response").isNull(), F.col("error")))
+
+
 def read_answers(spark: SparkSession, store: str) -> DataFrame:
     """(digest, response, error): one row per prompt asked so far. A failed answer may be followed by a good one; a good answer wins."""
-    rows = batches.read_batches(spark, store, _STORE)
-    found = rows.groupBy("digest").agg(F.max("response").alias("response"), F.max("error").alias("error"))
-    return found.withColumn("error", F.when(F.col("response").isNull(), F.col("error")))
+    return _last_answers(batches.read_batches(spark, store, _STORE)).select(F.lower(F.hex("__digest")).alias("digest"), "response", "error")
 
 
 def keep_answered(df: DataFrame, column: str = "response") -> DataFrame:

@@ -83,6 +83,9 @@ def salted_join(
         own = [names[keys.index(c)] if c in keys else c for c in right_spread_by]
         salted.append((hot_keys(renamed, names, parts), own))
     condition = key_condition(keys, names, null_keys)
+    if all(hot.isEmpty() for hot, _ in salted):
+        # Nothing to spread: rows that lie by their key already are not moved again.
+        return left.join(renamed, condition, how).drop(*names)
     for side, (hot, spread) in enumerate(salted):
         salt = F.pmod(F.xxhash64(*spread), F.col(_SALTS)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))

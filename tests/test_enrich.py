@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.operators import enrich
 from gleanwork.plans import catalog, news, people
+from gleanwork.sources import batches
 
 
 def prompts(spark, values):
@@ -183,3 +185,24 @@ def test_answer_flag_of_a_use(spark):
     base = spark.createDataFrame([(1, "sound", "makes sound")], "tool_id INT, use_aggregated STRING, tool_description STRING")
     judge = enrich.judged_by(case, lambda ps: ['{"audio": true}'] * len(ps))
     assert enrich.curate(base, case, "tool_id", judge)[0].first().use_aggregated == "sound;t"
+
+
+def test_a_store_that_knows_all_prompts_is_left_as_it_is(spark, tmp_path):
+    """Prompts are asked once; a run without new prompts moves none of them and adds no batch."""
+    store = str(tmp_path / "answers")
+
+    def run(prompts, infer):
+        df = spark.createDataFrame(list(enumerate(prompts)), "id INT, p STRING")
+        return sorted((r.id, r.response, r.error) for r in enrich.enrich_distinct(df, F.col("p"), infer, store=store, spread_by=["id"]).collect())
+
+    def fail(prompts):
+        raise ValueError("asked again")
+
+    assert run(["a", "b", None, "a"], lambda ps: [p + "1" for p in ps]) == [(0, "a1", None), (1, "b1", None), (2, None, None), (3, "a1", None)]
+    assert run(["b", None, "a", "a"], fail) == [(0, "b1", None), (1, None, None), (2, "a1", None), (3, "a1", None)]
+    assert len(batches.attempts(spark, store)) == 1
+    assert run(["c", "b", "c"], lambda ps: [p + "2" for p in ps]) == [(0, "c2", None), (1, "b1", None), (2, "c2", None)]
+    assert run(["d"], fail) == [(0, None, "asked again")]
+    assert run(["d", "a"], lambda ps: [p + "3" for p in ps]) == [(0, "d3", None), (1, "a1", None)]
+    assert {r.digest: r.response for r in enrich.read_answers(spark, store).collect()} == {hashlib.sha256(k.encode()).hexdigest(): v for k, v in
+                                                                                          {"a": "a1", "b": "b1", "c": "c2", "d": "d3"}.items()}

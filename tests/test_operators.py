@@ -348,3 +348,11 @@ def test_match_terms_is_linear_in_the_text(spark):
         return time.perf_counter() - start
     seconds(100)
     assert seconds(8000) < 12 * max(1.0, seconds(2000))
+
+
+def test_join_without_hot_keys_moves_no_copies(spark):
+    left = spark.range(100).select("id", (F.col("id") % 50).alias("k"))
+    right = left.groupBy("k").agg(F.count("*").alias("n"))
+    got = skew.salted_join(left, right, ["k"], ["id"], "left")
+    assert "__salt" not in got._jdf.queryExecution().analyzed().toString()
+    assert got.columns == ["id", "k", "n"] and sorted(tuple(r) for r in got.collect()) == [(i, i % 50, 2) for i in range(100)]
