@@ -195,7 +195,8 @@ def test_a_robots_meta_tag_is_no_challenge(spark):
 
 _PARTS = ['<div class="gsc_1usr x">', "<p>", "</p>", "</div>", "</b>", "<b>", "<br>", "<br/>", "<A HREF='/u'>", "</a >", "</A>", '<h3 class="gs_ai_name gs_ai_name" id=7>',
           '<div class="gs_ai_aff" class="y">', "<!-- c -->", "<script>var a='<b>';</script>", "<title>a<b></title>", " text > ", "a\n b", "&amp;", "x & y", "<", "< b", "<p ", "é", "\0",
-          '<img src="" alt>', "<img src=' a b '>", "<template>t", "</template>", '<a data-x="1" title="a>b">', "<div\n class='gs_ai'>", '<div  id="r">', "<i class='gs_ai_int'>"]
+          '<img src="" alt>', "<img src=' a b '>", "<template>t", "</template>", '<a data-x="1" title="a>b">', "<div\n class='gs_ai'>", '<div  id="r">', "<i class='gs_ai_int'>",
+          '<a class="gs_ai_one_int" href="/x y\'z" class="k k">', '<div id="review-1" class="c">', '<a href="/1"target="_blank">', '<a href="/1" Target="_blank">', '</p class="x" id="y">', '<a href="x" b=\'"\'>']
 
 
 def test_plain_pages_are_read_as_by_the_library(monkeypatch):
