@@ -42,6 +42,8 @@ WIDE = {
     "number": "\\+?\\(?[0-9](?:[\\x20().-]{0,2}[0-9]){6,}+",
     "spelt": "(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\\x20?(?:\\(at\\)|\\[at\\]|\\x20at\\x20)\\x20?[A-Za-z0-9-]++(?:\\x20?(?:\\(dot\\)|\\[dot\\]|\\x20dot\\x20)\\x20?[A-Za-z0-9-]++)++",
 }
+#: What every match of a costly pattern holds.
+NEEDS = {"email": "@[A-Za-z0-9-]++\\.", "ip": "\\.[0-9]++\\.[0-9]", "spelt": "(?i)\\(dot\\)|\\[dot\\]|\\x20dot\\x20"}
 KINDS = [*STRICT, *WIDE]
 PRECISION = 0.95
 ROUNDS = 30
@@ -129,7 +131,7 @@ def _strict(m: dict[str, Column]) -> dict[str, Column]:
 
 def _found(docs: DataFrame, text: str) -> DataFrame:
     """`base`, and `wide`: candidates with their features and whether a strict span overlaps them."""
-    rows = with_matches(docs, text, STRICT | WIDE)
+    rows = with_matches(docs, text, STRICT | WIDE, NEEDS)
     strict = _strict({k: F.col(k) for k in STRICT})
     rows = rows.withColumn("base", all_of([tagged(strict[k], k, KINDS.index(k)) for k in STRICT]))
 
@@ -233,11 +235,17 @@ def fitted(rows: list[dict]) -> Trees:
     return trees
 
 
-def fit(docs: DataFrame, text: str = "text") -> Trees:
+def _labelled(docs: DataFrame, text: str) -> DataFrame:
+    """(half, positive, features) of the candidates that evidence labels."""
     found = _found(docs.select(F.col(text).alias("text")), "text")
     half = F.pmod(F.xxhash64("text"), F.lit(2)).alias("half")
-    cells = found.select(half, F.explode("wide").alias("w")).select("half", _label(F.col("w")).alias("positive"), *[F.col(f"w.{f}").alias(f) for f in FEATURES])
-    cells = cells.filter("positive IS NOT NULL").groupBy("half", *FEATURES).agg(F.count("*").alias("n"), F.sum("positive").alias("positives"))
+    # A plain explode puts a filter by the array's size in front of the matching, which is then done twice.
+    each = found.select(half, "wide").select("half", F.explode_outer("wide").alias("w")).filter("w IS NOT NULL")
+    return each.select("half", _label(F.col("w")).alias("positive"), *[F.col(f"w.{f}").alias(f) for f in FEATURES]).filter("positive IS NOT NULL")
+
+
+def fit(docs: DataFrame, text: str = "text") -> Trees:
+    cells = _labelled(docs, text).groupBy("half", *FEATURES).agg(F.count("*").alias("n"), F.sum("positive").alias("positives"))
     return fitted([r.asDict() for r in cells.collect()])  # at most 2 * CELLS rows
 
 

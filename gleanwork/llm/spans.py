@@ -14,19 +14,22 @@ CONTEXT = 24
 RUN = 64
 
 
-def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+def with_matches(df: DataFrame, text: str, patterns: dict[str, str], needs: dict[str, str] | None = None) -> DataFrame:
     """Per name an array<struct<start, end, hit, before, after>> of the leftmost matches of its
     pattern that do not overlap; end exclusive; null text as empty. Patterns never match nothing.
 
-    The text between matches is split off, and running lengths give the positions. The work grows with the matches.
+    A pattern is tried on texts that hold what it `needs`, a cheaper pattern found within each of its matches. Where it has
+    matches, the text between them is split off, and running lengths give the positions. The work grows with the matches.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
-    parts = {}
+    body, needs = F.coalesce(F.col(text), F.lit("")), needs or {}
+    none = F.array().cast("array<string>")
+    hits, gaps = {}, {}
     for name, pattern in patterns.items():
-        parts[f"__hits_{name}"] = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
-        parts[f"__gaps_{name}"] = F.split(body, pattern, -1)
-    df = df.withColumns(parts)
-    return df.withColumns({n: _placed(F.col(f"__hits_{n}"), F.col(f"__gaps_{n}")) for n in patterns}).drop(*parts)
+        found = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
+        hits[f"__hits_{name}"] = F.when(body.rlike(needs[name]), found).otherwise(none) if name in needs else found
+        gaps[f"__gaps_{name}"] = F.when(F.size(f"__hits_{name}") > 0, F.split(body, pattern, -1)).otherwise(none)
+    df = df.withColumns(hits).withColumns(gaps)
+    return df.withColumns({n: _placed(F.col(f"__hits_{n}"), F.col(f"__gaps_{n}")) for n in patterns}).drop(*hits, *gaps)
 
 
 def _placed(hits: Column, gaps: Column) -> Column:
