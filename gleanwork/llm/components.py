@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from gleanwork.session import staged
+from gleanwork.session import released, staged
 
 
 def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
@@ -40,6 +40,7 @@ def components(links: DataFrame) -> DataFrame:
     links = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links, before = _written(links)
     while before[0]:
+        released(links.sparkSession)
         links, now = _written(_starred(links))
         if now == before:
             break

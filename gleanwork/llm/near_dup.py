@@ -25,17 +25,16 @@ and is never the smallest unless its whole component has none. In `near_duplicat
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwork.llm.components import components
 from gleanwork.llm.words import BLANKS, Words, byte_classes, chunks, constants, grams, mix, words_of
-from gleanwork.session import staged
+from gleanwork.session import released, staged
 
 SHINGLE = 5
 PERCENT = 80
@@ -245,13 +244,6 @@ def _tiles(postings: DataFrame, low: DataFrame, classes: DataFrame) -> DataFrame
     return tiles.join(classes.select("cls", "sig"), "cls")
 
 
-def _released(spark: SparkSession) -> None:
-    """Ask the driver to collect plans that are done with: their shuffle files stay on the executors' disks until it does, and a driver
-    with little to do does so late."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
     found = _labelled(docs, key, text, shingle)
@@ -267,6 +259,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     seen = found.groupBy(F.col("doc").alias("__doc"), F.col("tk").alias("__tk")).agg(F.first("best").alias("__best"), F.count("*").alias("n"))
     # Texts that go, and those of which one of several rows stays.
     marked = staged(seen.filter("n > 1 OR NOT __best").drop("n"), "duplicates")
+    del found, seen
+    released(docs.sparkSession)
     same = F.col(key).eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(text)) == F.col("__tk"))
     repeated = docs.join(marked.filter("__best"), same)
     order = Window.partitionBy("__doc", "__tk").orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
@@ -276,32 +270,36 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
 
 def _labelled(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     spark = docs.sparkSession
-    _released(spark)
+    released(spark)
     slim = docs.select(F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("tk"), F.col(text).alias("text"))
     kind = slim.schema["doc"].dataType.simpleString()
     signed = staged(slim.mapInArrow(_signed(shingle), f"doc {kind}, tk long, n long, f1 long, f2 long, sig array<int>"), "signatures")
     classes = _classes(signed)
     postings = _postings(classes)
-    _released(spark)
+    released(spark)
     wanted = classes.join(postings.select("cls"), "cls", "left_semi").select("cls", F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
     found = slim.join(wanted, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("tk") == F.col("__tk")))
     sets = staged(found.select("cls", "text").mapInArrow(_sets(shingle), "cls long, members binary"), "sets")
     del wanted, found
+    released(spark)
     links = staged(_confirm(_stars(postings), sets, postings.count()), "links")
-    _released(spark)
+    released(spark)
     low = components(links)
-    _released(spark)
+    released(spark)
     tiles = staged(_tiles(postings, low, classes), "tiles")
-    _released(spark)
+    released(spark)
     n = tiles.count()
     bins = F.pmod(F.xxhash64("blk"), F.lit(max(1, n // BIN_ROWS)))
     met = staged(tiles.groupBy(bins.alias("bin")).applyInArrow(_candidates, "blk long, ys array<long>, xs array<long>, members array<long>"), "pairs")
+    released(spark)
     involved = met.agg(F.sum(F.size("members")).alias("n")).first()["n"] or 0
     low = components(links.union(_confirm(met, sets, involved)))
-    _released(spark)
+    released(spark)
     named = classes.join(low.withColumnRenamed("node", "cls"), "cls", "left").select("f1", "f2", "n", "low_doc", "doc", "tk", F.coalesce("low", "cls").alias("comp"))
     least = named.groupBy("comp").agg(F.min("low_doc").alias("component"), F.min(_best()).alias("one"))
     named = staged(named.join(least, "comp").select("f1", "f2", F.col("n").alias("size"), "component", F.col("one.doc").alias("one_doc"), F.col("one.tk").alias("one_tk")), "components")
+    del least
+    released(spark)
     out = signed.select("doc", "tk", "n", "f1", "f2").join(
         named.withColumnsRenamed({"f1": "g1", "f2": "g2"}), (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("n") == F.col("size")), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.llm.names import quoted
 from gleanwork.llm.spans import all_of, bound, count_upto, digits, edges, luhn, meets, tagged, with_matches
+from gleanwork.session import released
 
 # A match may start after another one or where its first run of characters starts; elsewhere it would fail alike.
 STRICT = {
@@ -267,7 +268,9 @@ def find_pii(docs: DataFrame, keep: Sequence[str], text: str = "text", trees: Tr
     """The columns `keep` of every document with `base` and `spans`, arrays of (start, place, end,
     kind) in code points, end exclusive, sorted by start and then kind."""
     keep = [c for c in keep if c not in RESULT]
-    trees = trees or fit(docs, text)
+    if trees is None:
+        trees = fit(docs, text)
+        released(docs.sparkSession)
     rows = docs.select(*[quoted(c).alias(f"keep_{i}") for i, c in enumerate(keep)], F.col(text).alias("text"))
     rows = _found(rows, "text")
     least = {k: F.lit(v) for k, v in trees.least.items()}

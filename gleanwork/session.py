@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,3 +25,10 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def released(spark: SparkSession) -> None:
+    """Ask the driver to collect plans that are done with. Their shuffle files stay on the executors' disks until it does, and
+    planning that follows lets its heap grow instead of reusing what they held; a driver with little to do collects late."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
