@@ -20,14 +20,17 @@ def _lowest(sides: DataFrame) -> DataFrame:
     return sides.groupBy("a").agg(F.min("b").alias("low"))
 
 
+def _each(rows: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """(a, b) of every pair of columns; not a union, which would have the driver plan what makes the rows once for each."""
+    return rows.select(F.inline(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs])))
+
+
 def _starred(links: DataFrame) -> DataFrame:
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _each(links, ("a", "b"), ("b", "a"))
     # Written first, so that Spark can split the links of a hub.
     larger = both.join(staged(_lowest(both), "lowest"), "a").filter(F.col("b") > F.col("a"))
     links = larger.select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct()
-    joined = links.join(_lowest(links), "a")
-    moved = joined.filter(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
-    return moved.union(joined.select("a", F.col("low").alias("b"))).distinct()
+    return _each(links.join(_lowest(links), "a"), ("a", "low"), ("b", "low")).filter("a != b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -16,7 +16,9 @@ Words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased; a document's set is its disti
    signatures only in the first list both prefixes share. Pairs at `LEAST` collisions or more are
    checked, within the tile, on their full sets; no list of pairs is written but of the links that connect.
 
-Components run over the links of both steps. Texts are shuffled once, for classes with enough shared values only.
+Components run over the links of both steps. Texts are shuffled where an exact join needs them only: before it a sieve, a
+bitmap of hashed (id, text) keys that is broadcast, holds back the rows that are surely not in the join's other table. So
+the texts of classes with enough shared values and, in `keep_one`, of the documents that go travel, and a few others.
 
 Null or wordless texts have an empty set and are linked with nothing. A document without id takes part
 and is never the smallest unless its whole component has none. In `near_duplicates` rows with equal ids are alike kept or not;
@@ -44,6 +46,10 @@ LEAST = 36
 TILE = 2048
 #: Rows of one grouped task, about.
 BIN_ROWS = 4096
+#: Bits of a sieve for each key, and in all at most (32 MB); beyond, a sieve lets more rows pass, and the join decides.
+SIEVE, SIEVE_MOST = 16, 1 << 28
+#: Bits of one of Spark's bitmaps.
+BITMAP = 1 << 15
 
 
 def shingle_sets(w: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -244,6 +250,19 @@ def _tiles(postings: DataFrame, low: DataFrame, classes: DataFrame) -> DataFrame
     return tiles.join(classes.select("cls", "sig"), "cls")
 
 
+def _sieved(rows: DataFrame, key: Column, tk: Column, wanted: DataFrame) -> DataFrame:
+    """The rows with `__met`: false only where (key, tk) is no (__doc, __tk) of the written table `wanted`. No row is shuffled for it."""
+    bits = max(BITMAP, min(SIEVE_MOST, SIEVE * wanted.count()))
+    place = lambda k, t: F.pmod(F.xxhash64(k, t), F.lit(bits)) + 1
+    at = place(F.col("__doc"), F.col("__tk"))
+    maps = wanted.groupBy(F.bitmap_bucket_number(at).alias("__map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("__bits"))
+    at = place(key, tk)
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    met = F.call_function("getbit", byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
+    return rows.join(F.broadcast(maps), F.bitmap_bucket_number(at) == F.col("__map"), "left").select(*rows.columns, F.coalesce(met, F.lit(False)).alias("__met"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
     found = _labelled(docs, key, text, shingle)
@@ -261,11 +280,17 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     marked = staged(seen.filter("n > 1 OR NOT __best").drop("n"), "duplicates")
     del found, seen
     released(docs.sparkSession)
-    same = F.col(key).eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(text)) == F.col("__tk"))
-    repeated = docs.join(marked.filter("__best"), same)
+    tk = F.xxhash64(F.col(text))
+    same = F.col(key).eqNullSafe(F.col("__doc")) & (tk == F.col("__tk"))
+    tested = _sieved(docs, F.col(key), tk, marked)
+    kept = tested.filter("NOT __met").drop("__met").unionByName(tested.filter("__met").drop("__met").join(marked, same, "left_anti"))
+    several = marked.filter("__best")
+    if several.isEmpty():
+        return kept.toDF(*own)
+    repeated = _sieved(docs, F.col(key), tk, several).filter("__met").drop("__met").join(several, same)
     order = Window.partitionBy("__doc", "__tk").orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
     first = repeated.withColumn("__row", F.row_number().over(order)).filter("__row = 1").select(*docs.columns)
-    return docs.join(marked, same, "left_anti").unionByName(first).toDF(*own)
+    return kept.unionByName(first).toDF(*own)
 
 
 def _labelled(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
@@ -278,9 +303,11 @@ def _labelled(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     postings = _postings(classes)
     released(spark)
     wanted = classes.join(postings.select("cls"), "cls", "left_semi").select("cls", F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
-    found = slim.join(wanted, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("tk") == F.col("__tk")))
+    wanted = staged(wanted, "wanted")
+    met = _sieved(slim, F.col("doc"), F.col("tk"), wanted).filter("__met").drop("__met")
+    found = met.join(wanted, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("tk") == F.col("__tk")))
     sets = staged(found.select("cls", "text").mapInArrow(_sets(shingle), "cls long, members binary"), "sets")
-    del wanted, found
+    del wanted, met, found
     released(spark)
     links = staged(_confirm(_stars(postings), sets, postings.count()), "links")
     released(spark)
