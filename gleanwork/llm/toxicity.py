@@ -126,7 +126,7 @@ def _patterns(data: np.ndarray, w: Words) -> list[np.ndarray]:
         found.append(_numbered(owner[at[_among(said, told)]], said[_among(said, told)]))
     # Words with digits for letters.
     size = w.ends - w.starts
-    with_digit = np.unique(np.searchsorted(w.starts, np.flatnonzero((data >= 48) & (data <= 57)), "right") - 1)
+    with_digit = distinct(np.searchsorted(w.starts, np.flatnonzero((data >= 48) & (data <= 57)), "right") - 1)
     at = with_digit[size[with_digit] <= d.sizes[-1]]
     ends = np.cumsum(size[at])
     letters = data[np.arange(int(size[at].sum())) + np.repeat(w.starts[at] - ends + size[at], size[at])]
@@ -181,10 +181,18 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
             once, times = np.unique(_numbered(owner[long], mix(x * seeds[n] + np.uint64(n))), return_counts=True)
             several = once[times > 1]
             found += [once, _numbered(several >> BITS, mix(several.astype(np.uint64) & np.uint64(SLOTS - 1) ^ seeds[n]))]
-    both = np.unique(np.concatenate([*found, *patterns]))
+    both = distinct(np.concatenate([*found, *patterns]))
     return both & (SLOTS - 1), both >> BITS
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values, ascending. Sorted, as `np.unique` may put them through a hash table first, which costs far more."""
+    x = np.sort(x)
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 def _numbered(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (owner.astype(np.int64) << BITS) | (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
