@@ -210,7 +210,9 @@ def _postings(classes: DataFrame) -> DataFrame:
         "cls", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit((1 << 32) - 1))).alias("token"))
     lists = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("cls").alias("l0"), F.max("cls").alias("l1")).filter("n > 1")
     # From a written table Spark can split a value that many classes share.
-    shared = tokens.join(staged(lists, "lists"), "token")
+    lists = staged(lists, "lists")
+    released(classes.sparkSession)
+    shared = tokens.join(lists, "token")
     enough = shared.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("n", "token", "l0", "l1"))).alias("lists"))
     return staged(enough.filter(F.size("lists") >= LEAST), "postings")
 
@@ -300,6 +302,7 @@ def _labelled(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     kind = slim.schema["doc"].dataType.simpleString()
     signed = staged(slim.mapInArrow(_signed(shingle), f"doc {kind}, tk long, n long, f1 long, f2 long, sig array<int>"), "signatures")
     classes = _classes(signed)
+    released(spark)
     postings = _postings(classes)
     released(spark)
     wanted = classes.join(postings.select("cls"), "cls", "left_semi").select("cls", F.col("doc").alias("__doc"), F.col("tk").alias("__tk"))
@@ -320,7 +323,8 @@ def _labelled(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     met = staged(tiles.groupBy(bins.alias("bin")).applyInArrow(_candidates, "blk long, ys array<long>, xs array<long>, members array<long>"), "pairs")
     released(spark)
     involved = met.agg(F.sum(F.size("members")).alias("n")).first()["n"] or 0
-    low = components(links.union(_confirm(met, sets, involved)))
+    # Written first: the few tasks that read it contract more than the many that confirm.
+    low = components(links.union(staged(_confirm(met, sets, involved), "links")))
     released(spark)
     named = classes.join(low.withColumnRenamed("node", "cls"), "cls", "left").select("f1", "f2", "n", "low_doc", "doc", "tk", F.coalesce("low", "cls").alias("comp"))
     least = named.groupBy("comp").agg(F.min("low_doc").alias("component"), F.min(_best()).alias("one"))

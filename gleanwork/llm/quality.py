@@ -20,12 +20,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanwork.llm.names import quoted
 from gleanwork.llm.words import BLANKS, byte_classes, chunks, constants, mix, words_of
+from gleanwork.session import staged
 
 BITS, MARK_BITS, DIMENSIONS, SPARSE, REACH, SHORT = 16, 14, 64, 4, 2, 4
 BUCKETS = (1 << BITS) + (1 << MARK_BITS)
@@ -218,11 +220,8 @@ def training_rows(labels: DataFrame, key: str, label: str, folds: int, fold: int
     return rows.orderBy(F.xxhash64("__labelled"), "__labelled", "y").limit(sample)
 
 
-def score_quality(
-    docs: DataFrame, labels: DataFrame, keep: Sequence[str], key: str = "doc_id", text: str = "text", label: str = "quality",
-    folds: int = 3, fold: int = 1, sample: int = SAMPLE,
-) -> DataFrame:
-    """The columns `keep` of every document with `held_out`, `score` and `predicted`."""
+def _fitted(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: int, fold: int, sample: int) -> tuple[Broadcast, Broadcast]:
+    """The word vectors and the trained network."""
     context = docs.sparkSession.sparkContext
     vectors = context.broadcast(word_vectors(docs, text))
     # At most `sample` rows.
@@ -234,6 +233,12 @@ def score_quality(
     del known
     net = context.broadcast(train(x, y))
     del x, y
+    # Arrow keeps what the tables above held for its next ones.
+    pa.default_memory_pool().release_unused()
+    return vectors, net
+
+
+def _applied(docs: DataFrame, keep: Sequence[str], key: str, text: str, folds: int, fold: int, vectors: Broadcast, net: Broadcast) -> DataFrame:
     own = {c: f"own_{i}" for i, c in enumerate(keep) if c not in ("held_out", "score", "predicted")}
     rows = docs.select(*[quoted(c).alias(v) for c, v in own.items()], F.col(key).alias("__key"), F.col(text).alias("__text"))
     out = rows.mapInArrow(_scored(vectors, net), T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
@@ -242,10 +247,24 @@ def score_quality(
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents with a score of at least 0.5, with all their columns unchanged."""
+def score_quality(
+    docs: DataFrame, labels: DataFrame, keep: Sequence[str], key: str = "doc_id", text: str = "text", label: str = "quality",
+    folds: int = 3, fold: int = 1, sample: int = SAMPLE,
+) -> DataFrame:
+    """The columns `keep` of every document with `held_out`, `score` and `predicted`."""
+    return _applied(docs, keep, key, text, folds, fold, *_fitted(docs, labels, key, text, label, folds, fold, sample))
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 3, fold: int = 1, sample: int = SAMPLE,
+) -> DataFrame:
+    """The documents with a score of at least 0.5, with all their columns unchanged, from a written table: the driver holds the
+    word vectors as long as a plan may need them, so they are destroyed when all is scored."""
     own = {c: f"__own_{i}" for i, c in enumerate(docs.columns)}
-    options = {"key": "doc_id", "text": "text"} | options
-    scored = score_quality(docs.toDF(*own.values()), labels.withColumnRenamed(options["key"], own[options["key"]]), list(own.values()),
-                           **options | {"key": own[options["key"]], "text": own[options["text"]]})
-    return scored.filter("predicted = 1").select(*[F.col(v).alias(c) for c, v in own.items()])
+    docs, labels, key, text = docs.toDF(*own.values()), labels.withColumnRenamed(key, own[key]), own[key], own[text]
+    shared = _fitted(docs, labels, key, text, label, folds, fold, sample)
+    scored = _applied(docs, list(own.values()), key, text, folds, fold, *shared)
+    kept = staged(scored.filter("predicted = 1").select(*own.values()), "good")
+    for model in shared:
+        model.destroy()
+    return kept.toDF(*own)

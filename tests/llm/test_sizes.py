@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleanwork.llm import near_dup, toxicity
+from gleanwork.llm import components, near_dup, quality, toxicity
 from gleanwork.session import staged
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -77,3 +77,51 @@ def test_features_are_not_hashed_to_tell_them_apart(monkeypatch):
     assert max(hashed) < len(both) / 2
     assert (np.diff(both) > 0).all() and slot[owner == 0].tolist() == slot[owner == 1].tolist()
     assert toxicity.distinct(np.zeros(0, np.int64)).tolist() == [] and toxicity.distinct(np.array([3, 1, 3])).tolist() == [1, 3]
+
+
+def _joined(links):
+    """{node: smallest node reachable}, without the smallest ones."""
+    low = {x: x for link in links for x in link}
+    while (now := {x: min([low[x], *[low[y] for link in links if x in link for y in link]]) for x in low}) != low:
+        low = now
+    return {x: v for x, v in low.items() if x != v}
+
+
+@pytest.mark.parametrize("chunk", [1 << 16, 3])
+def test_components_spend_no_round_on_what_a_chunk_or_the_links_tell(spark, monkeypatch, chunk):
+    """A chain within a chunk is no chain any more, and stars need no round to see that they stay; what chunks leave is joined by rounds."""
+    rounds, starred = [], components._starred
+    monkeypatch.setattr(components, "_starred", lambda *a: rounds.append(0) or starred(*a))
+    monkeypatch.setattr(components, "CHUNK", chunk)
+    rng = np.random.default_rng(5)
+    links = [(i, i + 1) for i in range(30)] + [(int(a), int(b)) for a, b in rng.integers(100, 160, (40, 2))] + [(7, 7), (200, 201), (201, 200), (None, 3)]
+    frame = spark.createDataFrame(links, "a long, b long").coalesce(1)
+    monkeypatch.setattr(components, "_contracted", _by_rows(components._contracted) if chunk == 3 else components._contracted)
+    rows = components.components(frame).collect()
+    assert {r["node"]: r["low"] for r in rows} == _joined([x for x in links if None not in x]) and len(rows) == len({r["node"] for r in rows})
+    assert bool(rounds) == (chunk == 3)
+    rounds.clear()
+    stars = [(0, k) for k in range(1, 9)] + [(50, 90), (60, 90 + 1)]
+    assert {r["node"]: r["low"] for r in components.components(spark.createDataFrame(stars, "a int, b int").repartition(4)).collect()} == _joined(stars)
+    assert not rounds
+    assert components.components(frame.limit(0)).collect() == []
+
+
+def _by_rows(contracted):
+    """Batches of one row, each task's links three at a time."""
+    def run(batches):
+        chunk, components.CHUNK = components.CHUNK, 3
+        try:
+            yield from contracted(b.slice(k, 1) for b in batches for k in range(b.num_rows))
+        finally:
+            components.CHUNK = chunk
+    return run
+
+
+def test_word_vectors_are_let_go_when_all_is_scored(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} and more {i}" if i % 2 else "!!", None if i % 5 else "x") for i in range(60)], "doc_id long, text string, own string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality")
+    good = quality.keep_good(docs, labels)
+    assert good.columns == docs.columns and "MapInArrow" not in good._jdf.queryExecution().toString()
+    scored = quality.score_quality(docs, labels, docs.columns).filter("predicted = 1").select(docs.columns)
+    assert 0 < good.count() < 60 and sorted(map(repr, good.collect())) == sorted(map(repr, scored.collect()))
